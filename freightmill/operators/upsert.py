@@ -12,7 +12,8 @@ NUMBERING_DIGITS = 3
 
 
 def distinct_by_key(source: DataFrame, key: str, columns: list[str]) -> DataFrame:
-    """Distinct source rows, failing the job when a key has two versions or is NULL.
+    """Distinct rows of ``columns`` (the key among them), failing the job when a
+    key has two versions or is NULL.
 
     One pass with map-side combine: the smallest and the largest version of a key
     are the same row exactly when there is only one version.
@@ -27,7 +28,7 @@ def distinct_by_key(source: DataFrame, key: str, columns: list[str]) -> DataFram
     checked = F.when(sound, F.col("_lo")).otherwise(
         F.raise_error(complaint).cast(spread.schema["_lo"].dataType)
     )
-    return spread.select(key, checked.alias("_row")).select(key, "_row.*")
+    return spread.select(checked.alias("_row")).select("_row.*")
 
 
 def upsert(

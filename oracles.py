@@ -423,7 +423,9 @@ FROM carriers"""
     "fact_load_batch": _sql(
         f"""
 SELECT {FACT_OUTPUT} FROM (
-  SELECT * REPLACE (CASE WHEN CAST(order_date AS DATE) = DATE '1995-02-18' THEN freight_cost_usd + 1
+  SELECT * REPLACE (CAST(supplier_id AS VARCHAR) AS supplier_id,
+                    CAST(destination_warehouse_id AS VARCHAR) AS destination_warehouse_id,
+                    CASE WHEN CAST(order_date AS DATE) = DATE '1995-02-18' THEN freight_cost_usd + 1
                          ELSE freight_cost_usd END AS freight_cost_usd)
   FROM fact)"""
     ),
