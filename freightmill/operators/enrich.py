@@ -14,10 +14,7 @@ GATE_COLUMNS = ("shipment_id", "order_id")
 
 
 def _gate() -> Column:
-    passed = F.col(GATE_COLUMNS[0]).isNotNull()
-    for name in GATE_COLUMNS[1:]:
-        passed = passed & F.col(name).isNotNull()
-    return passed
+    return F.expr(" AND ".join(f"{name} IS NOT NULL" for name in GATE_COLUMNS))
 
 
 def accepted(shipments: DataFrame) -> DataFrame:
@@ -32,16 +29,8 @@ def with_gate_status(shipments: DataFrame) -> DataFrame:
     return shipments.withColumn("gate_status", F.when(_gate(), "ACCEPTED").otherwise("REJECTED"))
 
 
-def _as_datetime(frame: DataFrame, name: str) -> Column:
-    value = F.col(name)
-    if isinstance(frame.schema[name].dataType, T.TimestampNTZType):
-        return value
-    return civil_datetime(value)
-
-
-def _as_date(frame: DataFrame, name: str) -> Column:
-    value = F.col(name)
-    return value if isinstance(frame.schema[name].dataType, T.DateType) else civil_date(value)
+def _is_text(frame: DataFrame, name: str) -> bool:
+    return isinstance(frame.schema[name].dataType, T.StringType)
 
 
 def enrich_shipments(shipments: DataFrame) -> DataFrame:
@@ -50,26 +39,23 @@ def enrich_shipments(shipments: DataFrame) -> DataFrame:
     Dates arriving as text are parsed in place; the ``*_dt`` names are kept beside
     them for readers of the lake tables.
     """
-    typed = accepted(shipments).withColumns(
-        {
-            "order_date": _as_datetime(shipments, "order_date"),
-            "promised_delivery_date": _as_date(shipments, "promised_delivery_date"),
-            "actual_delivery_date": _as_date(shipments, "actual_delivery_date"),
-        }
-    )
-    kept_both = (F.col("on_time_flag") == 1) & (F.col("in_full_flag") == 1)
-    unit_cost = F.round(F.try_divide(F.col("freight_cost_usd"), F.col("weight_kg")), 4)
-    return typed.withColumns(
-        {
-            "order_date_dt": F.col("order_date"),
-            "promised_delivery_dt": F.col("promised_delivery_date"),
-            "actual_delivery_dt": F.col("actual_delivery_date"),
-            "transit_delay_days": F.col("transit_days") - F.col("promised_transit_days"),
-            "otif_compliance_flag": F.when(kept_both, 1).otherwise(0),
-            "freight_cost_per_kg": unit_cost.try_cast("decimal(10,4)"),
-            "shipment_hash_key": shipment_hash(F.col("shipment_id"), F.col("order_date")),
-        }
-    )
+    parsers = {
+        "order_date": civil_datetime,
+        "promised_delivery_date": civil_date,
+        "actual_delivery_date": civil_date,
+    }
+    text = {n: parse for n, parse in parsers.items() if _is_text(shipments, n)}
+    typed = accepted(shipments).withColumns({n: parse(F.col(n)) for n, parse in text.items()})
+    return typed.selectExpr(
+        "*",
+        "order_date AS order_date_dt",
+        "promised_delivery_date AS promised_delivery_dt",
+        "actual_delivery_date AS actual_delivery_dt",
+        "transit_days - promised_transit_days AS transit_delay_days",
+        "CASE WHEN on_time_flag = 1 AND in_full_flag = 1 THEN 1 ELSE 0 END AS otif_compliance_flag",
+        "try_cast(round(try_divide(freight_cost_usd, weight_kg), 4) AS DECIMAL(10,4)) "
+        "AS freight_cost_per_kg",
+    ).withColumn("shipment_hash_key", shipment_hash(F.col("shipment_id"), F.col("order_date")))
 
 
 def enrich_carriers(carriers: DataFrame) -> DataFrame:

@@ -27,16 +27,21 @@ TOTALS = {
 
 def tally(fact: DataFrame, *keys: str | Column) -> DataFrame:
     """One row per key with ``shipments`` and the totals above."""
-    present = [
-        F.sum(column).alias(total) for total, column in TOTALS.items() if column in fact.columns
-    ]
-    return fact.groupBy(*keys).agg(F.count(F.lit(1)).alias("shipments"), *present)
+    have = set(fact.columns)
+    sums = [f"sum({column}) AS {total}" for total, column in TOTALS.items() if column in have]
+    return _grouped(fact, keys, ["count(*) AS shipments", *sums])
 
 
 def merge_tallies(totals: DataFrame, *keys: str | Column) -> DataFrame:
     """Regroup tallies to coarser keys."""
-    names = [n for n in ("shipments", *TOTALS) if n in totals.columns]
-    return totals.groupBy(*keys).agg(*[F.sum(n).alias(n) for n in names])
+    have = set(totals.columns)
+    return _grouped(
+        totals, keys, [f"sum({n}) AS {n}" for n in ("shipments", *TOTALS) if n in have]
+    )
+
+
+def _grouped(frame: DataFrame, keys: tuple[str | Column, ...], aggregates: list[str]) -> DataFrame:
+    return frame.groupBy(*keys).agg(*[F.expr(a) for a in aggregates])
 
 
 def pct_of_shipments(total: str, places: int = 2) -> Column:

@@ -37,7 +37,12 @@ from freightmill.plans import (
 )
 from freightmill.plans.model import FACT, FLEET, equal_to, logistics_model
 from freightmill.sources.lake import stack
-from freightmill.sources.trade_tables import SUPPLIER_CATEGORIES, TradeTables
+from freightmill.sources.trade_tables import (
+    ORDER_ID,
+    SHIPMENT_ID,
+    SUPPLIER_CATEGORIES,
+    TradeTables,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -118,13 +123,10 @@ def bronze_source_tag(f: Feeds) -> DataFrame:
 @query
 def silver_not_null_gate(f: Feeds) -> DataFrame:
     # The trade tables have no NULL keys; an order id is lost on some parts' lines.
-    lost = F.pmod(F.col("l_partkey"), F.lit(50)) == 0
-    lines = f.trade.table("lineitem").select(
-        F.concat_ws("-", F.lit("SHP"), "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias(
-            "shipment_id"
-        ),
-        F.when(~lost, F.concat(F.lit("ORD-"), F.col("l_orderkey").cast("string"))).alias("order_id"),
-        F.col("l_suppkey").alias("supplier_id"),
+    lines = f.trade.table("lineitem").selectExpr(
+        f"{SHIPMENT_ID} AS shipment_id",
+        f"CASE WHEN pmod(l_partkey, 50) <> 0 THEN {ORDER_ID} END AS order_id",
+        "l_suppkey AS supplier_id",
     )
     return with_gate_status(lines)
 

@@ -7,11 +7,9 @@ join the customer table at all.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from freightmill.functions.labels import NO_DELAY
-from freightmill.functions.numeric import half_up, ratio
 
 # --- fixed values of the mapping ---
 # code, name, mode, on-time target %
@@ -41,17 +39,64 @@ SUPPLIER_CATEGORIES = [
     "Chemical Additives",
 ]
 CONTRACT_SLA_PCTS = ["95", "96", "98", "99"]
-STATUS_TEXT = {"F": "Delivered", "O": "In Transit", "P": "Customs Processing"}
 MAX_LEAD_DAYS = 30
 # --- end of fixed values ---
 
+# Declared, so that opening a table starts no schema-reading job.
+TABLE_SCHEMAS = {
+    "region": "r_regionkey INT, r_name STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "customer": "c_custkey BIGINT, c_nationkey INT",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT",
+    "part": "p_partkey BIGINT, p_retailprice DOUBLE",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, "
+    "o_orderdate TIMESTAMP_NTZ",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, "
+    "l_quantity DOUBLE, l_extendedprice DOUBLE, l_tax DOUBLE, l_returnflag STRING, "
+    "l_linestatus STRING, l_shipdate TIMESTAMP_NTZ",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, "
+    "value DOUBLE, props STRING",
+}
+
+
+def _nth(index: str, values: list[str]) -> str:
+    """SQL for the literal at a zero-based ``index``."""
+    return f"elt(CAST({index} AS INT) + 1, {', '.join(repr(v) for v in values)})"
+
+
+SHIPMENT_ID = "concat_ws('-', 'SHP', l_orderkey, l_linenumber, l_partkey, l_suppkey)"
+ORDER_ID = "concat_ws('-', 'ORD', l_orderkey)"
+
+# Evaluated once per row and used by several of the columns below.
+SHARED_TERMS = [
+    "CAST(o_orderdate AS DATE) AS order_day",
+    "1 + pmod(date_diff(CAST(l_shipdate AS DATE), CAST(o_orderdate AS DATE)), 30) AS lead",
+    "CAST(18 + pmod(l_partkey, 13) AS INT) AS promise",
+    "l_returnflag = 'R' AND l_linestatus = 'O' AS returned_open",
+]
 
-def _pick(index: Column, values: list[str]) -> Column:
-    """``values[index]`` as a CASE over literals."""
-    chosen = F.when(index == 0, values[0])
-    for i, v in enumerate(values[1:], start=1):
-        chosen = chosen.when(index == i, v)
-    return chosen
+SHIPMENT_COLUMNS = {
+    "shipment_id": SHIPMENT_ID,
+    "order_id": ORDER_ID,
+    "supplier_id": "l_suppkey",
+    "destination_warehouse_id": "c_nationkey",
+    "carrier_id": "concat('CAR-', 1 + pmod(l_partkey, 8))",
+    "order_date": "o_orderdate",
+    "promised_delivery_date": "date_add(order_day, promise)",
+    "actual_delivery_date": "date_add(order_day, lead)",
+    "transit_days": "lead",
+    "promised_transit_days": "promise",
+    "on_time_flag": "CASE WHEN lead <= promise THEN 1 ELSE 0 END",
+    "in_full_flag": "CASE WHEN returned_open THEN 0 ELSE 1 END",
+    "weight_kg": "CAST(l_quantity * 12.5D AS DECIMAL(10,2))",
+    "quantity_units": "CAST(l_quantity AS INT)",
+    "freight_cost_usd": "CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * 0.05BD AS DECIMAL(12,2))",
+    "damage_reported_flag": "CASE WHEN returned_open AND l_tax > 0.055D THEN 1 ELSE 0 END",
+    "delay_reason": f"CASE WHEN lead <= promise THEN '{NO_DELAY}' "
+    f"ELSE {_nth('pmod(l_orderkey, 5)', DELAY_REASONS)} END",
+    "shipment_status": "CASE o_orderstatus WHEN 'F' THEN 'Delivered' WHEN 'O' THEN 'In Transit' "
+    "WHEN 'P' THEN 'Customs Processing' END",
+}
 
 
 class TradeTables:
@@ -62,79 +107,41 @@ class TradeTables:
         self.folder = folder
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
-
-    # -- shipments ---------------------------------------------------------
+        return self.spark.read.schema(TABLE_SCHEMAS[name]).parquet(f"{self.folder}/{name}.parquet")
 
-    def _orders(self, destination: bool) -> DataFrame:
-        orders = self.table("orders").select(
-            "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate"
-        )
-        if not destination:
-            return orders
-        # Joined on the order side first, so the line items are shuffled only once.
-        # Left, so an order without a known customer is kept for the orphan check.
-        customer = self.table("customer").select("c_custkey", "c_nationkey")
-        return orders.join(customer, orders.o_custkey == customer.c_custkey, "left")
+    def _sql(self, text: str, *names: str) -> DataFrame:
+        return self.spark.sql(text, **{name: self.table(name) for name in names})
 
     def shipments(self, destination: bool = False) -> DataFrame:
         """One row per line item with its order; 18 columns, 17 without the destination."""
-        lines = self.table("lineitem")
-        orders = self._orders(destination)
-        joined = lines.join(orders, lines.l_orderkey == orders.o_orderkey)
-
-        order_day = F.col("o_orderdate").cast("date")
-        transit = 1 + F.pmod(F.date_diff(F.col("l_shipdate").cast("date"), order_day), F.lit(30))
-        promised = (18 + F.pmod(F.col("l_partkey"), F.lit(13))).cast("int")
-        base = joined.withColumns(
-            {
-                "_order_day": order_day,
-                "_transit": transit.cast("int"),
-                "_promised": promised,
-                "_returned_open": (F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "O"),
-            }
-        )
-        on_time = F.col("_transit") <= F.col("_promised")
-        damaged = F.col("_returned_open") & (F.col("l_tax") > 0.055)
-        freight = F.col("l_extendedprice").cast("decimal(12,2)") * F.lit("0.05").cast("decimal(3,2)")
-        reason = _pick(F.pmod(F.col("l_orderkey"), F.lit(5)), DELAY_REASONS)
-        status = F.col("o_orderstatus")
+        if destination:
+            # Joined on the order side first, so the line items are shuffled only once.
+            # Left, so an order without a known customer is kept for the orphan check.
+            orders = self._sql(
+                "SELECT o_orderkey, o_orderstatus, o_orderdate, c_nationkey "
+                "FROM {orders} LEFT JOIN {customer} ON o_custkey = c_custkey",
+                "orders",
+                "customer",
+            )
+        else:
+            orders = self.table("orders")
         columns = [
-            F.concat_ws(
-                "-", F.lit("SHP"), "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"
-            ).alias("shipment_id"),
-            F.concat(F.lit("ORD-"), F.col("l_orderkey").cast("string")).alias("order_id"),
-            F.col("l_suppkey").alias("supplier_id"),
-            F.concat(
-                F.lit("CAR-"), (1 + F.pmod(F.col("l_partkey"), F.lit(8))).cast("string")
-            ).alias("carrier_id"),
-            F.col("o_orderdate").alias("order_date"),
-            F.date_add("_order_day", F.col("_promised")).alias("promised_delivery_date"),
-            F.date_add("_order_day", F.col("_transit")).alias("actual_delivery_date"),
-            F.col("_transit").alias("transit_days"),
-            F.col("_promised").alias("promised_transit_days"),
-            F.when(on_time, 1).otherwise(0).alias("on_time_flag"),
-            F.when(F.col("_returned_open"), 0).otherwise(1).alias("in_full_flag"),
-            (F.col("l_quantity") * 12.5).cast("decimal(10,2)").alias("weight_kg"),
-            F.col("l_quantity").cast("int").alias("quantity_units"),
-            freight.cast("decimal(12,2)").alias("freight_cost_usd"),
-            F.when(damaged, 1).otherwise(0).alias("damage_reported_flag"),
-            F.when(on_time, NO_DELAY).otherwise(reason).alias("delay_reason"),
-            F.when(status == "F", STATUS_TEXT["F"])
-            .when(status == "O", STATUS_TEXT["O"])
-            .when(status == "P", STATUS_TEXT["P"])
-            .alias("shipment_status"),
+            f"{expression} AS {name}"
+            for name, expression in SHIPMENT_COLUMNS.items()
+            if destination or name != "destination_warehouse_id"
         ]
-        if destination:
-            columns.insert(3, F.col("c_nationkey").alias("destination_warehouse_id"))
-        return base.select(*columns)
-
-    # -- dimensions --------------------------------------------------------
+        return self.spark.sql(
+            f"""SELECT {", ".join(columns)}
+            FROM (SELECT *, {", ".join(SHARED_TERMS)}
+                  FROM {{lines}} JOIN {{orders}} ON l_orderkey = o_orderkey)""",
+            lines=self.table("lineitem"),
+            orders=orders,
+        )
 
     def carrier_register(self) -> DataFrame:
         """Names, modes and targets: eight constant rows, small enough to broadcast by size."""
         rows = ", ".join(
-            f"('CAR-{code}', '{name}', '{mode}', CAST('{target}' AS DECIMAL(5,2)))"
+            f"('CAR-{code}', '{name}', '{mode}', CAST({target} AS DECIMAL(5,2)))"
             for code, name, mode, target in CARRIER_REGISTER
         )
         return self.spark.sql(
@@ -144,74 +151,63 @@ class TradeTables:
 
     def carriers(self) -> DataFrame:
         """The carriers that parts are assigned to, priced from those parts."""
-        assigned = (
-            self.table("part")
-            .select(
-                (1 + F.pmod(F.col("p_partkey"), F.lit(8))).alias("code"),
-                F.col("p_retailprice").cast("decimal(12,2)").alias("price"),
-            )
-            .groupBy("code")
-            .agg(F.sum("price").alias("price_sum"), F.count(F.lit(1)).alias("parts"))
-            .select(
-                F.concat(F.lit("CAR-"), F.col("code").cast("string")).alias("carrier_id"),
-                half_up(ratio(F.col("price_sum"), F.col("parts")) / 1000, 4)
-                .cast("decimal(10,4)")
-                .alias("base_rate_per_kg"),
-            )
-        )
-        return self.carrier_register().join(assigned, "carrier_id").select(
-            "carrier_id", "carrier_name", "transport_mode", "base_rate_per_kg", "sla_target_pct"
+        return self.spark.sql(
+            """SELECT carrier_id, carrier_name, transport_mode,
+                      CAST(round(CAST(CAST(price_sum AS DOUBLE) / parts / 1000
+                                      AS DECIMAL(28,10)), 4) AS DECIMAL(10,4)) AS base_rate_per_kg,
+                      sla_target_pct
+               FROM {register}
+               JOIN (SELECT concat('CAR-', code) AS carrier_id, price_sum, parts
+                     FROM (SELECT 1 + pmod(p_partkey, 8) AS code, count(*) AS parts,
+                                  sum(CAST(p_retailprice AS DECIMAL(12,2))) AS price_sum
+                           FROM {part} GROUP BY 1 + pmod(p_partkey, 8)))
+               USING (carrier_id)""",
+            register=self.carrier_register(),
+            part=self.table("part"),
         )
 
     def warehouses(self) -> DataFrame:
-        nation, region = self.table("nation"), self.table("region")
-        key = F.col("n_nationkey")
-        return nation.join(region, nation.n_regionkey == region.r_regionkey).select(
-            key.alias("warehouse_id"),
-            F.concat(F.col("n_name"), F.lit(" DC")).alias("name"),
-            F.col("n_name").alias("city"),
-            F.col("n_name").alias("country"),
-            F.col("r_name").alias("region"),
-            (300000 + key * 12500).cast("bigint").alias("capacity_sqft"),
-            (9000 + key * 275).cast("decimal(12,2)").alias("daily_op_cost_usd"),
+        return self._sql(
+            """SELECT n_nationkey AS warehouse_id, concat(n_name, ' DC') AS name,
+                      n_name AS city, n_name AS country, r_name AS region,
+                      CAST(300000 + n_nationkey * 12500 AS BIGINT) AS capacity_sqft,
+                      CAST(9000 + n_nationkey * 275 AS DECIMAL(12,2)) AS daily_op_cost_usd
+               FROM {nation} JOIN {region} ON n_regionkey = r_regionkey""",
+            "nation",
+            "region",
         )
 
     def suppliers(self) -> DataFrame:
-        supplier, nation = self.table("supplier"), self.table("nation")
-        key = F.col("s_suppkey")
-        rating = F.lit("3.80").cast("decimal(4,2)") + (key % 13).cast("decimal(4,0)") * F.lit(
-            "0.10"
-        ).cast("decimal(3,2)")
-        return supplier.join(nation, supplier.s_nationkey == nation.n_nationkey).select(
-            key.alias("supplier_id"),
-            F.col("s_name").alias("supplier_name"),
-            _pick(key % 6, SUPPLIER_CATEGORIES).alias("category"),
-            F.col("n_name").alias("country"),
-            (3 + key % 12).cast("int").alias("agreed_lead_days"),
-            rating.cast("decimal(4,2)").alias("reliability_rating"),
-            _pick(key % 4, CONTRACT_SLA_PCTS).cast("decimal(5,2)").alias("contract_sla_pct"),
+        return self._sql(
+            f"""SELECT s_suppkey AS supplier_id, s_name AS supplier_name,
+                      {_nth("s_suppkey % 6", SUPPLIER_CATEGORIES)} AS category,
+                      n_name AS country,
+                      CAST(3 + s_suppkey % 12 AS INT) AS agreed_lead_days,
+                      CAST(3.80BD + CAST(s_suppkey % 13 AS DECIMAL(4,0)) * 0.10BD
+                           AS DECIMAL(4,2)) AS reliability_rating,
+                      CAST({_nth("s_suppkey % 4", CONTRACT_SLA_PCTS)} AS DECIMAL(5,2))
+                        AS contract_sla_pct
+               FROM {{supplier}} JOIN {{nation}} ON s_nationkey = n_nationkey""",
+            "supplier",
+            "nation",
         )
 
-    # -- telematics --------------------------------------------------------
-
     def telematics(self) -> DataFrame:
-        moving = F.col("value") > 5
-        fuel = F.get_json_object("props", "$.k").cast("double")
-        return self.table("events").select(
-            F.col("event_id").alias("telematics_id"),
-            F.col("user_id").alias("vehicle_id"),
-            F.col("ts").alias("timestamp"),
-            F.least(F.col("value"), F.lit(120.0)).alias("speed_kmh"),
-            F.when(moving, fuel).otherwise(0.0).alias("fuel_consumption_l_100km"),
-            F.when(F.col("event_type") == "error", 1).otherwise(0).alias("maintenance_alert_flag"),
+        return self._sql(
+            """SELECT event_id AS telematics_id, user_id AS vehicle_id, ts AS timestamp,
+                      least(value, 120.0D) AS speed_kmh,
+                      CASE WHEN value > 5 THEN CAST(get_json_object(props, '$.k') AS DOUBLE)
+                           ELSE 0.0D END AS fuel_consumption_l_100km,
+                      CASE WHEN event_type = 'error' THEN 1 ELSE 0 END AS maintenance_alert_flag
+               FROM {events}""",
+            "events",
         )
 
-    # -- calendar ----------------------------------------------------------
-
     def calendar_bounds(self) -> DataFrame:
         """One row: first and last day any order or delivery can fall on."""
-        day = F.col("o_orderdate").cast("date")
-        return self.table("orders").agg(
-            F.min(day).alias("first_day"),
-            F.date_add(F.max(day), MAX_LEAD_DAYS).alias("last_day"),
+        return self._sql(
+            f"""SELECT min(CAST(o_orderdate AS DATE)) AS first_day,
+                       date_add(max(CAST(o_orderdate AS DATE)), {MAX_LEAD_DAYS}) AS last_day
+                FROM {{orders}}""",
+            "orders",
         )
