@@ -3,56 +3,48 @@ cannot flood the report; ``left_anti``/``filter`` on the same rule lists them.""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from freightmill.contracts import Contract
 
-REPORT = ["table_name", "rule", "column_name", "rows_checked", "violations"]
-
-
-def _report(frame: DataFrame, table: str, rules: list[tuple[str, str, Column]]) -> DataFrame:
-    """One scan of ``frame`` for all rules, then one output row per rule."""
-    counts = frame.agg(
-        F.count(F.lit(1)).alias("_rows"),
-        *[F.count_if(broken).alias(f"_v{i}") for i, (_, _, broken) in enumerate(rules)],
-    )
+def _report(frame: DataFrame, table: str, rules: list[tuple[str, str, str]]) -> DataFrame:
+    """One scan of ``frame`` for all rules (kind, column, SQL test of a broken value),
+    then one output row per rule."""
+    counts = [f"count_if({broken}) AS v{i}" for i, (_, _, broken) in enumerate(rules)]
     lines = [
-        F.struct(
-            F.lit(table).alias(REPORT[0]),
-            F.lit(rule).alias(REPORT[1]),
-            F.lit(column).alias(REPORT[2]),
-            F.col("_rows").alias(REPORT[3]),
-            F.col(f"_v{i}").alias(REPORT[4]),
-        )
+        f"named_struct('table_name', '{table}', 'rule', '{rule}', 'column_name', '{column}', "
+        f"'rows_checked', n, 'violations', v{i})"
         for i, (rule, column, _) in enumerate(rules)
     ]
-    return counts.select(F.inline(F.array(*lines)))
+    return frame.selectExpr("count(*) AS n", *counts).selectExpr(
+        f"inline(array({', '.join(lines)}))"
+    )
 
 
 def check_not_null(frame: DataFrame, contract: Contract) -> DataFrame:
     """NOT NULL columns of the contract that the frame carries."""
-    rules = [
-        ("NOT_NULL", c, F.col(c).isNull()) for c in contract.required if c in frame.columns
-    ]
+    have = set(frame.columns)
+    rules = [("NOT_NULL", c, f"{c} IS NULL") for c in contract.required if c in have]
     return _report(frame, contract.name, rules)
 
 
 def check_domain(frame: DataFrame, contract: Contract) -> DataFrame:
     """0/1 flags, text limits and decimal ranges. NULLs are left to ``check_not_null``."""
-    rules: list[tuple[str, str, Column]] = []
+    have = set(frame.columns)
+    rules: list[tuple[str, str, str]] = []
     for a in contract.attributes:
-        if a.name not in frame.columns:
+        if a.name not in have:
             continue
-        value = F.col(a.name)
         if a.is_flag:
-            rules.append(("FLAG_0_1", a.name, ~value.isin(0, 1)))
+            rules.append(("FLAG_0_1", a.name, f"{a.name} NOT IN (0, 1)"))
         elif a.max_length is not None:
-            rules.append(("MAX_LENGTH", a.name, F.length(value.cast("string")) > a.max_length))
+            longer = f"length(CAST({a.name} AS STRING)) > {a.max_length}"
+            rules.append(("MAX_LENGTH", a.name, longer))
         elif isinstance(a.dtype, T.DecimalType):
-            misfit = value.isNotNull() & value.try_cast(a.dtype).isNull()
-            rules.append(("DECIMAL_RANGE", a.name, misfit))
+            limit = f"1e{a.dtype.precision - a.dtype.scale}BD"
+            rules.append(("DECIMAL_RANGE", a.name, f"abs({a.name}) >= {limit}"))
     return _report(frame, contract.name, rules)
 
 

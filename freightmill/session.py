@@ -14,10 +14,10 @@ RUNTIME_DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64m",
     # Lets AQE drop the two sorts of a big equi-join once it has seen that every
     # build-side partition is small enough to hash.
-    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "128m",
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
@@ -31,7 +31,7 @@ def build_session(
     """Create (or reuse) a session with the defaults above.
 
     ``shuffle_partitions`` should be about (bytes shuffled by the widest stage) /
-    128 MB; AQE merges the surplus, it cannot split what was never there except
+    64 MB; AQE merges the surplus, it cannot split what was never there except
     for skewed joins and rebalanced writes.
     """
     builder = SparkSession.builder.appName(app_name)
