@@ -190,7 +190,20 @@ class _Evaluation:
             condition = condition & t
         return condition
 
+    def members(self) -> DataFrame:
+        """Grouping rows when only dimension means are asked for: no fact takes part."""
+        homes = {split_name(c)[0] for c in self.by}
+        if len(homes) > 1:
+            raise ValueError(f"without a fact, group by columns of one table, got {sorted(homes)}")
+        averaged = next(iter(self.dimension_means.values())).column
+        rows = self._filtered(homes.pop() if homes else split_name(averaged)[0])
+        return rows.groupBy(*[split_name(c)[1] for c in self.by]).agg(
+            F.count(F.lit(1)).alias("_members")
+        )
+
     def totals(self) -> DataFrame:
+        if not self.leaves:
+            return self.members()
         fact_name = self._fact()
         fact = self.model.tables[fact_name]
         on_fact = [c for c in self.context if split_name(c)[0] == fact_name]
