@@ -12,7 +12,10 @@ from freightmill.contracts import FACT_SHIPMENT
 DAY_PARTITION = "order_day"
 
 
-def order_day() -> Column:
+def order_day(frame: DataFrame) -> Column:
+    """The stored day where the table is laid out by it, so that other days are pruned."""
+    if DAY_PARTITION in frame.columns:
+        return F.col(DAY_PARTITION).cast("date")
     return F.col("order_date").cast("date")
 
 
@@ -24,7 +27,7 @@ def fact_rows(silver_shipments: DataFrame) -> DataFrame:
 
 
 def day_batch(silver_shipments: DataFrame, batch_date: date) -> DataFrame:
-    return fact_rows(silver_shipments.filter(order_day() == F.lit(batch_date)))
+    return fact_rows(silver_shipments.filter(order_day(silver_shipments) == F.lit(batch_date)))
 
 
 def replace_day(target: DataFrame, staging: DataFrame, batch_date: date) -> DataFrame:
@@ -32,7 +35,7 @@ def replace_day(target: DataFrame, staging: DataFrame, batch_date: date) -> Data
 
     Rows without an order date match no day, so the delete leaves them alone.
     """
-    other_days = target.filter(~order_day().eqNullSafe(F.lit(batch_date)))
+    other_days = target.filter(~order_day(target).eqNullSafe(F.lit(batch_date)))
     return other_days.unionByName(day_batch(staging, batch_date))
 
 

@@ -91,6 +91,9 @@ def process_silver(spark: SparkSession, lake: Lake) -> None:
             overwrite_table(table, f"{lake.silver}/{name}")
 
 
+GOLD_TABLES = ("gold_carrier_scorecard", "gold_warehouse_monthly", "gold_supplier_reliability")
+
+
 def gold_tables(silver: dict[str, DataFrame]) -> dict[str, DataFrame]:
     fact = silver["shipments"]
     return {
@@ -100,18 +103,22 @@ def gold_tables(silver: dict[str, DataFrame]) -> dict[str, DataFrame]:
     }
 
 
-def build_gold(spark: SparkSession, lake: Lake) -> None:
+def build_gold(spark: SparkSession, lake: Lake, export: bool = True) -> None:
+    """Gold tables, then (``export``) their CSV and JSON copies and a CSV of the shipments."""
     names = ("shipments", "carriers", "warehouses", "suppliers")
     silver = {name: read_table(spark, f"{lake.silver}/{name}") for name in names}
     for name, table in gold_tables(silver).items():
         overwrite_table(table, f"{lake.gold}/{name}")
-        write_csv(read_table(spark, f"{lake.gold}/{name}"), f"{lake.export}/{name}")
-    scorecard = read_table(spark, f"{lake.gold}/gold_carrier_scorecard")
-    overwrite_table(agg_carrier_scorecard(scorecard), f"{lake.gold}/agg_carrier_scorecard")
-    write_csv(silver["shipments"].drop("_unreadable_columns"), f"{lake.export}/silver_shipments")
-    parts = summary_parts(
-        silver["shipments"], silver["carriers"], silver["warehouses"], silver["suppliers"]
+    gold = {name: read_table(spark, f"{lake.gold}/{name}") for name in GOLD_TABLES}
+    overwrite_table(
+        agg_carrier_scorecard(gold["gold_carrier_scorecard"]), f"{lake.gold}/agg_carrier_scorecard"
     )
+    if not export:
+        return
+    for name, table in gold.items():
+        write_csv(table, f"{lake.export}/{name}")
+    write_csv(silver["shipments"].drop("_unreadable_columns"), f"{lake.export}/silver_shipments")
+    parts = summary_parts(silver["shipments"], silver["warehouses"], silver["suppliers"], gold)
     write_summary(parts, f"{lake.export}/summary")
 
 
@@ -140,11 +147,13 @@ def run(
     lake_dir: str,
     batch_date: date | str | None = None,
     array_document: bool = True,
+    export: bool = True,
 ) -> Lake:
+    """Raw files to published star schema for one batch day (today when none is given)."""
     lake = Lake(lake_dir)
     ingest_bronze(spark, raw_dir, lake, array_document)
     process_silver(spark, lake)
-    build_gold(spark, lake)
+    build_gold(spark, lake, export)
     load_star(spark, lake.silver, lake.star, batch_date)
     return lake
 
@@ -160,9 +169,17 @@ def main() -> None:
     parser.add_argument(
         "--json-lines", action="store_true", help="telematics is one record per line"
     )
+    parser.add_argument("--no-export", action="store_true", help="skip the CSV and JSON copies")
     args = parser.parse_args()
     spark = build_session(f"freightmill-{args.environment}")
-    run(spark, args.raw_dir, args.lake_dir, args.batch_date, not args.json_lines)
+    run(
+        spark,
+        args.raw_dir,
+        args.lake_dir,
+        args.batch_date,
+        array_document=not args.json_lines,
+        export=not args.no_export,
+    )
 
 
 if __name__ == "__main__":

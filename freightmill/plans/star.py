@@ -1,12 +1,14 @@
 """Loading the star schema from Silver: dimensions by upsert, the fact by day.
 
-Every table is first written to a staging folder. Only when all of them are there
-are they published, so a failed step leaves the published tables as they were; a
-publish that is cut short is finished by running the load again.
+A load writes its dimensions to a folder of its own and, when everything is there,
+adds one line to the load log. Readers go by the newest line, so a load that fails
+anywhere leaves the dimensions as they were. The fact's day is replaced just before
+that line; running a cut-short load again replaces it again.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from datetime import date, datetime, timezone
 
@@ -22,6 +24,9 @@ from freightmill.plans.calendar import dim_date
 from freightmill.sources.lake import overwrite_table, read_table
 
 FACT_TABLE = "fact_shipment_fulfillment"
+SNAPSHOTS = "snapshots"
+LOAD_LOG = "loads"
+LOG_SCHEMA = "load_id STRING, batch_day DATE, published_at TIMESTAMP"
 
 
 @dataclass(frozen=True)
@@ -61,50 +66,83 @@ def batch_day(batch_date: date | str | None) -> date:
     return date.fromisoformat(batch_date) if isinstance(batch_date, str) else batch_date
 
 
-def _current(spark: SparkSession, path: str, load: DimensionLoad) -> DataFrame:
+def _load_log(spark: SparkSession, path: str) -> DataFrame | None:
+    """The log, or None before any load wrote one. The schema is declared, so a folder
+    left empty by a cut-short write reads as an empty log."""
     try:
-        return read_table(spark, path)
+        return spark.read.schema(LOG_SCHEMA).parquet(path)
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
-        fields = [T.StructField(load.surrogate, T.IntegerType()), *load.contract.struct.fields]
-        return spark.createDataFrame([], T.StructType(fields))
+        return None
 
 
-def merged_dimension(target: DataFrame, silver: DataFrame, load: DimensionLoad) -> DataFrame:
-    snapshot = upsert(target, silver, load.key, load.loaded_columns, load.warehouse_defaults)
-    return assign_surrogates(snapshot, load.key, load.surrogate)
+def _empty_dimension(spark: SparkSession, load: DimensionLoad) -> DataFrame:
+    fields = [T.StructField(load.surrogate, T.IntegerType()), *load.contract.struct.fields]
+    return spark.createDataFrame([], T.StructType(fields))
+
+
+def calendar_span(batch: DataFrame, calendar: DataFrame | None) -> DataFrame:
+    """First and last day of the batch's orders and deliveries and of the days already there.
+
+    Only the batch is read, never the whole fact.
+    """
+    days = batch.select(
+        F.explode(
+            F.array(F.col("order_date").cast("date"), "promised_delivery_date", "actual_delivery_date")
+        ).alias("full_date")
+    )
+    if calendar is not None:
+        days = days.unionByName(calendar.select("full_date"))
+    return days.agg(F.min("full_date").alias("first_day"), F.max("full_date").alias("last_day"))
+
+
+def published_load(spark: SparkSession, star_dir: str) -> str | None:
+    """Id of the newest complete load: one value from the load log."""
+    log = _load_log(spark, f"{star_dir}/{LOAD_LOG}")
+    return None if log is None else log.agg(F.max_by("load_id", "published_at")).first()[0]
+
+
+def read_dimension(spark: SparkSession, star_dir: str, table: str) -> DataFrame | None:
+    """A dimension as of the newest complete load; None before the first one."""
+    load_id = published_load(spark, star_dir)
+    if load_id is None:
+        return None
+    return read_table(spark, f"{star_dir}/{SNAPSHOTS}/{load_id}/{table}")
 
 
 def load_star(
     spark: SparkSession, silver_dir: str, star_dir: str, batch_date: date | str | None = None
-) -> None:
+) -> str:
+    """Load one order day and the dimensions; returns the id of the load."""
     day = batch_day(batch_date)
-    staging = f"{star_dir}/_staging"
-    silver_shipments = read_table(spark, f"{silver_dir}/shipments")
+    load_id = f"{day.isoformat()}-{uuid.uuid4().hex[:12]}"
+    fresh = f"{star_dir}/{SNAPSHOTS}/{load_id}"
 
     for load in DIMENSIONS:
-        target = _current(spark, f"{star_dir}/{load.table}", load)
+        target = read_dimension(spark, star_dir, load.table)
+        if target is None:
+            target = _empty_dimension(spark, load)
         silver = read_table(spark, f"{silver_dir}/{load.silver}")
-        # The upsert is staged before keys are assigned, so numbering reads a settled table.
+        # The upsert is written before keys are assigned, so numbering reads a settled table.
         snapshot = upsert(target, silver, load.key, load.loaded_columns, load.warehouse_defaults)
-        overwrite_table(snapshot, f"{staging}/{load.table}_merged")
-        keyed = assign_surrogates(
-            read_table(spark, f"{staging}/{load.table}_merged"), load.key, load.surrogate
+        overwrite_table(snapshot, f"{fresh}/{load.table}_merged")
+        merged = read_table(spark, f"{fresh}/{load.table}_merged")
+        overwrite_table(
+            assign_surrogates(merged, load.key, load.surrogate), f"{fresh}/{load.table}"
         )
-        overwrite_table(keyed, f"{staging}/{load.table}")
-
-    span = silver_shipments.agg(
-        F.least(F.min(F.col("order_date").cast("date")), F.min("actual_delivery_date")).alias(
-            "first_day"
-        ),
-        F.greatest(F.max(F.col("order_date").cast("date")), F.max("actual_delivery_date")).alias(
-            "last_day"
-        ),
-    )
-    overwrite_table(dim_date(span), f"{staging}/dim_date")
-    overwrite_table(day_batch(silver_shipments, day), f"{staging}/{FACT_TABLE}")
 
-    for table in [load.table for load in DIMENSIONS] + ["dim_date"]:
-        overwrite_table(read_table(spark, f"{staging}/{table}"), f"{star_dir}/{table}")
-    load_day(read_table(spark, f"{staging}/{FACT_TABLE}"), f"{star_dir}/{FACT_TABLE}", day)
+    silver_shipments = read_table(spark, f"{silver_dir}/shipments")
+    overwrite_table(day_batch(silver_shipments, day), f"{fresh}/{FACT_TABLE}_batch")
+    batch = read_table(spark, f"{fresh}/{FACT_TABLE}_batch")
+    calendar = dim_date(calendar_span(batch, read_dimension(spark, star_dir, "dim_date")))
+    overwrite_table(calendar, f"{fresh}/dim_date")
+
+    load_day(batch, f"{star_dir}/{FACT_TABLE}", day)
+    record = spark.range(1).select(
+        F.lit(load_id).alias("load_id"),
+        F.lit(day).alias("batch_day"),
+        F.current_timestamp().alias("published_at"),
+    )
+    record.coalesce(1).write.mode("append").parquet(f"{star_dir}/{LOAD_LOG}")
+    return load_id

@@ -13,12 +13,7 @@ from pyspark.sql import functions as F
 from freightmill.functions.labels import damage_status, otif_status, target_status
 from freightmill.functions.numeric import half_up
 from freightmill.operators.tally import mean_per_shipment, pct_of_shipments, tally
-from freightmill.plans.gold import (
-    carrier_scorecard,
-    delay_breakdown,
-    supplier_reliability,
-    warehouse_monthly,
-)
+from freightmill.plans.gold import delay_breakdown
 from freightmill.sources.lake import write_json_lines
 
 TOP_SUPPLIERS = 15
@@ -71,15 +66,16 @@ def supplier_damage(reliability: DataFrame) -> DataFrame:
 
 
 def summary_parts(
-    fact: DataFrame, carriers: DataFrame, warehouses: DataFrame, suppliers: DataFrame
+    fact: DataFrame, warehouses: DataFrame, suppliers: DataFrame, gold: dict[str, DataFrame]
 ) -> dict[str, DataFrame]:
+    """The parts, from the gold tables where those already hold the figures."""
     return {
         "kpis": summary_kpis(fact, suppliers, warehouses).withColumn(
             "generated_at", F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss")
         ),
-        "carrier_scorecard": carrier_scorecard(fact, carriers),
-        "warehouse_summary": warehouse_monthly(fact, warehouses),
-        "supplier_summary": top_suppliers(supplier_reliability(fact, suppliers)),
+        "carrier_scorecard": gold["gold_carrier_scorecard"],
+        "warehouse_summary": gold["gold_warehouse_monthly"],
+        "supplier_summary": top_suppliers(gold["gold_supplier_reliability"]),
         "delay_breakdown": delay_breakdown(fact),
     }
 

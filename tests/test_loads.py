@@ -2,7 +2,7 @@ from datetime import date, datetime
 from decimal import Decimal
 
 import pytest
-from helpers import shipment, shipments, values
+from helpers import plan_text, shipment, shipments, values
 from pyspark.sql import functions as F
 
 from freightmill.contracts import FACT_SHIPMENT
@@ -15,7 +15,8 @@ from freightmill.operators.batch_replace import (
 )
 from freightmill.operators.enrich import enrich_shipments
 from freightmill.operators.upsert import assign_surrogates, upsert
-from freightmill.plans.star import batch_day
+from freightmill.plans.star import batch_day, calendar_span
+from freightmill.sources.lake import overwrite_partitioned
 
 COLUMNS = ["id", "name"]
 
@@ -120,3 +121,24 @@ def test_upsert_keeps_decimal_values(spark):
     target = spark.sql("SELECT 'a' AS id, CAST(1.5 AS DECIMAL(10,4)) AS rate")
     source = spark.sql("SELECT 'a' AS id, CAST(2.25 AS DECIMAL(10,4)) AS rate")
     assert values(upsert(target, source, "id", ["id", "rate"])) == [("a", Decimal("2.2500"))]
+
+
+def test_a_day_batch_reads_only_its_partition(spark, tmp_path):
+    path = str(tmp_path / "silver")
+    rows = silver(spark, shipment(1), shipment(2, order_date=datetime(2024, 3, 2)))
+    overwrite_partitioned(
+        rows.withColumn("order_day", F.col("order_date").cast("date")), path, "order_day"
+    )
+    batch = day_batch(spark.read.parquet(path), DAY)
+    assert values(batch, "shipment_id") == [("S1",)]
+    assert "PartitionFilters: [isnotnull(order_day" in plan_text(batch)
+    assert len(batch.inputFiles()) >= 1
+
+
+def test_calendar_span_grows_with_batches(spark):
+    batch = fact_rows(silver(spark, shipment(1)))
+    assert [str(d) for d in calendar_span(batch, None).first()] == ["2024-03-01", "2024-03-06"]
+    known = spark.sql("SELECT DATE'2023-01-01' AS full_date")
+    assert [str(d) for d in calendar_span(batch, known).first()] == ["2023-01-01", "2024-03-06"]
+    empty = calendar_span(batch.filter("false"), None).first()
+    assert tuple(empty) == (None, None)

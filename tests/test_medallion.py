@@ -8,8 +8,8 @@ import pytest
 from helpers import values
 
 from freightmill.contracts import CARRIERS, FACT_SHIPMENT, SHIPMENTS, TELEMATICS
-from freightmill.plans import medallion
-from freightmill.plans.star import load_star
+from freightmill.plans import medallion, star
+from freightmill.plans.star import load_star, read_dimension
 from freightmill.sources.files import UNREADABLE, read_csv_feed, read_json_feed, read_landing
 from freightmill.sources.lake import append_evolving, overwrite_partitioned, read_table
 
@@ -142,22 +142,22 @@ def test_the_whole_run(spark, landing):
     fact = read_table(spark, f"{lake.star}/fact_shipment_fulfillment")
     assert values(fact, "shipment_id") == [("S1",), ("S2",)]
     assert set(FACT_SHIPMENT.columns) < set(fact.columns)
-    assert values(read_table(spark, f"{lake.star}/dim_carrier"), "carrier_id", "is_active") == [
+    assert values(read_dimension(spark, lake.star, "dim_carrier"), "carrier_id", "is_active") == [
         ("C1", 1), ("C2", 1),
     ]
-    assert read_table(spark, f"{lake.star}/dim_date").count() == 366
+    assert read_dimension(spark, lake.star, "dim_date").count() == 366
 
     # The next day, a carrier is renamed, one is new and the file shrinks to it.
-    first_keys = dict(values(read_table(spark, f"{lake.star}/dim_carrier"), "carrier_id",
+    first_keys = dict(values(read_dimension(spark, lake.star, "dim_carrier"), "carrier_id",
                              "carrier_key"))
-    started = values(read_table(spark, f"{lake.star}/dim_carrier"), "carrier_id",
+    started = values(read_dimension(spark, lake.star, "dim_carrier"), "carrier_id",
                      "effective_start_date")
     (landing / "raw" / "carriers.csv").write_text(
         CARRIERS_CSV.replace("C1,One", "C1,Uno").replace("C2,Two", "C3,Three")
     )
     for _ in range(2):
         lake = medallion.run(spark, str(landing / "raw"), lake_dir, date(2024, 3, 2))
-        carriers = read_table(spark, f"{lake.star}/dim_carrier")
+        carriers = read_dimension(spark, lake.star, "dim_carrier")
         names = values(carriers, "carrier_id", "carrier_name")
         assert names == [("C1", "Uno"), ("C2", "Two"), ("C3", "Three")]
         keys = dict(values(carriers, "carrier_id", "carrier_key"))
@@ -187,7 +187,35 @@ def test_a_failed_load_publishes_nothing(spark, landing):
         table.write.mode("overwrite").parquet(f"{landing}/bad/{name}")
     with pytest.raises(Exception, match="conflicting rows"):
         load_star(spark, f"{landing}/bad", lake.star, "2024-03-02")
-    names = values(read_table(spark, f"{lake.star}/dim_carrier"), "carrier_name")
+    names = values(read_dimension(spark, lake.star, "dim_carrier"), "carrier_name")
     assert names == [("One",), ("Two",)]
     fact = read_table(spark, f"{lake.star}/fact_shipment_fulfillment")
     assert values(fact, "shipment_id") == [("S1",), ("S2",)]
+
+
+def test_a_load_cut_short_is_repaired_by_the_next(spark, landing, monkeypatch):
+    lake = medallion.run(spark, str(landing / "raw"), str(landing / "lake"), "2024-03-01")
+    keys = values(read_dimension(spark, lake.star, "dim_supplier"), "supplier_id", "supplier_key")
+
+    def lost(*_):
+        raise RuntimeError("executor lost")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(star, "load_day", lost)
+        with pytest.raises(RuntimeError):
+            load_star(spark, lake.silver, lake.star, "2024-03-02")
+    assert values(read_table(spark, f"{lake.star}/{star.FACT_TABLE}"), "shipment_id") == [
+        ("S1",), ("S2",)
+    ]
+    load_id = load_star(spark, lake.silver, lake.star, "2024-03-02")
+    assert star.published_load(spark, lake.star) == load_id
+    assert values(read_table(spark, f"{lake.star}/{star.FACT_TABLE}"), "shipment_id") == [
+        ("S1",), ("S2",), ("S3",)
+    ]
+    again = read_dimension(spark, lake.star, "dim_supplier")
+    assert values(again, "supplier_id", "supplier_key") == keys
+    assert read_table(spark, f"{lake.star}/{star.LOAD_LOG}").count() == 2
+
+
+def test_nothing_is_published_before_the_first_load(spark, tmp_path):
+    assert read_dimension(spark, str(tmp_path), "dim_carrier") is None

@@ -45,14 +45,42 @@ def test_destination_is_joined_only_when_asked_for(spark):
     assert len(reads(plan_text(QUERIES["gold_warehouse_monthly"](spark, SMALL)), "customer")) == 1
 
 
-def test_facts_are_combined_before_they_are_shuffled(spark, no_broadcast):
-    """Past the order join the line items never move again as single rows."""
-    for name in ("gold_carrier_scorecard", "gold_supplier_reliability", "report_region_matrix"):
-        text = plan_text(QUERIES[name](spark, SMALL))
-        tree = text.split("\n\n")[0]
-        assert "partial_count" in text
-        below = tree[: tree.index("lineitem")] if "lineitem" in tree else tree
-        assert "HashAggregate" in below
+def path_from_scan(text, scan):
+    """Operator names from one table's scan up to the root of the plan tree."""
+    tree = [line for line in text.split("\n\n")[0].splitlines() if "(" in line]
+    number = next(
+        b.strip().split(")")[0].lstrip("(") for b in text.split("\n\n") if f"/{scan}.parquet]" in b
+    )
+    at = next(i for i, line in enumerate(tree) if line.rstrip().endswith(f"({number})"))
+    depth = len(tree[at]) - len(tree[at].lstrip(" :+-"))
+    names = []
+    for line in reversed(tree[:at]):
+        own = len(line) - len(line.lstrip(" :+-*"))
+        if own < depth:
+            names.append(line.strip(" :+-*").split(" (")[0])
+            depth = own
+    return names
+
+
+@pytest.mark.parametrize(
+    "name",
+    [
+        "gold_carrier_scorecard",
+        "gold_supplier_reliability",
+        "gold_warehouse_monthly",
+        "report_region_matrix",
+        "report_delay_decomposition",
+        "rls_supplier_manager",
+        "measures_otif",
+        "dq_orphans",
+    ],
+)
+def test_facts_are_combined_before_they_move_again(spark, no_broadcast, name):
+    """Past the order join the next shuffle carries partial totals, not line items."""
+    names = path_from_scan(plan_text(QUERIES[name](spark, SMALL)), "lineitem")
+    after_join = names[names.index("SortMergeJoin Inner") + 1 :]
+    assert after_join.index("HashAggregate") < after_join.index("Exchange")
+    assert names[: names.index("SortMergeJoin Inner")].count("Exchange") == 1
 
 
 def test_batch_day_reaches_the_orders_scan(spark):
