@@ -26,3 +26,9 @@ def mean(total: Column, rows: Column, places: int) -> Column:
 
 def percent(part: Column, whole: Column, places: int = 2) -> Column:
     return half_up(ratio(part, whole) * 100, places)
+
+
+def rounded_ratio_sql(numerator: str, denominator: str, factor: int, places: int) -> str:
+    """``mean`` (factor 1) and ``percent`` (factor 100) as SQL text, for wide select lists."""
+    quotient = f"try_divide(CAST({numerator} AS DOUBLE), CAST({denominator} AS DOUBLE))"
+    return f"round(CAST({quotient} * {factor} AS {IMAGE}), {places})"

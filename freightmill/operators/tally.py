@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from freightmill.functions.numeric import mean, percent
+from freightmill.functions.numeric import rounded_ratio_sql
 
 TOTALS = {
     "on_time": "on_time_flag",
@@ -45,8 +45,8 @@ def _grouped(frame: DataFrame, keys: tuple[str | Column, ...], aggregates: list[
 
 
 def pct_of_shipments(total: str, places: int = 2) -> Column:
-    return percent(F.col(total), F.col("shipments"), places)
+    return F.expr(rounded_ratio_sql(total, "shipments", 100, places))
 
 
 def mean_per_shipment(total: str, places: int = 2) -> Column:
-    return mean(F.col(total), F.col("shipments"), places)
+    return F.expr(rounded_ratio_sql(total, "shipments", 1, places))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from freightmill.functions.keys import shipment_hash
 from freightmill.functions.labels import carrier_tier, is_delayed, risk_profile
-from freightmill.functions.numeric import half_up, mean, percent, ratio
+from freightmill.functions.numeric import half_up, mean, percent, ratio, rounded_ratio_sql
 from freightmill.functions.temporal import civil_date, civil_datetime, same_day_last_year
 
 
@@ -33,7 +33,14 @@ def test_ratio_of_zero_or_null(spark):
 @given(st.lists(st.tuples(st.integers(0, 10**6), st.integers(1, 10**6)), min_size=1, max_size=40))
 def test_percent_is_exact_half_up_and_equal_on_duckdb(spark, pairs):
     frame = spark.createDataFrame(pairs, "part BIGINT, whole BIGINT")
-    got = [r[0] for r in frame.select(percent(F.col("part"), F.col("whole"))).collect()]
+    columns = frame.select(
+        percent(F.col("part"), F.col("whole")),
+        F.expr(rounded_ratio_sql("part", "whole", 100, 2)),
+        mean(F.col("part"), F.col("whole"), 3),
+        F.expr(rounded_ratio_sql("part", "whole", 1, 3)),
+    ).collect()
+    got = [r[0] for r in columns]
+    assert all(r[0] == r[1] and r[2] == r[3] for r in columns)
     listed = ", ".join(f"({i}, {a}, {b})" for i, (a, b) in enumerate(pairs))
     duck = duckdb.sql(
         "SELECT CAST(round(CAST(CAST(a AS DOUBLE) / b * 100 AS DECIMAL(28,10)), 2) AS DOUBLE) "
