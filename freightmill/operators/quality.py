@@ -3,6 +3,9 @@ cannot flood the report; ``left_anti``/``filter`` on the same rule lists them.""
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -61,16 +64,46 @@ def check_unique(frame: DataFrame, table: str, key: list[str]) -> DataFrame:
     )
 
 
-def check_orphans(
-    fact: DataFrame, fact_key: str, dimension: DataFrame, dimension_key: str, relation: str
+def check_references(
+    fact: DataFrame, references: Mapping[str, tuple[DataFrame, str]], table: str
 ) -> DataFrame:
-    """Facts whose key is in no dimension row. Counted per key before the anti join,
-    so a hot key is one row by the time it is matched. A NULL key is an orphan too."""
-    per_key = fact.groupBy(F.col(fact_key).alias("_key")).agg(F.count(F.lit(1)).alias("_n"))
-    known = dimension.select(F.col(dimension_key).alias("_known"))
-    lost = per_key.join(known, F.col("_key") == F.col("_known"), "left_anti")
-    return lost.agg(
-        F.lit(relation).alias("relation"),
-        F.count(F.lit(1)).alias("orphan_keys"),
-        F.coalesce(F.sum("_n"), F.lit(0)).alias("orphan_rows"),
+    """Per fact column, the keys (and rows) that no dimension row has. A NULL is an orphan.
+
+    ``references`` maps a fact column to its dimension and key. One pass over the fact
+    counts every column's keys by grouping sets, so a hot key is one row by the time
+    it is matched.
+    """
+    columns = list(references)
+    # grouping_id has a bit for each column left out of the set, the first column highest.
+    everything = 2 ** len(columns) - 1
+    ids = {c: everything - 2 ** (len(columns) - 1 - i) for i, c in enumerate(columns)}
+    branch = " ".join(f"WHEN {g} THEN '{table}.{c}'" for c, g in ids.items())
+    key = " ".join(f"WHEN {g} THEN CAST({c} AS STRING)" for c, g in ids.items())
+    per_key = (
+        fact.groupingSets([[F.col(c)] for c in columns], *[F.col(c) for c in columns])
+        .agg(F.count(F.lit(1)).alias("n"), F.grouping_id().alias("g"))
+        .selectExpr(f"CASE g {branch} END AS relation", f"CASE g {key} END AS key", "n")
+    )
+    known = reduce(
+        DataFrame.unionAll,
+        [
+            dimension.selectExpr(
+                f"'{table}.{c}' AS relation", f"CAST({name} AS STRING) AS key", "true AS known"
+            )
+            for c, (dimension, name) in references.items()
+        ],
+    )
+    matched = per_key.join(known.distinct(), ["relation", "key"], "left")
+    listed = ", ".join(f"'{table}.{c}'" for c in columns)
+    none = fact.sparkSession.sql(
+        f"SELECT explode(array({listed})) AS relation, CAST(NULL AS STRING) AS key, "
+        "0L AS n, true AS known"
+    )
+    return (
+        matched.unionByName(none)
+        .groupBy("relation")
+        .agg(
+            F.expr("count_if(known IS NULL) AS orphan_keys"),
+            F.expr("sum(CASE WHEN known IS NULL THEN n ELSE 0 END) AS orphan_rows"),
+        )
     )

@@ -14,7 +14,7 @@ from freightmill.contracts import (
 from freightmill.operators.quality import (
     check_domain,
     check_not_null,
-    check_orphans,
+    check_references,
     check_unique,
 )
 from freightmill.sources.lake import stack
@@ -56,11 +56,9 @@ def unique_report(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def orphan_report(tables: dict[str, DataFrame]) -> DataFrame:
-    fact = tables["shipments"]
-    return stack(
-        [
-            check_orphans(fact, column, tables[dimension], key, f"shipments.{column}")
-            for column, (dimension, key) in REFERENCES.items()
-            if dimension in tables
-        ]
-    )
+    references = {
+        column: (tables[dimension], key)
+        for column, (dimension, key) in REFERENCES.items()
+        if dimension in tables
+    }
+    return check_references(tables["shipments"], references, "shipments")

@@ -7,7 +7,7 @@ from freightmill.operators.access import permitted, visible
 from freightmill.operators.quality import (
     check_domain,
     check_not_null,
-    check_orphans,
+    check_references,
     check_unique,
 )
 
@@ -46,14 +46,23 @@ def test_unique(spark):
     assert tuple(check_unique(frame.filter("false"), "t", ["order_id"]).first())[2:] == (0, 0, 0)
 
 
-def test_orphans_count_null_keys(spark):
+def test_references_count_orphans_and_null_keys(spark):
     frame = shipments(
         spark, shipment(1), shipment(2, carrier_id="C8"), shipment(3, carrier_id="C8"),
-        shipment(4, carrier_id=None),
+        shipment(4, carrier_id=None), shipment(5, supplier_id="P9", carrier_id="C8"),
     )
-    carriers = spark.sql("SELECT 'C1' AS carrier_id")
-    row = check_orphans(frame, "carrier_id", carriers, "carrier_id", "r").first()
-    assert tuple(row) == ("r", 2, 3)
+    references = {
+        "carrier_id": (spark.sql("SELECT * FROM VALUES ('C1'), ('C1') AS t(carrier_id)"), "carrier_id"),
+        "supplier_id": (spark.sql("SELECT 'P1' AS supplier_id"), "supplier_id"),
+        "destination_warehouse_id": (spark.sql("SELECT 'W1' AS warehouse_id"), "warehouse_id"),
+    }
+    assert values(check_references(frame, references, "t")) == [
+        ("t.carrier_id", 2, 4), ("t.destination_warehouse_id", 0, 0), ("t.supplier_id", 1, 1),
+    ]
+    empty = check_references(frame.filter("false"), references, "t")
+    assert {tuple(r)[1:] for r in empty.collect()} == {(0, 0)}
+    one = {"carrier_id": references["carrier_id"]}
+    assert values(check_references(frame, one, "t")) == [("t.carrier_id", 2, 4)]
 
 
 def test_access_unions_a_users_grants(spark):
