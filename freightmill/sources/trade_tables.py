@@ -64,15 +64,30 @@ def _nth(index: str, values: list[str]) -> str:
     return f"elt(CAST({index} AS INT) + 1, {', '.join(repr(v) for v in values)})"
 
 
+CARRIER_IDS = [f"CAR-{code}" for code, *_ in CARRIER_REGISTER]
 SHIPMENT_ID = "concat_ws('-', 'SHP', l_orderkey, l_linenumber, l_partkey, l_suppkey)"
 ORDER_ID = "concat_ws('-', 'ORD', l_orderkey)"
 
-# Evaluated once per row and used by several of the columns below.
+# Line-item terms, taken before the order join: a day and two booleans are shuffled
+# instead of a timestamp, two texts and a rate.
+RETURNED_OPEN = "l_returnflag = 'R' AND l_linestatus = 'O'"
+LINE_TERMS = [
+    "l_orderkey",
+    "l_partkey",
+    "l_suppkey",
+    "l_linenumber",
+    "l_quantity",
+    "l_extendedprice",
+    "CAST(l_shipdate AS DATE) AS ship_day",
+    f"{RETURNED_OPEN} AS returned_open",
+    f"{RETURNED_OPEN} AND l_tax > 0.055D AS damaged",
+]
+
+# Evaluated once per joined row and used by several of the columns below.
 SHARED_TERMS = [
     "CAST(o_orderdate AS DATE) AS order_day",
-    "1 + pmod(date_diff(CAST(l_shipdate AS DATE), CAST(o_orderdate AS DATE)), 30) AS lead",
+    "1 + pmod(date_diff(ship_day, CAST(o_orderdate AS DATE)), 30) AS lead",
     "CAST(18 + pmod(l_partkey, 13) AS INT) AS promise",
-    "l_returnflag = 'R' AND l_linestatus = 'O' AS returned_open",
 ]
 
 SHIPMENT_COLUMNS = {
@@ -80,7 +95,7 @@ SHIPMENT_COLUMNS = {
     "order_id": ORDER_ID,
     "supplier_id": "l_suppkey",
     "destination_warehouse_id": "c_nationkey",
-    "carrier_id": "concat('CAR-', 1 + pmod(l_partkey, 8))",
+    "carrier_id": _nth("pmod(l_partkey, 8)", CARRIER_IDS),
     "order_date": "o_orderdate",
     "promised_delivery_date": "date_add(order_day, promise)",
     "actual_delivery_date": "date_add(order_day, lead)",
@@ -91,7 +106,7 @@ SHIPMENT_COLUMNS = {
     "weight_kg": "CAST(l_quantity * 12.5D AS DECIMAL(10,2))",
     "quantity_units": "CAST(l_quantity AS INT)",
     "freight_cost_usd": "CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * 0.05BD AS DECIMAL(12,2))",
-    "damage_reported_flag": "CASE WHEN returned_open AND l_tax > 0.055D THEN 1 ELSE 0 END",
+    "damage_reported_flag": "CASE WHEN damaged THEN 1 ELSE 0 END",
     "delay_reason": f"CASE WHEN lead <= promise THEN '{NO_DELAY}' "
     f"ELSE {_nth('pmod(l_orderkey, 5)', DELAY_REASONS)} END",
     "shipment_status": "CASE o_orderstatus WHEN 'F' THEN 'Delivered' WHEN 'O' THEN 'In Transit' "
@@ -134,7 +149,7 @@ class TradeTables:
             f"""SELECT {", ".join(columns)}
             FROM (SELECT *, {", ".join(SHARED_TERMS)}
                   FROM {{lines}} JOIN {{orders}} ON l_orderkey = o_orderkey)""",
-            lines=self.table("lineitem"),
+            lines=self.table("lineitem").selectExpr(*LINE_TERMS),
             orders=orders,
         )
 
@@ -151,16 +166,17 @@ class TradeTables:
 
     def carriers(self) -> DataFrame:
         """The carriers that parts are assigned to, priced from those parts."""
+        assigned = _nth("pmod(p_partkey, 8)", CARRIER_IDS)
         return self.spark.sql(
-            """SELECT carrier_id, carrier_name, transport_mode,
+            f"""SELECT carrier_id, carrier_name, transport_mode,
                       CAST(round(CAST(CAST(price_sum AS DOUBLE) / parts / 1000
                                       AS DECIMAL(28,10)), 4) AS DECIMAL(10,4)) AS base_rate_per_kg,
                       sla_target_pct
-               FROM {register}
-               JOIN (SELECT concat('CAR-', code) AS carrier_id, price_sum, parts
-                     FROM (SELECT 1 + pmod(p_partkey, 8) AS code, count(*) AS parts,
-                                  sum(CAST(p_retailprice AS DECIMAL(12,2))) AS price_sum
-                           FROM {part} GROUP BY 1 + pmod(p_partkey, 8)))
+               FROM {{register}}
+               JOIN (SELECT carrier_id, count(*) AS parts,
+                            sum(CAST(p_retailprice AS DECIMAL(12,2))) AS price_sum
+                     FROM (SELECT {assigned} AS carrier_id, p_retailprice FROM {{part}})
+                     GROUP BY carrier_id)
                USING (carrier_id)""",
             register=self.carrier_register(),
             part=self.table("part"),
