@@ -21,6 +21,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from freightmill.functions.numeric import ratio
+from freightmill.operators.prior_period import with_prior_year, with_prior_year_daily
+
+YEAR = "dim_date.year_num"
+DAY = "dim_date.full_date"
+REPEATS_YEARLY = {"dim_date.month_num", "dim_date.month_name", "dim_date.quarter_num"}
 
 Predicate = Callable[[Column], Column]
 Filters = Mapping[str, Predicate]
@@ -66,7 +71,19 @@ class Formula:
     combine: Callable[..., Column]
 
 
-Measure = Rows | Total | Average | DimensionAverage | Formula
+@dataclass(frozen=True)
+class YearOnYear:
+    """Growth of an additive measure over the same period one year earlier.
+
+    The grouping must hold ``dim_date.year_num`` (with any columns that repeat every
+    year, such as the month) or ``dim_date.full_date``. NULL where the year before
+    has nothing.
+    """
+
+    base: str
+
+
+Measure = Rows | Total | Average | DimensionAverage | Formula | YearOnYear
 
 
 @dataclass(frozen=True)
@@ -165,6 +182,8 @@ class _Evaluation:
                     slot = known
             self.dimension_means[slot] = m
             return F.col(slot)
+        if isinstance(m, YearOnYear):
+            raise ValueError(f"{name} can be asked for, but not used inside another measure")
         return m.combine(*[self.value(i) for i in m.inputs])
 
     # -- one fact pass ------------------------------------------------------
@@ -291,7 +310,39 @@ def evaluate(
     group = [split_name(c)[1] for c in by]
     if len(set(group)) < len(group):
         raise ValueError(f"grouping columns must differ in name: {group}")
+    growth = [n for n in measures if isinstance(model.measures[n], YearOnYear)]
+    if growth:
+        return _with_growth(model, measures, growth, tuple(by), dict(context or {}))
     run = _Evaluation(model, tuple(by), context or {})
     values = {name: run.value(name) for name in measures}
     rows = run.with_dimension_means(run.totals())
     return rows.select(*group, *[v.alias(name) for name, v in values.items()])
+
+
+def _with_growth(
+    model: Model, measures: list[str], growth: list[str], by: tuple[str, ...], context: dict
+) -> DataFrame:
+    group = [split_name(c)[1] for c in by]
+    period = next((c for c in (YEAR, DAY) if c in by), None)
+    dates = [c for c in (*by, *context) if split_name(c)[0] == split_name(YEAR)[0]]
+    repeating = {c for c in by if c in REPEATS_YEARLY} if period == YEAR else set()
+    if period is None or set(dates) - repeating - {period}:
+        raise ValueError(f"growth needs {YEAR} or {DAY} and no other date filter, got {dates}")
+
+    # The year before is outside a filter on the period, so that filter comes last.
+    visible = context.pop(period, None)
+    rest = [c for c in group if c != split_name(period)[1]]
+    other = [n for n in measures if n not in growth]
+    bases = [model.measures[n].base for n in growth]
+    result = evaluate(model, list(dict.fromkeys(other + bases)), by, context)
+    for name, base in zip(growth, bases):
+        compare = with_prior_year if period == YEAR else with_prior_year_daily
+        now, then = F.col(base), F.col(f"prior_{base}")
+        result = (
+            compare(result, split_name(period)[1], rest, base)
+            .withColumn(name, ratio(now - then, then))
+            .drop(f"prior_{base}")
+        )
+    if visible is not None:
+        result = result.filter(visible(F.col(split_name(period)[1])))
+    return result.select(*group, *measures)

@@ -1,63 +1,69 @@
-"""The same period one year earlier, at year, month or day grain."""
+"""The same period one year earlier, at year, month or day grain.
+
+Each row is emitted as itself and as the prior of the periods that follow it a year
+later, and the two meet in one aggregation: the series is computed once, with no
+self-join.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from freightmill.functions.temporal import same_day_last_year
 
 
 def with_prior_year(series: DataFrame, year: str, rest: list[str], value: str) -> DataFrame:
-    """Add ``prior_<value>`` from the row with ``year - 1`` and equal ``rest`` keys.
-
-    Each row is emitted twice, as itself and as next year's prior, and the two meet
-    in one aggregation: the series is computed once, with no self-join.
-    """
-    none = F.lit(None).cast(series.schema[value].dataType)
-    others = [F.col(c) for c in rest]
-    as_current = F.struct(
-        F.col(year).alias(year), *others, F.col(value).alias("_now"), none.alias("_then"),
-        F.lit(1).alias("_own"),
-    )
-    as_prior = F.struct(
-        (F.col(year) + 1).alias(year), *others, none.alias("_now"), F.col(value).alias("_then"),
-        F.lit(0).alias("_own"),
-    )
-    return _meet(series.select(F.inline(F.array(as_current, as_prior))), [year, *rest], value)
+    """Add ``prior_<value>`` from the row with ``year - 1`` and equal ``rest`` keys."""
+    kind = series.schema[year].dataType
+    following = F.array((F.col(year) + 1).cast(kind))
+    return _with_prior(series, year, rest, value, following)
 
 
-def with_prior_year_daily(series: DataFrame, day: str, value: str) -> DataFrame:
+def with_prior_year_daily(
+    series: DataFrame, day: str, rest: list[str], value: str
+) -> DataFrame:
     """Day grain. A day's prior is the day twelve months back, so 28 February of a
     common year is the prior of both 28 and 29 February of a leap year after it."""
-    none = F.lit(None).cast(series.schema[value].dataType)
-    kind = "_now", "_then", "_own"
-    as_current = F.struct(
-        F.col(day).alias(day), F.col(value).alias(kind[0]), none.alias(kind[1]),
-        F.lit(1).alias(kind[2]),
-    )
     ahead = F.add_months(F.col(day), 12)
-    followers = F.filter(
+    following = F.filter(
         F.array(ahead, F.date_add(ahead, 1)), lambda d: same_day_last_year(d) == F.col(day)
     )
-    as_priors = F.transform(
-        followers,
-        lambda d: F.struct(
-            d.alias(day), none.alias(kind[0]), F.col(value).alias(kind[1]), F.lit(0).alias(kind[2])
-        ),
-    )
-    spread = series.select(F.inline(F.concat(F.array(as_current), as_priors)))
-    return _meet(spread, [day], value)
+    return _with_prior(series, day, rest, value, following)
 
 
-def _meet(spread: DataFrame, keys: list[str], value: str) -> DataFrame:
+def _with_prior(
+    series: DataFrame, period: str, rest: list[str], value: str, following: Column
+) -> DataFrame:
+    keys = [period, *rest]
+    carried = [c for c in series.columns if c not in keys]
+
+    def emitted(at: Column, own: bool) -> Column:
+        """One output row: the period's own columns, or its value as someone's prior."""
+        def empty(name: str) -> Column:
+            return F.lit(None).cast(series.schema[name].dataType)
+
+        return F.struct(
+            at.alias(period),
+            *[F.col(c) for c in rest],
+            *[(F.col(c) if own else empty(c)).alias(c) for c in carried],
+            (empty(value) if own else F.col(value)).alias(f"prior_{value}"),
+            F.lit(own).alias("_own"),
+        )
+
+    rows = F.concat(
+        F.array(emitted(F.col(period), own=True)),
+        F.transform(following, lambda at: emitted(at, own=False)),
+    )
+    # A key has one row of its own and at most one prior, so max only skips the NULLs.
     return (
-        spread.groupBy(*keys)
+        series.select(F.inline(rows))
+        .groupBy(*keys)
         .agg(
-            F.max("_now").alias(value),
-            F.max("_then").alias(f"prior_{value}"),
+            *[F.max(c).alias(c) for c in carried],
+            F.max(f"prior_{value}").alias(f"prior_{value}"),
             F.max("_own").alias("_own"),
         )
-        .filter(F.col("_own") == 1)
+        .filter("_own")
         .drop("_own")
     )

@@ -16,6 +16,7 @@ from freightmill.operators.measures import (
     Relationship,
     Rows,
     Total,
+    YearOnYear,
 )
 
 FACT = "fact_shipment_fulfillment"
@@ -73,6 +74,7 @@ MEASURES: dict[str, Measure] = {
     "target_sla": DimensionAverage("dim_carrier.sla_target_pct", divisor=100.0),
     "sla_variance": Formula(("on_time_rate", "target_sla"), lambda rate, target: rate - target),
     "sla_breach_status": Formula(("on_time_rate", "target_sla"), _breach),
+    "freight_yoy_growth": YearOnYear("total_freight_spend_usd"),
     "avg_vehicle_speed_kmh": Average(f"{FLEET}.speed_kmh"),
     "avg_fuel_moving_l_100km": Average(
         f"{FLEET}.fuel_consumption_l_100km", {f"{FLEET}.speed_kmh": above(5)}

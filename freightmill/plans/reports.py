@@ -83,7 +83,7 @@ def freight_yoy_daily(fact: DataFrame) -> DataFrame:
     days = tally(fact, F.col("actual_delivery_date").alias("full_date")).select(
         "full_date", F.col("freight").alias("freight_usd")
     )
-    return _growth(with_prior_year_daily(days, "full_date", "freight_usd"), ["full_date"])
+    return _growth(with_prior_year_daily(days, "full_date", [], "freight_usd"), ["full_date"])
 
 
 # -- carriers --------------------------------------------------------------

@@ -2,13 +2,15 @@ from datetime import date, datetime
 from decimal import Decimal
 
 import pytest
-from helpers import plan_text, shipment, shipments, values
+from helpers import SMALL, plan_text, shipment, shipments, values
 
 from freightmill.operators.access import permitted
 from freightmill.operators.enrich import enrich_shipments
 from freightmill.operators.measures import evaluate
+from freightmill.plans import reports
 from freightmill.plans.calendar import dim_date
 from freightmill.plans.model import FACT, FLEET, above, equal_to, logistics_model, one_of
+from freightmill.registry import Feeds
 
 
 @pytest.fixture(scope="module")
@@ -158,3 +160,51 @@ def test_one_fact_pass(model):
                      by=["dim_carrier.transport_mode"])
     reads = sheet._jdf.queryExecution().optimizedPlan().collectLeaves().size()
     assert reads == 2  # the fact and the carriers
+
+
+def test_growth_measure_equals_the_report(spark):
+    feeds = Feeds(spark, SMALL)
+    model = logistics_model(
+        **{FACT: feeds.fact(), "dim_date": feeds.dim_date(), "dim_carrier": feeds.register()}
+    )
+    months = ["dim_date.year_num", "dim_date.month_num"]
+    names = ["total_freight_spend_usd", "freight_yoy_growth"]
+    got = {(r[0], r[1]): (r[2], r[3]) for r in evaluate(model, names, by=months).collect()}
+    report = reports.freight_yoy(feeds.fact(), feeds.dim_date()).collect()
+    assert set(got) == {(r.year_num, r.month_num) for r in report}
+    for r in report:
+        spend, growth = got[r.year_num, r.month_num]
+        assert spend == r.freight_usd
+        assert growth == (r.yoy_growth and pytest.approx(float(r.yoy_growth), abs=1e-6))
+
+    later = evaluate(model, names, by=["dim_date.year_num"],
+                     context={"dim_date.year_num": equal_to(1998)}).collect()
+    yearly = {r.year_num: r for r in reports.freight_yoy_yearly(feeds.fact(), feeds.dim_date()).collect()}
+    assert len(later) == 1
+    assert later[0][2] == pytest.approx(float(yearly[1998].yoy_growth), abs=1e-6)
+
+    daily = evaluate(model, ["freight_yoy_growth"],
+                     by=["dim_date.full_date", "dim_carrier.transport_mode"])
+    assert daily.filter("freight_yoy_growth IS NOT NULL").count() > 0
+
+
+def test_growth_needs_whole_periods(model):
+    for by, context in (
+        (["dim_carrier.carrier_id"], {}),
+        (["dim_date.year_num"], {"dim_date.month_num": equal_to(3)}),
+        (["dim_date.full_date", "dim_date.month_num"], {}),
+    ):
+        with pytest.raises(ValueError, match="growth needs"):
+            evaluate(model, ["freight_yoy_growth"], by=by, context=context)
+
+
+def test_a_dimension_mean_needs_no_fact(model):
+    assert evaluate(model, ["target_sla"]).first()[0] == pytest.approx(0.60)
+    rows = values(evaluate(model, ["target_sla"], by=["dim_carrier.transport_mode"]))
+    assert rows == [("Road", pytest.approx(0.65)), ("Sea", pytest.approx(0.50))]
+
+
+def test_growth_reads_the_fact_once(model):
+    sheet = evaluate(model, ["on_time_rate", "freight_yoy_growth"],
+                     by=["dim_date.year_num", "dim_date.month_num"])
+    assert sheet._jdf.queryExecution().optimizedPlan().collectLeaves().size() == 2

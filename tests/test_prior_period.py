@@ -25,7 +25,7 @@ def test_day_grain_around_leap_days(spark):
     series = spark.createDataFrame(
         [(date.fromisoformat(d), i) for i, d in enumerate(days)], "d DATE, v INT"
     )
-    got = {str(r.d): r.prior_v for r in with_prior_year_daily(series, "d", "v").collect()}
+    got = {str(r.d): r.prior_v for r in with_prior_year_daily(series, "d", [], "v").collect()}
     assert got == {
         "2023-02-28": None, "2023-03-01": None, "2024-02-28": 0, "2024-02-29": 0,
         "2024-03-01": 1, "2025-02-28": 2, "2025-03-01": 4,
