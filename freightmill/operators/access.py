@@ -7,7 +7,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def permitted(dimension: DataFrame, entitlements: DataFrame, user: str, attribute: str) -> DataFrame:
+def permitted(
+    dimension: DataFrame, entitlements: DataFrame, user: str, attribute: str
+) -> DataFrame:
     """Dimension rows whose ``attribute`` is granted to ``user`` (all grants add up)."""
     grants = entitlements.filter(F.col("user_name") == user).select(attribute).distinct()
     return dimension.join(grants, attribute, "left_semi")

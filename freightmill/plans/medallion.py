@@ -138,7 +138,8 @@ CATALOG_TABLES = {
 def publish_catalog(spark: SparkSession, lake: Lake, database: str = "default") -> None:
     """Replace the reporting tables of a catalog database."""
     for name, (layer, table) in CATALOG_TABLES.items():
-        replace_catalog_table(read_table(spark, f"{lake.root}/{layer}/{table}"), f"{database}.{name}")
+        stored = read_table(spark, f"{lake.root}/{layer}/{table}")
+        replace_catalog_table(stored, f"{database}.{name}")
 
 
 def run(

@@ -88,8 +88,8 @@ def calendar_span(batch: DataFrame, calendar: DataFrame | None) -> DataFrame:
     Only the batch is read, never the whole fact.
     """
     days = batch.select(
-        F.explode(
-            F.array(F.col("order_date").cast("date"), "promised_delivery_date", "actual_delivery_date")
+        F.expr(
+            "explode(array(CAST(order_date AS DATE), promised_delivery_date, actual_delivery_date))"
         ).alias("full_date")
     )
     if calendar is not None:

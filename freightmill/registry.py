@@ -51,7 +51,11 @@ SLICER_FIRST, SLICER_LAST = date(1997, 1, 1), date(1998, 12, 31)
 
 # Who may see what: user -> granted values.
 REGION_GRANTS = [("amara", "EUROPE"), ("amara", "ASIA"), ("bashir", "AFRICA")]
-CATEGORY_GRANTS = [("chidi", "Raw Packaging"), ("chidi", "Industrial Sensors"), ("dora", "Automotive Parts")]
+CATEGORY_GRANTS = [
+    ("chidi", "Raw Packaging"),
+    ("chidi", "Industrial Sensors"),
+    ("dora", "Automotive Parts"),
+]
 
 
 class Feeds:
