@@ -7,16 +7,60 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from freightmill.llm.common import read_table
+from freightmill.llm.exact_dedup import mark_exact_duplicates
+from freightmill.llm.html_text import extract_main_text
+from freightmill.llm.packing import pack_documents
 from freightmill.llm.token_counts import token_counts
+from freightmill.llm.url_filter import KEYWORDS, judge_urls, keyword_rule, site_rule
+
+SITE_RULES = [
+    site_rule("com", "/", "allow"),
+    site_rule("example.com", "/en/", "block"),
+    site_rule("www.example.com", "/en/", "allow"),
+    site_rule("net", "/es/", "block"),
+    site_rule("net", "/fr/", "block"),
+]
+
+
+def op1_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    return extract_main_text(read_table(spark, folder, "pages"), keep=["page_id", "url"])
+
+
+def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return pack_documents(read_table(spark, folder, "documents"))
+
+
+def op4_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    rules = SITE_RULES + [keyword_rule(words) for words in KEYWORDS]
+    return judge_urls(read_table(spark, folder, "pages"), rules, keep=["page_id"])
+
+
+def op5_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return mark_exact_duplicates(read_table(spark, folder, "documents"), columns=["doc_id"])
 
 
 def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
-    docs = read_table(spark, folder, "documents")
-    return token_counts(docs, keep=["doc_id"])
+    return token_counts(read_table(spark, folder, "documents"), keep=["doc_id"])
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_main_text": op1_main_text,
+    "op3_packing": op3_packing,
+    "op4_url_filter": op4_url_filter,
+    "op5_exact_dedup": op5_exact_dedup,
     "op6_token_counts": op6_token_counts,
 }
 
-ORACLES: dict[str, str] = {}
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+ORACLES: dict[str, str] = {
+    "op5_exact_dedup": f"""
+        SELECT doc_id,
+               max(doc_id) OVER same AS keep_id,
+               count(*) OVER same AS group_size,
+               doc_id = max(doc_id) OVER same AS kept,
+               text_sha256
+        FROM (SELECT doc_id, sha256({_LOWER}) AS text_sha256 FROM documents)
+        WINDOW same AS (PARTITION BY text_sha256)
+    """,
+}
