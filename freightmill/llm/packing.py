@@ -101,8 +101,9 @@ def token_pieces(
 def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
     """Sequence number and place of every piece, longest pieces first.
 
-    The counts of open sequences per gap decide alone; among sequences of equal gap the one
-    that was opened last is taken. Of equally good gaps the smallest wins.
+    Only where no open sequence has room is a new one opened. The counts of open sequences per
+    gap decide alone; among sequences of equal gap the one that was opened last is taken. Of
+    equally good gaps the smallest wins.
     """
     count = np.zeros(capacity + 1, np.int64)  # open sequences by gap; gap 0 is never counted
     stacks: list[list[int]] = [[] for _ in range(capacity + 1)]
@@ -120,8 +121,7 @@ def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.n
         after[0] = -1  # closing a sequence leaves no gap behind
         change = np.where(count[size:] > 0, after - count[size:], none)
         best = int(change.argmin())
-        # A new sequence changes the sum by what its own gap holds; it is the last resort.
-        if change[best] == none or change[best] > int(count[capacity - size]):
+        if change[best] == none:
             gap, number = capacity, len(used)
             used.append(0)
         else:

@@ -7,10 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from freightmill.llm.common import read_table
+from freightmill.llm.decontaminate import contaminated_windows
 from freightmill.llm.exact_dedup import mark_exact_duplicates
 from freightmill.llm.html_text import extract_main_text
+from freightmill.llm.jaccard_join import near_duplicate_components
 from freightmill.llm.packing import pack_documents
 from freightmill.llm.token_counts import token_counts
+from freightmill.llm.toxicity import score_documents, train
 from freightmill.llm.url_filter import KEYWORDS, judge_urls, keyword_rule, site_rule
 
 SITE_RULES = [
@@ -26,6 +29,10 @@ def op1_main_text(spark: SparkSession, folder: str) -> DataFrame:
     return extract_main_text(read_table(spark, folder, "pages"), keep=["page_id", "url"])
 
 
+def op2_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicate_components(read_table(spark, folder, "documents"))
+
+
 def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack_documents(read_table(spark, folder, "documents"))
 
@@ -43,12 +50,28 @@ def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts(read_table(spark, folder, "documents"), keep=["doc_id"])
 
 
+def op8_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    found = contaminated_windows(
+        read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark")
+    )
+    return found.select("doc_id", "item_id", "similarity", "start", "n_words")
+
+
+def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents")
+    model = train(docs, read_table(spark, folder, "labels"))
+    return score_documents(docs, model, keep=["doc_id"])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_main_text": op1_main_text,
+    "op2_jaccard_join": op2_jaccard_join,
     "op3_packing": op3_packing,
     "op4_url_filter": op4_url_filter,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_token_counts": op6_token_counts,
+    "op8_decontaminate": op8_decontaminate,
+    "op9_toxicity": op9_toxicity,
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
