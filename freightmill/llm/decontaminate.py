@@ -17,7 +17,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from freightmill.llm.common import scratch_names, words
+from freightmill.llm.common import cut, scratch_names, words
 
 BITS = 64
 LANES = 4
@@ -54,27 +54,29 @@ def weighted(shingles: Column) -> Column:
     return F.when(F.size(F.array_distinct(shingles)) == F.size(shingles), plain).otherwise(numbered)
 
 
-def simhash(tokens: Column) -> Column:
-    """64-bit SimHash of a word multiset: bit by bit, what more than half of the words have.
+def with_simhash(frame: DataFrame, tokens: str, name: str) -> DataFrame:
+    """Add the 64-bit SimHash of a word multiset: bit by bit, what more than half of them have.
 
-    Four counters share one long, so 16 running sums serve 64 bits (up to 32767 words).
+    Four counters share one long, so 16 running sums serve 64 bits (up to 32767 words). The
+    sums are a column of their own, or every bit would compute them again.
     """
-    hashes = F.transform(tokens, lambda w: F.xxhash64(w))
-
-    def lanes(shift: int) -> Column:
-        part = lambda h: F.shiftrightunsigned(h, shift).bitwiseAND(F.lit(LANE_MASK))
-        return F.aggregate(hashes, F.lit(0).cast("long"), lambda total, h: total + part(h))
-
-    sums = [lanes(shift) for shift in range(LANE_BITS)]
+    (sums,) = scratch_names(frame, "sums")
+    counted = frame.withColumn(
+        sums,
+        F.expr(
+            f"transform(sequence(0, {LANE_BITS - 1}), s -> aggregate(`{tokens}`, 0L, "
+            f"(n, w) -> n + (shiftrightunsigned(xxhash64(w), s) & {LANE_MASK}L)))"
+        ),
+    )
     half = F.size(tokens).cast("long")
     bits = []
-    for shift, total in enumerate(sums):
-        for lane in range(LANES):
-            place = lane * LANE_BITS + shift
-            count = F.shiftrightunsigned(total, lane * LANE_BITS).bitwiseAND(F.lit(0xFFFF))
-            value = 1 << place if place < BITS - 1 else -(1 << place)
-            bits.append(F.when(count * 2 > half, F.lit(value)).otherwise(F.lit(0)).cast("long"))
-    return reduce(lambda a, b: a.bitwiseOR(b), bits)
+    for place in range(BITS):
+        lane, shift = divmod(place, LANE_BITS)
+        total = F.col(sums)[shift]
+        count = F.shiftrightunsigned(total, lane * LANE_BITS).bitwiseAND(F.lit(0xFFFF))
+        value = 1 << place if place < BITS - 1 else -(1 << place)
+        bits.append(F.when(count * 2 > half, F.lit(value)).otherwise(F.lit(0)).cast("long"))
+    return counted.withColumn(name, reduce(lambda a, b: a.bitwiseOR(b), bits)).drop(sums)
 
 
 def hamming_blocks(fingerprint: Column, radius: int) -> Column:
@@ -208,12 +210,12 @@ def contaminated_windows(
             ).alias("window"),
         )
         .select("key", id_column, "window_w", "window.start", "window.tokens")
-        .withColumn("print", simhash(F.col("tokens")))
     )
+    windows = cut(with_simhash(windows, "tokens", "print"))
     # Fingerprints meet block by block, among windows and items of the same size.
     window_blocks = windows.withColumn("block", F.explode(hamming_blocks(F.col("print"), radius)))
-    item_prints = profiles.select("item_id", "item_words", "w").withColumn(
-        "item_print", simhash(F.col("item_words"))
+    item_prints = with_simhash(
+        profiles.select("item_id", "item_words", "w"), "item_words", "item_print"
     )
     item_blocks = item_prints.withColumn(
         "item_block", F.explode(hamming_blocks(F.col("item_print"), radius))

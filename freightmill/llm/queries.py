@@ -6,12 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from corpus_pipeline import run
 from freightmill.llm.common import read_table
 from freightmill.llm.decontaminate import contaminated_windows
 from freightmill.llm.exact_dedup import mark_exact_duplicates
 from freightmill.llm.html_text import extract_main_text
 from freightmill.llm.jaccard_join import near_duplicate_components
+from freightmill.llm.line_dedup import line_classes
 from freightmill.llm.packing import pack_documents
+from freightmill.llm.substring_dedup import remove_repeats
 from freightmill.llm.token_counts import token_counts
 from freightmill.llm.toxicity import score_documents, train
 from freightmill.llm.url_filter import KEYWORDS, judge_urls, keyword_rule, site_rule
@@ -50,6 +53,10 @@ def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts(read_table(spark, folder, "documents"), keep=["doc_id"])
 
 
+def op7_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return remove_repeats(read_table(spark, folder, "documents"))
+
+
 def op8_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     found = contaminated_windows(
         read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark")
@@ -63,6 +70,10 @@ def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return score_documents(docs, model, keep=["doc_id"])
 
 
+def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return line_classes(read_table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_main_text": op1_main_text,
     "op2_jaccard_join": op2_jaccard_join,
@@ -70,8 +81,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_url_filter": op4_url_filter,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_token_counts": op6_token_counts,
+    "op7_substring_dedup": op7_substring_dedup,
     "op8_decontaminate": op8_decontaminate,
     "op9_toxicity": op9_toxicity,
+    "op10_line_dedup": op10_line_dedup,
+    "pipeline": run,
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"

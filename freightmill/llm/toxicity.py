@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 from freightmill.llm.common import scratch_names
 
 ABSTAIN, TOXIC, CLEAN = 0, 1, 2
-PREFIXES = (3, 4, 5, 6)
+PREFIXES = (3, 4, 5, 6, 7, 8)
 
 LEXICONS = {
     "insults": "idiot idiots moron morons imbecile imbeciles fool fools clown clowns loser losers "
@@ -166,7 +166,7 @@ class LabelModel:
 
 
 def train_linear(
-    rows: list[np.ndarray], target: np.ndarray, width: int, penalty: float = 0.02, steps: int = 300
+    rows: list[np.ndarray], target: np.ndarray, width: int, penalty: float = 1.0, steps: int = 300
 ) -> np.ndarray:
     """Logistic regression on sets of feature numbers and soft labels; last weight: intercept."""
     sizes = np.array([len(r) for r in rows])
@@ -273,11 +273,11 @@ def train(
     )
     chosen = ranked.orderBy(F.desc("worth"), "feature").limit(vocabulary).collect()
     # A mined feature needs so many toxic witnesses that chance does not explain them.
-    witnesses = max(3, math.ceil(math.log(1e-6) / math.log(base)))
+    witnesses = max(3, math.ceil(math.log(1e-5) / math.log(base)))
     toxic_only = [
         r["feature"]
         for r in chosen
-        if r["bad"] >= witnesses and r["n"] - r["bad"] <= 0.02 * r["bad"]
+        if r["bad"] >= witnesses and r["bad"] >= 0.95 * r["n"]
     ]
     mined = {"mined_words": frozenset(f for f in toxic_only if not f[1:2] == ":")}
     for size in PREFIXES:
@@ -378,3 +378,21 @@ def score_documents(
             )
 
     return source.mapInArrow(score, schema)
+
+
+def drop_toxic(
+    docs: DataFrame, model: ToxicityModel, text: str = "text", threshold: float = 0.7
+) -> DataFrame:
+    """The rows of ``docs`` that score below ``threshold``, all columns as they are."""
+    (hidden,) = scratch_names(docs, "text")
+    source = docs.withColumn(hidden, F.col(f"`{text}`").cast("string"))
+
+    def choose(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for batch in batches:
+            last = batch.num_columns - 1
+            clean = [model.score(t) < threshold for t in batch.column(last).to_pylist()]
+            yield batch.select(range(last)).filter(pa.array(clean, pa.bool_()))
+
+    return source.mapInArrow(choose, docs.schema)
