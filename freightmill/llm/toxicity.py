@@ -63,6 +63,21 @@ def text_features(text: str) -> set[str]:
     return features
 
 
+def toxic_words(features: set[str], toxic: frozenset) -> int:
+    """How many distinct words are toxic as a whole or by their beginning."""
+    hits = features & toxic
+    if not hits:
+        return 0
+    words = (f for f in features if f[1:2] != ":")
+    return sum(
+        w in hits or any(f"{k}:{w[:k]}" in hits for k in PREFIXES if len(w) >= k) for w in words
+    )
+
+
+#: Features that say how many words of the mined and fixed lexicons a text holds.
+LADDER = ((1, "#1"), (2, "#2"), (3, "#3"), (5, "#5"))
+
+
 @dataclass
 class Voters:
     """All voters as one picklable object; ``mined`` maps a voter's name to its features."""
@@ -73,19 +88,25 @@ class Voters:
         self.lexicons = {k: frozenset(v.split()) for k, v in LEXICONS.items()}
         self.all_words = frozenset().union(*self.lexicons.values())
         self.patterns = [re.compile(p, re.I if k != "shouted" else 0) for k, p in PATTERNS.items()]
+        self.toxic = self.all_words.union(*self.mined.values())
         self.names = [*self.lexicons, *self.mined, "repeated", *PATTERNS, "spotless"]
 
+    def features(self, text: str) -> set[str]:
+        """What the classifier sees: words, beginnings and the ladder."""
+        found = text_features(text)
+        count = toxic_words(found, self.toxic)
+        return found | {name for least, name in LADDER if count >= least}
+
     def votes(self, text: str, features: set[str]) -> str:
+        """One character for each voter; ``features`` as given by ``features``."""
         out = []
         hits = features & self.all_words
         for words in self.lexicons.values():
             out.append(TOXIC if hits & words else ABSTAIN)
-        total = len(hits)
         for mined in self.mined.values():
-            got = len(features & mined)
-            total += got
-            out.append(TOXIC if got else CLEAN)
-        out.append(TOXIC if total > 2 else ABSTAIN)
+            out.append(CLEAN if features.isdisjoint(mined) else TOXIC)
+        total = "#1" in features
+        out.append(TOXIC if "#3" in features else ABSTAIN)
         out += [TOXIC if total and p.search(text) else ABSTAIN for p in self.patterns]
         out.append(ABSTAIN if total else CLEAN)
         return "".join(map(str, out))
@@ -166,7 +187,7 @@ class LabelModel:
 
 
 def train_linear(
-    rows: list[np.ndarray], target: np.ndarray, width: int, penalty: float = 1.0, steps: int = 300
+    rows: list[np.ndarray], target: np.ndarray, width: int, penalty: float = 0.3, steps: int = 300
 ) -> np.ndarray:
     """Logistic regression on sets of feature numbers and soft labels; last weight: intercept."""
     sizes = np.array([len(r) for r in rows])
@@ -195,9 +216,10 @@ class ToxicityModel:
 
     numbers: dict[str, int]
     weight: np.ndarray
+    voters: Voters
 
     def score(self, text: str | None) -> float:
-        known = self.numbers.keys() & text_features(text or "")
+        known = self.numbers.keys() & self.voters.features(text or "")
         margin = self.weight[-1] + sum(self.weight[self.numbers[f]] for f in known)
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, margin))))
 
@@ -284,14 +306,15 @@ def train(
         mined[f"mined_{size}"] = frozenset(f for f in toxic_only if f.startswith(f"{size}:"))
     voters = Voters({name: found for name, found in mined.items() if found})
     numbers = {r["feature"]: k for k, r in enumerate(chosen)}
-    for word in sorted(voters.all_words - numbers.keys()):
-        numbers[word] = len(numbers)
+    for name in [*sorted(voters.all_words), *(name for _, name in LADDER)]:
+        numbers.setdefault(name, len(numbers))
 
     def vote(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         for batch in batches:
-            votes = [voters.votes(t or "", text_features(t or "")) for t in batch[0].to_pylist()]
+            texts = [t or "" for t in batch.column(0).to_pylist()]
+            votes = [voters.votes(t, voters.features(t)) for t in texts]
             yield pa.RecordBatch.from_arrays([pa.array(votes, pa.string())], names=["votes"])
 
     def read(batches: Iterator) -> Iterator:
@@ -300,7 +323,7 @@ def train(
         for batch in batches:
             votes, found = [], []
             for one in batch.column(0).to_pylist():
-                features = text_features(one)
+                features = voters.features(one)
                 votes.append(voters.votes(one, features))
                 found.append([numbers[f] for f in numbers.keys() & features])
             yield pa.RecordBatch.from_arrays(
@@ -326,7 +349,7 @@ def train(
     for row in training:
         known[place[row["votes"]], int(row["toxic"] > 0)] += 1
     if not place:
-        return ToxicityModel(numbers, np.append(np.zeros(len(numbers)), -3.0))
+        return ToxicityModel(numbers, np.append(np.zeros(len(numbers)), -3.0), voters)
     votes = np.array([[int(c) for c in v] for v in place])
     model = LabelModel().fit(votes, np.array(list(patterns.values()), float), known)
     posterior = model.posterior(votes)[:, 1]
@@ -334,9 +357,9 @@ def train(
     found = [np.array(r["found"], np.int64) for r in training]
     # The fixed lexicons speak for themselves where no labelled row does.
     for word in sorted(voters.all_words):
-        found.append(np.array([numbers[word]]))
+        found.append(np.array([numbers[f] for f in voters.features(word) & numbers.keys()]))
         target = np.append(target, 0.95)
-    return ToxicityModel(numbers, train_linear(found, target, len(numbers)))
+    return ToxicityModel(numbers, train_linear(found, target, len(numbers)), voters)
 
 
 def score_documents(
