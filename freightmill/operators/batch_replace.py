@@ -39,19 +39,19 @@ def replace_day(target: DataFrame, staging: DataFrame, batch_date: date) -> Data
     return other_days.unionByName(day_batch(staging, batch_date))
 
 
-def day_path(fact_path: str, batch_date: date) -> str:
-    return f"{fact_path}/{DAY_PARTITION}={batch_date.isoformat()}"
+def day_path(fact_path: str, load_id: str, batch_date: date) -> str:
+    return f"{fact_path}/load={load_id}/{DAY_PARTITION}={batch_date.isoformat()}"
 
 
-def load_day(batch: DataFrame, fact_path: str, batch_date: date) -> None:
-    """Overwrite one day's folder: the delete and the insert in one write.
+def load_day(batch: DataFrame, fact_path: str, load_id: str, batch_date: date) -> None:
+    """Write one day of one load to a folder of its own.
 
-    An empty batch leaves the day empty, and a rerun after a lost executor or a
-    failed job starts from the same state.
+    Readers go by the load log, so the day of an earlier load stays what they see until this
+    load is published, whatever happens to this write. An empty batch empties the day.
     """
     (
         batch.withColumn("loaded_at", F.localtimestamp())
         .write.option("partitionOverwriteMode", "static")
         .mode("overwrite")
-        .parquet(day_path(fact_path, batch_date))
+        .parquet(day_path(fact_path, load_id, batch_date))
     )

@@ -6,9 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from freightmill.contracts import Contract
 from freightmill.functions.keys import shipment_hash
 from freightmill.functions.labels import carrier_tier, risk_profile
 from freightmill.functions.temporal import civil_date, civil_datetime
+from freightmill.sources.files import conform
 
 GATE_COLUMNS = ("shipment_id", "order_id")
 
@@ -21,6 +23,41 @@ def accepted(shipments: DataFrame) -> DataFrame:
     return shipments.filter(_gate())
 
 
+def rejection_reason(feed: DataFrame, contract: Contract) -> Column:
+    """Why a typed row must not go on: NULL for a good one.
+
+    A row is refused when it did not fit its file's format, when a required value of it could
+    not be read, or when the feed's gate columns are missing.
+    """
+    have = set(feed.columns)
+    tests = []
+    if "_corrupt_record" in have:
+        tests.append(F.when(F.col("_corrupt_record").isNotNull(), "malformed record"))
+    if "_unreadable_columns" in have:
+        required = F.array(*[F.lit(c) for c in contract.required])
+        lost = F.array_intersect("_unreadable_columns", required)
+        text = F.concat(F.lit("unreadable: "), F.array_join(lost, ", "))
+        tests.append(F.when(F.size(lost) > 0, text))
+    gate = [c for c in GATE_COLUMNS if c in have]
+    missing = F.array_compact(F.array(*[F.when(F.col(c).isNull(), c) for c in gate]))
+    if gate:
+        text = F.concat(F.lit("missing: "), F.array_join(missing, ", "))
+        tests.append(F.when(F.size(missing) > 0, text))
+    return F.coalesce(*tests, F.lit(None).cast("string"))
+
+
+def split_feed(raw: DataFrame, contract: Contract) -> tuple[DataFrame, DataFrame]:
+    """A raw text feed as (typed good rows, refused rows as they came with a ``_reason``).
+
+    Every landed row is in exactly one of the two.
+    """
+    kept = F.struct(*[F.col(f"`{c}`") for c in raw.columns])
+    typed = conform(raw.withColumn("_raw", kept), contract)
+    judged = typed.withColumn("_reason", rejection_reason(typed, contract))
+    good = judged.where("_reason IS NULL").drop("_reason", "_raw", "_corrupt_record")
+    return good, judged.where("_reason IS NOT NULL").select("_raw.*", "_reason")
+
+
 def quarantined(shipments: DataFrame) -> DataFrame:
     return shipments.filter(~_gate())
 

@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field, replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -295,8 +296,12 @@ class _Evaluation:
             if not shared:
                 totals = totals.withColumn(slot, rows.agg(average).scalar())
                 continue
-            means = rows.groupBy(*shared).agg(average)
-            totals = totals.join(means, shared, "left")
+            # A NULL group is a group like any other, so its mean must find it.
+            means = rows.groupBy(*[F.col(c).alias(f"_of_{c}") for c in shared]).agg(average)
+            same = reduce(
+                Column.__and__, [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in shared]
+            )
+            totals = totals.join(means, same, "left").drop(*[f"_of_{c}" for c in shared])
         return totals
 
 

@@ -23,21 +23,23 @@ TOTALS = {
     "weight": "weight_kg",
     "freight": "freight_cost_usd",
 }
+#: How many rows a mean divides by: those whose value is known.
+KNOWN_ROWS = {"transit_rows": "transit_days", "delay_rows": "transit_delay_days"}
 
 
 def tally(fact: DataFrame, *keys: str | Column) -> DataFrame:
     """One row per key with ``shipments`` and the totals above."""
     have = set(fact.columns)
     sums = [f"sum({column}) AS {total}" for total, column in TOTALS.items() if column in have]
-    return _grouped(fact, keys, ["count(*) AS shipments", *sums])
+    rows = [f"count({column}) AS {n}" for n, column in KNOWN_ROWS.items() if column in have]
+    return _grouped(fact, keys, ["count(*) AS shipments", *sums, *rows])
 
 
 def merge_tallies(totals: DataFrame, *keys: str | Column) -> DataFrame:
     """Regroup tallies to coarser keys."""
     have = set(totals.columns)
-    return _grouped(
-        totals, keys, [f"sum({n}) AS {n}" for n in ("shipments", *TOTALS) if n in have]
-    )
+    names = [n for n in ("shipments", *TOTALS, *KNOWN_ROWS) if n in have]
+    return _grouped(totals, keys, [f"sum({n}) AS {n}" for n in names])
 
 
 def _grouped(frame: DataFrame, keys: tuple[str | Column, ...], aggregates: list[str]) -> DataFrame:
@@ -48,5 +50,6 @@ def pct_of_shipments(total: str, places: int = 2) -> Column:
     return F.expr(rounded_ratio_sql(total, "shipments", 100, places))
 
 
-def mean_per_shipment(total: str, places: int = 2) -> Column:
-    return F.expr(rounded_ratio_sql(total, "shipments", 1, places))
+def mean_of(quantity: str, places: int = 2) -> Column:
+    """Mean of "transit" or "delay" days over the shipments where they are known."""
+    return F.expr(rounded_ratio_sql(f"{quantity}_sum", f"{quantity}_rows", 1, places))

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from freightmill.contracts import AGG_CARRIER_SCORECARD
 from freightmill.functions.labels import BADGE_BREACH, BADGE_COMPLIANT, is_delayed
 from freightmill.functions.numeric import half_up, ratio
 from freightmill.functions.temporal import month_label, month_start
-from freightmill.operators.tally import mean_per_shipment, pct_of_shipments, tally
+from freightmill.operators.tally import mean_of, pct_of_shipments, tally
 
 
 def carrier_scorecard(fact: DataFrame, carriers: DataFrame) -> DataFrame:
@@ -26,8 +26,8 @@ def carrier_scorecard(fact: DataFrame, carriers: DataFrame) -> DataFrame:
         F.col("on_time").alias("on_time_shipments"),
         F.col("in_full").alias("in_full_shipments"),
         F.col("otif").alias("otif_shipments"),
-        mean_per_shipment("transit_sum").alias("avg_transit_days"),
-        mean_per_shipment("delay_sum").alias("avg_delay_days"),
+        mean_of("transit").alias("avg_transit_days"),
+        mean_of("delay").alias("avg_delay_days"),
         F.col("freight").alias("total_freight_spend_usd"),
         pct_of_shipments("on_time").alias("actual_on_time_pct"),
         pct_of_shipments("otif").alias("actual_otif_pct"),
@@ -93,25 +93,29 @@ def supplier_reliability(fact: DataFrame, suppliers: DataFrame) -> DataFrame:
     return tally(fact, "supplier_id").join(described, "supplier_id").select(
         *described.columns,
         F.col("shipments").alias("total_orders"),
-        mean_per_shipment("transit_sum").alias("avg_actual_lead_days"),
+        mean_of("transit").alias("avg_actual_lead_days"),
         pct_of_shipments("damaged").alias("damage_rate_pct"),
         pct_of_shipments("otif").alias("supplier_otif_pct"),
     )
 
 
-def delay_breakdown(fact: DataFrame) -> DataFrame:
-    """Shipments per delay reason, most frequent first, ties by name."""
+def _delay_counts(fact: DataFrame) -> DataFrame:
     return (
         fact.filter(is_delayed(F.col("delay_reason")))
         .groupBy(F.col("delay_reason").alias("reason"))
         .agg(F.count(F.lit(1)).alias("count"))
-        .orderBy(F.desc("count"), "reason")
     )
 
 
+def delay_breakdown(fact: DataFrame) -> DataFrame:
+    """Shipments per delay reason, most frequent first, ties by name."""
+    return _delay_counts(fact).orderBy(F.desc("count"), "reason")
+
+
 def delay_breakdown_pct(fact: DataFrame) -> DataFrame:
     """Each reason's count as a whole-number share of the largest one."""
-    counts = delay_breakdown(fact)
-    largest = F.max("count").over(Window.partitionBy())
+    counts = _delay_counts(fact)
+    largest = counts.agg(F.max("count")).scalar()
     share = half_up(ratio(F.col("count"), largest) * 100, 0).cast("int")
-    return counts.select("reason", "count", share.alias("pct_of_max"))
+    sheet = counts.select("reason", "count", share.alias("pct_of_max"))
+    return sheet.orderBy(F.desc("count"), "reason")

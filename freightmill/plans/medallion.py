@@ -15,7 +15,7 @@ from freightmill.operators.enrich import (
     enrich_shipments,
     enrich_suppliers,
     enrich_warehouses,
-    quarantined,
+    split_feed,
 )
 from freightmill.plans.gold import (
     agg_carrier_scorecard,
@@ -28,6 +28,8 @@ from freightmill.plans.summary import summary_parts, write_summary
 from freightmill.session import build_session
 from freightmill.sources.files import read_landing
 from freightmill.sources.lake import (
+    delete_folder,
+    list_folders,
     overwrite_partitioned,
     overwrite_table,
     read_table,
@@ -62,31 +64,62 @@ class Lake:
 
 
 def ingest_bronze(
-    spark: SparkSession, raw_dir: str, lake: Lake, array_document: bool = True
+    spark: SparkSession,
+    raw_dir: str,
+    lake: Lake,
+    array_document: bool = True,
+    multi_line: bool = False,
 ) -> None:
-    for name, feed in read_landing(spark, raw_dir, array_document).items():
+    """The landing as it came: every value in text, unknown JSON fields and broken records too."""
+    for name, feed in read_landing(spark, raw_dir, array_document, multi_line).items():
         overwrite_table(feed, f"{lake.bronze}/{name}")
 
 
 def silver_tables(bronze: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Typed and enriched feeds, and for each the rows that were refused, raw and with a reason."""
+    good, refused = {}, {}
+    for name, contract in FEEDS.items():
+        good[name], refused[f"{name}_quarantine"] = split_feed(bronze[name], contract)
     return {
-        "shipments": enrich_shipments(bronze["shipments"]).withColumn(
+        "shipments": enrich_shipments(good["shipments"]).withColumn(
             "order_day", F.col("order_date").cast("date")
         ),
-        "shipments_quarantine": quarantined(bronze["shipments"]),
-        "carriers": enrich_carriers(bronze["carriers"]),
-        "warehouses": enrich_warehouses(bronze["warehouses"]),
-        "suppliers": enrich_suppliers(bronze["suppliers"]),
-        "fleet_telematics": bronze["fleet_telematics"],
+        "carriers": enrich_carriers(good["carriers"]),
+        "warehouses": enrich_warehouses(good["warehouses"]),
+        "suppliers": enrich_suppliers(good["suppliers"]),
+        "fleet_telematics": good["fleet_telematics"],
+        **refused,
     }
 
 
+def merge_days(new: DataFrame, path: str, key: str, partition: str) -> None:
+    """Add a landing to a table laid out by day: of rows with the same key in the same day the
+    landing's count, other days and other rows stay. The merged days are written aside first,
+    so a failed write leaves the table as it was."""
+    spark = new.sparkSession
+    merged = new
+    if list_folders(spark, path):
+        stored = read_table(spark, path, merge_schema=True)
+        days = new.select(F.col(partition).alias("_day")).distinct()
+        replaced = new.select(F.col(partition).alias("_day"), F.col(key).alias("_key")).distinct()
+        same_day = F.col(partition).eqNullSafe(F.col("_day"))
+        kept = stored.join(days, same_day, "left_semi").join(
+            replaced, same_day & (F.col(key) == F.col("_key")), "left_anti"
+        )
+        merged = kept.unionByName(new, allowMissingColumns=True)
+    aside = f"{path}_merging"
+    overwrite_table(merged, aside)
+    overwrite_partitioned(read_table(spark, aside), path, partition)
+    delete_folder(spark, aside)
+
+
 def process_silver(spark: SparkSession, lake: Lake) -> None:
-    """Shipments are laid out by order day, the column every batch selects on."""
+    """Shipments are laid out by order day, the column every batch selects on, and keep all
+    earlier landings; the other tables are the current landing's."""
     bronze = {name: read_table(spark, f"{lake.bronze}/{name}") for name in FEEDS}
     for name, table in silver_tables(bronze).items():
         if name == "shipments":
-            overwrite_partitioned(table, f"{lake.silver}/{name}", "order_day", replace_all=True)
+            merge_days(table, f"{lake.silver}/{name}", "shipment_id", "order_day")
         else:
             overwrite_table(table, f"{lake.silver}/{name}")
 
@@ -139,7 +172,8 @@ def publish_catalog(spark: SparkSession, lake: Lake, database: str = "default")
     """Replace the reporting tables of a catalog database."""
     for name, (layer, table) in CATALOG_TABLES.items():
         stored = read_table(spark, f"{lake.root}/{layer}/{table}")
-        replace_catalog_table(stored, f"{database}.{name}")
+        partition = "order_day" if "order_day" in stored.columns else None
+        replace_catalog_table(stored, f"{database}.{name}", partition)
 
 
 def run(
@@ -149,13 +183,21 @@ def run(
     batch_date: date | str | None = None,
     array_document: bool = True,
     export: bool = True,
+    multi_line: bool = False,
+    catalog: str | None = None,
 ) -> Lake:
-    """Raw files to published star schema for one batch day (today when none is given)."""
+    """Raw files to published star schema for one batch day (today when none is given).
+
+    Gold covers every landing so far. ``catalog`` names a database whose reporting tables are
+    replaced at the end.
+    """
     lake = Lake(lake_dir)
-    ingest_bronze(spark, raw_dir, lake, array_document)
+    ingest_bronze(spark, raw_dir, lake, array_document, multi_line)
     process_silver(spark, lake)
     build_gold(spark, lake, export)
     load_star(spark, lake.silver, lake.star, batch_date)
+    if catalog:
+        publish_catalog(spark, lake, catalog)
     return lake
 
 
@@ -171,6 +213,10 @@ def main() -> None:
         "--json-lines", action="store_true", help="telematics is one record per line"
     )
     parser.add_argument("--no-export", action="store_true", help="skip the CSV and JSON copies")
+    parser.add_argument(
+        "--multi-line", action="store_true", help="CSV values may hold line breaks in quotes"
+    )
+    parser.add_argument("--catalog", help="database whose reporting tables are replaced")
     args = parser.parse_args()
     spark = build_session(f"freightmill-{args.environment}")
     run(
@@ -180,6 +226,8 @@ def main() -> None:
         args.batch_date,
         array_document=not args.json_lines,
         export=not args.no_export,
+        multi_line=args.multi_line,
+        catalog=args.catalog,
     )
 
 

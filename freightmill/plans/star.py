@@ -1,9 +1,9 @@
 """Loading the star schema from Silver: dimensions by upsert, the fact by day.
 
-A load writes its dimensions to a folder of its own and, when everything is there,
-adds one line to the load log. Readers go by the newest line, so a load that fails
-anywhere leaves the dimensions as they were. The fact's day is replaced just before
-that line; running a cut-short load again replaces it again.
+A load writes its dimensions and its day of the fact to folders of its own and, when
+everything is there, adds one line to the load log. Readers go by the log, dimensions by its
+newest line and each day of the fact by the newest line of that day, so a load that fails
+anywhere leaves everything as it was. ``retire_loads`` removes what no reader can reach.
 """
 
 from __future__ import annotations
@@ -18,10 +18,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from freightmill.contracts import DIM_CARRIER, DIM_SUPPLIER, DIM_WAREHOUSE, Contract
-from freightmill.operators.batch_replace import day_batch, load_day
+from freightmill.operators.batch_replace import day_batch, day_path, load_day
 from freightmill.operators.upsert import assign_surrogates, upsert
 from freightmill.plans.calendar import dim_date
-from freightmill.sources.lake import overwrite_table, read_table
+from freightmill.sources.lake import (
+    delete_folder,
+    list_folders,
+    overwrite_table,
+    read_table,
+)
 
 FACT_TABLE = "fact_shipment_fulfillment"
 SNAPSHOTS = "snapshots"
@@ -111,6 +116,46 @@ def read_dimension(spark: SparkSession, star_dir: str, table: str) -> DataFrame
     return read_table(spark, f"{star_dir}/{SNAPSHOTS}/{load_id}/{table}")
 
 
+def _published_days(spark: SparkSession, star_dir: str) -> dict[date, str]:
+    """Day -> newest complete load of it: one log line for each day that was ever loaded."""
+    log = _load_log(spark, f"{star_dir}/{LOAD_LOG}")
+    if log is None:
+        return {}
+    newest = log.groupBy("batch_day").agg(F.max_by("load_id", "published_at").alias("load_id"))
+    return {r["batch_day"]: r["load_id"] for r in newest.collect()}
+
+
+def read_fact(spark: SparkSession, star_dir: str) -> DataFrame | None:
+    """The fact with all its published days; None before the first load."""
+    fact = f"{star_dir}/{FACT_TABLE}"
+    paths = [day_path(fact, load, day) for day, load in _published_days(spark, star_dir).items()]
+    if not paths:
+        return None
+    reader = spark.read.option("basePath", fact).option("mergeSchema", True)
+    return reader.parquet(*paths).drop("load")
+
+
+def retire_loads(spark: SparkSession, star_dir: str) -> list[str]:
+    """Remove the folders of loads that were cut short or superseded; returns their ids.
+
+    Run it while no load is running: a load that has not reached the log looks like one that
+    never will.
+    """
+    days = set(_published_days(spark, star_dir).values())
+    newest = published_load(spark, star_dir)
+    retired = set()
+    for load_id in list_folders(spark, f"{star_dir}/{SNAPSHOTS}"):
+        if load_id != newest:
+            delete_folder(spark, f"{star_dir}/{SNAPSHOTS}/{load_id}")
+            retired.add(load_id)
+    for folder in list_folders(spark, f"{star_dir}/{FACT_TABLE}"):
+        load_id = folder.removeprefix("load=")
+        if load_id not in days:
+            delete_folder(spark, f"{star_dir}/{FACT_TABLE}/{folder}")
+            retired.add(load_id)
+    return sorted(retired)
+
+
 def load_star(
     spark: SparkSession, silver_dir: str, star_dir: str, batch_date: date | str | None = None
 ) -> str:
@@ -131,14 +176,14 @@ def load_star(
         overwrite_table(
             assign_surrogates(merged, load.key, load.surrogate), f"{fresh}/{load.table}"
         )
+        delete_folder(spark, f"{fresh}/{load.table}_merged")
 
     silver_shipments = read_table(spark, f"{silver_dir}/shipments")
-    overwrite_table(day_batch(silver_shipments, day), f"{fresh}/{FACT_TABLE}_batch")
-    batch = read_table(spark, f"{fresh}/{FACT_TABLE}_batch")
+    load_day(day_batch(silver_shipments, day), f"{star_dir}/{FACT_TABLE}", load_id, day)
+    batch = read_table(spark, day_path(f"{star_dir}/{FACT_TABLE}", load_id, day))
     calendar = dim_date(calendar_span(batch, read_dimension(spark, star_dir, "dim_date")))
     overwrite_table(calendar, f"{fresh}/dim_date")
 
-    load_day(batch, f"{star_dir}/{FACT_TABLE}", day)
     record = spark.range(1).select(
         F.lit(load_id).alias("load_id"),
         F.lit(day).alias("batch_day"),

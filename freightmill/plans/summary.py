@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from freightmill.functions.labels import damage_status, otif_status, target_status
 from freightmill.functions.numeric import half_up
-from freightmill.operators.tally import mean_per_shipment, pct_of_shipments, tally
+from freightmill.operators.tally import mean_of, pct_of_shipments, tally
 from freightmill.plans.gold import delay_breakdown
 from freightmill.sources.lake import write_json_lines
 
@@ -33,7 +33,7 @@ def summary_kpis(fact: DataFrame, suppliers: DataFrame, warehouses: DataFrame) -
         F.col("shipments").alias("total_shipments"),
         otif.alias("otif_rate_pct"),
         half_up(F.col("freight") / F.lit(1000000), 2).alias("total_freight_spend_musd"),
-        mean_per_shipment("transit_sum", 1).alias("avg_transit_days"),
+        mean_of("transit", 1).alias("avg_transit_days"),
         pct_of_shipments("damaged").alias("damage_rate_pct"),
         _rows(suppliers).alias("active_suppliers"),
         _rows(warehouses).alias("active_warehouses"),

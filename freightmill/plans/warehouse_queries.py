@@ -11,7 +11,7 @@ from freightmill.functions.labels import (
     RISK_MATRIX_MIN_ORDERS,
 )
 from freightmill.functions.numeric import mean
-from freightmill.operators.tally import mean_per_shipment, pct_of_shipments, tally
+from freightmill.operators.tally import mean_of, pct_of_shipments, tally
 
 
 def exec_kpi_summary(fact: DataFrame) -> DataFrame:
@@ -24,6 +24,7 @@ def exec_kpi_summary(fact: DataFrame) -> DataFrame:
         F.sum("otif_compliance_flag").alias("otif"),
         F.sum("damage_reported_flag").alias("damaged"),
         F.sum("transit_delay_days").alias("delay_sum"),
+        F.count("transit_delay_days").alias("delay_rows"),
     )
     unit_cost = mean(F.col("unit_cost_sum"), F.col("unit_cost_rows"), 4)
     return totals.select(
@@ -32,7 +33,7 @@ def exec_kpi_summary(fact: DataFrame) -> DataFrame:
         unit_cost.alias("avg_freight_cost_per_kg"),
         pct_of_shipments("otif").alias("otif_compliance_rate_pct"),
         pct_of_shipments("damaged").alias("damage_rate_pct"),
-        mean_per_shipment("delay_sum").alias("avg_transit_delay_days"),
+        mean_of("delay").alias("avg_transit_delay_days"),
     )
 
 
@@ -90,7 +91,7 @@ def supplier_risk_matrix(
             *described.columns,
             F.col("shipments").alias("order_count"),
             pct_of_shipments("damaged").alias("damage_rate_pct"),
-            mean_per_shipment("delay_sum").alias("avg_delay_days"),
+            mean_of("delay").alias("avg_delay_days"),
         )
         .orderBy(F.desc("damage_rate_pct"), F.desc("avg_delay_days"), "supplier_id")
     )

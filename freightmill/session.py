@@ -1,15 +1,18 @@
 """Session settings the jobs are written for.
 
 Nothing in the library needs these to be right; they only decide how fast a plan
-runs. A cluster that already sets one of them keeps its own value.
+runs. A cluster that already sets one of them keeps its own value, except for the time
+zone: results are stated in UTC, so UTC is always set.
 """
 
 from __future__ import annotations
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
+TIME_ZONE = "spark.sql.session.timeZone"
 RUNTIME_DEFAULTS = {
-    "spark.sql.session.timeZone": "UTC",
+    TIME_ZONE: "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -37,7 +40,9 @@ def build_session(
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    settings = dict(RUNTIME_DEFAULTS)
+    running = SparkSession.getActiveSession()
+    preset = dict(SparkConf().getAll()) | (dict(running.conf.getAll) if running else {})
+    settings = {k: v for k, v in RUNTIME_DEFAULTS.items() if k == TIME_ZONE or k not in preset}
     if shuffle_partitions:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     settings.update(extra or {})

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,6 +13,8 @@ from freightmill.functions.temporal import civil_date, civil_datetime
 
 SOURCE_FILE = "_source_file"
 UNREADABLE = "_unreadable_columns"
+CORRUPT = "_corrupt_record"
+EXTRA = "_extra"
 
 
 def _typed(raw: Column, dtype: T.DataType) -> Column:
@@ -47,22 +51,106 @@ def _with_source_file(raw: DataFrame) -> DataFrame:
     return raw.select("*", F.col("_metadata.file_path").alias(SOURCE_FILE))
 
 
-def read_csv_feed(spark: SparkSession, path: str, contract: Contract) -> DataFrame:
-    """Header CSV. Types come from the contract, so there is no inference pass."""
-    return conform(_with_source_file(spark.read.option("header", True).csv(path)), contract)
+def _files(spark: SparkSession, path: str) -> list[str]:
+    """The files of a feed; only their names are read."""
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    return sorted(r["path"] for r in listed.select("path").collect())
 
 
-def read_json_feed(
+def _csv_text(spark: SparkSession, files: list[str], multi_line: bool) -> DataFrame:
+    """Files that share one header, as text columns and the lines that do not fit it."""
+    options = {
+        "header": True, "quote": '"', "escape": '"', "multiLine": multi_line,
+        "enforceSchema": False, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT,
+        "columnPruning": False,
+    }
+    header = spark.read.options(**options).csv(files[0]).columns
+    columns = [T.StructField(c, T.StringType()) for c in (*header, CORRUPT)]
+    return _with_source_file(spark.read.options(**options).schema(T.StructType(columns)).csv(files))
+
+
+def _refuse_open_quotes(spark: SparkSession, files: list[str]) -> None:
+    """Fail on a line with an odd number of quotes: read line by line, it would lose text."""
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    lines = spark.read.text(files).select("value", F.col("_metadata.file_path").alias("file"))
+    found = lines.where(quotes % 2 == 1).take(1)
+    if found:
+        raise ValueError(f"a quoted value goes on in the next line, use multi_line: {found[0]}")
+
+
+def read_csv_text(
+    spark: SparkSession,
+    path: str,
+    multi_line: bool = False,
+    max_headers_read: int = 256,
+    check_quotes: bool = True,
+) -> DataFrame:
+    """A header CSV file or folder as text, matched by column name.
+
+    Quotes follow RFC 4180: a quote inside quotes is doubled. ``multi_line`` allows line breaks
+    in quotes, at the price of files that cannot be split; without it such a file is refused,
+    which takes a scan of its own (``check_quotes``). Rows with too few or too many fields come
+    back with their text in ``_corrupt_record``. Folders
+    of up to ``max_headers_read`` files are read header by header; in larger ones all files
+    must have the first one's header, and Spark fails on any that has not.
+    """
+    files = _files(spark, path)
+    if check_quotes and files and not multi_line:
+        _refuse_open_quotes(spark, files)
+    groups: dict[tuple, list[str]] = {}
+    if len(files) > max_headers_read:
+        groups[()] = files
+    else:
+        for file in files:
+            header = tuple(spark.read.option("header", True).option("escape", '"').csv(file).columns)
+            groups.setdefault(header, []).append(file)
+    if not groups:
+        raise FileNotFoundError(f"no file in {path}")
+    frames = [_csv_text(spark, same, multi_line) for same in groups.values()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+
+
+def read_json_text(
     spark: SparkSession, path: str, contract: Contract, array_document: bool = False
 ) -> DataFrame:
-    """JSON feed: one record per line, which Spark can split.
+    """A JSON feed as text: the contract's columns, all other fields in the map ``_extra``.
 
-    ``array_document`` reads files that each hold one JSON array; such a file is a
-    single task, so land large feeds as lines.
+    One record per line, which Spark can split. ``array_document`` reads files that each hold
+    one JSON array; such a file is a single task, so land large feeds as lines. A record (or
+    document) that is no JSON comes back with its text in ``_corrupt_record``.
     """
-    text = T.StructType([T.StructField(c, T.StringType()) for c in contract.columns])
-    raw = spark.read.schema(text).option("multiLine", array_document).json(path)
-    return conform(_with_source_file(raw), contract)
+    raw = _with_source_file(spark.read.text(path, wholetext=array_document))
+    kind = "array<map<string,string>>" if array_document else "map<string,string>"
+    parsed = raw.where(F.trim("value") != "").select(
+        "value", SOURCE_FILE, F.from_json("value", kind).alias("record")
+    )
+    lost = F.col("record").isNull()
+    if array_document:
+        parsed = parsed.select(
+            "value", SOURCE_FILE, lost.alias("lost"), F.explode_outer("record").alias("record")
+        ).where(F.col("lost") | F.col("record").isNotNull())
+        lost = F.col("lost")
+    known = F.array(*[F.lit(c) for c in contract.columns])
+    return parsed.select(
+        *[F.col("record")[c].alias(c) for c in contract.columns],
+        F.map_filter("record", lambda k, _: ~F.array_contains(known, k)).alias(EXTRA),
+        F.when(lost, F.col("value")).alias(CORRUPT),
+        SOURCE_FILE,
+    )
+
+
+def read_csv_feed(
+    spark: SparkSession, path: str, contract: Contract, multi_line: bool = False
+) -> DataFrame:
+    """Header CSV, typed. Types come from the contract, so there is no inference pass."""
+    return conform(read_csv_text(spark, path, multi_line), contract)
+
+
+def read_json_feed(
+    spark: SparkSession, path: str, contract: Contract, array_document: bool = False
+) -> DataFrame:
+    """JSON feed, typed by contract."""
+    return conform(read_json_text(spark, path, contract, array_document), contract)
 
 
 def with_origin(feed: DataFrame, source_system: str) -> DataFrame:
@@ -73,14 +161,14 @@ def with_origin(feed: DataFrame, source_system: str) -> DataFrame:
 
 
 def read_landing(
-    spark: SparkSession, raw_dir: str, array_document: bool = True
+    spark: SparkSession, raw_dir: str, array_document: bool = True, multi_line: bool = False
 ) -> dict[str, DataFrame]:
-    """The five feeds of a landing folder, typed and stamped, ready for Bronze."""
+    """The five feeds of a landing folder as they came, in text, and stamped: Bronze."""
     frames = {}
     for name, contract in FEEDS.items():
         if contract is TELEMATICS:
-            feed = read_json_feed(spark, f"{raw_dir}/{name}.json", contract, array_document)
+            feed = read_json_text(spark, f"{raw_dir}/{name}.json", contract, array_document)
         else:
-            feed = read_csv_feed(spark, f"{raw_dir}/{name}.csv", contract)
+            feed = read_csv_text(spark, f"{raw_dir}/{name}.csv", multi_line)
         frames[name] = with_origin(feed, contract.source_system)
     return frames

@@ -34,19 +34,33 @@ def overwrite_partitioned(
 
 
 def write_csv(frame: DataFrame, path: str) -> None:
-    frame.write.mode("overwrite").option("header", True).csv(path)
+    """RFC 4180 quoting, as ``read_csv_text`` and other readers expect it."""
+    frame.write.mode("overwrite").options(header=True, quote='"', escape='"').csv(path)
 
 
 def write_json_lines(frame: DataFrame, path: str) -> None:
     frame.write.mode("overwrite").option("ignoreNullFields", False).json(path)
 
 
-def replace_catalog_table(frame: DataFrame, name: str) -> None:
-    (
-        frame.write.option("partitionOverwriteMode", "static")
-        .mode("overwrite")
-        .saveAsTable(name)
-    )
+def replace_catalog_table(frame: DataFrame, name: str, partition: str | None = None) -> None:
+    writer = frame.hint("rebalance", partition) if partition else frame
+    writer = writer.write.option("partitionOverwriteMode", "static").mode("overwrite")
+    (writer.partitionBy(partition) if partition else writer).saveAsTable(name)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder of the lake, wherever it is stored."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def list_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder; none if it does not exist."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not store.exists(target):
+        return []
+    return [s.getPath().getName() for s in store.listStatus(target) if s.isDirectory()]
 
 
 def append_evolving(existing: DataFrame, batch: DataFrame) -> DataFrame:

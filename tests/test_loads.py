@@ -92,18 +92,19 @@ def test_load_day_overwrites_one_folder(spark, tmp_path):
     path = str(tmp_path / "fact")
     both = silver(spark, shipment(1), shipment(2), shipment(3, order_date=datetime(2024, 3, 2)))
     for day in (DAY, date(2024, 3, 2)):
-        load_day(day_batch(both, day), path, day)
+        load_day(day_batch(both, day), path, "a", day)
 
-    def stored():
-        return values(spark.read.parquet(path), "shipment_id", "order_day")
+    def stored(load):
+        return values(spark.read.parquet(f"{path}/load={load}"), "shipment_id", "order_day")
 
     expected = [("S1", DAY), ("S2", DAY), ("S3", date(2024, 3, 2))]
-    assert stored() == expected
-    load_day(day_batch(both, DAY), path, DAY)
-    assert stored() == expected
-    load_day(day_batch(both.filter("false"), DAY), path, DAY)
-    assert stored() == expected[2:]
-    assert day_path(path, DAY).endswith("/order_day=2024-03-01")
+    assert stored("a") == expected
+    load_day(day_batch(both, DAY), path, "a", DAY)
+    assert stored("a") == expected
+    load_day(day_batch(both.filter("false"), DAY), path, "b", DAY)
+    assert stored("a") == expected
+    assert spark.read.parquet(day_path(path, "b", DAY)).count() == 0
+    assert day_path(path, "a", DAY).endswith("/load=a/order_day=2024-03-01")
 
 
 def test_fact_rows_have_contract_types(spark):

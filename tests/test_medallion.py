@@ -4,14 +4,32 @@ import json
 from datetime import date
 from decimal import Decimal
 
+import pandas as pd
 import pytest
 from helpers import values
+from pyspark.sql import functions as F
 
-from freightmill.contracts import CARRIERS, FACT_SHIPMENT, SHIPMENTS, TELEMATICS
+from freightmill.contracts import CARRIERS, FACT_SHIPMENT, FEEDS, SHIPMENTS, TELEMATICS
+from freightmill.operators.batch_replace import load_day
+from freightmill.operators.enrich import split_feed
 from freightmill.plans import medallion, star
-from freightmill.plans.star import load_star, read_dimension
-from freightmill.sources.files import UNREADABLE, read_csv_feed, read_json_feed, read_landing
-from freightmill.sources.lake import append_evolving, overwrite_partitioned, read_table
+from freightmill.plans.star import load_star, read_dimension, read_fact, retire_loads
+from freightmill.session import build_session
+from freightmill.sources.files import (
+    UNREADABLE,
+    conform,
+    read_csv_feed,
+    read_csv_text,
+    read_json_feed,
+    read_json_text,
+    read_landing,
+)
+from freightmill.sources.lake import (
+    append_evolving,
+    overwrite_partitioned,
+    read_table,
+    write_csv,
+)
 
 CARRIERS_CSV = """carrier_id,carrier_name,transport_mode,base_rate_per_kg,sla_target_pct
 C1,One,Road,2.45,98.0
@@ -58,10 +76,12 @@ def landing(tmp_path):
 
 def test_feeds_are_typed_and_stamped(spark, landing):
     feeds = read_landing(spark, str(landing / "raw"))
+    typed = {n: conform(f, FEEDS[n]) for n, f in feeds.items()}
     labels = {n: f.select("_source_system").distinct().first()[0] for n, f in feeds.items()}
     assert labels == {"carriers": "ERP", "warehouses": "WMS", "suppliers": "SRM",
                       "shipments": "TMS", "fleet_telematics": "IoT_Hub"}
-    carriers = feeds["carriers"]
+    assert dict(feeds["carriers"].dtypes)["base_rate_per_kg"] == "string"
+    carriers = typed["carriers"]
     assert [carriers.schema[a.name].dataType for a in CARRIERS.attributes] == [
         a.dtype for a in CARRIERS.attributes
     ]
@@ -69,7 +89,7 @@ def test_feeds_are_typed_and_stamped(spark, landing):
     assert row.base_rate_per_kg == Decimal("2.4500")
     assert row._source_file.endswith("/raw/carriers.csv")
     assert row._ingested_at is not None
-    fleet = feeds["fleet_telematics"].orderBy("telematics_id").collect()
+    fleet = typed["fleet_telematics"].orderBy("telematics_id").collect()
     assert str(fleet[0].timestamp) == "2024-03-01 05:00:00"
     assert fleet[1].timestamp is None and fleet[1][UNREADABLE] == ["timestamp"]
 
@@ -139,7 +159,7 @@ def test_the_whole_run(spark, landing):
     assert (kpis.total_shipments, kpis.active_suppliers, kpis.damage_rate_pct) == (3, 2, 33.33)
     assert spark.read.json(f"{lake.export}/summary/delay_breakdown").count() == 2
 
-    fact = read_table(spark, f"{lake.star}/fact_shipment_fulfillment")
+    fact = read_fact(spark, lake.star)
     assert values(fact, "shipment_id") == [("S1",), ("S2",)]
     assert set(FACT_SHIPMENT.columns) < set(fact.columns)
     assert values(read_dimension(spark, lake.star, "dim_carrier"), "carrier_id", "is_active") == [
@@ -163,14 +183,20 @@ def test_the_whole_run(spark, landing):
         keys = dict(values(carriers, "carrier_id", "carrier_key"))
         assert {k: keys[k] for k in first_keys} == first_keys and keys["C3"] == 3
         assert values(carriers, "carrier_id", "effective_start_date")[:2] == started
-        loaded = read_table(spark, f"{lake.star}/fact_shipment_fulfillment")
+        loaded = read_fact(spark, lake.star)
         assert values(loaded, "shipment_id") == [("S1",), ("S2",), ("S3",)]
 
     spark.sql("CREATE DATABASE IF NOT EXISTS freightmill_test")
     for _ in range(2):
         medallion.publish_catalog(spark, lake, "freightmill_test")
     assert spark.table("freightmill_test.fact_shipment_fulfillment").count() == 3
-    assert spark.table("freightmill_test.fact_fleet_telematics").count() == 2
+    assert spark.table("freightmill_test.fact_fleet_telematics").count() == 1
+    layout = spark.sql("SHOW PARTITIONS freightmill_test.fact_shipment_fulfillment").count()
+    assert layout == 2
+    refused = read_table(spark, f"{lake.silver}/fleet_telematics_quarantine")
+    assert values(refused, "telematics_id", "timestamp", "_reason") == [
+        ("T2", "never", "unreadable: timestamp")
+    ]
     assert spark.table("freightmill_test.dim_carrier").count() == 2
 
 
@@ -189,29 +215,31 @@ def test_a_failed_load_publishes_nothing(spark, landing):
         load_star(spark, f"{landing}/bad", lake.star, "2024-03-02")
     names = values(read_dimension(spark, lake.star, "dim_carrier"), "carrier_name")
     assert names == [("One",), ("Two",)]
-    fact = read_table(spark, f"{lake.star}/fact_shipment_fulfillment")
-    assert values(fact, "shipment_id") == [("S1",), ("S2",)]
+    assert values(read_fact(spark, lake.star), "shipment_id") == [("S1",), ("S2",)]
 
 
 def test_a_load_cut_short_is_repaired_by_the_next(spark, landing, monkeypatch):
     lake = medallion.run(spark, str(landing / "raw"), str(landing / "lake"), "2024-03-01")
     keys = values(read_dimension(spark, lake.star, "dim_supplier"), "supplier_id", "supplier_key")
 
-    def lost(*_):
-        raise RuntimeError("executor lost")
+    def failing(batch, *place):
+        """The write itself fails, in a task."""
+        broken = F.when(F.col("shipment_id").isNotNull(), F.raise_error(F.lit("lost"))).cast("int")
+        load_day(batch.withColumn("quantity_units", broken), *place)
 
-    with monkeypatch.context() as broken:
-        broken.setattr(star, "load_day", lost)
-        with pytest.raises(RuntimeError):
-            load_star(spark, lake.silver, lake.star, "2024-03-02")
-    assert values(read_table(spark, f"{lake.star}/{star.FACT_TABLE}"), "shipment_id") == [
-        ("S1",), ("S2",)
-    ]
+    for day in ("2024-03-02", "2024-03-01"):
+        with monkeypatch.context() as broken:
+            broken.setattr(star, "load_day", failing)
+            with pytest.raises(Exception, match="lost"):
+                load_star(spark, lake.silver, lake.star, day)
+        assert values(read_fact(spark, lake.star), "shipment_id") == [("S1",), ("S2",)]
     load_id = load_star(spark, lake.silver, lake.star, "2024-03-02")
     assert star.published_load(spark, lake.star) == load_id
-    assert values(read_table(spark, f"{lake.star}/{star.FACT_TABLE}"), "shipment_id") == [
-        ("S1",), ("S2",), ("S3",)
-    ]
+    assert values(read_fact(spark, lake.star), "shipment_id") == [("S1",), ("S2",), ("S3",)]
+    before = values(read_fact(spark, lake.star))
+    assert len(retire_loads(spark, lake.star)) == 3
+    assert retire_loads(spark, lake.star) == []
+    assert values(read_fact(spark, lake.star)) == before
     again = read_dimension(spark, lake.star, "dim_supplier")
     assert values(again, "supplier_id", "supplier_key") == keys
     assert read_table(spark, f"{lake.star}/{star.LOAD_LOG}").count() == 2
@@ -219,3 +247,94 @@ def test_a_load_cut_short_is_repaired_by_the_next(spark, landing, monkeypatch):
 
 def test_nothing_is_published_before_the_first_load(spark, tmp_path):
     assert read_dimension(spark, str(tmp_path), "dim_carrier") is None
+    assert read_fact(spark, str(tmp_path)) is None
+
+
+def test_gold_covers_all_landings(spark, landing):
+    """Each day lands alone; a late row of the first day comes with the second."""
+    raw, lake_dir = landing / "raw", str(landing / "lake")
+    lines = SHIPMENTS_CSV.splitlines()
+    (raw / "shipments.csv").write_text("\n".join(lines[:2]) + "\n")
+    medallion.run(spark, str(raw), lake_dir, "2024-03-01", export=False)
+    (raw / "shipments.csv").write_text("\n".join([lines[0], *lines[2:]]) + "\n")
+    spark.sql("CREATE DATABASE IF NOT EXISTS freightmill_days")
+    for _ in range(2):
+        lake = medallion.run(
+            spark, str(raw), lake_dir, "2024-03-02", export=False, catalog="freightmill_days"
+        )
+        gold = read_table(spark, f"{lake.gold}/gold_carrier_scorecard")
+        assert values(gold, "carrier_id", "total_shipments") == [("C1", 2), ("C2", 1)]
+    assert spark.table("freightmill_days.fact_shipment_fulfillment").count() == 3
+
+
+def test_csv_quotes_and_breaks(spark, tmp_path):
+    path = tmp_path / "q.csv"
+    path.write_text(
+        'carrier_id,carrier_name\nC1,"ACME ""Fast"", Inc"\nC2,"two\nlines"\nC3,a,b\nC4\n'
+    )
+    whole = read_csv_text(spark, str(path), multi_line=True).cache()
+    good = whole.where("_corrupt_record IS NULL")
+    assert values(good, "carrier_id", "carrier_name") == [
+        ("C1", 'ACME "Fast", Inc'), ("C2", "two\nlines"),
+    ]
+    bad = whole.where("_corrupt_record IS NOT NULL")
+    assert sorted(r[0].strip() for r in bad.select("_corrupt_record").collect()) == ["C3,a,b", "C4"]
+    with pytest.raises(ValueError, match="multi_line"):
+        read_csv_text(spark, str(path))
+    accepted, refused = split_feed(whole, CARRIERS)
+    assert accepted.count() + refused.count() == whole.count() == 4
+    assert values(refused, "_reason") == [("malformed record",), ("malformed record",)]
+
+
+def test_csv_folder_with_two_headers(spark, tmp_path):
+    folder = tmp_path / "carriers.csv"
+    folder.mkdir()
+    (folder / "a.csv").write_text("carrier_id,transport_mode\nC1,Road\n")
+    (folder / "b.csv").write_text("transport_mode,fleet,carrier_id\nSea,7,C2\n")
+    feed = read_csv_feed(spark, str(folder), CARRIERS)
+    assert values(feed, "carrier_id", "transport_mode", "fleet") == [
+        ("C1", "Road", None), ("C2", "Sea", "7"),
+    ]
+    with pytest.raises(Exception, match="header"):
+        read_csv_text(spark, str(folder), max_headers_read=1).collect()
+
+
+def test_written_csv_reads_back(spark, tmp_path):
+    rows = [("C1", 'say ""hi"", "x"'), ("C2", "a,b"), ("C3", 'end"')]
+    write_csv(spark.createDataFrame(rows, "carrier_id string, carrier_name string"), f"{tmp_path}/o")
+    assert values(read_csv_text(spark, f"{tmp_path}/o"), "carrier_id", "carrier_name") == rows
+    parts = [pd.read_csv(p) for p in (tmp_path / "o").glob("part-*.csv")]
+    frame = pd.concat(parts)
+    assert sorted(frame.itertuples(index=False, name=None)) == rows
+
+
+def test_json_keeps_fields_and_broken_records(spark, tmp_path):
+    path = tmp_path / "t.json"
+    path.write_text('{"telematics_id": "T1", "tyre_psi": 31.5, "tags": [1]}\n{"telematics_id": \n')
+    feed = read_json_text(spark, str(path), TELEMATICS)
+    rows = {r.telematics_id: r for r in feed.collect()}
+    assert rows["T1"]._extra == {"tyre_psi": "31.5", "tags": "[1]"}
+    assert rows[None]._corrupt_record == '{"telematics_id": '
+    accepted, refused = split_feed(feed, TELEMATICS)
+    assert accepted.count() == 1 and values(refused, "_reason") == [("malformed record",)]
+
+
+def test_unreadable_rows_are_refused_with_their_text(spark, tmp_path):
+    header = ",".join(SHIPMENTS.columns)
+    good = "S1,O1,P1,W1,C1,2024-03-01T08:30:00+05:00,2024-03-06,2024-03-05,4,5,1,1,1,1,1,0,None,D"
+    path = tmp_path / "s.csv"
+    path.write_text(f"{header}\n{good}\n{good.replace('2024-03-01T08:30:00+05:00', 'soon')}\n")
+    accepted, refused = split_feed(read_csv_text(spark, str(path)), SHIPMENTS)
+    assert str(accepted.first().order_date) == "2024-03-01 03:30:00"
+    assert values(refused, "order_date", "_reason") == [("soon", "unreadable: order_date")]
+
+
+def test_preset_session_values_survive(spark):
+    kept = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256m")
+    try:
+        again = build_session("preset")
+        assert again.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "256m"
+        assert again.conf.get("spark.sql.session.timeZone") == "UTC"
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", kept)
