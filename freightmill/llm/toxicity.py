@@ -63,15 +63,21 @@ def text_features(text: str) -> set[str]:
     return features
 
 
-def toxic_words(features: set[str], toxic: frozenset) -> int:
-    """How many distinct words are toxic as a whole or by their beginning."""
-    hits = features & toxic
-    if not hits:
-        return 0
-    words = (f for f in features if f[1:2] != ":")
-    return sum(
-        w in hits or any(f"{k}:{w[:k]}" in hits for k in PREFIXES if len(w) >= k) for w in words
-    )
+class WordIndex:
+    """Which of the ``wanted`` features each word brings; the words met first are remembered."""
+
+    def __init__(self, wanted: frozenset, memory: int = 300_000):
+        self.wanted, self.memory = wanted, memory
+        self.known: dict[str, tuple] = {}
+
+    def of(self, word: str) -> tuple:
+        found = self.known.get(word)
+        if found is None:
+            beginnings = (f"{k}:{word[:k]}" for k in PREFIXES if len(word) >= k)
+            found = tuple(f for f in (word, *beginnings) if f in self.wanted)
+            if len(self.known) < self.memory:
+                self.known[word] = found
+        return found
 
 
 #: Features that say how many words of the mined and fixed lexicons a text holds.
@@ -91,11 +97,17 @@ class Voters:
         self.toxic = self.all_words.union(*self.mined.values())
         self.names = [*self.lexicons, *self.mined, "repeated", *PATTERNS, "spotless"]
 
-    def features(self, text: str) -> set[str]:
-        """What the classifier sees: words, beginnings and the ladder."""
-        found = text_features(text)
-        count = toxic_words(found, self.toxic)
-        return found | {name for least, name in LADDER if count >= least}
+    def features(self, text: str, index: WordIndex) -> set[str]:
+        """Features of a text that ``index`` wants, and the ladder. It must want ``toxic``."""
+        found: set[str] = set()
+        count = 0
+        for word in set(_WORD.findall(text.lower())):
+            mine = index.of(word)
+            if mine:
+                found.update(mine)
+                count += not self.toxic.isdisjoint(mine)
+        found.update(name for least, name in LADDER if count >= least)
+        return found
 
     def votes(self, text: str, features: set[str]) -> str:
         """One character for each voter; ``features`` as given by ``features``."""
@@ -218,9 +230,13 @@ class ToxicityModel:
     weight: np.ndarray
     voters: Voters
 
+    def __post_init__(self):
+        self.index = WordIndex(self.voters.toxic.union(self.numbers))
+        self.by_name = {f: float(self.weight[n]) for f, n in self.numbers.items()}
+
     def score(self, text: str | None) -> float:
-        known = self.numbers.keys() & self.voters.features(text or "")
-        margin = self.weight[-1] + sum(self.weight[self.numbers[f]] for f in known)
+        found = self.voters.features(text or "", self.index)
+        margin = float(self.weight[-1]) + math.fsum(self.by_name.get(f, 0.0) for f in found)
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, margin))))
 
 
@@ -312,18 +328,20 @@ def train(
     def vote(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
+        index = WordIndex(voters.toxic)
         for batch in batches:
             texts = [t or "" for t in batch.column(0).to_pylist()]
-            votes = [voters.votes(t, voters.features(t)) for t in texts]
+            votes = [voters.votes(t, voters.features(t, index)) for t in texts]
             yield pa.RecordBatch.from_arrays([pa.array(votes, pa.string())], names=["votes"])
 
     def read(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
+        index = WordIndex(voters.toxic.union(numbers))
         for batch in batches:
             votes, found = [], []
             for one in batch.column(0).to_pylist():
-                features = voters.features(one)
+                features = voters.features(one, index)
                 votes.append(voters.votes(one, features))
                 found.append([numbers[f] for f in numbers.keys() & features])
             yield pa.RecordBatch.from_arrays(
@@ -357,7 +375,8 @@ def train(
     found = [np.array(r["found"], np.int64) for r in training]
     # The fixed lexicons speak for themselves where no labelled row does.
     for word in sorted(voters.all_words):
-        found.append(np.array([numbers[f] for f in voters.features(word) & numbers.keys()]))
+        features = voters.features(word, WordIndex(voters.toxic.union(numbers)))
+        found.append(np.array([numbers[f] for f in features & numbers.keys()]))
         target = np.append(target, 0.95)
     return ToxicityModel(numbers, train_linear(found, target, len(numbers)), voters)
 
