@@ -34,7 +34,10 @@ def check_not_null(frame: DataFrame, contract: Contract) -> DataFrame:
 
 
 def check_domain(frame: DataFrame, contract: Contract) -> DataFrame:
-    """0/1 flags, text limits and decimal ranges. NULLs are left to ``check_not_null``."""
+    """0/1 flags, text limits and decimal ranges. NULLs are left to ``check_not_null``.
+
+    Decimals that are still text are also checked for lost digits and for being numbers.
+    """
     have = set(frame.columns)
     rules: list[tuple[str, str, str]] = []
     for a in contract.attributes:
@@ -47,7 +50,15 @@ def check_domain(frame: DataFrame, contract: Contract) -> DataFrame:
             rules.append(("MAX_LENGTH", a.name, longer))
         elif isinstance(a.dtype, T.DecimalType):
             limit = f"1e{a.dtype.precision - a.dtype.scale}BD"
-            rules.append(("DECIMAL_RANGE", a.name, f"abs({a.name}) >= {limit}"))
+            if isinstance(frame.schema[a.name].dataType, T.StringType):
+                # Raw text still has what the cast to the contract would cut off.
+                number = f"try_cast({a.name} AS DECIMAL(38,12))"
+                short = f"round({number}, {a.dtype.scale})"
+                rules.append(("DECIMAL_RANGE", a.name, f"abs({number}) >= {limit}"))
+                rules.append(("DECIMAL_SCALE", a.name, f"{number} <> {short}"))
+                rules.append(("READABLE", a.name, f"{a.name} IS NOT NULL AND {number} IS NULL"))
+            else:
+                rules.append(("DECIMAL_RANGE", a.name, f"abs({a.name}) >= {limit}"))
     return _report(frame, contract.name, rules)
 
 

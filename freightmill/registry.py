@@ -170,6 +170,16 @@ def gold_carrier_scorecard(f: Feeds) -> DataFrame:
     return gold.with_breach_badge(gold.carrier_scorecard(f.fact(), f.register()))
 
 
+@query
+def gold_carrier_scorecard_gaps(f: Feeds) -> DataFrame:
+    """Transit days are unknown for some quantities: means are over the known ones."""
+    gap = "CASE WHEN quantity_units % 7 <> 0 THEN {0} END"
+    fact = f.fact().withColumns(
+        {c: F.expr(gap.format(c)) for c in ("transit_days", "transit_delay_days")}
+    )
+    return gold.with_breach_badge(gold.carrier_scorecard(fact, f.register()))
+
+
 @query
 def gold_warehouse_monthly(f: Feeds) -> DataFrame:
     return gold.warehouse_monthly(f.fact(destination=True), f.warehouses())
@@ -285,6 +295,23 @@ def fact_load_batch(f: Feeds) -> DataFrame:
     return replace_day(fact_rows(fact), restated, BATCH_DATE)
 
 
+@query
+def fact_load_batch_changed(f: Feeds) -> DataFrame:
+    """The day comes again without some shipments, with other costs, and with the next day's
+    shipments moved to it."""
+    fact = f.fact(destination=True)
+    day = F.col("order_date").cast("date")
+    kept = fact.filter((day == F.lit(BATCH_DATE)) & (F.col("quantity_units") % 5 != 0))
+    kept = kept.withColumn(
+        "freight_cost_usd", (F.col("freight_cost_usd") + 1).cast("decimal(12,2)")
+    )
+    moved = fact.filter(day == F.date_add(F.lit(BATCH_DATE), 1))
+    moved = moved.withColumn("shipment_id", F.concat("shipment_id", F.lit("-M"))).withColumn(
+        "order_date", F.expr("order_date - INTERVAL 1 DAY")
+    )
+    return replace_day(fact_rows(fact), kept.unionByName(moved), BATCH_DATE)
+
+
 # -- measures ----------------------------------------------------------------
 
 
@@ -497,6 +524,35 @@ def dq_domain(f: Feeds) -> DataFrame:
     return quality_report.domain_report(_checked_tables(f))
 
 
+def _planted(f: Feeds) -> dict[str, DataFrame]:
+    """Shipments with faults by quantity: lost ids, odd flags, long status, raw number text."""
+    faults = {
+        "carrier_id": "CASE WHEN quantity_units % 17 <> 0 THEN carrier_id END",
+        "on_time_flag": "CASE WHEN quantity_units % 11 = 0 THEN 2 ELSE on_time_flag END",
+        "shipment_status": "CASE WHEN quantity_units % 13 = 0 THEN repeat(shipment_status, 9) "
+        "ELSE shipment_status END",
+        "weight_kg": "CASE WHEN quantity_units % 7 = 0 THEN concat(weight_kg, '5') "
+        "WHEN quantity_units % 5 = 0 THEN concat('9999999', weight_kg) "
+        "WHEN quantity_units % 3 = 0 THEN 'heavy' ELSE CAST(weight_kg AS STRING) END",
+    }
+    fact = f.fact()
+    known = [faults.get(c, c) + f" AS {c}" for c in fact.columns]
+    return {"shipments": fact.selectExpr(*known)}
+
+
+@query
+def dq_not_null_planted(f: Feeds) -> DataFrame:
+    return quality_report.not_null_report(_planted(f)).filter(
+        F.col("column_name").isin("carrier_id", "order_id")
+    )
+
+
+@query
+def dq_domain_planted(f: Feeds) -> DataFrame:
+    checked = ["on_time_flag", "in_full_flag", "shipment_status", "weight_kg"]
+    return quality_report.domain_report(_planted(f)).filter(F.col("column_name").isin(checked))
+
+
 @query
 def dq_unique(f: Feeds) -> DataFrame:
     """Business keys, and the order line number that the trade tables do repeat."""

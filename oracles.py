@@ -328,6 +328,20 @@ SELECT *, CASE WHEN actual_on_time_pct < sla_target_pct THEN 1 ELSE 0 END AS sla
 FROM scorecard""",
         SCORECARD,
     ),
+    "gold_carrier_scorecard_gaps": _sql(
+        """
+SELECT *, CASE WHEN actual_on_time_pct < sla_target_pct THEN 1 ELSE 0 END AS sla_breach_flag,
+       CASE WHEN actual_on_time_pct < sla_target_pct THEN '🚨 SLA Breach' ELSE '✅ Compliant' END
+         AS sla_badge
+FROM scorecard""",
+        SCORECARD.replace(
+            "FROM fact JOIN",
+            """FROM (SELECT * REPLACE (
+                CASE WHEN quantity_units % 7 <> 0 THEN transit_days END AS transit_days,
+                CASE WHEN quantity_units % 7 <> 0 THEN transit_delay_days END AS transit_delay_days)
+              FROM fact) JOIN""",
+        ),
+    ),
     "gold_warehouse_monthly": _sql("SELECT * FROM monthly", MONTHLY),
     "warehouse_month_trunc": _sql(
         f"""
@@ -429,6 +443,20 @@ SELECT {FACT_OUTPUT} FROM (
                          ELSE freight_cost_usd END AS freight_cost_usd)
   FROM fact)"""
     ),
+    "fact_load_batch_changed": _sql(
+        f"""
+SELECT {FACT_OUTPUT} FROM (
+  SELECT * REPLACE (CAST(supplier_id AS VARCHAR) AS supplier_id,
+                    CAST(destination_warehouse_id AS VARCHAR) AS destination_warehouse_id)
+  FROM (SELECT * FROM fact WHERE CAST(order_date AS DATE) <> DATE '1995-02-18'
+        UNION ALL
+        SELECT * REPLACE (freight_cost_usd + 1 AS freight_cost_usd) FROM fact
+        WHERE CAST(order_date AS DATE) = DATE '1995-02-18' AND quantity_units % 5 <> 0
+        UNION ALL
+        SELECT * REPLACE (shipment_id || '-M' AS shipment_id,
+                          order_date - INTERVAL 1 DAY AS order_date) FROM fact
+        WHERE CAST(order_date AS DATE) = DATE '1995-02-19'))"""
+    ),
     "measures_shipment": _sql(
         f"""
 SELECT transport_mode, {COUNT} AS total_shipments,
@@ -680,6 +708,36 @@ GROUP BY supplier_id"""
             ]
         )
     ),
+    "dq_not_null_planted": _sql(
+        f"""SELECT 'fact_shipment_fulfillment' AS table_name, 'NOT_NULL' AS rule,
+          unnest(['carrier_id', 'order_id']) AS column_name, unnest([n, n]) AS rows_checked,
+          unnest([lost, 0]) AS violations
+        FROM (SELECT {COUNT} AS n, CAST(count(*) FILTER (quantity_units % 17 = 0) AS BIGINT) AS lost
+              FROM fact)"""
+    ),
+    "dq_domain_planted": _sql(
+        "\nUNION ALL\n".join(
+            f"""SELECT 'fact_shipment_fulfillment' AS table_name, '{rule}' AS rule,
+                '{column}' AS column_name, {COUNT} AS rows_checked,
+                CAST(count(*) FILTER ({broken}) AS BIGINT) AS violations FROM fact"""
+            for rule, column, broken in [
+                ("FLAG_0_1", "on_time_flag", "quantity_units % 11 = 0"),
+                ("FLAG_0_1", "in_full_flag", "false"),
+                (
+                    "MAX_LENGTH",
+                    "shipment_status",
+                    "quantity_units % 13 = 0 AND length(shipment_status) * 9 > 50",
+                ),
+                ("DECIMAL_RANGE", "weight_kg", "quantity_units % 5 = 0 AND quantity_units % 7 <> 0"),
+                ("DECIMAL_SCALE", "weight_kg", "quantity_units % 7 = 0"),
+                (
+                    "READABLE",
+                    "weight_kg",
+                    "quantity_units % 3 = 0 AND quantity_units % 5 <> 0 AND quantity_units % 7 <> 0",
+                ),
+            ]
+        )
+    ),
     "dq_unique": _sql(
         "\nUNION ALL\n".join(
             [
