@@ -90,7 +90,62 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+_SITES = ", ".join(
+    f"('{r.name.partition('/')[0]}', '/{r.name.partition('/')[2]}', '{r.name}', '{r.verdict}')"
+    for r in SITE_RULES
+)
+_KEYWORD = "|".join("[^a-z0-9]+".join(words.split()) for words in KEYWORDS)
+
 ORACLES: dict[str, str] = {
+    "op2_jaccard_join": f"""
+        WITH RECURSIVE worded AS (
+          SELECT doc_id, list_filter(
+                   regexp_split_to_array({_LOWER}, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w
+          FROM documents),
+        listed AS (
+          SELECT doc_id, CASE
+              WHEN len(w) >= 5 THEN list_distinct(list_transform(
+                range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' ')))
+              WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS shingles
+          FROM worded),
+        sized AS (SELECT doc_id, CAST(len(shingles) AS BIGINT) AS n FROM listed),
+        single AS (SELECT doc_id, unnest(shingles) AS shingle FROM listed),
+        pairs AS (
+          SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c
+          FROM single a JOIN single b ON a.shingle = b.shingle AND a.doc_id < b.doc_id
+          GROUP BY a.doc_id, b.doc_id),
+        links AS (
+          SELECT x, y FROM pairs JOIN sized p ON p.doc_id = x JOIN sized q ON q.doc_id = y
+          WHERE 100 * c >= 80 * (p.n + q.n - c)),
+        reach(doc_id, other) AS (
+          SELECT doc_id, doc_id FROM documents
+          UNION
+          SELECT r.doc_id, l.other FROM reach r
+          JOIN (SELECT x AS here, y AS other FROM links
+                UNION ALL SELECT y, x FROM links) l ON r.other = l.here)
+        SELECT r.doc_id, s.n AS n_shingles, min(r.other) AS component_id
+        FROM reach r JOIN sized s ON s.doc_id = r.doc_id GROUP BY r.doc_id, s.n
+    """,
+    "op4_url_filter": f"""
+        WITH parts AS (
+          SELECT page_id, lower(coalesce(url, '')) AS url,
+                 translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1),
+                           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                 regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path
+          FROM pages),
+        rules(site, prefix, rule, verdict) AS (VALUES {_SITES}),
+        best AS (
+          SELECT page_id, host, path, url,
+                 arg_max(rule, length(rule)) AS rule, arg_max(verdict, length(rule)) AS fits
+          FROM parts LEFT JOIN rules
+            ON (host = site OR ends_with(host, '.' || site)) AND starts_with(path, prefix)
+          GROUP BY page_id, host, path, url)
+        SELECT page_id, coalesce(host, '') AS host, coalesce(path, '') AS path, rule,
+               coalesce(fits, CASE WHEN regexp_matches(
+                 url, '(^|[^a-z0-9])({_KEYWORD})([^a-z0-9]|$)') THEN 'block' ELSE 'allow' END)
+                 AS verdict
+        FROM best
+    """,
     "op5_exact_dedup": f"""
         SELECT doc_id,
                max(doc_id) OVER same AS keep_id,

@@ -1,0 +1,188 @@
+"""Nulls, empty and long texts, ties, repeated rows, empty tables and clashing columns."""
+
+import hashlib
+
+import pytest
+
+from freightmill.llm.decontaminate import contaminated_windows, drop_contaminated
+from freightmill.llm.exact_dedup import drop_exact_duplicates, mark_exact_duplicates
+from freightmill.llm.html_text import extract_main_text
+from freightmill.llm.jaccard_join import drop_near_duplicates, near_duplicate_components
+from freightmill.llm.line_dedup import drop_repeated_lines, line_classes
+from freightmill.llm.packing import pack_documents
+from freightmill.llm.substring_dedup import remove_repeats
+from freightmill.llm.token_counts import token_counts
+from freightmill.llm.toxicity import drop_toxic, score_documents, train
+from freightmill.llm.url_filter import judge_urls, keyword_rule, site_rule
+
+PASSAGE = " ".join(f"word{k}" for k in range(40))
+LONG = " ".join(f"long{k % 977}x{k}" for k in range(60_000))
+CLASH = (
+    "doc_id long, text string, score double, kept boolean, offset long, n_tokens string, "
+    "sequence_id long, digest string, key string, run int, _text int, unit string, grp long"
+)
+ROWS = [
+    (1, PASSAGE),
+    (1, PASSAGE),
+    (2, PASSAGE.upper()),
+    (3, None),
+    (4, ""),
+    (5, " \t\n "),
+    (None, PASSAGE),
+    (None, None),
+    (6, "tiny"),
+    (7, LONG),
+    (8, LONG + " tail"),
+]
+
+
+def full(row):
+    return (*row, 0.5, True, 9, "x", 4, "d", "k", 3, 2, "u", 1)
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.createDataFrame([full(r) for r in ROWS], CLASH)
+
+
+@pytest.fixture(scope="module")
+def nothing(docs):
+    return docs.where("false")
+
+
+@pytest.fixture(scope="module")
+def items(spark):
+    rows = [(1, PASSAGE), (2, None), (3, ""), (4, "tiny"), (None, "w " * 30)]
+    return spark.createDataFrame(rows, "item_id long, text string")
+
+
+@pytest.fixture(scope="module")
+def labels(spark):
+    rows = [(1, 1, 1), (2, 1, 1), (2, 0, 0), (6, 1, None), (None, 1, 1), (7, 1, 0)]
+    return spark.createDataFrame(rows, "doc_id long, quality int, toxic int")
+
+
+def test_exact_dedup(docs, nothing):
+    rows = mark_exact_duplicates(docs).select("doc_id", "keep_id", "group_size", "kept").collect()
+    assert len(rows) == len(ROWS)
+    found = {r[0]: tuple(r[1:]) for r in rows if r[0] is not None}
+    assert found[1] == (2, 4, False) and found[2] == (2, 4, True)
+    assert found[4] == (4, 3, True) and found[3] == (4, 3, False)
+    assert mark_exact_duplicates(nothing).count() == 0
+    kept = drop_exact_duplicates(docs)
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id for r in kept.collect()) == [2, 4, 5, 6, 7, 8]
+
+
+def test_jaccard(docs, nothing):
+    rows = near_duplicate_components(docs).collect()
+    assert len(rows) == len(ROWS)
+    found = {r.doc_id: (r.n_shingles, r.component_id) for r in rows if r.doc_id is not None}
+    assert found[1] == (36, 1) and found[2] == (36, 1)
+    assert found[3] == (0, 3) and found[5] == (0, 5)
+    assert found[6] == (1, 6) and found[7][1] == 7 and found[8][1] == 7
+    nulls = sorted((r.n_shingles, r.component_id or -1) for r in rows if r.doc_id is None)
+    assert nulls == [(0, -1), (36, 1)]
+    assert near_duplicate_components(nothing).count() == 0
+    kept = drop_near_duplicates(docs)
+    assert kept.columns == docs.columns
+    ids = [r.doc_id for r in kept.collect()]
+    assert sorted(i for i in ids if i) == [1, 1, 3, 4, 5, 6, 7] or sorted(
+        i for i in ids if i
+    ) == [1, 3, 4, 5, 6, 7]
+
+
+def test_packing(docs, nothing):
+    rows = pack_documents(docs, capacity=64).collect()
+    assert {r.doc_id for r in rows} == {1, 2, 3, 4, 5, 6, 7, 8, None}
+    places = sorted((r.sequence_id, r.offset, r.length) for r in rows)
+    end = {}
+    for sequence, offset, length in places:
+        assert offset == end.get(sequence, 0)
+        end[sequence] = offset + length
+        assert end[sequence] <= 64
+    assert pack_documents(nothing).count() == 0
+
+
+def test_token_counts(docs, nothing):
+    rows = token_counts(docs).collect()
+    assert len(rows) == len(ROWS)
+    found = {r.doc_id: (r.n_bytes, r.n_tokens, r.over_limit) for r in rows if r.doc_id}
+    assert found[3] == (0, 0, False) and found[4] == (0, 0, False)
+    assert found[7][2] and found[7][0] == len(LONG)
+    assert token_counts(nothing).count() == 0
+
+
+def test_substring_dedup(docs, nothing):
+    rows = remove_repeats(docs).collect()
+    assert len(rows) == len(ROWS)
+    found = {r.doc_id: r for r in rows if r.doc_id is not None}
+    assert found[1].n_removed == 0 and found[2].n_removed == 0
+    assert found[7].n_removed == 0
+    assert found[8].n_removed == len(LONG) and found[8].n_spans == 1
+    assert found[8].kept_sha256 == hashlib.sha256(b" tail").hexdigest()
+    nulls = sorted(r.n_removed for r in rows if r.doc_id is None)
+    assert nulls == [0, len(PASSAGE)]
+    assert remove_repeats(nothing).count() == 0
+
+
+def test_decontaminate(docs, items, nothing):
+    rows = contaminated_windows(docs, items).select("doc_id", "item_id").collect()
+    found = {(r.doc_id, r.item_id) for r in rows}
+    assert found == {(1, 1), (2, 1), (None, 1), (6, 4)}
+    kept = drop_contaminated(docs, items)
+    assert kept.columns == docs.columns
+    ids = sorted(r.doc_id or 0 for r in kept.collect())
+    assert ids == [0, 3, 4, 5, 7, 8]
+    assert contaminated_windows(nothing, items).count() == 0
+    assert contaminated_windows(docs, items.where("false")).count() == 0
+    assert drop_contaminated(docs, items.where("false")).count() == len(ROWS)
+
+
+def test_toxicity(docs, labels, nothing):
+    model = train(docs, labels)
+    rows = score_documents(docs, model).collect()
+    assert len(rows) == len(ROWS)
+    assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.7) for r in rows)
+    assert drop_toxic(docs, model).columns == docs.columns
+    empty = train(nothing, labels.where("false"))
+    assert score_documents(nothing, empty).count() == 0
+    alone = train(docs, labels.where("false"))
+    assert alone.score("you stupid idiot, you are pathetic scum") > alone.score("a quiet day")
+
+
+def test_lines(docs, nothing):
+    rows = line_classes(docs).collect()
+    assert all(r.class_line == 0 for r in rows)
+    by_id = {r.doc_id: r for r in rows if r.doc_id is not None}
+    assert set(by_id) == {1, 2, 6, 7, 8}
+    assert by_id[1].class_id is None and not by_id[1].kept  # NULL ids come first
+    assert by_id[8].kept and by_id[7].kept
+    cleaned = drop_repeated_lines(docs, line_classes(docs))
+    assert cleaned.columns == docs.columns and cleaned.count() == len(ROWS)
+    assert line_classes(nothing).count() == 0
+
+
+def test_pages(spark):
+    schema = "page_id long, url string, html string, text string, host string, n_chars int"
+    rows = [
+        (1, "http://WWW.Example.com/en/1", "<p>One, two&amp;three", "a", "b", 1),
+        (1, "http://WWW.Example.com/en/1", "<p>One, two&amp;three", "a", "b", 1),
+        (2, None, None, None, None, None),
+        (None, "", "", "", "", 0),
+        (3, "no scheme casino", "<div><script>x</script></div>", "a", "b", 1),
+        (4, "http://spam-farm.org", "<p>" + "deep <i>" * 3000, "a", "b", 1),
+    ]
+    pages = spark.createDataFrame(rows, schema)
+    texts = [(r.page_id, r.text) for r in extract_main_text(pages).collect()]
+    assert texts[0] == texts[1] == (1, "One, two&three")
+    assert texts[2][1] == texts[3][1] == texts[4][1] == ""
+    assert texts[5][1].count("deep") == 3000
+    rules = [site_rule("com", "/", "allow"), keyword_rule("casino"), keyword_rule("spam farm")]
+    judged = [(r.page_id, r.host, r.path, r.rule, r.verdict) for r in judge_urls(pages, rules).collect()]
+    assert judged[0] == (1, "www.example.com", "/en/1", "com/", "allow")
+    assert judged[2] == (2, "", "", None, "allow") and judged[3] == (None, "", "", None, "allow")
+    assert judged[4] == (3, "", "", None, "block")
+    assert judged[5] == (4, "spam-farm.org", "", None, "block")
+    assert extract_main_text(pages.where("false")).count() == 0
+    assert judge_urls(pages.where("false"), rules).count() == 0
