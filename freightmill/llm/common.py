@@ -57,5 +57,20 @@ def cut(frame: DataFrame) -> DataFrame:
     return frame.checkpoint(eager=True)
 
 
+BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 16 << 20
+
+
+def measured(frame: DataFrame) -> DataFrame:
+    """``frame``, written once and counted: marked for broadcast only if it is small enough.
+
+    Beyond the bounds it stays a plain table, and a join with it shuffles.
+    """
+    frame = cut(frame)
+    size = F.sum(F.length(F.to_json(F.struct(*[f"`{c}`" for c in frame.columns]))))
+    rows, size = frame.agg(F.count("*"), size).first()
+    return F.broadcast(frame) if rows <= BROADCAST_ROWS and (size or 0) <= BROADCAST_BYTES else frame
+
+
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")

@@ -17,7 +17,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from freightmill.llm.common import cut, scratch_names, words
+from freightmill.llm.common import cut, measured, scratch_names, words
 
 BITS = 64
 LANES = 4
@@ -54,6 +54,13 @@ def weighted(shingles: Column) -> Column:
     return F.when(F.size(F.array_distinct(shingles)) == F.size(shingles), plain).otherwise(numbered)
 
 
+def _with_marks(frame: DataFrame, tokens: str, name: str, n: int) -> DataFrame:
+    """Add the weighted shingles of ``tokens``; the plain ones are made once, in between."""
+    (plain,) = scratch_names(frame, "shingles")
+    listed = frame.withColumn(plain, shingle_list(F.col(tokens), n))
+    return listed.withColumn(name, weighted(F.col(plain))).drop(plain)
+
+
 def with_simhash(frame: DataFrame, tokens: str, name: str) -> DataFrame:
     """Add the 64-bit SimHash of a word multiset: bit by bit, what more than half of them have.
 
@@ -112,7 +119,7 @@ def _rare_occurrences(profiles: DataFrame, doc_words: DataFrame) -> DataFrame:
     """(item_id, word, q) of each item's rarest occurrences by their count in the documents."""
     placed = profiles.select("item_id", "missing", "support", F.posexplode("item_words"))
     placed = placed.withColumnsRenamed({"pos": "q", "col": "word"})
-    vocabulary = placed.select(F.col("word").alias("known")).distinct()
+    vocabulary = measured(placed.select(F.col("word").alias("known")).distinct())
     counts = (
         doc_words.select(F.explode("words").alias("word"))
         .join(vocabulary, F.col("word") == F.col("known"))
@@ -131,8 +138,10 @@ def _rare_occurrences(profiles: DataFrame, doc_words: DataFrame) -> DataFrame:
     # missing + support occurrences: of these at least ``support`` stand in a similar window.
     return ranked.select(
         "item_id",
+        "missing",
+        "support",
         F.explode(F.slice("order", F.lit(1), F.col("missing") + F.col("support"))).alias("at"),
-    ).select("item_id", "at.word", "at.q")
+    ).select("item_id", "missing", "support", "at.word", "at.q")
 
 
 def contaminated_windows(
@@ -153,8 +162,8 @@ def contaminated_windows(
     document where that is shorter. ``start`` counts words from 0; of equal windows the first
     counts. Words are lower-cased (A-Z) and split at blanks. NULL, empty and blank texts match
     nothing, on either side. Rows that repeat an id and text give one result; equal ids with
-    other texts are told apart by ``key``. Other columns are not read. The benchmark is joined
-    like any table and only broadcast when Spark finds it small.
+    other texts are told apart by ``key``. Other columns are not read. The benchmark's words and
+    the candidates are broadcast after a check of their size, and joined by shuffles beyond it.
     """
     profiles = _profiles(items, item_text, item_id_column, n, similarity)
     raw = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
@@ -162,25 +171,23 @@ def contaminated_windows(
     source = docs.select(
         key.alias("key"), F.col(f"`{id_column}`").alias(id_column), words(raw).alias("words")
     )
-    rare = _rare_occurrences(profiles, source)
+    rare = measured(_rare_occurrences(profiles, source))
     hits = (
         source.select("key", F.posexplode("words").alias("p", "found"))
         .join(rare, F.col("found") == F.col("word"))
-        .select("key", "item_id", "q", (F.col("p") - F.col("q")).alias("at"))
-        .distinct()
+        .select("key", "item_id", "missing", "support", "q", (F.col("p") - F.col("q")).alias("at"))
     )
-    # Enough of an item's rare occurrences, and where the windows that hold them may start.
-    candidates = (
-        hits.groupBy("key", "item_id", "at")
-        .agg(F.collect_set("q").alias("qs"))
-        .groupBy("key", "item_id")
-        .agg(
-            F.size(F.array_distinct(F.flatten(F.collect_list("qs")))).alias("held"),
-            F.collect_set("at").alias("ats"),
-        )
-        .join(profiles, "item_id")
-        .where("held >= support")
-        .select(F.col("key").alias("hit"), "w", "missing", "ats")
+    # What a similar window shares starts within 2 * missing of each other. Buckets of twice
+    # that stride overlap by half, so one bucket holds all of it.
+    stride = 2 * F.col("missing") + 1
+    bucket = F.floor(F.col("at") / stride)
+    candidates = measured(
+        hits.withColumn("bucket", F.explode(F.array(bucket, bucket - 1)))
+        .groupBy("key", "item_id", "support", "bucket")
+        .agg(F.collect_set("q").alias("qs"), F.collect_set("at").alias("ats"))
+        .where("size(qs) >= support")
+        .join(profiles.drop("support"), "item_id")
+        .select(F.col("key").alias("hit"), "item_words", "w", "missing", "ats")
     )
     texts = candidates.join(source, F.col("hit") == F.col("key"))
     last = F.greatest(F.size("words") - F.col("w"), F.lit(0))
@@ -195,28 +202,28 @@ def contaminated_windows(
             )
         )
     )
+    cut_out = F.transform(
+        starts,
+        lambda s: F.struct(s.alias("start"), F.slice("words", s + 1, F.col("w")).alias("tokens")),
+    )
+    # Of an item's different words no more than ``missing`` may be absent from a window.
+    enough = F.size(F.array_distinct("item_words")) - F.col("missing")
+    full = F.filter(
+        cut_out, lambda x: F.size(F.array_intersect(F.col("item_words"), x["tokens"])) >= enough
+    )
     windows = (
-        texts.select(
-            "key",
-            id_column,
-            F.col("w").alias("window_w"),
-            F.explode(
-                F.transform(
-                    starts,
-                    lambda s: F.struct(
-                        s.alias("start"), F.slice("words", s + 1, F.col("w")).alias("tokens")
-                    ),
-                )
-            ).alias("window"),
-        )
+        texts.select("key", id_column, F.col("w").alias("window_w"), F.explode(full).alias("window"))
         .select("key", id_column, "window_w", "window.start", "window.tokens")
+        .distinct()
     )
-    windows = cut(with_simhash(windows, "tokens", "print"))
+    windows = _with_marks(with_simhash(windows, "tokens", "print"), "tokens", "mine", n)
+    windows = cut(windows.withColumn("n_words", F.size("tokens")).drop("tokens"))
     # Fingerprints meet block by block, among windows and items of the same size.
     window_blocks = windows.withColumn("block", F.explode(hamming_blocks(F.col("print"), radius)))
     item_prints = with_simhash(
         profiles.select("item_id", "item_words", "w"), "item_words", "item_print"
     )
+    item_prints = cut(_with_marks(item_prints, "item_words", "theirs", n).drop("item_words"))
     item_blocks = item_prints.withColumn(
         "item_block", F.explode(hamming_blocks(F.col("item_print"), radius))
     )
@@ -237,17 +244,16 @@ def contaminated_windows(
             )
         )
     )
-    mine, theirs = (weighted(shingle_list(F.col(c), n)) for c in ("tokens", "item_words"))
-    common = F.size(F.array_intersect(mine, theirs))
-    total = F.size(mine) + F.size(theirs) - common
-    score = (common / total).cast("double")
+    # The similarity is a column of its own, or the filter and the result would compute it twice.
+    common = near.withColumn("common", F.size(F.array_intersect("mine", "theirs")))
+    total = F.size("mine") + F.size("theirs") - F.col("common")
     return (
-        near.withColumn("similarity", score)
+        common.withColumn("similarity", (F.col("common") / total).cast("double"))
         .where(F.col("similarity") >= similarity)
         .groupBy("key", id_column, "item_id")
         .agg(
             F.max_by(
-                F.struct("similarity", "start", F.size("tokens").alias("n_words")),
+                F.struct("similarity", "start", "n_words"),
                 F.struct("similarity", -F.col("start")),
             ).alias("best")
         )
