@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from freightmill.llm.common import scratch_names
+from freightmill.llm.common import measured, scratch_names
 
 ABSTAIN, TOXIC, CLEAN = 0, 1, 2
 PREFIXES = (3, 4, 5, 6, 7, 8)
@@ -253,7 +253,8 @@ def _labelled_sample(
         .limit(bound)
     )
     texts = docs.select(F.col(f"`{id_column}`").alias("labelled"), F.col(f"`{text}`").alias("text"))
-    return texts.join(marks, "labelled").select(
+    # The marks are bounded by ``bound``, so the texts need not move to meet them.
+    return texts.join(measured(marks), "labelled").select(
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), "toxic"
     )
 
@@ -373,8 +374,11 @@ def train(
     posterior = model.posterior(votes)[:, 1]
     target = np.array([posterior[place[r["votes"]]] for r in training])
     found = [np.array(r["found"], np.int64) for r in training]
-    # The fixed lexicons speak for themselves where no labelled row does.
+    # The fixed lexicons speak for themselves where no labelled row does, and so does a text
+    # without any feature.
     for word in sorted(voters.all_words):
+        found.append(np.zeros(0, np.int64))
+        target = np.append(target, 0.02)
         features = voters.features(word, WordIndex(voters.toxic.union(numbers)))
         found.append(np.array([numbers[f] for f in features & numbers.keys()]))
         target = np.append(target, 0.95)
