@@ -102,19 +102,23 @@ def pretoken_starts(data: np.ndarray, rows: np.ndarray) -> np.ndarray:
     return np.flatnonzero(starts)
 
 
-@lru_cache(maxsize=1)
-def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
-    inverse = np.uint64(pow(int(_HASH_BASE), -1, 1 << 64))
-    return tuple(
-        np.cumprod(np.concatenate([[np.uint64(1)], np.full(size, base, np.uint64)]))
-        for base in (_HASH_BASE, inverse)
-    )
+_POWERS: list[np.ndarray] = [np.zeros(0, np.uint64), np.zeros(0, np.uint64)]
+
+
+def _powers(size: int) -> list[np.ndarray]:
+    """Powers of the hash base and of its inverse, at least ``size`` of each."""
+    if len(_POWERS[0]) < size:
+        inverse = np.uint64(pow(int(_HASH_BASE), -1, 1 << 64))
+        for k, base in enumerate((_HASH_BASE, inverse)):
+            factors = np.full(1 << (size - 1).bit_length(), base, np.uint64)
+            factors[0] = 1
+            _POWERS[k] = np.cumprod(factors)
+    return _POWERS
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit hash of each span of bytes, from one running polynomial."""
-    size = 1 << max(16, int(len(data)).bit_length())
-    power, inverse = _powers(size)
+    power, inverse = _powers(max(1 << 16, len(data) + 1))
     running = np.zeros(len(data) + 1, np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[: len(data)], out=running[1:])
     value = (running[ends] - running[starts]) * inverse[starts]

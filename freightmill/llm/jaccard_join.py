@@ -5,12 +5,9 @@
    few of each, their prefixes.
 2. Documents with the same set are one unit; units with the same size and prefix are one group.
    Only groups are posted under their prefix shingles.
-3. Of every posting list the first HUBS groups meet all others, which is every pair of a short
-   list. Group pairs that pass the size and position filters are expanded to units and
-   verified on the whole sets.
-4. Links so far give components. What was not compared in long lists is compared only across
-   components, since a link inside one changes nothing. So a large group of near copies costs
-   a few comparisons for each member, and still no link between components is lost.
+3. Group pairs of a posting list that pass the size and position filters are expanded to units
+   and verified on the whole sets (``posting_lists`` says which pairs of a long list need it).
+4. Components of the links are the classes of near duplicates.
 """
 
 from __future__ import annotations
@@ -19,66 +16,48 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from freightmill.llm.byte_bpe import arrow_texts
 from freightmill.llm.common import cut
-from freightmill.llm.components import components
+from freightmill.llm.posting_lists import (
+    bitmap_of,
+    emit_counts,
+    in_bitmap,
+    linked_components,
+    summed_counts,
+)
 from freightmill.llm.shingles import in_chunks
 
-HUBS = 8
-SKETCH_BITS = 20
-SLOTS = 64
-
-
-def summed_counts(parts: DataFrame, size: int) -> np.ndarray:
-    """Add up counter arrays given as (slot int, counts binary); the result has ``size`` cells."""
-
-    def add(table):
-        import pyarrow as pa
-
-        total = np.zeros(size // SLOTS, np.uint64)
-        for raw in table.column("counts"):
-            total += np.frombuffer(raw.as_py(), np.uint32)
-        raw = np.minimum(total, 0xFFFFFFFF).astype(np.uint32).tobytes()
-        return pa.table({"slot": table.column("slot")[:1], "counts": pa.array([raw], pa.binary())})
-
-    out = np.zeros(size, np.uint32)
-    width = size // SLOTS
-    merged = parts.groupBy("slot").applyInArrow(add, "slot int, counts binary")
-    for row in merged.collect():  # SLOTS rows, 4 * size bytes in all
-        out[row["slot"] * width : (row["slot"] + 1) * width] = np.frombuffer(row["counts"], np.uint32)
-    return out
-
-
-def emit_counts(counts: np.ndarray):
-    """The counter array of one task as SLOTS rows; slots without a count are left out."""
-    import pyarrow as pa
-
-    width = len(counts) // SLOTS
-    rows = [(k, counts[k * width : (k + 1) * width]) for k in range(SLOTS)]
-    rows = [(k, c.astype(np.uint32).tobytes()) for k, c in rows if c.any()]
-    return pa.RecordBatch.from_arrays(
-        [pa.array([k for k, _ in rows], pa.int32()), pa.array([c for _, c in rows], pa.binary())],
-        names=["slot", "counts"],
-    )
+SKETCH_BITS = 22
 
 
 def _levels(texts: DataFrame, n: int) -> np.ndarray:
-    """How common the shingles of each sketch cell are: log2 of the count over the mean."""
+    """How common the shingles of each sketch cell are, as a small number for each cell.
+
+    Shingles that occur once fill all cells alike, up to chance; the level says by how many
+    times twice that chance's deviation a cell exceeds the mean, on a log scale. The order is
+    the same for all documents, and any order gives right results.
+    """
 
     def count(batches: Iterator) -> Iterator:
-        cells = np.zeros(1 << SKETCH_BITS, np.int64)
+        cells = np.zeros(1 << SKETCH_BITS, np.uint32)
         for batch in batches:
             for _, values, _ in in_chunks(*arrow_texts(batch.column(0)), n):
-                at = (values >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
-                cells += np.bincount(at, minlength=len(cells))
+                at = np.sort((values >> np.uint64(64 - SKETCH_BITS)).astype(np.int64))
+                first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))[: len(at)]
+                cells[at[first]] += np.diff(np.append(first, len(at))).astype(np.uint32)
         yield emit_counts(cells)
 
     counts = summed_counts(texts.mapInArrow(count, "slot int, counts binary"), 1 << SKETCH_BITS)
     mean = max(float(counts.mean()), 1.0)
-    return np.clip(np.floor(np.log2(np.maximum(counts, 1) / mean)), 0, 60).astype(np.uint8)
+    levels = np.empty(len(counts), np.uint8)
+    for at in range(0, len(counts), 1 << 18):  # in parts, to keep the driver small
+        excess = (counts[at : at + (1 << 18)] - mean) / (2 * np.sqrt(mean))
+        level = np.where(excess < 1, 0, 1 + np.floor(np.log2(np.maximum(excess, 1))))
+        levels[at : at + (1 << 18)] = level
+    return levels
 
 
 def _set_id(values: np.ndarray) -> bytes:
@@ -138,59 +117,6 @@ def _passes(n_a, n_b, pos_a, pos_b, percent: int) -> np.ndarray:
     return sizes & (reach >= _needed(n_a, n_b, percent))
 
 
-def _hub_pairs(postings: DataFrame, percent: int) -> DataFrame:
-    """From postings sorted by token: pairs with the first HUBS groups of each list (kind 0),
-    and all rows of the lists that are longer than that covers (kind 1).
-
-    Only the first HUBS + 1 rows of an unfinished list are held from batch to batch.
-    """
-
-    def stream(batches: Iterator) -> Iterator:
-        import pyarrow as pa
-
-        held = np.zeros((0, 4), np.int64)
-        for batch in batches:
-            rows = np.stack([batch.column(k).to_numpy() for k in range(4)], axis=1)
-            if len(held) and len(rows) and held[0, 0] == rows[0, 0]:
-                rows = np.concatenate([held, rows])
-            if not len(rows):
-                continue
-            token, group, size, pos = rows.T
-            new = np.concatenate([[True], token[1:] != token[:-1]])
-            heads = np.flatnonzero(new)
-            length = np.diff(np.append(heads, len(rows)))
-            start = np.repeat(heads, length)
-            here = np.arange(len(rows))
-            left, right = [], []
-            for k in range(HUBS):
-                at = np.flatnonzero(here > start + k)
-                hub = start[at] + k
-                good = _passes(size[hub], size[at], pos[hub], pos[at], percent)
-                good &= group[hub] != group[at]
-                left.append(hub[good])
-                right.append(at[good])
-            a, b = group[np.concatenate(left)], group[np.concatenate(right)]
-            pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0)
-            long = np.repeat(length, length) > HUBS + 1
-            out = [
-                np.concatenate([np.zeros(len(pairs), np.int64), np.ones(long.sum(), np.int64)]),
-                np.concatenate([pairs[:, 0], token[long]]),
-                np.concatenate([pairs[:, 1], group[long]]),
-                np.concatenate([np.zeros(len(pairs), np.int64), size[long]]),
-                np.concatenate([np.zeros(len(pairs), np.int64), pos[long]]),
-            ]
-            if len(out[0]):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c) for c in out], names=["kind", "a", "b", "n", "pos"]
-                )
-            held = rows[heads[-1] :][: HUBS + 1]
-
-    ordered = postings.repartition("token").sortWithinPartitions("token", "grp")
-    return ordered.select("token", "grp", "n", "pos").mapInArrow(
-        stream, "kind long, a long, b long, n long, pos long"
-    )
-
-
 def _verified(
     pairs: DataFrame, texts: DataFrame, units: DataFrame, n: int, percent: int
 ) -> DataFrame:
@@ -202,23 +128,14 @@ def _verified(
     """
     wanted = pairs.select(F.col("a").alias("unit")).union(pairs.select("b")).distinct()
     ids = wanted.join(units, "unit").select(F.xxhash64("one").alias("h"))
-    cells = 1 << 23
-
-    def mark(batches: Iterator) -> Iterator:
-        seen = np.zeros(cells, np.int64)
-        for batch in batches:
-            seen[batch.column(0).to_numpy() & (cells - 1)] = 1
-        yield emit_counts(seen)
-
-    bitmap = np.packbits(summed_counts(ids.mapInArrow(mark, "slot int, counts binary"), cells) > 0)
+    bitmap = bitmap_of(ids)
 
     def collect_sets(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         for batch in batches:
-            place = batch.column(2).to_numpy() & (cells - 1)
-            hit = (bitmap[place >> 3] >> (7 - (place & 7)).astype(np.uint8)) & 1
-            texts = batch.column(0).filter(pa.array(hit.astype(bool)))
+            hit = in_bitmap(bitmap, batch.column(2).to_numpy())
+            texts = batch.column(0).filter(pa.array(hit))
             keys, sets = [], []
             for _, values, bounds in in_chunks(*arrow_texts(texts), n):
                 for k in range(len(bounds) - 1):
@@ -263,63 +180,6 @@ def _verified(
     return both.mapInArrow(similar, "a binary, b binary")
 
 
-def _ordered(a: str, b: str) -> list[Column]:
-    return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
-
-
-def _cross_pairs(rows: DataFrame, percent: int) -> DataFrame:
-    """Pairs of groups of one long list that are not known to be of one component.
-
-    Sorted by list; a list is split by the task that holds it into blocks of rows outside its
-    most common component, each of which meets the rest of the list at once.
-    """
-
-    def stream(batches: Iterator) -> Iterator:
-        import pyarrow as pa
-
-        held = np.zeros((0, 5), np.int64)
-        for batch in [*batches, None]:
-            if batch is not None:
-                rows = np.stack([batch.column(k).to_numpy() for k in range(5)], axis=1)
-                held = np.concatenate([held, rows])
-                cut_at = np.searchsorted(held[:, 0], held[-1, 0]) if len(held) else 0
-                ready, held = held[:cut_at], held[cut_at:]
-            else:
-                ready = held
-            if not len(ready):
-                continue
-            heads = np.flatnonzero(np.concatenate([[True], ready[1:, 0] != ready[:-1, 0]]))
-            for lo, hi in zip(heads, np.append(heads[1:], len(ready))):
-                _, group, size, pos, label = ready[lo:hi].T
-                names, inverse, count = np.unique(label, return_inverse=True, return_counts=True)
-                mixed = names == MIXED
-                if len(names) == 1 and not mixed.any():
-                    continue
-                count = np.where(mixed, -1, count)
-                odd = np.flatnonzero(inverse != count.argmax()) if not mixed.all() else np.arange(len(group))
-                is_odd = np.zeros(len(group), bool)
-                is_odd[odd] = True
-                for x in odd.tolist():
-                    # Odd ones meet all others once; the common component's rows never meet.
-                    other = np.flatnonzero(~is_odd | (np.arange(len(group)) > x))
-                    apart = (label[other] != label[x]) | (label[x] == MIXED)
-                    other = other[apart & (group[other] != group[x])]
-                    good = other[_passes(size[x], size[other], pos[x], pos[other], percent)]
-                    if len(good):
-                        a = np.minimum(group[x], group[good])
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(a), pa.array(np.maximum(group[x], group[good]))],
-                            names=["a", "b"],
-                        )
-
-    ordered = rows.repartition("token").sortWithinPartitions("token", "grp")
-    return ordered.select("token", "grp", "n", "pos", "label").mapInArrow(stream, "a long, b long")
-
-
-#: Label of a group whose units are in several components.
-MIXED = np.iinfo(np.int64).min
-
-
 def near_duplicate_components(
     docs: DataFrame,
     text: str = "text",
@@ -345,61 +205,15 @@ def near_duplicate_components(
     groups = profiles.where("n > 0").select("grp", "n", "prefix").distinct()
     postings = groups.select("grp", "n", F.posexplode("prefix").alias("pos", "token"))
     postings = postings.select("token", "grp", "n", F.col("pos").cast("long").alias("pos"))
-    listed = cut(_hub_pairs(postings, percent).distinct())
-
-    # Up to HUBS units speak for a group; inside a group they meet all its units.
-    members = units.groupBy("grp").agg(F.sort_array(F.collect_set("unit")).alias("all"))
-    spoken = members.select("grp", F.slice("all", 1, HUBS).alias("few"), "all")
-    within = (
-        spoken.where("size(all) > 1")
-        .select(F.explode("few").alias("x"), "all")
-        .select("x", F.explode("all").alias("y"))
-    )
-    few = spoken.select("grp", F.explode("few").alias("few"))
-    across = (
-        listed.where("kind = 0")
-        .join(few.withColumnsRenamed({"grp": "a", "few": "x"}), "a")
-        .join(few.withColumnsRenamed({"grp": "b", "few": "y"}), "b")
-        .select("x", "y")
-    )
-    first = within.union(across).where("x <> y").select(*_ordered("x", "y")).distinct()
     named = units.select("unit", "one")
-    links = cut(_verified(cut(first), texts, named, n, percent))
-    labels = components(links)
-
-    # What long lists and large groups have left, across components only.
-    known = units.join(labels, F.col("unit") == F.col("node"), "left").select(
-        "unit", "grp", F.coalesce("component", "unit").alias("component")
-    )
-    known = cut(known)
-    by_group = known.groupBy("grp").agg(
-        F.min("component").alias("low"), F.max("component").alias("high")
-    )
-    label = F.when(F.col("low") == F.col("high"), F.xxhash64("low")).otherwise(F.lit(int(MIXED)))
-    long_rows = (
-        listed.where("kind = 1")
-        .select(F.col("a").alias("token"), F.col("b").alias("grp"), "n", "pos")
-        .join(by_group.select("grp", label.alias("label")), "grp")
-    )
-    x = known.select(F.col("grp").alias("a"), F.col("unit").alias("x"), F.col("component").alias("cx"))
-    y = known.select(F.col("grp").alias("b"), F.col("unit").alias("y"), F.col("component").alias("cy"))
-    rest = _cross_pairs(long_rows, percent).distinct().join(x, "a").join(y, "b").where("cx <> cy")
-    split = by_group.where("low <> high").select("grp")
-    inner = known.join(split, "grp", "left_semi")
-    same_group = inner.select("grp", F.col("unit").alias("x"), F.col("component").alias("cx")).join(
-        inner.select("grp", F.col("unit").alias("y"), F.col("component").alias("cy")), "grp"
-    )
-    left = (
-        rest.select("x", "y")
-        .union(same_group.where("x < y AND cx <> cy").select("x", "y"))
-        .select(*_ordered("x", "y"))
-        .join(first, ["a", "b"], "left_anti")
-        .distinct()
+    labels = linked_components(
+        postings,
+        units.select("unit", "grp"),
+        lambda n_a, n_b, pos_a, pos_b: _passes(n_a, n_b, pos_a, pos_b, percent),
+        f"100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n) AND "
+        f"(1 + least(x.n - x.pos - 1, y.n - y.pos - 1)) * {100 + percent} >= {percent} * (x.n + y.n)",
+        lambda pairs: _verified(pairs, texts, named, n, percent),
     )
-    left = cut(left)
-    if not left.isEmpty():
-        links = links.union(_verified(left, texts, named, n, percent))
-        labels = components(links)
 
     by_unit = profiles.groupBy("unit").agg(F.min("id").alias("one"))
     named = by_unit.join(labels, F.col("unit") == F.col("node"))

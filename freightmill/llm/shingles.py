@@ -12,7 +12,7 @@ import numpy as np
 
 from freightmill.llm.byte_bpe import span_hashes
 
-CHUNK_BYTES = 1 << 22
+CHUNK_BYTES = 1 << 20
 _FACTOR = np.uint64(0xD6E8FEB86659FD93)
 _MIX = np.uint64(0xFF51AFD7ED558CCD)
 
