@@ -2,10 +2,13 @@
 
 Equal strings of ``length`` bytes are brought together by content: every such window names one
 of its k-grams, the one with the smallest hash, so equal windows name equal k-grams. Windows
-of one document that name the same k-gram form a segment. K-grams that are named once need no
-look at their text. For the others the distinct segments are dealt over tasks by k-gram; each
-task builds a suffix array and its Burrows-Wheeler order, and extends all intervals backwards
-by one byte at a time, breadth first, until they stand for strings of ``length`` bytes.
+of one document that name the same occurrence form a segment. K-grams that are named once, or
+always in equal segments, need no look at their text: of equal segments all but the first go.
+The first copies of all other segments are dealt over tasks by k-gram; each task builds a
+suffix array and its Burrows-Wheeler order, and extends all intervals backwards by one byte at
+a time, breadth first, until they stand for strings of ``length`` bytes.
+
+Segments are told apart by 64-bit hashes under a 64-bit k-gram hash.
 """
 
 from __future__ import annotations
@@ -18,13 +21,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from freightmill.llm.byte_bpe import arrow_texts
+from freightmill.llm.byte_bpe import arrow_texts, span_hashes
 from freightmill.llm.common import cut
 from freightmill.llm.posting_lists import bitmap_of, in_bitmap
 from freightmill.llm.shingles import mix
 
 GRAM = 40
-CHUNK_BYTES = 1 << 21
 SHARD_BYTES = 1_500_000
 #: Segments of one k-gram above which its windows are dealt one by one.
 HOT_SEGMENTS = 4_000
@@ -152,46 +154,50 @@ def _repeated_masks(segments: list[np.ndarray], rank: np.ndarray, start: np.ndar
 
 
 def _anchors(texts: DataFrame, length: int, gram: int) -> DataFrame:
-    """(gram, doc, place) of every named k-gram; place packs the windows first .. last."""
+    """(gram, seg, doc, place) of every segment; place packs its windows first .. last."""
 
     def name(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
+        def flush(out: list[list]):
+            return pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(c)) for c in out], names=["gram", "seg", "doc", "place"]
+            )
+
         for batch in batches:
             data, bounds = arrow_texts(batch.column(0))
             docs = batch.column(1).to_numpy()
-            out: list[list] = [[], [], []]
+            out: list[list] = [[], [], [], []]
             size = 0
             for k in range(len(docs)):
-                hashes, first, last = named_grams(data[bounds[k] : bounds[k + 1]], length, gram)
-                if len(hashes):
-                    out[0].append(hashes)
-                    out[1].append(np.full(len(hashes), docs[k]))
-                    out[2].append(first * 64 + (last - first))
-                    size += len(hashes)
-                if out[0] and (size > 1 << 18 or k == len(docs) - 1):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.concatenate(c)) for c in out], names=["gram", "doc", "place"]
-                    )
-                    out, size = [[], [], []], 0
-            if out[0]:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(c)) for c in out], names=["gram", "doc", "place"]
-                )
-
-    return texts.mapInArrow(name, "gram long, doc long, place long")
+                mine = data[bounds[k] : bounds[k + 1]]
+                hashes, first, last = named_grams(mine, length, gram)
+                if not len(hashes):
+                    continue
+                out[0].append(hashes)
+                out[1].append(span_hashes(mine, first, last + length).view(np.int64))
+                out[2].append(np.full(len(hashes), docs[k]))
+                out[3].append(first * 64 + (last - first))
+                size += len(hashes)
+                if size > 1 << 18:
+                    yield flush(out)
+                    out, size = [[], [], [], []], 0
+            if size:
+                yield flush(out)
+
+    return texts.mapInArrow(name, "gram long, seg long, doc long, place long")
 
 
 def _named_again(anchors: DataFrame) -> DataFrame:
-    """Anchors whose k-gram is named at least twice. Reads each run of equal ones in order and
+    """Segments whose k-gram is named at least twice. Reads each run of equal ones in order and
     holds one row of it, so a k-gram of any frequency streams through."""
 
     def repeats(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        held, known = np.zeros((0, 3), np.int64), False
+        held, known = np.zeros((0, 4), np.int64), False
         for batch in batches:
-            rows = np.stack([batch.column(k).to_numpy() for k in range(3)], axis=1)
+            rows = np.stack([batch.column(k).to_numpy() for k in range(4)], axis=1)
             if not len(rows):
                 continue
             carried = len(held) and held[0, 0] == rows[0, 0]
@@ -199,19 +205,20 @@ def _named_again(anchors: DataFrame) -> DataFrame:
                 rows = np.concatenate([held, rows])
             same = rows[1:, 0] == rows[:-1, 0]
             again = np.concatenate([[False], same]) | np.concatenate([same, [False]])
+            last_known = bool(len(rows) > 1 and same[-1])
             if carried and known:
                 again[0] = False  # passed on before
+                last_known |= len(rows) == 1
             out = rows[again]
             if len(out):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.ascontiguousarray(c)) for c in out.T],
-                    names=["gram", "doc", "place"],
+                    names=["gram", "seg", "doc", "place"],
                 )
-            known = bool(len(rows) > 1 and same[-1])
-            held = rows[-1:]
+            held, known = rows[-1:], last_known
 
     ordered = anchors.repartition("gram").sortWithinPartitions("gram")
-    return ordered.mapInArrow(repeats, "gram long, doc long, place long")
+    return ordered.mapInArrow(repeats, "gram long, seg long, doc long, place long")
 
 
 def _only_marked(texts: DataFrame, bitmap: np.ndarray) -> DataFrame:
@@ -226,10 +233,12 @@ def _only_marked(texts: DataFrame, bitmap: np.ndarray) -> DataFrame:
     return texts.mapInArrow(choose, texts.schema)
 
 
-def _segments(texts: DataFrame, anchors: DataFrame, length: int) -> DataFrame:
-    """The bytes of each anchor's windows, with the anchor and the document's rank columns."""
-    places = anchors.groupBy("doc").agg(F.collect_list(F.struct("gram", "place")).alias("at"))
-    joined = texts.join(places.withColumnRenamed("doc", "there"), F.col("doc") == F.col("there"))
+def _with_bytes(texts: DataFrame, firsts: DataFrame, length: int) -> DataFrame:
+    """``firsts`` (gram, seg, one) with the bytes of the segments."""
+    places = firsts.groupBy(F.col("one.doc").alias("there")).agg(
+        F.collect_list(F.struct("gram", "seg", "one.place")).alias("at")
+    )
+    near = _only_marked(texts, bitmap_of(firsts.select("one.doc")))
 
     def slices(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -238,45 +247,38 @@ def _segments(texts: DataFrame, anchors: DataFrame, length: int) -> DataFrame:
             data, bounds = arrow_texts(batch.column(0))
             lists = batch.column(3)
             flat = lists.flatten()
-            grams, places = flat.field(0).to_numpy(), flat.field(1).to_numpy()
-            counts = np.diff(lists.offsets.to_numpy())
-            row = np.repeat(np.arange(len(counts)), counts)
+            places = flat.field(2).to_numpy()
+            row = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
             first, more = places >> 6, places & 63
             low, high = bounds[row] + first, bounds[row] + first + more + length
             raw = data.tobytes()
-            pieces = [raw[a:b] for a, b in zip(low.tolist(), high.tolist())]
-            keys = [hashlib.blake2b(p, digest_size=16).digest() for p in pieces]
-            for lo in range(0, len(pieces), 100_000):
-                part = slice(lo, lo + 100_000)
+            for at in range(0, len(row), 50_000):
+                part = slice(at, at + 50_000)
+                pieces = [raw[a:b] for a, b in zip(low[part].tolist(), high[part].tolist())]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(grams[part]), pa.array(keys[part], pa.binary())]
-                    + [pa.array(pieces[part], pa.binary())]
+                    [flat.field(k).slice(at, len(pieces)) for k in (0, 1)]
+                    + [pa.array(pieces, pa.binary())]
                     + [batch.column(k).take(pa.array(row[part])) for k in (2, 1)]
-                    + [pa.array(first[part]), pa.array(more[part] + 1)],
-                    names=["gram", "seg", "bytes", "id", "doc", "start", "windows"],
+                    + [pa.array(first[part])],
+                    names=["gram", "seg", "bytes", "id", "doc", "start"],
                 )
 
     id_type = texts.schema["id"].dataType.simpleString()
-    return joined.select("text", "doc", "id", "at").mapInArrow(
-        slices,
-        f"gram long, seg binary, bytes binary, id {id_type}, doc long, start long, windows long",
-    )
-
-
-def _masks(segments: DataFrame, length: int) -> DataFrame:
-    """(gram, seg, first place, mask): which windows of a segment's first copy are repeats."""
-    order = F.struct(F.col("id").isNull().alias("last"), "id", "doc", "start")
-    distinct = segments.groupBy("gram", "seg").agg(
-        F.first("bytes").alias("bytes"), F.min(order).alias("one")
-    )
-    distinct = cut(distinct)
-    loads = distinct.groupBy("gram").agg(
-        F.count("*").alias("n"), F.sum(F.octet_length("bytes")).alias("size")
-    )
-    total = loads.agg(F.sum("size")).first()[0] or 0
-    shards = max(1, -(-int(total) // SHARD_BYTES))
-    hot = loads.where(F.col("n") > HOT_SEGMENTS).select("gram")
-    calm = distinct.join(hot, "gram", "left_anti")
+    met = near.join(places, F.col("doc") == F.col("there")).select("text", "doc", "id", "at")
+    schema = f"gram long, seg long, bytes binary, id {id_type}, doc long, start long"
+    # Rows that repeat id and text come with the same segments.
+    return met.mapInArrow(slices, schema).dropDuplicates(["gram", "seg"])
+
+
+def _masks(texts: DataFrame, segs: DataFrame, length: int) -> DataFrame:
+    """(gram, seg, mask): which windows of a segment's first copy are repeats, for the segments
+    whose k-gram has others."""
+    loads = segs.groupBy("gram").count().where("count > 1")
+    forked = segs.join(loads, "gram")
+    distinct = cut(_with_bytes(texts, forked, length).join(loads, "gram"))
+    shards = max(1, -(-distinct.count() * (length + GRAM) // SHARD_BYTES))
+    hot = distinct.where(F.col("count") > HOT_SEGMENTS)
+    calm = distinct.where(F.col("count") <= HOT_SEGMENTS)
 
     def find(table):
         import pyarrow as pa
@@ -293,29 +295,24 @@ def _masks(segments: DataFrame, length: int) -> DataFrame:
         return pa.table([table.column("gram"), table.column("seg"), pa.array(mask)], ["gram", "seg", "mask"])
 
     # A k-gram stays in one shard; shards have about SHARD_BYTES, and so has any k-gram.
-    dealt = calm.select(
-        F.pmod(F.xxhash64("gram"), F.lit(shards)).alias("shard"),
-        "gram", "seg", "bytes", "one.id", "one.doc", "one.start",
-    )
-    masks = dealt.groupBy("shard").applyInArrow(find, "gram long, seg binary, mask long")
+    dealt = calm.drop("count").withColumn("shard", F.pmod(F.xxhash64("gram"), F.lit(shards)))
+    masks = dealt.groupBy("shard").applyInArrow(find, "gram long, seg long, mask long")
     # Windows of hot k-grams are dealt by their own content and cut down before they move.
-    windows = distinct.join(hot, "gram", "left_semi").select(
-        "gram", "seg", "bytes", "one",
-        F.explode(F.sequence(F.lit(0), F.octet_length("bytes") - length)).alias("i"),
-    )
+    windows = hot.withColumn("i", F.explode(F.sequence(F.lit(0), F.octet_length("bytes") - length)))
     windows = windows.select(
         "gram", "seg", "i",
         F.expr(f"sha2(substring(bytes, i + 1, {length}), 256)").alias("window"),
-        F.struct("one.last", "one.id", "one.doc", (F.col("one.start") + F.col("i")).alias("start")).alias("at"),
+        F.struct(
+            F.col("id").isNull().alias("last"), "id", "doc", (F.col("start") + F.col("i")).alias("start")
+        ).alias("at"),
     )
-    earliest = windows.groupBy("window").agg(F.min("at").alias("least")).withColumnRenamed("window", "w")
+    earliest = windows.groupBy(F.col("window").alias("w")).agg(F.min("at").alias("least"))
     hot_masks = (
         windows.join(earliest, F.col("window") == F.col("w"))
         .groupBy("gram", "seg")
         .agg(F.bit_or(F.expr("if(at <=> least, 0L, shiftleft(1L, i))")).alias("mask"))
     )
-    firsts = distinct.select("gram", "seg", "one")
-    return firsts.join(masks.union(hot_masks), ["gram", "seg"])
+    return masks.union(hot_masks)
 
 
 def remove_repeats(
@@ -356,25 +353,22 @@ def remove_repeats(
     ).distinct()
     copies = cut(copies)
     leaders = copies.groupBy("same").agg(F.min("who").alias("lead"))
-    leading = leaders.select(F.col("lead.doc").alias("doc")).distinct()
-    repeated = cut(
-        _named_again(_anchors(texts.select("text", "doc"), length, gram))
-        .join(leading, "doc", "left_semi")
-    )
-    marked = _only_marked(texts, bitmap_of(repeated.select("doc")))
-    segments = _segments(marked, repeated, length)
-    masks = cut(_masks(segments, length))
+    leading = leaders.select(F.col("lead.doc").alias("doc"), F.col("lead.id").alias("id"))
+    again = _named_again(_anchors(texts.select("text", "doc"), length, gram))
+    repeated = cut(again.join(leading, "doc"))
+    order = F.struct(F.col("id").isNull().alias("last"), "id", "doc", "place")
+    segs = cut(repeated.groupBy("gram", "seg").agg(F.min(order).alias("one")))
+    masks = segs.join(_masks(texts, segs, length), ["gram", "seg"], "left")
 
     # All windows of a later copy of a segment go, of its first copy those in the mask.
-    keys = segments.select("gram", "seg", "doc", "start", "windows")
+    every = "shiftleft(1L, int(place & 63) + 1) - 1"
     spans = (
-        keys.join(masks, ["gram", "seg"])
+        repeated.join(masks, ["gram", "seg"])
         .select(
             "doc",
-            "start",
+            F.expr("shiftright(place, 6)").alias("start"),
             F.expr(
-                "if(doc = one.doc AND start = one.start, mask, "
-                "if(windows >= 64, -1L, shiftleft(1L, int(windows)) - 1))"
+                f"if(doc = one.doc AND place = one.place, coalesce(mask, 0L), {every})"
             ).alias("mask"),
         )
         .where("mask <> 0")
