@@ -130,6 +130,19 @@ def line_keys(lengths: np.ndarray, starts: np.ndarray, codes: np.ndarray, edits:
     return np.concatenate(owners), np.concatenate(keys)
 
 
+def signatures(lengths: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    """One bit for each of 62 classes of characters: whether a line has an odd number of them.
+
+    An edit changes two of the counts at most, so lines within e edits differ in 2 * e bits at
+    most.
+    """
+    classes = 62
+    owner = np.repeat(np.arange(len(lengths)), lengths)
+    counts = np.bincount(owner * classes + codes % classes, minlength=len(lengths) * classes)
+    odd = (counts & 1).reshape(len(lengths), classes).astype(np.int64)
+    return (odd << np.arange(classes)).sum(axis=1)
+
+
 def _split(texts: list[str | None]) -> Iterator[tuple[int, int, str]]:
     """(row, line number, trimmed line) of all lines with visible text."""
     for row, text in enumerate(texts):
@@ -161,7 +174,7 @@ def _occurrences(texts: DataFrame) -> DataFrame:
 
 
 def _postings(texts: DataFrame, edits: int, min_chars: int) -> DataFrame:
-    """token, grp, n, pos (always 0): one row for each key of each distinct line of a batch."""
+    """token, grp, n, pos (the line's signature): a row for each key of each distinct line."""
 
     def post(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -171,11 +184,12 @@ def _postings(texts: DataFrame, edits: int, min_chars: int) -> DataFrame:
             lengths = np.array([len(x) for x in lines], np.int64)
             codes = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), np.uint32)
             owner, key = line_keys(lengths, np.cumsum(lengths) - lengths, codes, edits)
+            marks = signatures(lengths, codes)
             for lo in range(0, len(owner), 1 << 18):
                 part = owner[lo : lo + (1 << 18)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(key[lo : lo + (1 << 18)]), pa.array(groups[part])]
-                    + [pa.array(lengths[part]), pa.array(np.zeros(len(part), np.int64))],
+                    + [pa.array(lengths[part]), pa.array(marks[part])],
                     names=["token", "grp", "n", "pos"],
                 )
 
@@ -207,11 +221,10 @@ def _verified(pairs: DataFrame, texts: DataFrame, units: DataFrame, edits: int)
         import pyarrow as pa
 
         for batch in batches:
-            found: dict[bytes, str] = {}
-            for _, _, line in _split(batch.column(0).to_pylist()):
-                unit = _line_id(line.encode())
-                if in_bitmap(bitmap, np.array([_short(unit)]))[0]:
-                    found[unit] = line
+            lines = [line for _, _, line in _split(batch.column(0).to_pylist())]
+            ids = [_line_id(line.encode()) for line in lines]
+            near = in_bitmap(bitmap, np.array([_short(i) for i in ids], np.int64))
+            found = {ids[k]: lines[k] for k in np.flatnonzero(near).tolist()}
             yield pa.RecordBatch.from_arrays(
                 [pa.array(list(found), pa.binary()), pa.array(list(found.values()), pa.string())],
                 names=["unit", "content"],
@@ -261,14 +274,14 @@ def line_classes(
     distinct = cut(lines.groupBy("unit", "grp", "n").agg(first))
     units = distinct.where(F.col("n") >= min_chars).select("unit", "grp")
 
-    def passes(n_a, n_b, pos_a, pos_b):
-        return np.abs(n_a - n_b) <= edits
+    def passes(n_a, n_b, mark_a, mark_b):
+        return (np.abs(n_a - n_b) <= edits) & (np.bitwise_count(mark_a ^ mark_b) <= 2 * edits)
 
     labels = linked_components(
         _postings(texts, edits, min_chars),
         units,
         passes,
-        f"abs(x.n - y.n) <= {edits}",
+        f"abs(x.n - y.n) <= {edits} AND bit_count(x.pos ^ y.pos) <= {2 * edits}",
         lambda pairs: _verified(pairs, texts, units, edits),
     )
     named = distinct.join(labels, F.col("unit") == F.col("node"), "left").select(
