@@ -91,4 +91,13 @@ def test_batch_day_reaches_the_orders_scan(spark):
 
 def test_yoy_reads_the_fact_once(spark):
     assert len(reads(plan_text(QUERIES["freight_yoy"](spark, SMALL)), "lineitem")) == 1
-    assert len(reads(plan_text(QUERIES["delay_breakdown_pct"](spark, SMALL)), "lineitem")) == 1
+
+
+def test_the_largest_reason_comes_from_the_same_totals(spark):
+    """The maximum is a subquery over the grouped totals. The plan that ran shows that their
+    exchange is used again, so the fact is read once, and that no window gathers the reasons."""
+    sheet = QUERIES["delay_breakdown_pct"](spark, SMALL)
+    assert sheet.collect()
+    ran = sheet._jdf.queryExecution().executedPlan().toString()
+    assert "isFinalPlan=true" in ran and "ReusedExchange" in ran
+    assert "Window" not in ran
