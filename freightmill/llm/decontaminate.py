@@ -7,7 +7,8 @@ shingle similarity decides.
 
 Windows are not taken at every word. A window that is similar enough shares all but a known
 number of an item's word occurrences with it; so of any larger number of the item's rarest
-occurrences some stand in the window, and they say where it starts, up to a known shift.
+occurrences some stand in the window. Where they stand in it does not matter, as the similarity
+does not look at the order of shingles either.
 """
 
 from __future__ import annotations
@@ -116,8 +117,12 @@ def _profiles(items: DataFrame, text: str, id_column: str, n: int, similarity: f
 
 
 def _rare_occurrences(profiles: DataFrame, doc_words: DataFrame) -> DataFrame:
-    """(item_id, word, q) of each item's rarest occurrences by their count in the documents."""
-    placed = profiles.select("item_id", "missing", "support", F.posexplode("item_words"))
+    """(item_id, w, support, word, mark, weight) of each item's rarest occurrences.
+
+    Rare is what the documents hold seldom. ``weight`` counts the occurrences of a word among
+    them, ``mark`` is a number of the word within the item.
+    """
+    placed = profiles.select("item_id", "w", "missing", "support", F.posexplode("item_words"))
     placed = placed.withColumnsRenamed({"pos": "q", "col": "word"})
     vocabulary = measured(placed.select(F.col("word").alias("known")).distinct())
     counts = (
@@ -129,19 +134,28 @@ def _rare_occurrences(profiles: DataFrame, doc_words: DataFrame) -> DataFrame:
     ranked = (
         placed.join(counts, F.col("word") == F.col("known"), "left")
         .select(
-            "item_id", "missing", "support",
+            "item_id", "w", "missing", "support",
             F.struct(F.coalesce("count", F.lit(0)).alias("n"), "word", "q").alias("at"),
         )
-        .groupBy("item_id", "missing", "support")
+        .groupBy("item_id", "w", "missing", "support")
         .agg(F.sort_array(F.collect_list("at")).alias("order"))
     )
     # missing + support occurrences: of these at least ``support`` stand in a similar window.
-    return ranked.select(
+    taken = ranked.select(
         "item_id",
-        "missing",
+        "w",
         "support",
         F.explode(F.slice("order", F.lit(1), F.col("missing") + F.col("support"))).alias("at"),
-    ).select("item_id", "missing", "support", "at.word", "at.q")
+    )
+    return taken.groupBy("item_id", "w", "support", F.col("at.word").alias("word")).agg(
+        F.min("at.q").alias("mark"), F.count("*").alias("weight")
+    )
+
+
+def _weight(hits: Column) -> Column:
+    """Rare occurrences that the words among ``hits`` stand for, each word counted once."""
+    found = F.array_distinct(F.transform(hits, lambda h: F.struct(h["mark"], h["weight"])))
+    return F.aggregate(found, F.lit(0).cast("long"), lambda total, x: total + x["weight"])
 
 
 def contaminated_windows(
@@ -175,39 +189,41 @@ def contaminated_windows(
     hits = (
         source.select("key", F.posexplode("words").alias("p", "found"))
         .join(rare, F.col("found") == F.col("word"))
-        .select("key", "item_id", "missing", "support", "q", (F.col("p") - F.col("q")).alias("at"))
+        .select("key", "item_id", "w", "support", F.struct("p", "mark", "weight").alias("hit"))
     )
-    # What a similar window shares starts within 2 * missing of each other. Buckets of twice
-    # that stride overlap by half, so one bucket holds all of it.
-    stride = 2 * F.col("missing") + 1
-    bucket = F.floor(F.col("at") / stride)
+    # A window that starts in stretch b of w words ends in stretch b + 1 at the latest.
+    stretch = F.floor(F.col("hit.p") / F.col("w"))
     candidates = measured(
-        hits.withColumn("bucket", F.explode(F.array(bucket, bucket - 1)))
-        .groupBy("key", "item_id", "support", "bucket")
-        .agg(F.collect_set("q").alias("qs"), F.collect_set("at").alias("ats"))
-        .where("size(qs) >= support")
+        hits.withColumn("stretch", F.explode(F.array(stretch, stretch - 1)))
+        .where("stretch >= 0")
+        .groupBy("key", "item_id", "support", "stretch")
+        .agg(F.collect_list("hit").alias("hits"))
+        .where(_weight(F.col("hits")) >= F.col("support"))
         .join(profiles.drop("support"), "item_id")
-        .select(F.col("key").alias("hit"), "item_words", "w", "missing", "ats")
+        .select(
+            F.col("key").alias("hit_key"), "item_words", "w", "missing", "support", "hits",
+            (F.col("stretch") * F.col("w")).cast("int").alias("low"),
+        )
     )
-    texts = candidates.join(source, F.col("hit") == F.col("key"))
+    texts = candidates.join(source, F.col("hit_key") == F.col("key"))
     last = F.greatest(F.size("words") - F.col("w"), F.lit(0))
-    starts = F.array_distinct(
-        F.flatten(
-            F.transform(
-                "ats",
-                lambda at: F.transform(
-                    F.sequence(at - F.col("missing"), at + F.col("missing")),
-                    lambda s: F.least(F.greatest(s, F.lit(0)), last),
-                ),
-            )
-        )
+    # Of an item's different words no more than ``missing`` may be absent from a window, nor
+    # from the two stretches that hold it.
+    enough = F.size(F.array_distinct("item_words")) - F.col("missing")
+    around = F.slice("words", F.col("low") + 1, 2 * F.col("w"))
+    texts = texts.where(F.col("low") <= last).where(
+        F.size(F.array_intersect(F.col("item_words"), around)) >= enough
     )
+    starts = F.filter(
+        F.sequence(F.col("low"), F.least(F.col("low") + F.col("w") - 1, last)),
+        lambda s: _weight(
+            F.filter("hits", lambda h: (h["p"] >= s) & (h["p"] < s + F.col("w")))
+        ) >= F.col("support"),
+    )
     cut_out = F.transform(
         starts,
         lambda s: F.struct(s.alias("start"), F.slice("words", s + 1, F.col("w")).alias("tokens")),
     )
-    # Of an item's different words no more than ``missing`` may be absent from a window.
-    enough = F.size(F.array_distinct("item_words")) - F.col("missing")
     full = F.filter(
         cut_out, lambda x: F.size(F.array_intersect(F.col("item_words"), x["tokens"])) >= enough
     )

@@ -237,6 +237,38 @@ def test_decontamination(spark):
     assert all(abs(found[k] - expected[k]) < 1e-12 for k in found)
 
 
+def test_decontamination_ignores_the_order_of_shingles(spark):
+    """Passages with their parts swapped or moved, anywhere in a longer document."""
+    draw = random.Random(17)
+    items = [[f"i{k}x{j}" for j in range(n)] for k, n in enumerate((50, 60, 45, 90))]
+    items.append(draw.choices(WORDS, k=50))
+    docs = []
+    for k in range(40):
+        item = items[k % len(items)]
+        at = draw.choice([len(item) // 2, len(item) // 3, 3])
+        leak = item[at:] + item[:at]
+        if k % 3 == 2:
+            leak = leak[:7] + ["new"] + leak[7:]
+        if k % 4 == 3:
+            leak = leak[::-1]  # all the words, but no shingle
+        docs.append(draw.choices(WORDS, k=draw.randint(0, 150)) + leak + draw.choices(WORDS, k=70))
+    expected = {}
+    for d, words in enumerate(docs):
+        for i, item in enumerate(items):
+            starts = range(max(0, len(words) - len(item)) + 1)
+            best = max(multiset_similarity(words[s : s + len(item)], item) for s in starts)
+            if best >= 0.8:
+                expected[d, i] = best
+    assert len(expected) >= 10
+    bench = spark.createDataFrame(
+        [(i, " ".join(w)) for i, w in enumerate(items)], "item_id long, text string"
+    )
+    rows = contaminated_windows(table(spark, [" ".join(w) for w in docs]), bench).collect()
+    found = {(r.doc_id, r.item_id): r.similarity for r in rows}
+    assert found.keys() == expected.keys()
+    assert all(abs(found[k] - expected[k]) < 1e-12 for k in found)
+
+
 def distance(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
