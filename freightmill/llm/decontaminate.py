@@ -99,7 +99,10 @@ def hamming_blocks(fingerprint: Column, radius: int) -> Column:
 
 
 def _profiles(items: DataFrame, text: str, id_column: str, n: int, similarity: float) -> DataFrame:
-    """Items that have words: words, their number, and how many occurrences may be missing."""
+    """Items that have words: words, their number, and how many occurrences may be missing.
+
+    ``item`` tells them apart, a digest of id and words: ids may be NULL or stand for many texts.
+    """
     tokens = items.select(
         F.col(f"`{id_column}`").alias("item_id"), words(F.col(f"`{text}`")).alias("item_words")
     ).distinct()
@@ -108,6 +111,8 @@ def _profiles(items: DataFrame, text: str, id_column: str, n: int, similarity: f
     # Not below the exact value: a rounding error must not lose a window.
     missing = F.floor(shingles * (1 - similarity) + 1e-9).cast("int")
     return tokens.where(size > 0).select(
+        # NULL ids are left out of the JSON text, so they differ from any other id.
+        F.md5(F.to_json(F.struct("item_id", "item_words")).cast("binary")).alias("item"),
         "item_id",
         "item_words",
         size.alias("w"),
@@ -117,12 +122,12 @@ def _profiles(items: DataFrame, text: str, id_column: str, n: int, similarity: f
 
 
 def _rare_occurrences(profiles: DataFrame, doc_words: DataFrame) -> DataFrame:
-    """(item_id, w, support, word, mark, weight) of each item's rarest occurrences.
+    """(item, w, support, word, mark, weight) of each item's rarest occurrences.
 
     Rare is what the documents hold seldom. ``weight`` counts the occurrences of a word among
     them, ``mark`` is a number of the word within the item.
     """
-    placed = profiles.select("item_id", "w", "missing", "support", F.posexplode("item_words"))
+    placed = profiles.select("item", "w", "missing", "support", F.posexplode("item_words"))
     placed = placed.withColumnsRenamed({"pos": "q", "col": "word"})
     vocabulary = measured(placed.select(F.col("word").alias("known")).distinct())
     counts = (
@@ -134,20 +139,20 @@ def _rare_occurrences(profiles: DataFrame, doc_words: DataFrame) -> DataFrame:
     ranked = (
         placed.join(counts, F.col("word") == F.col("known"), "left")
         .select(
-            "item_id", "w", "missing", "support",
+            "item", "w", "missing", "support",
             F.struct(F.coalesce("count", F.lit(0)).alias("n"), "word", "q").alias("at"),
         )
-        .groupBy("item_id", "w", "missing", "support")
+        .groupBy("item", "w", "missing", "support")
         .agg(F.sort_array(F.collect_list("at")).alias("order"))
     )
     # missing + support occurrences: of these at least ``support`` stand in a similar window.
     taken = ranked.select(
-        "item_id",
+        "item",
         "w",
         "support",
         F.explode(F.slice("order", F.lit(1), F.col("missing") + F.col("support"))).alias("at"),
     )
-    return taken.groupBy("item_id", "w", "support", F.col("at.word").alias("word")).agg(
+    return taken.groupBy("item", "w", "support", F.col("at.word").alias("word")).agg(
         F.min("at.q").alias("mark"), F.count("*").alias("weight")
     )
 
@@ -176,7 +181,8 @@ def contaminated_windows(
     document where that is shorter. ``start`` counts words from 0; of equal windows the first
     counts. Words are lower-cased (A-Z) and split at blanks. NULL, empty and blank texts match
     nothing, on either side. Rows that repeat an id and text give one result; equal ids with
-    other texts are told apart by ``key``. Other columns are not read. The benchmark's words and
+    other texts are told apart by ``key``. Items are told apart by id and words: an id with two
+    texts gives a result for each that is found, and a NULL id is an id like any other. Other columns are not read. The benchmark's words and
     the candidates are broadcast after a check of their size, and joined by shuffles beyond it.
     """
     profiles = _profiles(items, item_text, item_id_column, n, similarity)
@@ -189,17 +195,17 @@ def contaminated_windows(
     hits = (
         source.select("key", F.posexplode("words").alias("p", "found"))
         .join(rare, F.col("found") == F.col("word"))
-        .select("key", "item_id", "w", "support", F.struct("p", "mark", "weight").alias("hit"))
+        .select("key", "item", "w", "support", F.struct("p", "mark", "weight").alias("hit"))
     )
     # A window that starts in stretch b of w words ends in stretch b + 1 at the latest.
     stretch = F.floor(F.col("hit.p") / F.col("w"))
     candidates = measured(
         hits.withColumn("stretch", F.explode(F.array(stretch, stretch - 1)))
         .where("stretch >= 0")
-        .groupBy("key", "item_id", "support", "stretch")
+        .groupBy("key", "item", "support", "stretch")
         .agg(F.collect_list("hit").alias("hits"))
         .where(_weight(F.col("hits")) >= F.col("support"))
-        .join(profiles.drop("support"), "item_id")
+        .join(profiles.drop("support", "item_id"), "item")
         .select(
             F.col("key").alias("hit_key"), "item_words", "w", "missing", "support", "hits",
             (F.col("stretch") * F.col("w")).cast("int").alias("low"),
@@ -237,7 +243,7 @@ def contaminated_windows(
     # Fingerprints meet block by block, among windows and items of the same size.
     window_blocks = windows.withColumn("block", F.explode(hamming_blocks(F.col("print"), radius)))
     item_prints = with_simhash(
-        profiles.select("item_id", "item_words", "w"), "item_words", "item_print"
+        profiles.select("item", "item_id", "item_words", "w"), "item_words", "item_print"
     )
     item_prints = cut(_with_marks(item_prints, "item_words", "theirs", n).drop("item_words"))
     item_blocks = item_prints.withColumn(
@@ -266,7 +272,7 @@ def contaminated_windows(
     return (
         common.withColumn("similarity", (F.col("common") / total).cast("double"))
         .where(F.col("similarity") >= similarity)
-        .groupBy("key", id_column, "item_id")
+        .groupBy("key", id_column, "item", "item_id")
         .agg(
             F.max_by(
                 F.struct("similarity", "start", "n_words"),

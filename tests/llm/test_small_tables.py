@@ -139,6 +139,21 @@ def test_decontaminate(docs, items, nothing):
     assert drop_contaminated(docs, items.where("false")).count() == len(ROWS)
 
 
+def test_benchmark_ids_that_repeat_or_are_null(spark):
+    rare = " ".join(f"rare{k}" for k in range(40))
+    docs = spark.createDataFrame(
+        [(1, PASSAGE), (2, rare), (3, "null words here"), (4, PASSAGE), (5, PASSAGE), (6, "else")],
+        "doc_id long, text string",
+    )
+    rows = [(0, PASSAGE), (0, rare), (0, PASSAGE), (None, "null words here"), (None, rare)]
+    items = spark.createDataFrame(rows, "item_id long, text string")
+    found = contaminated_windows(docs, items).select("doc_id", "item_id").collect()
+    assert sorted(map(tuple, found), key=str) == [
+        (1, 0), (2, 0), (2, None), (3, None), (4, 0), (5, 0)
+    ]
+    assert [r.doc_id for r in drop_contaminated(docs, items).collect()] == [6]
+
+
 def test_toxicity(docs, labels, nothing):
     model = train(docs, labels)
     rows = score_documents(docs, model).collect()
