@@ -3,7 +3,8 @@
 Of every list the first HUBS groups meet all others, which is every pair of a short list. What
 passes the filter is expanded to units and verified. The links found give components; what has
 not been compared in long lists is compared only across components, since one more link inside
-a component changes nothing. A large group of near copies thus costs a few comparisons for each
+a component changes nothing. The same holds for groups of more than HUBS units, of which
+only the first ones have met another group, whatever the length of the list. A large group of near copies thus costs a few comparisons for each
 member, and no link between components is lost.
 """
 
@@ -181,6 +182,62 @@ def ordered_pair(a: str, b: str) -> list[Column]:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
+def _unit_pairs(pairs: DataFrame, known: DataFrame) -> DataFrame:
+    """Pairs of units in different components, of pairs of groups (a, b; a group may meet itself).
+
+    The units of a group are dealt into blocks of about HUBS, those of its most common component
+    apart from the others. Blocks meet blocks, so no key holds more than a block, and where two
+    groups have their most common component in common, those blocks do not meet.
+    """
+    wanted = pairs.select(F.col("a").alias("grp")).union(pairs.select("b")).distinct()
+    share = known.join(wanted, "grp", "left_semi").groupBy("grp", "component").count()
+    sizes = share.groupBy("grp").agg(
+        F.max_by("component", F.struct("count", "component")).alias("common"),
+        F.max("count").alias("same"),
+        F.sum("count").alias("all"),
+    )
+    sizes = sizes.select(
+        "grp",
+        "common",
+        F.ceil(F.col("same") / HUBS).alias("same_blocks"),
+        F.ceil((F.col("all") - F.col("same")) / HUBS).alias("odd_blocks"),
+    )
+    # Blocks 0, 1, … hold the most common component, -1, -2, … the others.
+    dealt = known.join(sizes, "grp").select(
+        "grp",
+        "unit",
+        "component",
+        F.when(
+            F.col("component") == F.col("common"), F.expr("pmod(xxhash64(unit), same_blocks)")
+        )
+        .otherwise(F.expr("-1 - pmod(xxhash64(unit), odd_blocks)"))
+        .alias("block"),
+    )
+    blocks = F.expr("sequence(-odd_blocks, same_blocks - 1)")
+    sides = [
+        sizes.select(F.col("grp").alias(g), F.col("common").alias(f"common_{g}"), blocks.alias(f"all_{g}"))
+        for g in ("a", "b")
+    ]
+    met = (
+        pairs.join(sides[0], "a")
+        .join(sides[1], "b")
+        .withColumn("block_a", F.explode("all_a"))
+        .withColumn("block_b", F.explode("all_b"))
+        .where("common_a <> common_b OR block_a < 0 OR block_b < 0")
+        .where("a <> b OR block_a <= block_b")
+        .select("a", "b", "block_a", "block_b")
+    )
+    x, y = (
+        dealt.select(
+            F.col("grp").alias(g), F.col("block").alias(f"block_{g}"),
+            F.col("unit").alias(u), F.col("component").alias(f"c{u}"),
+        )
+        for g, u in (("a", "x"), ("b", "y"))
+    )
+    found = met.join(x, ["a", "block_a"]).join(y, ["b", "block_b"]).where("cx <> cy AND x <> y")
+    return found.select(*ordered_pair("x", "y")).distinct()
+
+
 def linked_components(
     postings: DataFrame,
     units: DataFrame,
@@ -216,8 +273,10 @@ def linked_components(
     known = units.join(labels, F.col("unit") == F.col("node"), "left").select(
         "unit", "grp", F.coalesce("component", "unit").alias("component")
     )
-    by_group = known.groupBy("grp").agg(
-        F.min("component").alias("low"), F.max("component").alias("high")
+    by_group = cut(
+        known.groupBy("grp").agg(
+            F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size")
+        )
     )
     label = F.when(F.col("low") == F.col("high"), F.xxhash64("low")).otherwise(F.lit(int(MIXED)))
     long_rows = (
@@ -225,20 +284,19 @@ def linked_components(
         .select(F.col("a").alias("token"), F.col("b").alias("grp"), "n", "pos")
         .join(by_group.select("grp", label.alias("label")), "grp")
     )
-    rest = cut(cross_pairs(long_rows, condition).distinct())
-    split = cut(by_group.where("low <> high").select("grp"))
-    if rest.isEmpty() and split.isEmpty():
-        return labels
-    x = known.select(F.col("grp").alias("a"), F.col("unit").alias("x"), F.col("component").alias("cx"))
-    y = known.select(F.col("grp").alias("b"), F.col("unit").alias("y"), F.col("component").alias("cy"))
-    inner = split.select(F.col("grp").alias("a"), F.col("grp").alias("b"))
-    left = (
-        rest.union(inner)
-        .join(x, "a")
-        .join(y, "b")
-        .where("cx <> cy AND x <> y")
-        .select(*ordered_pair("x", "y"))
-        .distinct()
-        .join(first, ["a", "b"], "left_anti")
+    # Of groups with more than HUBS units only the first ones have met the other group.
+    ends = by_group.select("grp", "low", "high", (F.col("size") > HUBS).alias("large"))
+    wide = (
+        listed.where("kind = 0")
+        .select("a", "b")
+        .join(ends.withColumnsRenamed({"grp": "a", "low": "low_a", "high": "high_a", "large": "large_a"}), "a")
+        .join(ends.withColumnsRenamed({"grp": "b", "low": "low_b", "high": "high_b", "large": "large_b"}), "b")
+        .where("(large_a OR large_b) AND NOT (low_a = high_b AND high_a = low_b)")
+        .select("a", "b")
     )
+    split = by_group.where(f"low <> high AND size > {HUBS}").select(F.col("grp").alias("a"), F.col("grp").alias("b"))
+    rest = cut(cross_pairs(long_rows, condition).union(wide).union(split).distinct())
+    if rest.isEmpty():
+        return labels
+    left = _unit_pairs(rest, known).join(first, ["a", "b"], "left_anti")
     return components(links.union(verify(cut(left))))

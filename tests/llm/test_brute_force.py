@@ -96,6 +96,44 @@ def test_near_copies_beyond_the_hubs(spark):
     }
 
 
+def test_large_groups_meet_in_short_lists(spark):
+    """Two groups in one short list, of more units than speak for a group, and one link."""
+    from freightmill.llm.posting_lists import HUBS, linked_components
+
+    sizes = {1: 3 * HUBS, 2: 2 * HUBS + 5, 3: 1}
+    units = [(f"{g}-{k:04d}".encode(), g) for g, size in sizes.items() for k in range(size)]
+    # Inside group 2 the first half is linked already, so components are mixed.
+    linked = {(f"2-{k:04d}".encode(), f"2-{k + 1:04d}".encode()) for k in range(HUBS)}
+    linked |= {(b"1-0150", b"2-0100"), (b"2-0131", b"3-0000"), (b"1-0070", b"1-0171")}
+    links = spark.createDataFrame(sorted(linked), "a binary, b binary")
+    seen = []
+
+    def verify(pairs):
+        seen.append(pairs.count())
+        return pairs.join(links, ["a", "b"], "left_semi")
+
+    postings = [(7, g, 10, 0) for g in sizes]
+    rows = linked_components(
+        spark.createDataFrame(postings, "token long, grp long, n long, pos long"),
+        spark.createDataFrame(units, "unit binary, grp long"),
+        lambda n_a, n_b, pos_a, pos_b: n_a == n_b,
+        "x.n = y.n",
+        verify,
+    ).collect()
+    groups = {u: u for u, _ in units}
+
+    def find(u):
+        return u if groups[u] == u else find(groups[u])
+
+    for a, b in linked:
+        groups[max(find(a), find(b))] = min(find(a), find(b))
+    inside = {u for pair in linked for u in pair}
+    found = {bytes(r.node): bytes(r.component) for r in rows}
+    assert found == {u: find(u) for u in inside}
+    # No pair is verified twice, and all there are is every pair at most.
+    assert sum(seen) <= len(units) * (len(units) - 1) // 2
+
+
 def test_components(spark):
     draw = random.Random(2)
     pairs = [(draw.randrange(300), draw.randrange(300)) for _ in range(200)]
