@@ -44,6 +44,12 @@ PATTERNS = {
     "wish": r"\b(?:go|should|must|will|hope you) (?:and )?(?:die|rot|burn|hang)\b|\bkill yourself\b",
     "shouted": r"[A-Z]{3,}(?:\s+[A-Z]{3,}){3,}\s*!{2,}",
 }
+#: Words and beginnings that a text must hold for a pattern to fit; they only save time.
+ADDRESSEES = frozenset(("you", "ye", "u"))
+ABUSE = tuple("idiot moron loser clown scum trash fool jerk stupid pathetic worthless disgusting".split())
+WISHES = frozenset(("die", "rot", "burn", "hang"))
+#: Letters that stand for i or s where case is ignored, but not in lower case.
+ODD_LETTERS = "\u0130\u0131\u017f"
 
 
 def is_held_out(id_column: Column) -> Column:
@@ -93,23 +99,42 @@ class Voters:
     def __post_init__(self):
         self.lexicons = {k: frozenset(v.split()) for k, v in LEXICONS.items()}
         self.all_words = frozenset().union(*self.lexicons.values())
-        self.patterns = [re.compile(p, re.I if k != "shouted" else 0) for k, p in PATTERNS.items()]
+        self.patterns = {
+            k: re.compile(p, re.I if k != "shouted" else 0) for k, p in PATTERNS.items()
+        }
+        self.pattern_features = [f"/{k}" for k in PATTERNS]
         self.toxic = self.all_words.union(*self.mined.values())
         self.names = [*self.lexicons, *self.mined, "repeated", *PATTERNS, "spotless"]
 
     def features(self, text: str, index: WordIndex) -> set[str]:
-        """Features of a text that ``index`` wants, and the ladder. It must want ``toxic``."""
+        """Features of a text that ``index`` wants, the ladder and the patterns that fit.
+
+        ``index`` must want ``toxic``.
+        """
         found: set[str] = set()
         count = 0
-        for word in set(_WORD.findall(text.lower())):
+        lowered = text.lower()
+        words = set(_WORD.findall(lowered))
+        for word in words:
             mine = index.of(word)
             if mine:
                 found.update(mine)
                 count += not self.toxic.isdisjoint(mine)
         found.update(name for least, name in LADDER if count >= least)
+        found.update(f"/{k}" for k in self._fitting(text, lowered, words))
         return found
 
-    def votes(self, text: str, features: set[str]) -> str:
+    def _fitting(self, text: str, lowered: str, words: set[str]) -> list[str]:
+        """The patterns that fit somewhere in the whole text, with or without a lexicon word."""
+        odd = any(c in text for c in ODD_LETTERS)
+        possible = {
+            "addressed": not words.isdisjoint(ADDRESSEES) and any(w in lowered for w in ABUSE),
+            "wish": not words.isdisjoint(WISHES) or "kill yourself" in lowered,
+            "shouted": "!!" in text,
+        }
+        return [k for k, p in self.patterns.items() if (odd or possible[k]) and p.search(text)]
+
+    def votes(self, features: set[str]) -> str:
         """One character for each voter; ``features`` as given by ``features``."""
         out = []
         hits = features & self.all_words
@@ -117,10 +142,10 @@ class Voters:
             out.append(TOXIC if hits & words else ABSTAIN)
         for mined in self.mined.values():
             out.append(CLEAN if features.isdisjoint(mined) else TOXIC)
-        total = "#1" in features
         out.append(TOXIC if "#3" in features else ABSTAIN)
-        out += [TOXIC if total and p.search(text) else ABSTAIN for p in self.patterns]
-        out.append(ABSTAIN if total else CLEAN)
+        out += [TOXIC if f in features else ABSTAIN for f in self.pattern_features]
+        spotless = "#1" not in features and features.isdisjoint(self.pattern_features)
+        out.append(CLEAN if spotless else ABSTAIN)
         return "".join(map(str, out))
 
 
@@ -323,7 +348,9 @@ def train(
         mined[f"mined_{size}"] = frozenset(f for f in toxic_only if f.startswith(f"{size}:"))
     voters = Voters({name: found for name, found in mined.items() if found})
     numbers = {r["feature"]: k for k, r in enumerate(chosen)}
-    for name in [*sorted(voters.all_words), *(name for _, name in LADDER)]:
+    for name in [
+        *sorted(voters.all_words), *(name for _, name in LADDER), *voters.pattern_features
+    ]:
         numbers.setdefault(name, len(numbers))
 
     def vote(batches: Iterator) -> Iterator:
@@ -332,7 +359,7 @@ def train(
         index = WordIndex(voters.toxic)
         for batch in batches:
             texts = [t or "" for t in batch.column(0).to_pylist()]
-            votes = [voters.votes(t, voters.features(t, index)) for t in texts]
+            votes = [voters.votes(voters.features(t, index)) for t in texts]
             yield pa.RecordBatch.from_arrays([pa.array(votes, pa.string())], names=["votes"])
 
     def read(batches: Iterator) -> Iterator:
@@ -343,7 +370,7 @@ def train(
             votes, found = [], []
             for one in batch.column(0).to_pylist():
                 features = voters.features(one, index)
-                votes.append(voters.votes(one, features))
+                votes.append(voters.votes(features))
                 found.append([numbers[f] for f in numbers.keys() & features])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(votes, pa.string()), batch.column(1)]
@@ -374,14 +401,17 @@ def train(
     posterior = model.posterior(votes)[:, 1]
     target = np.array([posterior[place[r["votes"]]] for r in training])
     found = [np.array(r["found"], np.int64) for r in training]
-    # The fixed lexicons speak for themselves where no labelled row does, and so does a text
-    # without any feature.
+    # The fixed lexicons and patterns speak for themselves where no labelled row does, and so
+    # does a text without any feature.
     for word in sorted(voters.all_words):
         found.append(np.zeros(0, np.int64))
         target = np.append(target, 0.02)
         features = voters.features(word, WordIndex(voters.toxic.union(numbers)))
         found.append(np.array([numbers[f] for f in features & numbers.keys()]))
         target = np.append(target, 0.95)
+    for name in voters.pattern_features:
+        found.append(np.array([numbers[name]]))
+        target = np.append(target, 0.95)
     return ToxicityModel(numbers, train_linear(found, target, len(numbers)), voters)
 
 

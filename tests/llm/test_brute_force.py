@@ -18,7 +18,7 @@ from freightmill.llm.jaccard_join import near_duplicate_components
 from freightmill.llm.line_dedup import line_classes, within_edits
 from freightmill.llm.packing import pack_documents, sum_of_squares
 from freightmill.llm.substring_dedup import equal_windows, remove_repeats
-from freightmill.llm.toxicity import LabelModel
+from freightmill.llm.toxicity import PATTERNS, LabelModel, Voters, WordIndex, train
 from freightmill.llm.url_filter import index_rules, keyword_rule, site_rule
 
 WORDS = [f"w{k}" for k in range(60)]
@@ -388,3 +388,41 @@ def test_label_model_finds_good_voters():
     assert model.parent[4] == 0 or model.parent[0] == 4
     guess = model.posterior(patterns)[back, 1] > 0.5
     assert (guess == truth).mean() > 0.95
+
+
+def test_patterns_vote_on_every_text():
+    """Patterns fit as the plain search says, and a text that one fits is not spotless."""
+    draw = random.Random(18)
+    voters = Voters()
+    index = WordIndex(voters.toxic)
+    parts = (
+        "you u ye're are is an so, go should must will hope and die rot burn hang kill yourself "
+        "KILL YOURSELF yoursel\u017f killyourself idiots a_loser scumbag \u0130diot tra\u017fh d\u0131e "
+        "GET OUT NOW ALL OF YOU !! !!! ! YOU YOU'RE \n"
+    ).split(" ")
+    texts = [" ".join(draw.choices(parts, k=draw.randint(1, 9))) for _ in range(20_000)]
+    fits = Counter()
+    for text in texts:
+        features = voters.features(text, index)
+        plain = {
+            k for k, p in PATTERNS.items() if re.search(p, text, re.I if k != "shouted" else 0)
+        }
+        fits.update(plain)
+        assert {f[1:] for f in features if f.startswith("/")} == plain, text
+        vote = dict(zip(voters.names, voters.votes(features)))
+        assert {k for k in PATTERNS if vote[k] == "1"} == plain
+        assert (vote["spotless"] == "2") == ("#1" not in features and not plain)
+    assert len(fits) == len(PATTERNS)
+
+
+def test_a_wish_alone_is_toxic(spark):
+    """Labelled rows whose only sign is a pattern, of words that clean rows hold too."""
+    wish, calm = "i hope you die soon friend number", "you hope the soon i friend plants die number"
+    texts = [f"{wish if k % 3 == 0 else calm} n{k}" for k in range(150)]
+    labels = spark.createDataFrame(
+        [(k, int(k % 3 == 0)) for k in range(150)], "doc_id long, toxic int"
+    )
+    model = train(table(spark, texts), labels)
+    assert model.score(wish) >= 0.7 > model.score(calm)
+    unlabelled = train(table(spark, texts), labels.where("false"))
+    assert unlabelled.score("now go die") > unlabelled.score("now go home")
