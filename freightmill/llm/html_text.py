@@ -4,6 +4,9 @@ Every paragraph passes points, for being one, for its commas and for its length,
 parent, half of them to the grandparent and less further up. A container's points are
 discounted by the share of its text that stands in links. The best container is kept, and of
 its siblings those that score well or are solid paragraphs.
+
+Elements are left out before that by kind, by attributes, and by what their names promise. Names
+and forms may mislead: where such an element holds most of the page's points it is taken back.
 """
 
 from __future__ import annotations
@@ -73,17 +76,24 @@ MARKUP = re.compile(
     r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)",
     re.S,
 )
+#: One attribute with its whole value, so that values are never read as names.
 ATTRIBUTE = re.compile(
-    r"(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?(?=[\s/>]|\Z)",
-    re.I,
+    r"([^\s/>=\"'][^\s/>=]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?"
 )
+READ = frozenset("class id role hidden aria-hidden style".split())
 GAPS = re.compile(r"[\s]+")
 
 
+#: Why an element is left out: FIRM for good, SOFT as long as the text is elsewhere.
+SOFT, FIRM = 1, 2
+#: Points that text beside a soft element must have to be a page's text of its own.
+BESIDE = 3
+
+
 class Node:
     __slots__ = ("tag", "parent", "children", "names", "dropped", "score", "length", "linked")
 
-    def __init__(self, tag: str, parent: Node | None, names: str = "", dropped: bool = False):
+    def __init__(self, tag: str, parent: Node | None, names: str = "", dropped: int = 0):
         self.tag, self.parent, self.names, self.dropped = tag, parent, names, dropped
         self.children: list[Node | str] = []
         self.score = 0.0
@@ -93,26 +103,31 @@ class Node:
 def _attributes(source: str) -> dict[str, str]:
     if not source or source.isspace():
         return {}
-    return {
-        m[1].lower(): html_lib.unescape(m[2] or m[3] or m[4] or "")
-        for m in ATTRIBUTE.finditer(source)
-    }
+    found: dict[str, str] = {}
+    for m in ATTRIBUTE.finditer(source):
+        if (name := m[1].lower()) in READ and name not in found:  # the first one counts
+            found[name] = html_lib.unescape(m[2] or m[3] or m[4] or "")
+    return found
 
 
-def _is_dropped(tag: str, found: dict[str, str], parent: Node) -> bool:
-    if tag in DROPPED or "hidden" in found or found.get("aria-hidden") == "true":
-        return True
+def _dropped(tag: str, found: dict[str, str], parent: Node) -> int:
+    """SOFT, FIRM, or 0 for an element that stays."""
+    if "hidden" in found or found.get("aria-hidden", "").lower() == "true":
+        return FIRM
     if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", found.get("style", ""), re.I):
-        return True
-    if found.get("role", "").lower() in UNLIKELY_ROLE:
-        return True
+        return FIRM
+    role = found.get("role", "").lower()
+    if tag in DROPPED and tag != "form" or role in UNLIKELY_ROLE and role != "form":
+        return FIRM
     if tag == "header":
         # The heading of an article belongs to it, a page's header does not.
-        return not _inside(parent, "article")
+        return 0 if _inside(parent, "article") else FIRM
+    if tag == "form" or role == "form":
+        return SOFT
     if tag in ("body", "html", "article", "main"):
-        return False
+        return 0
     names = f"{found.get('class', '')} {found.get('id', '')}"
-    return bool(UNLIKELY.search(names)) and not LIKELY.search(names)
+    return SOFT if UNLIKELY.search(names) and not LIKELY.search(names) else 0
 
 
 def _inside(node: Node | None, tag: str) -> bool:
@@ -161,7 +176,7 @@ def parse(source: str) -> Node:
             here = outer
         found = _attributes(match[3] or match[6] or "")
         names = f"{found.get('class', '')} {found.get('id', '')}" if found else ""
-        node = Node(tag, here, names, _is_dropped(tag, found, here))
+        node = Node(tag, here, names, _dropped(tag, found, here))
         here.children.append(node)
         if tag not in VOID and tag not in RAW:
             here = node
@@ -210,22 +225,22 @@ def _open(node: Node, tag: str) -> Node | None:
     return None
 
 
-def _walk(root: Node) -> Iterator[Node]:
-    """Kept elements, parents first, without recursion."""
+def _walk(root: Node, least: int = SOFT) -> Iterator[Node]:
+    """Elements that are not dropped by ``least`` or more, parents first, without recursion."""
     stack = [root]
     while stack:
         node = stack.pop()
         yield node
         stack.extend(
-            c for c in reversed(node.children) if isinstance(c, Node) and not c.dropped
+            c for c in reversed(node.children) if isinstance(c, Node) and c.dropped < least
         )
 
 
-def _measure(nodes: list[Node]) -> None:
+def _measure(nodes: list[Node], least: int = SOFT) -> None:
     """Text length of each element, and how much of it stands in links."""
     for node in reversed(nodes):
         own = sum(len(c.strip()) for c in node.children if isinstance(c, str))
-        kept = [c for c in node.children if isinstance(c, Node) and not c.dropped]
+        kept = [c for c in node.children if isinstance(c, Node) and c.dropped < least]
         node.length = own + sum(c.length for c in kept)
         node.linked = node.length if node.tag == "a" else sum(c.linked for c in kept)
 
@@ -242,19 +257,68 @@ def _paragraph_text(node: Node) -> str:
     return "".join(parts)
 
 
+def _is_loose(node: Node) -> bool:
+    """Whether a container holds text outside of paragraphs."""
+    return node.tag in CONTAINER_BONUS and any(
+        isinstance(c, str) and not c.isspace() for c in node.children
+    )
+
+
+def _points(node: Node) -> float:
+    """Points of a paragraph's or container's own text; 0 without any."""
+    text = _paragraph_text(node).strip()
+    return 1 + text.count(",") + min(len(text) / 100, 3) if text else 0.0
+
+
+def _take_back(root: Node) -> None:
+    """Lift soft drops of elements with most of the page's points and no other text beside.
+
+    A form around the page or a wrapper named after its sidebar is taken back, comments that
+    are longer than their article are not. Points count by the share that is not in links.
+    """
+    nodes = list(_walk(root, FIRM))
+    if not any(node.dropped for node in nodes):
+        return
+    _measure(nodes, FIRM)
+    points = dict.fromkeys(nodes, 0.0)
+    for node in reversed(nodes):
+        if node.tag in PARAGRAPH or _is_loose(node):
+            points[node] += _points(node) * (1 - node.linked / max(node.length, 1))
+        if node.parent is not None:
+            points[node.parent] += points[node]
+    # Such elements lie in each other, so what has been looked at need not be again.
+    top = root
+    for node in nodes:
+        if node.dropped and 2 * points[node] > points[root]:
+            around, above = {top}, node.parent
+            while above is not None and above is not top:
+                around.add(above)
+                above = above.parent
+            if any(
+                points[other] >= BESIDE and other not in around and _is_text(other)
+                for other in _walk(top)
+            ):
+                return
+            node.dropped, top = 0, node
+
+
+def _is_text(node: Node) -> bool:
+    """Whether an element's kind or name promises the page's text."""
+    return node.tag in ("article", "main") or (
+        node.tag in CONTAINER_BONUS and bool(LIKELY.search(node.names))
+    )
+
+
 def _score(nodes: list[Node]) -> list[Node]:
     """Let paragraphs pass their points upwards; returns the candidates, discounted."""
     scored: dict[Node, None] = {}
     for node in nodes:
-        loose = node.tag in CONTAINER_BONUS and any(
-            isinstance(c, str) and not c.isspace() for c in node.children
-        )
+        loose = _is_loose(node)
         if node.tag not in PARAGRAPH and not loose:
             continue
-        text = _paragraph_text(node).strip()
-        if not text:
+        points = _points(node)
+        if not points:
             continue
-        points = 1 + text.count(",") + min(len(text) / 100, 3)
         target, level = node if loose else node.parent, 0
         while target is not None and target.tag != "#root" and level < 4:
             if target not in scored:
@@ -304,6 +368,19 @@ def main_text(source: str | None) -> str:
     """Blocks of the article in page order, one on each line; empty if there is no text."""
     if not source:
         return ""
+    root = parse(source)
+    _take_back(root)
+    blocks = _blocks(root)
+    if not blocks and (soft := [n for n in _walk(root, FIRM) if n.dropped]):
+        for node in soft:
+            node.dropped = 0
+        for node in _walk(root):
+            node.score = 0.0
+        blocks = _blocks(root)
+    return "\n".join(blocks)
+
+
+def _blocks(root: Node) -> list[str]:
     blocks: list[str] = []
     run: list[str] = []
 
@@ -314,7 +391,7 @@ def main_text(source: str | None) -> str:
                 blocks.append(text)
             run.clear()
 
-    for top in _article(parse(source)):
+    for top in _article(root):
         stack: list[Node | str | None] = [None, top]  # None ends a block
         while stack:
             item = stack.pop()
@@ -328,7 +405,7 @@ def main_text(source: str | None) -> str:
                     stack.append(None)
                 stack.extend(reversed(item.children))
         end_block()
-    return "\n".join(blocks)
+    return blocks
 
 
 def extract_main_text(

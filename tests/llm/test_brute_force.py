@@ -364,6 +364,49 @@ def test_main_text():
     assert "x\n" not in main_text(f"<body>{menu}{plain}</body>")
 
 
+ARTICLE = "".join(f"<p>Part {k} of the article, with commas, and more.</p>" for k in range(8))
+
+
+@pytest.mark.parametrize(
+    "opening, closing",
+    [
+        ('<div data-hidden="false">', "</div>"),
+        ('<div title="a hidden gem" data-role="banner">', "</div>"),
+        ("<div aria-label='the hidden cost' data-note='role=menu style=display:none'>", "</div>"),
+        ('<div title="x > y" data-class="sidebar">', "</div>"),
+        ('<div class="container has-sidebar">', "</div>"),
+        ('<div class="no-sidebar"><div class="with-menu">', "</div></div>"),
+        ('<form id="aspnetForm" action="/"><input type="hidden" value="1">', "</form>"),
+        ('<form><div class="no-sidebar">', "</div></form>"),
+    ],
+)
+def test_main_text_survives_misleading_markup(opening, closing):
+    text = main_text(
+        "<body><div class='menu'><a href='/'>Menu</a></div>"
+        f"{opening}<h1>Title</h1>{ARTICLE}<div class='comments'><p>Reader, says.</p></div>{closing}"
+        "<div><p>All rights reserved</p></div></body>"
+    )
+    lines = text.split("\n")
+    assert [x for x in lines if x.startswith("Part")] == [
+        f"Part {k} of the article, with commas, and more." for k in range(8)
+    ]
+    assert "Title" in lines and "Menu" not in lines and "Reader, says." not in lines
+
+
+def test_main_text_keeps_out_what_is_hidden_or_beside():
+    page = "<body><article><p>Short, but it is the article, of this page.</p></article>{}</body>"
+    only = "Short, but it is the article, of this page."
+    for beside in (
+        f"<div id='comments'>{ARTICLE}</div>", f"<div HIDDEN>{ARTICLE}</div>",
+        f"<div class=x hidden=''>{ARTICLE}</div>", f"<div style='display: none'>{ARTICLE}</div>",
+        f"<div aria-hidden=true>{ARTICLE}</div>", f"<div role=navigation>{ARTICLE}</div>",
+        f"<form>{ARTICLE}</form>",
+    ):
+        assert main_text(page.format(beside)) == only
+    # Without any other text a form's is the page's.
+    assert main_text("<form class='popup'><p>Tiny</p></form>") == "Tiny"
+
+
 def test_rules_are_indexed_by_their_rarest_token():
     rules = [site_rule("example.com", "/en/", "block"), keyword_rule("cheap pills")]
     index = index_rules(rules, {"com": 9, "example": 5, "en": 2, "cheap": 1, "pills": 3})
