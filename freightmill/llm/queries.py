@@ -5,19 +5,23 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from corpus_pipeline import run
 from freightmill.llm.common import read_table
 from freightmill.llm.decontaminate import contaminated_windows
 from freightmill.llm.exact_dedup import mark_exact_duplicates
+from freightmill.llm.hard_negatives import mine_hard_negatives
 from freightmill.llm.html_text import extract_main_text
 from freightmill.llm.jaccard_join import near_duplicate_components
 from freightmill.llm.line_dedup import line_classes
 from freightmill.llm.packing import pack_documents
+from freightmill.llm.quality import score_quality, train_quality
 from freightmill.llm.substring_dedup import remove_repeats
 from freightmill.llm.token_counts import token_counts
 from freightmill.llm.toxicity import score_documents, train
 from freightmill.llm.url_filter import KEYWORDS, judge_urls, keyword_rule, site_rule
+from freightmill.llm.whitening import whitened_components
 
 SITE_RULES = [
     site_rule("com", "/", "allow"),
@@ -74,6 +78,24 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_classes(read_table(spark, folder, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = read_table(spark, folder, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine_hard_negatives(vectors.withColumn("label", moved), F.col("vec_id") % 50 == 0)
+
+
+def op12_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents")
+    model = train_quality(docs, read_table(spark, folder, "labels"))
+    return score_quality(docs, model, keep=["doc_id"])
+
+
+def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    rows = whitened_components(read_table(spark, folder, "embeddings"))
+    # The contract names a long; a sum that is none fails here instead of wrapping around.
+    return rows.withColumn("deviation", F.col("deviation").cast("long"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_main_text": op1_main_text,
     "op2_jaccard_join": op2_jaccard_join,
@@ -85,6 +107,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontaminate": op8_decontaminate,
     "op9_toxicity": op9_toxicity,
     "op10_line_dedup": op10_line_dedup,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_quality": op12_quality,
+    "op13_whitening": op13_whitening,
     "pipeline": run,
 }
 
@@ -155,4 +180,26 @@ ORACLES: dict[str, str] = {
         FROM (SELECT doc_id, sha256({_LOWER}) AS text_sha256 FROM documents)
         WINDOW same AS (PARTITION BY text_sha256)
     """,
+    "op11_hard_negatives": """
+        WITH rows AS (
+          SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS kind,
+                 list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+          FROM embeddings
+          WHERE label IS NOT NULL AND embedding IS NOT NULL
+            AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        scored AS (
+          SELECT a.id AS anchor_id, r.id AS id, a.kind = r.kind AS same,
+                 CAST(list_dot_product(a.v, r.v) AS BIGINT) AS score
+          FROM rows a JOIN rows r ON a.id % 50 = 0 AND a.id <> r.id),
+        positives AS (
+          SELECT anchor_id, id, score FROM scored WHERE same
+          QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+        SELECT p.anchor_id, p.id AS positive_id,
+               CAST(row_number() OVER best AS INTEGER) AS rank, n.id AS negative_id,
+               p.score AS positive_score, n.score AS negative_score
+        FROM positives p JOIN scored n ON n.anchor_id = p.anchor_id AND NOT n.same
+          AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score
+        WINDOW best AS (PARTITION BY p.anchor_id, p.id ORDER BY n.score DESC, n.id)
+        QUALIFY row_number() OVER best <= 3
+    """,
 }
