@@ -51,10 +51,11 @@ def shingle_sets(data: np.ndarray, bounds: np.ndarray, n: int) -> tuple[np.ndarr
     hashes = span_hashes(_LOWER[data], starts, ends)
     total = np.zeros(len(hashes), np.uint64)
     words = np.bincount(row, minlength=rows)
-    for step in range(n):
+    for step in range(min(n, len(hashes))):
         total[: len(hashes) - step] = total[: len(hashes) - step] * _FACTOR + hashes[step:]
     full = np.zeros(len(hashes), bool)
-    full[: max(0, len(hashes) - n + 1)] = row[n - 1 :] == row[: len(row) - n + 1]
+    if len(hashes) >= n:
+        full[: len(hashes) - n + 1] = row[n - 1 :] == row[: len(row) - n + 1]
     for short in np.flatnonzero((words > 0) & (words < n)).tolist():
         at = int(np.searchsorted(row, short))
         value = np.uint64(words[short])
