@@ -11,6 +11,7 @@ from freightmill.functions.keys import shipment_hash
 from freightmill.functions.labels import carrier_tier, risk_profile
 from freightmill.functions.temporal import civil_date, civil_datetime
 from freightmill.sources.files import conform
+from freightmill.sources.json_records import BROKEN
 
 GATE_COLUMNS = ("shipment_id", "order_id")
 
@@ -32,7 +33,9 @@ def rejection_reason(feed: DataFrame, contract: Contract) -> Column:
     have = set(feed.columns)
     tests = []
     if "_corrupt_record" in have:
-        tests.append(F.when(F.col("_corrupt_record").isNotNull(), "malformed record"))
+        flaw = F.col("_flaw") if "_flaw" in have else F.lit(None).cast("string")
+        told = F.concat_ws(": ", F.lit("malformed record"), F.nullif(flaw, F.lit(BROKEN)))
+        tests.append(F.when(F.col("_corrupt_record").isNotNull(), told))
     if "_unreadable_columns" in have:
         required = F.array(*[F.lit(c) for c in contract.required])
         lost = F.array_intersect("_unreadable_columns", required)
@@ -54,7 +57,7 @@ def split_feed(raw: DataFrame, contract: Contract) -> tuple[DataFrame, DataFrame
     kept = F.struct(*[F.col(f"`{c}`") for c in raw.columns])
     typed = conform(raw.withColumn("_raw", kept), contract)
     judged = typed.withColumn("_reason", rejection_reason(typed, contract))
-    good = judged.where("_reason IS NULL").drop("_reason", "_raw", "_corrupt_record")
+    good = judged.where("_reason IS NULL").drop("_reason", "_raw", "_corrupt_record", "_flaw")
     return good, judged.where("_reason IS NOT NULL").select("_raw.*", "_reason")
 
 

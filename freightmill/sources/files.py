@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import csv
+from collections import Counter
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,10 +12,12 @@ from pyspark.sql import types as T
 
 from freightmill.contracts import FEEDS, TELEMATICS, Contract
 from freightmill.functions.temporal import civil_date, civil_datetime
+from freightmill.sources.json_records import array_records, line_records
 
 SOURCE_FILE = "_source_file"
 UNREADABLE = "_unreadable_columns"
 CORRUPT = "_corrupt_record"
+FLAW = "_flaw"
 EXTRA = "_extra"
 
 
@@ -51,94 +55,125 @@ def _with_source_file(raw: DataFrame) -> DataFrame:
     return raw.select("*", F.col("_metadata.file_path").alias(SOURCE_FILE))
 
 
-def _files(spark: SparkSession, path: str) -> list[str]:
-    """The files of a feed; only their names are read."""
-    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    return sorted(r["path"] for r in listed.select("path").collect())
+def _blank_feed(spark: SparkSession) -> DataFrame:
+    """What a feed without a single line reads as."""
+    fields = [T.StructField(c, T.StringType()) for c in (CORRUPT, SOURCE_FILE)]
+    return spark.createDataFrame([], T.StructType(fields))
 
 
-def _csv_text(spark: SparkSession, files: list[str], multi_line: bool) -> DataFrame:
+def _column_names(header: str) -> tuple[list[str], bool]:
+    """Names of a header line, and whether they stand in it as they are.
+
+    A name that is missing or repeated gets its place for a name, as Spark's reader does it.
+    """
+    names = next(csv.reader([header]), [])
+    seen = Counter(n.lower() for n in names)
+    own = [
+        f"_c{k}" if not n else f"{n}{k}" if seen[n.lower()] > 1 else n for k, n in enumerate(names)
+    ]
+    return own, own == names
+
+
+def _first_lines(spark: SparkSession, path: str, check_quotes: bool) -> dict[str, list[str]]:
+    """Header line -> the files that begin with it, from one pass over the feed's lines.
+
+    The pass leaves one row for each file, whose names the driver needs to read it anyway.
+    With ``check_quotes`` a line with an odd number of quotes fails: read line by line, it
+    would lose text.
+    """
+    lines = (
+        spark.read.option("recursiveFileLookup", True)
+        .text(path)
+        .select(
+            "value",
+            F.col("_metadata.file_path").alias("file"),
+            # Lines of one split come in their order, and splits name their first byte.
+            F.struct("_metadata.file_block_start", F.monotonically_increasing_id()).alias("at"),
+        )
+    )
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    written = F.when(F.col("value").rlike(r"\S"), F.col("at"))
+    report = lines.groupBy("file").agg(
+        F.min_by("value", written).alias("header"),
+        F.max(F.when(quotes % 2 == 1, F.col("value"))).alias("odd"),
+    )
+    files: dict[str, list[str]] = {}
+    for row in sorted(report.collect(), key=lambda r: r["file"]):
+        if check_quotes and row["odd"] is not None:
+            raise ValueError(
+                "a quoted value goes on in the next line, use multi_line: "
+                f"{row['odd']!r} in {row['file']}"
+            )
+        if row["header"] is not None:
+            header = row["header"].removeprefix("\ufeff").rstrip("\r")
+            files.setdefault(header, []).append(row["file"])
+    return files
+
+
+def _csv_text(spark: SparkSession, header: str, files: list[str], multi_line: bool) -> DataFrame:
     """Files that share one header, as text columns and the lines that do not fit it."""
+    names, plain = _column_names(header)
+    columns = [T.StructField(c, T.StringType()) for c in (*names, CORRUPT)]
     options = {
         "header": True, "quote": '"', "escape": '"', "multiLine": multi_line,
-        "enforceSchema": False, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT,
+        "enforceSchema": not plain, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT,
         "columnPruning": False,
     }
-    header = spark.read.options(**options).csv(files[0]).columns
-    columns = [T.StructField(c, T.StringType()) for c in (*header, CORRUPT)]
     return _with_source_file(spark.read.options(**options).schema(T.StructType(columns)).csv(files))
 
 
-def _refuse_open_quotes(spark: SparkSession, files: list[str]) -> None:
-    """Fail on a line with an odd number of quotes: read line by line, it would lose text."""
-    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    lines = spark.read.text(files).select("value", F.col("_metadata.file_path").alias("file"))
-    found = lines.where(quotes % 2 == 1).take(1)
-    if found:
-        raise ValueError(f"a quoted value goes on in the next line, use multi_line: {found[0]}")
-
-
 def read_csv_text(
-    spark: SparkSession,
-    path: str,
-    multi_line: bool = False,
-    max_headers_read: int = 256,
-    check_quotes: bool = True,
+    spark: SparkSession, path: str, multi_line: bool = False, check_quotes: bool = True
 ) -> DataFrame:
-    """A header CSV file or folder as text, matched by column name.
+    """A header CSV file, or a folder with any number of them, as text matched by column name.
 
     Quotes follow RFC 4180: a quote inside quotes is doubled. ``multi_line`` allows line breaks
-    in quotes, at the price of files that cannot be split; without it such a file is refused,
-    which takes a scan of its own (``check_quotes``). Rows with too few or too many fields come
-    back with their text in ``_corrupt_record``. Folders
-    of up to ``max_headers_read`` files are read header by header; in larger ones all files
-    must have the first one's header, and Spark fails on any that has not.
+    in quoted values (not in the header), at the price of files that cannot be split; without it
+    such a file is refused (``check_quotes``). Rows with too few or too many fields come back
+    with their text in ``_corrupt_record``. Headers may differ from file to file: one pass reads
+    the files' first lines, and files with the same one are read together.
     """
-    files = _files(spark, path)
-    if check_quotes and files and not multi_line:
-        _refuse_open_quotes(spark, files)
-    groups: dict[tuple, list[str]] = {}
-    if len(files) > max_headers_read:
-        groups[()] = files
-    else:
-        for file in files:
-            header = tuple(spark.read.option("header", True).option("escape", '"').csv(file).columns)
-            groups.setdefault(header, []).append(file)
-    if not groups:
+    if not spark.read.option("recursiveFileLookup", True).text(path).inputFiles():
         raise FileNotFoundError(f"no file in {path}")
-    frames = [_csv_text(spark, same, multi_line) for same in groups.values()]
+    groups = _first_lines(spark, path, check_quotes and not multi_line)
+    frames = [_csv_text(spark, header, same, multi_line) for header, same in groups.items()]
+    if not frames:
+        return _blank_feed(spark)
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def read_json_text(
-    spark: SparkSession, path: str, contract: Contract, array_document: bool = False
+def parse_json_text(
+    raw: DataFrame, contract: Contract, array_document: bool = False
 ) -> DataFrame:
-    """A JSON feed as text: the contract's columns, all other fields in the map ``_extra``.
+    """Records in ``value``: the contract's columns, other fields in the map ``_extra``, and the
+    columns of ``raw`` besides ``value``.
 
-    One record per line, which Spark can split. ``array_document`` reads files that each hold
-    one JSON array; such a file is a single task, so land large feeds as lines. A record (or
-    document) that is no JSON comes back with its text in ``_corrupt_record``.
+    Whatever is no single object with fields named once comes back with its text in
+    ``_corrupt_record`` and the reason in ``_flaw``, so nothing of the text is lost.
     """
-    raw = _with_source_file(spark.read.text(path, wholetext=array_document))
-    kind = "array<map<string,string>>" if array_document else "map<string,string>"
-    parsed = raw.where(F.trim("value") != "").select(
-        "value", SOURCE_FILE, F.from_json("value", kind).alias("record")
-    )
-    lost = F.col("record").isNull()
-    if array_document:
-        parsed = parsed.select(
-            "value", SOURCE_FILE, lost.alias("lost"), F.explode_outer("record").alias("record")
-        ).where(F.col("lost") | F.col("record").isNotNull())
-        lost = F.col("lost")
+    records = array_records(raw) if array_document else line_records(raw)
     known = F.array(*[F.lit(c) for c in contract.columns])
-    return parsed.select(
+    return records.select(
         *[F.col("record")[c].alias(c) for c in contract.columns],
         F.map_filter("record", lambda k, _: ~F.array_contains(known, k)).alias(EXTRA),
-        F.when(lost, F.col("value")).alias(CORRUPT),
-        SOURCE_FILE,
+        F.col("flawed_text").alias(CORRUPT),
+        F.col("flaw").alias(FLAW),
+        *[c for c in raw.columns if c != "value"],
     )
 
 
+def read_json_text(
+    spark: SparkSession, path: str, contract: Contract, array_document: bool = False
+) -> DataFrame:
+    """A JSON feed as text, see ``parse_json_text``.
+
+    One record per line, which Spark can split. ``array_document`` reads files that each hold
+    one JSON array; such a file is a single task, so land large feeds as lines.
+    """
+    raw = _with_source_file(spark.read.text(path, wholetext=array_document))
+    return parse_json_text(raw, contract, array_document)
+
+
 def read_csv_feed(
     spark: SparkSession, path: str, contract: Contract, multi_line: bool = False
 ) -> DataFrame:
