@@ -13,7 +13,12 @@ from freightmill.operators.tally import mean_of, pct_of_shipments, tally
 
 
 def carrier_scorecard(fact: DataFrame, carriers: DataFrame) -> DataFrame:
-    scored = tally(fact, "carrier_id").join(
+    return carrier_sheet(tally(fact, "carrier_id"), carriers)
+
+
+def carrier_sheet(totals: DataFrame, carriers: DataFrame) -> DataFrame:
+    """The scorecard from totals by carrier."""
+    scored = totals.join(
         carriers.select("carrier_id", "carrier_name", "transport_mode", "sla_target_pct"),
         "carrier_id",
     )
@@ -47,29 +52,33 @@ def agg_carrier_scorecard(scorecard: DataFrame) -> DataFrame:
     return scorecard.select(*typed, F.localtimestamp().alias("updated_at"))
 
 
-def _warehouse_months(fact: DataFrame, warehouses: DataFrame) -> DataFrame:
+def _warehouse_months(fact: DataFrame) -> DataFrame:
     """Totals per warehouse and month of delivery."""
     month = month_start(F.col("actual_delivery_date")).alias("delivery_month_start")
-    return tally(fact, "destination_warehouse_id", month).join(
-        warehouses.select("warehouse_id", "name", "region"),
-        F.col("destination_warehouse_id") == F.col("warehouse_id"),
-    )
+    return tally(fact, "destination_warehouse_id", month)
 
 
 def warehouse_monthly(fact: DataFrame, warehouses: DataFrame) -> DataFrame:
-    return _warehouse_sheet(
-        _warehouse_months(fact, warehouses),
-        month_label(F.col("delivery_month_start")).alias("delivery_month"),
-    )
+    return warehouse_sheet(_warehouse_months(fact), warehouses)
+
+
+def warehouse_sheet(totals: DataFrame, warehouses: DataFrame) -> DataFrame:
+    """The monthly table from totals by warehouse and month of delivery."""
+    month = month_label(F.col("delivery_month_start")).alias("delivery_month")
+    return _warehouse_sheet(totals, warehouses, month)
 
 
 def warehouse_monthly_by_date(fact: DataFrame, warehouses: DataFrame) -> DataFrame:
     """The same table keyed by the first day of the month."""
-    return _warehouse_sheet(_warehouse_months(fact, warehouses), F.col("delivery_month_start"))
+    return _warehouse_sheet(_warehouse_months(fact), warehouses, F.col("delivery_month_start"))
 
 
-def _warehouse_sheet(totals: DataFrame, month: Column) -> DataFrame:
-    return totals.select(
+def _warehouse_sheet(totals: DataFrame, warehouses: DataFrame, month: Column) -> DataFrame:
+    described = totals.join(
+        warehouses.select("warehouse_id", "name", "region"),
+        F.col("destination_warehouse_id") == F.col("warehouse_id"),
+    )
+    return described.select(
         "warehouse_id",
         "name",
         "region",
@@ -82,6 +91,11 @@ def _warehouse_sheet(totals: DataFrame, month: Column) -> DataFrame:
 
 
 def supplier_reliability(fact: DataFrame, suppliers: DataFrame) -> DataFrame:
+    return supplier_sheet(tally(fact, "supplier_id"), suppliers)
+
+
+def supplier_sheet(totals: DataFrame, suppliers: DataFrame) -> DataFrame:
+    """The reliability table from totals by supplier."""
     described = suppliers.select(
         "supplier_id",
         "supplier_name",
@@ -90,7 +104,7 @@ def supplier_reliability(fact: DataFrame, suppliers: DataFrame) -> DataFrame:
         "agreed_lead_days",
         "reliability_rating",
     )
-    return tally(fact, "supplier_id").join(described, "supplier_id").select(
+    return totals.join(described, "supplier_id").select(
         *described.columns,
         F.col("shipments").alias("total_orders"),
         mean_of("transit").alias("avg_actual_lead_days"),
@@ -112,6 +126,13 @@ def delay_breakdown(fact: DataFrame) -> DataFrame:
     return _delay_counts(fact).orderBy(F.desc("count"), "reason")
 
 
+def delay_sheet(totals: DataFrame) -> DataFrame:
+    """The breakdown from totals by delay reason."""
+    late = totals.filter(is_delayed(F.col("delay_reason")))
+    counts = late.select(F.col("delay_reason").alias("reason"), F.col("shipments").alias("count"))
+    return counts.orderBy(F.desc("count"), "reason")
+
+
 def delay_breakdown_pct(fact: DataFrame) -> DataFrame:
     """Each reason's count as a whole-number share of the largest one."""
     counts = _delay_counts(fact)

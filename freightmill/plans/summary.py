@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 
 from freightmill.functions.labels import damage_status, otif_status, target_status
 from freightmill.functions.numeric import half_up
+from freightmill.operators.day_tally import over_days
 from freightmill.operators.tally import mean_of, pct_of_shipments, tally
-from freightmill.plans.gold import delay_breakdown
+from freightmill.plans.gold import delay_sheet
 from freightmill.sources.lake import write_json_lines
 
 TOP_SUPPLIERS = 15
@@ -27,7 +28,11 @@ def _rows(frame: DataFrame):
 
 def summary_kpis(fact: DataFrame, suppliers: DataFrame, warehouses: DataFrame) -> DataFrame:
     """One row; spend in millions."""
-    totals = tally(fact)
+    return kpi_sheet(tally(fact), suppliers, warehouses)
+
+
+def kpi_sheet(totals: DataFrame, suppliers: DataFrame, warehouses: DataFrame) -> DataFrame:
+    """The same from the totals of all shipments."""
     otif = pct_of_shipments("otif", 1)
     return totals.select(
         F.col("shipments").alias("total_shipments"),
@@ -66,17 +71,17 @@ def supplier_damage(reliability: DataFrame) -> DataFrame:
 
 
 def summary_parts(
-    fact: DataFrame, warehouses: DataFrame, suppliers: DataFrame, gold: dict[str, DataFrame]
+    reasons: DataFrame, warehouses: DataFrame, suppliers: DataFrame, gold: dict[str, DataFrame]
 ) -> dict[str, DataFrame]:
-    """The parts, from the gold tables where those already hold the figures."""
+    """The parts, from the gold tables and the totals by delay reason, which have every shipment."""
     return {
-        "kpis": summary_kpis(fact, suppliers, warehouses).withColumn(
+        "kpis": kpi_sheet(over_days(reasons), suppliers, warehouses).withColumn(
             "generated_at", F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss")
         ),
         "carrier_scorecard": gold["gold_carrier_scorecard"],
         "warehouse_summary": gold["gold_warehouse_monthly"],
         "supplier_summary": top_suppliers(gold["gold_supplier_reliability"]),
-        "delay_breakdown": delay_breakdown(fact),
+        "delay_breakdown": delay_sheet(reasons),
     }
 
 

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import csv
+import hashlib
 from collections import Counter
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +21,7 @@ UNREADABLE = "_unreadable_columns"
 CORRUPT = "_corrupt_record"
 FLAW = "_flaw"
 EXTRA = "_extra"
+LANDING = "_landing"
 
 
 def _typed(raw: Column, dtype: T.DataType) -> Column:
@@ -106,7 +109,8 @@ def _first_lines(spark: SparkSession, path: str, check_quotes: bool) -> dict[str
             )
         if row["header"] is not None:
             header = row["header"].removeprefix("\ufeff").rstrip("\r")
-            files.setdefault(header, []).append(row["file"])
+            # The file's name comes as a URI, and readers take plain paths.
+            files.setdefault(header, []).append(unquote(row["file"]))
     return files
 
 
@@ -195,15 +199,36 @@ def with_origin(feed: DataFrame, source_system: str) -> DataFrame:
     )
 
 
+def feed_path(raw_dir: str, name: str) -> str:
+    return f"{raw_dir}/{name}.json" if FEEDS[name] is TELEMATICS else f"{raw_dir}/{name}.csv"
+
+
+def landing_id(spark: SparkSession, path: str) -> str:
+    """Name of what landed at ``path``: a digest of its files, their sizes and their times.
+
+    One job over the listing; no file is opened.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    marks = files.select(F.xxhash64("path", "length", "modificationTime").alias("mark"))
+    n, total = marks.agg(F.count("*"), F.sum(F.col("mark").cast("decimal(38,0)"))).first()
+    return hashlib.sha256(f"{n} {total}".encode()).hexdigest()[:16]
+
+
 def read_landing(
     spark: SparkSession, raw_dir: str, array_document: bool = True, multi_line: bool = False
 ) -> dict[str, DataFrame]:
-    """The five feeds of a landing folder as they came, in text, and stamped: Bronze."""
+    """The five feeds of a landing folder as they came, in text, and stamped: Bronze.
+
+    ``_landing`` names the files that a row landed with, so that the same files landed again are
+    the same landing.
+    """
     frames = {}
     for name, contract in FEEDS.items():
+        path = feed_path(raw_dir, name)
         if contract is TELEMATICS:
-            feed = read_json_text(spark, f"{raw_dir}/{name}.json", contract, array_document)
+            feed = read_json_text(spark, path, contract, array_document)
         else:
-            feed = read_csv_text(spark, f"{raw_dir}/{name}.csv", multi_line)
-        frames[name] = with_origin(feed, contract.source_system)
+            feed = read_csv_text(spark, path, multi_line)
+        landed = feed.withColumn(LANDING, F.lit(landing_id(spark, path)))
+        frames[name] = with_origin(landed, contract.source_system)
     return frames
