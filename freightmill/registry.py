@@ -12,10 +12,11 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from freightmill.contracts import FEEDS
+from freightmill.contracts import FEEDS, TELEMATICS
 from freightmill.functions.labels import TIER_ECONOMY, TIER_STANDARD
 from freightmill.functions.numeric import half_up
 from freightmill.operators.batch_replace import fact_rows, replace_day
+from freightmill.operators.day_tally import day_tally, on_days, over_days, replace_days
 from freightmill.operators.enrich import (
     enrich_carriers,
     enrich_shipments,
@@ -36,6 +37,7 @@ from freightmill.plans import (
     warehouse_queries,
 )
 from freightmill.plans.model import FACT, FLEET, equal_to, logistics_model
+from freightmill.sources.files import parse_json_text
 from freightmill.sources.lake import stack
 from freightmill.sources.trade_tables import (
     ORDER_ID,
@@ -124,6 +126,23 @@ def bronze_source_tag(f: Feeds) -> DataFrame:
     )
 
 
+@query
+def bronze_json_records(f: Feeds) -> DataFrame:
+    """Telematics as JSON lines, some of them followed by text, naming a field twice, no
+    object, or cut short: read digit by digit or refused whole."""
+    feed = parse_json_text(f.trade.telematics_lines(), TELEMATICS)
+    refused = F.col("_corrupt_record")
+    return feed.select(
+        "event_id",
+        F.when(refused.isNull(), "ACCEPTED").otherwise("QUARANTINED").alias("status"),
+        "vehicle_id",
+        F.col("speed_kmh").alias("speed_text"),
+        F.col("_extra")["note"].alias("note"),
+        F.col("_flaw").alias("flaw"),
+        F.length(refused).alias("refused_length"),
+    )
+
+
 @query
 def silver_not_null_gate(f: Feeds) -> DataFrame:
     # The trade tables have no NULL keys; an order id is lost on some parts' lines.
@@ -180,6 +199,24 @@ def gold_carrier_scorecard_gaps(f: Feeds) -> DataFrame:
     return gold.with_breach_badge(gold.carrier_scorecard(fact, f.register()))
 
 
+@query
+def gold_scorecard_by_days(f: Feeds) -> DataFrame:
+    """Two landings: all shipments, then the days of one month again with freight raised by
+    1 USD and a register that renames CAR-1..4 and no longer lists the others."""
+    fact = f.fact()
+    days = [date(1995, 2, d) for d in range(1, 29)]
+    again = fact.filter(on_days(fact, days)).withColumn(
+        "freight_cost_usd", (F.col("freight_cost_usd") + 1).cast("decimal(12,2)")
+    )
+    totals = replace_days(day_tally(fact, "carrier"), day_tally(again, "carrier"), days)
+    register = f.register()
+    listed = register.filter(_code("carrier_id") <= 4).withColumn(
+        "carrier_name", F.concat("carrier_name", F.lit(" Group"))
+    )
+    kept = upsert(register, listed, "carrier_id", register.columns)
+    return gold.carrier_sheet(over_days(totals, "carrier_id"), kept)
+
+
 @query
 def gold_warehouse_monthly(f: Feeds) -> DataFrame:
     return gold.warehouse_monthly(f.fact(destination=True), f.warehouses())

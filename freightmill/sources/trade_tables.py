@@ -219,6 +219,23 @@ class TradeTables:
             "events",
         )
 
+    def telematics_lines(self) -> DataFrame:
+        """The events as JSON text, with more digits than a double holds and planted faults."""
+        record = r"""concat('{"telematics_id":"', event_id, '","vehicle_id":"', user_id,
+            '", "speed_kmh": ', CAST(value AS DECIMAL(12,4)), '0012345678901234567890',
+            ',"note":"', event_type, ' \\"1.50\\""}')"""
+        told = self.table("events").selectExpr("event_id", f"{record} AS record")
+        return told.selectExpr(
+            "event_id",
+            """CASE event_id % 9
+                 WHEN 1 THEN concat(record, record)
+                 WHEN 2 THEN concat(record, ' tail')
+                 WHEN 3 THEN replace(record, '"note"', '"speed_kmh":0,"note"')
+                 WHEN 4 THEN 'null'
+                 WHEN 5 THEN left(record, length(record) - 1)
+                 ELSE record END AS value""",
+        )
+
     def calendar_bounds(self) -> DataFrame:
         """One row: first and last day any order or delivery can fall on."""
         return self._sql(

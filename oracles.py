@@ -294,6 +294,22 @@ SUPPLIER_REQUIRED = """supplier_id supplier_name category country agreed_lead_da
 reliability_rating contract_sla_pct risk_profile"""
 
 ORACLES: dict[str, str] = {
+    "bronze_json_records": """
+SELECT event_id, status,
+       CASE WHEN status = 'ACCEPTED' THEN CAST(user_id AS VARCHAR) END AS vehicle_id,
+       CASE WHEN status = 'ACCEPTED' THEN digits END AS speed_text,
+       CASE WHEN status = 'ACCEPTED' THEN event_type || ' "1.50"' END AS note, flaw,
+       CASE event_id % 9 WHEN 1 THEN 2 * n WHEN 2 THEN n + 5 WHEN 3 THEN n + 14 WHEN 4 THEN 4
+                         WHEN 5 THEN n - 1 END AS refused_length
+FROM (SELECT *, CASE WHEN event_id % 9 BETWEEN 1 AND 5 THEN 'QUARANTINED' ELSE 'ACCEPTED' END AS status,
+             CASE event_id % 9 WHEN 1 THEN 'text after the record' WHEN 2 THEN 'text after the record'
+                               WHEN 3 THEN 'repeated field' WHEN 4 THEN 'not an object'
+                               WHEN 5 THEN 'broken JSON' END AS flaw,
+             CAST(length('{"telematics_id":"' || event_id || '","vehicle_id":"' || user_id
+               || '", "speed_kmh": ' || digits || ',"note":"' || event_type || ' \\"1.50\\""}')
+               AS INTEGER) AS n
+      FROM (SELECT *, CAST(CAST(value AS DECIMAL(12,4)) AS VARCHAR) || '0012345678901234567890' AS digits
+            FROM events))""",
     "bronze_source_tag": _sql(
         """
 SELECT 'shipments' AS feed, shipment_id AS record_id, 'TMS' AS _source_system FROM fact
@@ -342,6 +358,19 @@ FROM scorecard""",
               FROM fact) JOIN""",
         ),
     ),
+    "gold_scorecard_by_days": _sql(
+        """
+SELECT *, CASE WHEN actual_on_time_pct < sla_target_pct THEN 1 ELSE 0 END AS sla_breach_flag
+FROM scorecard""",
+        SCORECARD.replace(
+            "FROM fact JOIN register USING (carrier_id)",
+            """FROM (SELECT * REPLACE (freight_cost_usd + CASE WHEN order_date >= '1995-02-01'
+                         AND order_date < '1995-03-01' THEN 1 ELSE 0 END AS freight_cost_usd)
+              FROM fact) JOIN (SELECT * REPLACE (carrier_name || CASE WHEN carrier_id <= 'CAR-4'
+                         THEN ' Group' ELSE '' END AS carrier_name) FROM register)
+              USING (carrier_id)""",
+        ),
+    ),
     "gold_warehouse_monthly": _sql("SELECT * FROM monthly", MONTHLY),
     "warehouse_month_trunc": _sql(
         f"""
