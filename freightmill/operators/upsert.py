@@ -63,9 +63,36 @@ def upsert(
     return merged.select(*[settle(c) for c in target.columns])
 
 
-def assign_surrogates(snapshot: DataFrame, business_key: str, surrogate: str) -> DataFrame:
+def row_digest(columns: list[str]) -> Column:
+    """MD5 over the named columns; NULL, empty and joined values all differ."""
+    told = F.to_json(F.struct(*[F.col(c) for c in columns]), {"ignoreNullFields": "false"})
+    return F.md5(told)
+
+
+def key_bucket(key: str, buckets: int) -> Column:
+    """Which of ``buckets`` storage buckets a business key belongs to."""
+    return F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(buckets)).cast("int")
+
+
+def changed_rows(
+    incoming: DataFrame, stored: DataFrame, key: str, digest: str
+) -> DataFrame:
+    """Rows of ``incoming`` that ``stored`` does not have, or has with another digest.
+
+    Only the key and the digest of the stored rows are read.
+    """
+    known = stored.select(F.col(key).alias("_known_key"), F.col(digest).alias("_known_digest"))
+    same = (F.col(key) == F.col("_known_key")) & (F.col(digest) == F.col("_known_digest"))
+    return incoming.join(known, same, "left_anti")
+
+
+def assign_surrogates(
+    snapshot: DataFrame, business_key: str, surrogate: str, taken: Column | None = None
+) -> DataFrame:
     """Give rows whose surrogate is NULL the next free numbers, without gaps.
 
+    ``taken`` is the highest number in use, where ``snapshot`` is not the whole table.
+
     A single running number would sort all new rows in one task. Rows are instead
     numbered inside groups of an MD5 prefix; the groups' sizes (at most 4,096 rows,
     whatever the dimension's size) give each group its offset.
@@ -78,7 +105,8 @@ def assign_surrogates(snapshot: DataFrame, business_key: str, surrogate: str) ->
         .agg(F.count(F.lit(1)).alias("_size"))
         .select("_group", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
     )
-    taken = snapshot.agg(F.coalesce(F.max(surrogate), F.lit(0)).alias("top")).scalar()
+    if taken is None:
+        taken = snapshot.agg(F.coalesce(F.max(surrogate), F.lit(0)).alias("top")).scalar()
     in_group = F.row_number().over(Window.partitionBy("_group").orderBy(business_key))
     kind = snapshot.schema[surrogate].dataType
     numbered = (
