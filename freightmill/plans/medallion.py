@@ -39,6 +39,7 @@ from freightmill.session import build_session
 from freightmill.sources.files import read_landing
 from freightmill.sources.lake import (
     delete_folder,
+    folder_exists,
     list_folders,
     overwrite_partitioned,
     overwrite_table,
@@ -190,19 +191,22 @@ def resubmit(spark: SparkSession, lake: Lake, feed: str, mended: DataFrame) -> i
     if feed == "shipments":
         add_shipments(lake, rows)
     else:
-        _merge_keys(rows, f"{lake.silver}/{feed}", contract.unique[0][0])
+        merge_keys(rows, f"{lake.silver}/{feed}", contract.unique[0][0])
     gone = settled.select(ROW_ID).distinct()
     count = release(spark, path, gone)
     delete_folder(spark, aside)
     return count
 
 
-def _merge_keys(new: DataFrame, path: str, key: str) -> None:
+def merge_keys(new: DataFrame, path: str, key: str) -> None:
     """Put rows into a table, in the place of those with the same key."""
     spark = new.sparkSession
-    stored = read_table(spark, path)
-    kept = stored.join(new.select(key).distinct(), key, "left_anti")
-    overwrite_table(kept.unionByName(new, allowMissingColumns=True), f"{path}_merging")
+    merged = new
+    if folder_exists(spark, path):
+        stored = read_table(spark, path)
+        kept = stored.join(new.select(key).distinct(), key, "left_anti")
+        merged = kept.unionByName(new, allowMissingColumns=True)
+    overwrite_table(merged, f"{path}_merging")
     overwrite_table(read_table(spark, f"{path}_merging"), path)
     delete_folder(spark, f"{path}_merging")
 

@@ -77,7 +77,9 @@ def _column_names(header: str) -> tuple[list[str], bool]:
     return own, own == names
 
 
-def _first_lines(spark: SparkSession, path: str, check_quotes: bool) -> dict[str, list[str]]:
+def _first_lines(
+    spark: SparkSession, path: str | list[str], check_quotes: bool
+) -> dict[str, list[str]]:
     """Header line -> the files that begin with it, from one pass over the feed's lines.
 
     The pass leaves one row for each file, whose names the driver needs to read it anyway.
@@ -127,9 +129,12 @@ def _csv_text(spark: SparkSession, header: str, files: list[str], multi_line: bo
 
 
 def read_csv_text(
-    spark: SparkSession, path: str, multi_line: bool = False, check_quotes: bool = True
+    spark: SparkSession,
+    path: str | list[str],
+    multi_line: bool = False,
+    check_quotes: bool = True,
 ) -> DataFrame:
-    """A header CSV file, or a folder with any number of them, as text matched by column name.
+    """A header CSV file, a list or a folder with any number of them, as text matched by column name.
 
     Quotes follow RFC 4180: a quote inside quotes is doubled. ``multi_line`` allows line breaks
     in quoted values (not in the header), at the price of files that cannot be split; without it
@@ -167,7 +172,7 @@ def parse_json_text(
 
 
 def read_json_text(
-    spark: SparkSession, path: str, contract: Contract, array_document: bool = False
+    spark: SparkSession, path: str | list[str], contract: Contract, array_document: bool = False
 ) -> DataFrame:
     """A JSON feed as text, see ``parse_json_text``.
 

@@ -6,10 +6,12 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
+from freightmill.sources.evolution import check_batch, note_schema, read_evolving
+
 
 def read_table(spark: SparkSession, path: str, merge_schema: bool = False) -> DataFrame:
-    """``merge_schema`` reads batches written before and after a column was added."""
-    return spark.read.option("mergeSchema", merge_schema).parquet(path)
+    """``merge_schema`` reads batches written before and after a column was added or widened."""
+    return read_evolving(spark, path) if merge_schema else spark.read.parquet(path)
 
 
 def overwrite_table(frame: DataFrame, path: str) -> None:
@@ -22,8 +24,12 @@ def overwrite_partitioned(
     """Replace the partitions present in ``frame``, or the whole table.
 
     The rebalance hint brings each partition value together to avoid one small file
-    per task and value, and lets AQE split a value that is too big for one task.
+    per task and value, and lets AQE split a value that is too big for one task. Partitions
+    that stay may lack columns of ``frame`` or have narrower ones, which ``read_table`` settles;
+    a column that fits neither way is refused before anything is written.
     """
+    if not replace_all:
+        check_batch(frame, path)
     (
         frame.hint("rebalance", partition)
         .write.option("partitionOverwriteMode", "static" if replace_all else "dynamic")
@@ -31,6 +37,7 @@ def overwrite_partitioned(
         .mode("overwrite")
         .parquet(path)
     )
+    note_schema(frame, path)
 
 
 def write_csv(frame: DataFrame, path: str) -> None:
@@ -54,6 +61,11 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
 def list_folders(spark: SparkSession, path: str) -> list[str]:
     """Names of the folders in a folder; none if it does not exist."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

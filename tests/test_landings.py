@@ -8,12 +8,12 @@ from pyspark.sql import functions as F
 from test_medallion import CARRIERS_CSV, FLEET, SHIPMENT_HEADER, SUPPLIERS_CSV, WAREHOUSES_CSV
 
 from freightmill.operators.day_tally import GRAINS, day_tally, over_days, replace_days
-from freightmill.plans import day_totals, medallion
+from freightmill.plans import day_totals, incremental, medallion
 from freightmill.plans.gold import carrier_scorecard, supplier_reliability, warehouse_monthly
 from freightmill.plans.quarantine import ROW_ID, read_refused
 from freightmill.plans.star import read_dimension
 from freightmill.sources.files import landing_id, read_csv_text
-from freightmill.sources.lake import read_table
+from freightmill.sources.lake import list_folders, read_table
 
 
 def line(i, day, carrier="C1", cost="250.00", order="O", reason="None"):
@@ -212,3 +212,85 @@ def test_the_same_files_are_the_same_landing(spark, tmp_path):
 def test_gold_needs_a_star(spark, tmp_path):
     with pytest.raises(ValueError, match="star schema"):
         medallion.build_gold(spark, medallion.Lake(str(tmp_path)))
+
+
+def grow(raw, name, file, text):
+    kind = "json" if name == "fleet_telematics" else "csv"
+    folder = raw / f"{name}.{kind}"
+    folder.mkdir(parents=True, exist_ok=True)
+    (folder / file).write_text(text)
+
+
+def bronze_ids(spark, lake, name="shipments", column="shipment_id"):
+    return [r[0] for r in values(read_table(spark, f"{lake.bronze}/{name}"), column)]
+
+
+def test_each_file_lands_once(spark, tmp_path, monkeypatch):
+    raw, lake = tmp_path / "raw", medallion.Lake(f"{tmp_path}/lake")
+    for name, text in (("carriers", CARRIERS_CSV), ("warehouses", WAREHOUSES_CSV),
+                       ("suppliers", SUPPLIERS_CSV)):
+        grow(raw, name, "a.csv", text)
+    grow(raw, "fleet_telematics", "a.json", "\n".join(json.dumps(r) for r in FLEET))
+    grow(raw, "shipments", "a b.csv", "\n".join([SHIPMENT_HEADER, *FIRST]))
+    incremental.run(spark, str(raw), lake.root, "2024-03-01")
+    assert bronze_ids(spark, lake) == ["S1", "S2", "S3", "S4", "S5", "S6"]
+
+    # Two more files; Bronze breaks off behind its first write.
+    grow(raw, "shipments", "b.csv", "\n".join([SHIPMENT_HEADER, *SECOND]))
+    grow(raw, "carriers", "b.csv", ONLY_C1.replace("One", "Uno"))
+    write = incremental.overwrite_table
+
+    def broken(frame, path):
+        write(frame, path)
+        if "bronze/shipments" in path:
+            raise OSError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(incremental, "overwrite_table", broken)
+        with pytest.raises(Exception, match="lost"):
+            incremental.run(spark, str(raw), lake.root, "2024-03-02")
+    # Then Silver breaks off between two feeds.
+    take = incremental.take_landing
+
+    def stops(spark, lake, name, landing):
+        if name == "shipments":
+            raise OSError("stopped")
+        take(spark, lake, name, landing)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(incremental, "take_landing", stops)
+        with pytest.raises(OSError, match="stopped"):
+            incremental.run(spark, str(raw), lake.root, "2024-03-02")
+    landings = list_folders(spark, f"{lake.bronze}/shipments")
+    assert incremental.waiting_landings(spark, lake, "shipments") == ["batch-000000001"]
+    assert incremental.waiting_landings(spark, lake, "carriers") == []
+    for _ in range(2):
+        incremental.run(spark, str(raw), lake.root, "2024-03-02")
+        assert list_folders(spark, f"{lake.bronze}/shipments") == landings
+        assert sorted(bronze_ids(spark, lake)) == [
+            "S1", "S2", "S3", "S3", "S4", "S5", "S6", "S7", "S8"
+        ]
+        gold = read_table(spark, f"{lake.gold}/gold_carrier_scorecard")
+        assert values(gold, "carrier_id", "carrier_name", "total_shipments") == [
+            ("C1", "Uno", 3), ("C2", "Two", 2),
+        ]
+        waiting = read_refused(spark, f"{lake.silver}/shipments_quarantine")
+        assert values(waiting, "shipment_id") == [("S5",), ("S6",), ("S8",)]
+        assert values(read_table(spark, f"{lake.silver}/fleet_telematics"), "telematics_id") == [
+            ("T1",)
+        ]
+    assert land_again(spark, raw, lake) == []
+
+
+def land_again(spark, raw, lake):
+    return [x for new in incremental.land_new_files(spark, str(raw), lake).values() for x in new]
+
+
+def test_files_of_a_landing_can_be_bounded(spark, tmp_path):
+    raw, lake = tmp_path / "raw", medallion.Lake(f"{tmp_path}/lake")
+    for k in range(5):
+        grow(raw, "carriers", f"{k}.csv", f"carrier_id\nC{k}\n")
+    landed = incremental.land_feed(spark, str(raw), lake, "carriers", files_per_landing=2)
+    assert landed == ["batch-000000000", "batch-000000001", "batch-000000002"]
+    assert bronze_ids(spark, lake, "carriers", "carrier_id") == [f"C{k}" for k in range(5)]
+    assert incremental.land_feed(spark, str(raw), lake, "carriers") == []
