@@ -16,6 +16,11 @@ from freightmill.operators.batch_replace import DAY_PARTITION, order_day
 from freightmill.operators.tally import merge_tallies, tally
 
 MONTH = "delivery_month_start"
+#: What measures are asked by most: the carrier, the day of delivery and the flags they filter.
+MEASURE_KEYS = [
+    "carrier_id", "actual_delivery_date", "on_time_flag", "in_full_flag",
+    "otif_compliance_flag", "damage_reported_flag",
+]
 
 
 def grain_keys(grain: str) -> list[str | Column]:
@@ -27,6 +32,7 @@ def grain_keys(grain: str) -> list[str | Column]:
         ],
         "supplier": ["supplier_id"],
         "reason": ["delay_reason"],
+        "measure": MEASURE_KEYS,
     }[grain]
 
 
@@ -36,6 +42,7 @@ GRAINS = {
     "warehouse": ["destination_warehouse_id", MONTH],
     "supplier": ["supplier_id"],
     "reason": ["delay_reason"],
+    "measure": MEASURE_KEYS,
 }
 
 

@@ -106,6 +106,30 @@ def split_name(name: str) -> tuple[str, str]:
     return table, column
 
 
+@dataclass(frozen=True)
+class Rollup:
+    """Stored totals of a fact, to answer from where they are fine enough.
+
+    ``keys`` are fact columns the totals are kept by, under their own names; ``days`` names, for
+    a fact column, the key that holds its calendar day. ``rows`` counts fact rows, ``sums`` and
+    ``present`` name the total and the number of known values of a fact column.
+    """
+
+    fact: str
+    table: DataFrame
+    keys: frozenset[str]
+    rows: str
+    sums: Mapping[str, str] = field(default_factory=dict)
+    present: Mapping[str, str] = field(default_factory=dict)
+    days: Mapping[str, str] = field(default_factory=dict)
+
+    def holds(self, kind: str, column: str | None) -> str | None:
+        """The column with a total of the fact, None if it is not kept."""
+        if kind == "rows":
+            return self.rows
+        return (self.sums if kind == "sum" else self.present).get(column)
+
+
 @dataclass(frozen=True)
 class Model:
     tables: Mapping[str, DataFrame]
@@ -115,6 +139,12 @@ class Model:
     secured: frozenset[str] = frozenset()
     # (dimension, fact column) pairs to use instead of the active relationship.
     roles: Mapping[str, str] = field(default_factory=dict)
+    # Stored totals, the ones to be preferred first.
+    rollups: tuple[Rollup, ...] = ()
+
+    def with_rollup(self, rollup: Rollup) -> "Model":
+        """Answer from ``rollup`` where it covers what is asked, else as before."""
+        return replace(self, rollups=(*self.rollups, rollup))
 
     def use_relationship(self, dimension: str, fact_key: str) -> "Model":
         return replace(self, roles={**self.roles, dimension: fact_key})
@@ -187,6 +217,41 @@ class _Evaluation:
             raise ValueError(f"{name} can be asked for, but not used inside another measure")
         return m.combine(*[self.value(i) for i in m.inputs])
 
+    # -- stored totals or the fact itself -------------------------------------
+
+    def _rollup(self, fact: str, joins: dict[str, Relationship]) -> Rollup | None:
+        """The first rollup that is kept by everything the evaluation groups, joins or filters
+        by on the fact, and has all its totals."""
+        asked = {split_name(c)[1] for c in (*self.by, *self.context) if split_name(c)[0] == fact}
+        asked |= {split_name(c)[1] for leaf in self.leaves for c in leaf.where}
+        for rollup in self.model.rollups:
+            if rollup.fact != fact or not asked <= rollup.keys:
+                continue
+            reached = all(
+                r.fact_key in (rollup.days if r.as_date else rollup.keys) for r in joins.values()
+            )
+            if reached and all(rollup.holds(leaf.kind, leaf.column) for leaf in self.leaves):
+                return rollup
+        return None
+
+    @staticmethod
+    def _from_fact(leaf: _Leaf, condition: Column | None) -> Column:
+        subject = F.lit(1) if leaf.kind == "rows" else F.col(leaf.column)
+        if condition is not None:
+            subject = F.when(condition, subject)
+        return F.sum(subject) if leaf.kind == "sum" else F.count(subject)
+
+    @staticmethod
+    def _from_rollup(leaf: _Leaf, condition: Column | None, rollup: Rollup) -> Column:
+        stored = rollup.holds(leaf.kind, leaf.column)
+        subject = F.col(stored)
+        if condition is not None:
+            subject = F.when(condition, subject)
+        if leaf.kind != "sum":
+            return F.coalesce(F.sum(subject), F.lit(0))
+        # In the type it has as the fact's own sum.
+        return F.sum(subject).cast(rollup.table.schema[stored].dataType)
+
     # -- one fact pass ------------------------------------------------------
 
     def _fact(self) -> str:
@@ -225,15 +290,6 @@ class _Evaluation:
         if not self.leaves:
             return self.members()
         fact_name = self._fact()
-        fact = self.model.tables[fact_name]
-        on_fact = [c for c in self.context if split_name(c)[0] == fact_name]
-        # A context filter every leaf keeps is a plain filter that reaches the scan;
-        # one that some leaf replaces has to be tested leaf by leaf.
-        shared = [c for c in on_fact if all(c not in leaf.where for leaf in self.leaves)]
-        per_leaf = [c for c in on_fact if c not in shared]
-        for name in shared:
-            fact = fact.filter(self.context[name](F.col(split_name(name)[1])))
-
         named = {split_name(c)[0] for c in (*self.by, *self.context)} | set(self.model.secured)
         joins: dict[str, Relationship] = {}
         for table in sorted(named - {fact_name}):
@@ -244,18 +300,30 @@ class _Evaluation:
                 continue
             joins[table] = route
 
+        rollup = self._rollup(fact_name, joins)
+        fact = rollup.table if rollup else self.model.tables[fact_name]
+        on_fact = [c for c in self.context if split_name(c)[0] == fact_name]
+        # A context filter every leaf keeps is a plain filter that reaches the scan;
+        # one that some leaf replaces has to be tested leaf by leaf.
+        shared = [c for c in on_fact if all(c not in leaf.where for leaf in self.leaves)]
+        per_leaf = [c for c in on_fact if c not in shared]
+        for name in shared:
+            fact = fact.filter(self.context[name](F.col(split_name(name)[1])))
+
         keys = []
         for table, route in joins.items():
-            key = F.col(route.fact_key)
+            day = rollup.days.get(route.fact_key) if rollup and route.as_date else None
+            key = F.col(day or route.fact_key)
             keys.append((key.cast("date") if route.as_date else key).alias(f"_fk_{table}"))
         own_by = [split_name(c)[1] for c in self.by if split_name(c)[0] == fact_name]
         aggs = []
         for leaf in self.leaves:
             condition = self._condition(leaf, per_leaf)
-            subject = F.lit(1) if leaf.kind == "rows" else F.col(leaf.column)
-            if condition is not None:
-                subject = F.when(condition, subject)
-            total = F.sum(subject) if leaf.kind == "sum" else F.count(subject)
+            total = (
+                self._from_rollup(leaf, condition, rollup)
+                if rollup
+                else self._from_fact(leaf, condition)
+            )
             aggs.append(total.alias(leaf.name))
         result = fact.groupBy(*keys, *own_by).agg(*aggs)
 

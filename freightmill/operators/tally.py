@@ -25,6 +25,8 @@ TOTALS = {
 }
 #: How many rows a mean divides by: those whose value is known.
 KNOWN_ROWS = {"transit_rows": "transit_days", "delay_rows": "transit_delay_days"}
+#: The count of all rows.
+ROWS = "shipments"
 
 
 def tally(fact: DataFrame, *keys: str | Column) -> DataFrame:

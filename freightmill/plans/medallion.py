@@ -240,8 +240,8 @@ def build_gold(spark: SparkSession, lake: Lake, export: bool = True) -> None:
         raise ValueError(f"Gold needs the dimensions of a loaded star schema: {lake.star}")
     refresh_totals(spark, f"{lake.silver}/shipments", lake.totals)
     totals = {
-        grain: over_days(read_totals(spark, lake.totals, grain), *keys)
-        for grain, keys in GRAINS.items()
+        grain: over_days(read_totals(spark, lake.totals, grain), *GRAINS[grain])
+        for grain in ("carrier", "warehouse", "supplier", "reason")
     }
     dimensions = {
         name: read_dimension(spark, lake.star, name)

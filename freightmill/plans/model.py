@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from freightmill.functions.labels import MEASURE_BREACH, MEASURE_COMPLIANT
 from freightmill.functions.numeric import ratio
+from freightmill.operators.batch_replace import DAY_PARTITION
+from freightmill.operators.day_tally import MEASURE_KEYS
 from freightmill.operators.measures import (
     Average,
     DimensionAverage,
@@ -14,10 +16,12 @@ from freightmill.operators.measures import (
     Measure,
     Model,
     Relationship,
+    Rollup,
     Rows,
     Total,
     YearOnYear,
 )
+from freightmill.operators.tally import KNOWN_ROWS, ROWS, TOTALS
 
 FACT = "fact_shipment_fulfillment"
 FLEET = "fact_fleet_telematics"
@@ -87,3 +91,16 @@ def logistics_model(**tables: DataFrame) -> Model:
     """Tables by their model name (``dim_carrier``, ``fact_shipment_fulfillment``, ...);
     give only those the evaluation touches."""
     return Model(tables, RELATIONSHIPS, MEASURES)
+
+
+def shipment_rollup(totals: DataFrame) -> Rollup:
+    """Day totals of the grain "measure" as something the measures can be answered from."""
+    return Rollup(
+        FACT,
+        totals,
+        frozenset(MEASURE_KEYS),
+        ROWS,
+        sums={column: total for total, column in TOTALS.items()},
+        present={column: n for n, column in KNOWN_ROWS.items()},
+        days={"order_date": DAY_PARTITION},
+    )
