@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from freightmill.contracts import FACT_SHIPMENT
+from freightmill.sources.evolution import check_batch, note_schema
 
 DAY_PARTITION = "order_day"
 
@@ -49,9 +50,11 @@ def load_day(batch: DataFrame, fact_path: str, load_id: str, batch_date: date) -
     Readers go by the load log, so the day of an earlier load stays what they see until this
     load is published, whatever happens to this write. An empty batch empties the day.
     """
+    stamped = batch.withColumn("loaded_at", F.localtimestamp())
+    check_batch(stamped, fact_path)
     (
-        batch.withColumn("loaded_at", F.localtimestamp())
-        .write.option("partitionOverwriteMode", "static")
+        stamped.write.option("partitionOverwriteMode", "static")
         .mode("overwrite")
         .parquet(day_path(fact_path, load_id, batch_date))
     )
+    note_schema(stamped, fact_path)

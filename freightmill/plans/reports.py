@@ -13,6 +13,7 @@ from freightmill.functions.temporal import month_label, month_start
 from freightmill.operators.measures import Model, evaluate
 from freightmill.operators.prior_period import with_prior_year, with_prior_year_daily
 from freightmill.operators.tally import merge_tallies, pct_of_shipments, tally
+from freightmill.plans.calendar import with_date_columns
 from freightmill.plans.model import FACT, between, one_of
 
 TOP_CARRIERS = 5
@@ -22,10 +23,18 @@ TOP_RISK_SUPPLIERS = 10
 # -- time ------------------------------------------------------------------
 
 
-def _by_month(fact: DataFrame, day: Column, dim_date: DataFrame) -> DataFrame:
-    """Monthly totals through the date dimension, the fact grouped by day beforehand."""
-    calendar = dim_date.select("full_date", "year_num", "month_num")
-    daily = tally(fact, day.alias("full_date")).join(calendar, "full_date")
+def _by_month(fact: DataFrame, day: Column, dim_date: DataFrame | None) -> DataFrame:
+    """Monthly totals through the date dimension, the fact grouped by day beforehand.
+
+    Without a stored dimension its columns are taken from the days the totals hold, so that
+    nothing is read besides the fact. Shipments without the day are in no month.
+    """
+    daily = tally(fact, day.alias("full_date"))
+    if dim_date is None:
+        daily = with_date_columns(daily.filter(F.col("full_date").isNotNull()))
+    else:
+        calendar = dim_date.select("full_date", "year_num", "month_num")
+        daily = daily.join(calendar, "full_date")
     return merge_tallies(daily, "year_num", "month_num")
 
 
@@ -33,7 +42,7 @@ def _month_text() -> Column:
     return F.format_string("%04d-%02d", F.col("year_num"), F.col("month_num"))
 
 
-def monthly_delivery_trend(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
+def monthly_delivery_trend(fact: DataFrame, dim_date: DataFrame | None = None) -> DataFrame:
     """Volume and on-time-in-full rate by month of delivery, with the target line."""
     months = _by_month(fact, F.col("actual_delivery_date"), dim_date)
     return months.select(
@@ -44,7 +53,7 @@ def monthly_delivery_trend(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
     ).orderBy("delivery_month")
 
 
-def order_intake_monthly(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
+def order_intake_monthly(fact: DataFrame, dim_date: DataFrame | None = None) -> DataFrame:
     """The same fact by month of order: the date dimension in its second role."""
     months = _by_month(fact, F.col("order_date").cast("date"), dim_date)
     return months.select(
@@ -62,7 +71,7 @@ def _growth(frame: DataFrame, keys: list[str]) -> DataFrame:
     ).orderBy(*keys)
 
 
-def freight_yoy(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
+def freight_yoy(fact: DataFrame, dim_date: DataFrame | None = None) -> DataFrame:
     """Freight against the same month of the year before; no such month, no growth."""
     months = _by_month(fact, F.col("actual_delivery_date"), dim_date).select(
         "year_num", "month_num", F.col("freight").alias("freight_usd")
@@ -71,7 +80,7 @@ def freight_yoy(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
     return _growth(compared, ["year_num", "month_num"])
 
 
-def freight_yoy_yearly(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
+def freight_yoy_yearly(fact: DataFrame, dim_date: DataFrame | None = None) -> DataFrame:
     months = _by_month(fact, F.col("actual_delivery_date"), dim_date)
     years = merge_tallies(months, "year_num").select(
         "year_num", F.col("freight").alias("freight_usd")

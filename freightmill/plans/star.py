@@ -31,6 +31,7 @@ from freightmill.operators.upsert import (
     upsert,
 )
 from freightmill.plans.calendar import dim_date
+from freightmill.sources.evolution import noted_schema
 from freightmill.sources.lake import (
     delete_folder,
     list_folders,
@@ -238,8 +239,9 @@ def read_fact(spark: SparkSession, star_dir: str) -> DataFrame | None:
     paths = [day_path(fact, load, day) for day, load in _published_days(spark, star_dir).items()]
     if not paths:
         return None
-    reader = spark.read.option("basePath", fact).option("mergeSchema", True)
-    return reader.parquet(*paths).drop("load")
+    # The schema was noted by the loads, so no footer is read for it.
+    schema = noted_schema(spark, fact)
+    return spark.read.option("basePath", fact).schema(schema).parquet(*paths).drop("load")
 
 
 def retire_loads(spark: SparkSession, star_dir: str) -> list[str]:

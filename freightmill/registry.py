@@ -36,7 +36,7 @@ from freightmill.plans import (
     summary,
     warehouse_queries,
 )
-from freightmill.plans.model import FACT, FLEET, equal_to, logistics_model
+from freightmill.plans.model import FACT, FLEET, equal_to, logistics_model, shipment_rollup
 from freightmill.sources.files import parse_json_text
 from freightmill.sources.lake import stack
 from freightmill.sources.trade_tables import (
@@ -356,10 +356,9 @@ def _rounded(sheet: DataFrame, *columns: str) -> DataFrame:
     return sheet.withColumns({c: half_up(F.col(c), 6) for c in columns})
 
 
-@query
-def measures_shipment(f: Feeds) -> DataFrame:
+def _shipment_measures(model: Model) -> DataFrame:
     sheet = evaluate(
-        f.carrier_model(),
+        model,
         [
             "total_shipments",
             "total_freight_spend_usd",
@@ -375,6 +374,18 @@ def measures_shipment(f: Feeds) -> DataFrame:
     )
 
 
+@query
+def measures_shipment(f: Feeds) -> DataFrame:
+    return _shipment_measures(f.carrier_model())
+
+
+@query
+def measures_shipment_rollup(f: Feeds) -> DataFrame:
+    """The measures again, answered from totals by day, carrier and flags."""
+    totals = day_tally(f.fact(), "measure")
+    return _shipment_measures(f.carrier_model().with_rollup(shipment_rollup(totals)))
+
+
 @query
 def measures_otif(f: Feeds) -> DataFrame:
     sheet = evaluate(
@@ -429,7 +440,7 @@ def telematics_kpis(f: Feeds) -> DataFrame:
 
 @query
 def freight_yoy(f: Feeds) -> DataFrame:
-    return reports.freight_yoy(f.fact(), f.dim_date())
+    return reports.freight_yoy(f.fact())
 
 
 # -- reports -----------------------------------------------------------------
@@ -437,12 +448,12 @@ def freight_yoy(f: Feeds) -> DataFrame:
 
 @query
 def monthly_delivery_trend(f: Feeds) -> DataFrame:
-    return reports.monthly_delivery_trend(f.fact(), f.dim_date())
+    return reports.monthly_delivery_trend(f.fact())
 
 
 @query
 def order_intake_monthly(f: Feeds) -> DataFrame:
-    return reports.order_intake_monthly(f.fact(), f.dim_date())
+    return reports.order_intake_monthly(f.fact())
 
 
 @query

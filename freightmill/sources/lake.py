@@ -67,12 +67,14 @@ def folder_exists(spark: SparkSession, path: str) -> bool:
 
 
 def list_folders(spark: SparkSession, path: str) -> list[str]:
-    """Names of the folders in a folder; none if it does not exist."""
+    """Names of the folders in a folder, without those that readers skip; none if it does not
+    exist."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     store = target.getFileSystem(spark._jsc.hadoopConfiguration())
     if not store.exists(target):
         return []
-    return [s.getPath().getName() for s in store.listStatus(target) if s.isDirectory()]
+    names = [s.getPath().getName() for s in store.listStatus(target) if s.isDirectory()]
+    return [n for n in names if "=" in n or not n.startswith(("_", "."))]
 
 
 def append_evolving(existing: DataFrame, batch: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from freightmill.contracts import AGG_CARRIER_SCORECARD
 from freightmill.operators.enrich import enrich_shipments
 from freightmill.plans import gold, reports, summary, warehouse_queries
+from freightmill.plans.calendar import with_date_columns
 from freightmill.registry import Feeds
 
 
@@ -158,3 +159,19 @@ def test_calendar_covers_whole_years(feeds):
         F.min("full_date"), F.max("full_date"), F.count("*"), F.countDistinct("date_key")
     ).first()
     assert [str(v) for v in row] == ["1995-01-01", "2001-12-31", "2557", "2557"]
+
+
+def test_reports_are_the_same_with_a_stored_calendar(spark):
+    feeds = Feeds(spark, SMALL)
+    gap = F.expr("CASE WHEN quantity_units % 7 <> 0 THEN {0} END".format("actual_delivery_date"))
+    fact = feeds.fact().withColumn("actual_delivery_date", gap)
+    calendar = feeds.dim_date()
+    for report in (
+        reports.monthly_delivery_trend, reports.order_intake_monthly, reports.freight_yoy,
+        reports.freight_yoy_yearly,
+    ):
+        rows = values(report(fact))
+        assert rows == values(report(fact, calendar)) and rows
+    days = calendar.select("full_date")
+    assert values(with_date_columns(days)) == values(calendar)
+    assert with_date_columns(days).dtypes == calendar.dtypes

@@ -101,3 +101,8 @@ def test_the_largest_reason_comes_from_the_same_totals(spark):
     ran = sheet._jdf.queryExecution().executedPlan().toString()
     assert "isFinalPlan=true" in ran and "ReusedExchange" in ran
     assert "Window" not in ran
+
+
+@pytest.mark.parametrize("name", ["freight_yoy", "monthly_delivery_trend", "order_intake_monthly"])
+def test_calendar_reports_read_the_orders_once(spark, no_broadcast, name):
+    assert len(reads(plan_text(QUERIES[name](spark, SMALL)), "orders")) == 1
