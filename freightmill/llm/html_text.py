@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import html as html_lib
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
@@ -66,6 +67,13 @@ UNLIKELY = re.compile(
 LIKELY = re.compile(
     r"(?:^|[\s_-])(?:article|body|content|entry|main|page|post|story|text|blog)(?=$|[\s_-])", re.I
 )
+#: Names of reader comments, which no other word in a name makes text of the article.
+COMMENTS = re.compile(
+    r"(?:^|[\s_-])(?:comments?|comment(?:s?list|s?area|s?section|thread|s?wrap(?:per)?|body|text|"
+    r"form)|combx|disqus|respond|replies|shoutbox)(?=$|[\s_-])",
+    re.I,
+)
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 UNLIKELY_ROLE = frozenset(
     "navigation banner contentinfo complementary search dialog alert alertdialog menu menubar "
     "form".split()
@@ -110,7 +118,7 @@ def _attributes(source: str) -> dict[str, str]:
     return found
 
 
-def _dropped(tag: str, found: dict[str, str], parent: Node) -> int:
+def _dropped(tag: str, found: dict[str, str], in_article: bool) -> int:
     """SOFT, FIRM, or 0 for an element that stays."""
     if "hidden" in found or found.get("aria-hidden", "").lower() == "true":
         return FIRM
@@ -121,67 +129,98 @@ def _dropped(tag: str, found: dict[str, str], parent: Node) -> int:
         return FIRM
     if tag == "header":
         # The heading of an article belongs to it, a page's header does not.
-        return 0 if _inside(parent, "article") else FIRM
+        return 0 if in_article else FIRM
     if tag == "form" or role == "form":
         return SOFT
-    if tag in ("body", "html", "article", "main"):
+    if tag in ("body", "html", "main"):
         return 0
     names = f"{found.get('class', '')} {found.get('id', '')}"
+    if COMMENTS.search(names):
+        return SOFT
+    if tag == "article":
+        return 0
     return SOFT if UNLIKELY.search(names) and not LIKELY.search(names) else 0
 
 
-def _inside(node: Node | None, tag: str) -> bool:
-    while node is not None:
-        if node.tag == tag:
-            return True
-        node = node.parent
-    return False
+class _Path:
+    """The open elements, and how many there are of each kind.
+
+    The counts say whether a search upwards can find anything and when it has found everything,
+    so that deep pages are not searched to their root again and again.
+    """
+
+    def __init__(self, root: Node):
+        self.root = self.here = root
+        self.count: Counter[str] = Counter()
+
+    def enter(self, node: Node) -> None:
+        self.here = node
+        self.count[node.tag] += 1
+
+    def leave(self, node: Node) -> None:
+        """Close ``node``, an open element, and everything inside it."""
+        above = node.parent
+        while self.here is not above:
+            self.count[self.here.tag] -= 1
+            self.here = self.here.parent
+
+    def paragraph(self) -> Node | None:
+        return _open(self.here, "p") if self.count["p"] else None
+
+    def ended_by(self, tag: str) -> Node | None:
+        """The open element that an end tag closes; None where it is to be ignored."""
+        if not self.count[tag]:
+            return None
+        node = self.here
+        while node.tag != tag:
+            # An inline end tag does not reach out of its block.
+            if tag in INLINE and node.tag in BLOCK:
+                return None
+            node = node.parent
+        return node
+
+    def closed_by(self, tag: str) -> Node | None:
+        """The outermost element that a start tag closes, up to its boundary."""
+        ends, stops = CLOSES[tag]
+        left = sum(self.count[end] for end in ends)
+        node, outer = self.here, None
+        while left and node.tag not in stops:
+            if node.tag in ends:
+                outer, left = node, left - 1
+            node = node.parent
+        return outer
 
 
 def parse(source: str) -> Node:
     """Tolerant tree: unknown end tags are ignored, open elements end where HTML says so."""
     root = Node("#root", None)
-    here, at = root, 0
+    path, at = _Path(root), 0
     for match in iter_markup(source):
         if match.start() > at:
-            here.children.append(html_lib.unescape(source[at : match.start()]))
+            path.here.children.append(html_lib.unescape(source[at : match.start()]))
         at = match.end()
         name = match[2] or match[5]
         if name is None:
             continue
         tag, closing = name.lower(), match[1] or match[4]
         if closing:
-            if tag == "p" and not _open(here, "p"):
-                here.children.append(Node("br", here))
-                continue
-            node = here
-            while node is not root and node.tag != tag:
-                # An inline end tag does not reach out of its block.
-                if tag in INLINE and node.tag in BLOCK:
-                    node = root
-                    break
-                node = node.parent
-            if node is not root:
-                here = node.parent
+            if tag == "p" and not path.paragraph():
+                path.here.children.append(Node("br", path.here))
+            elif node := path.ended_by(tag):
+                path.leave(node)
             continue
-        if tag in P_ENDERS and (p := _open(here, "p")):
-            here = p.parent
-        if tag in CLOSES:
-            ends, stops = CLOSES[tag]
-            node = outer = here
-            while node is not root and node.tag not in stops:
-                if node.tag in ends:
-                    outer = node.parent
-                node = node.parent
-            here = outer
+        if tag in P_ENDERS and (p := path.paragraph()):
+            path.leave(p)
+        if tag in CLOSES and (node := path.closed_by(tag)):
+            path.leave(node)
         found = _attributes(match[3] or match[6] or "")
         names = f"{found.get('class', '')} {found.get('id', '')}" if found else ""
-        node = Node(tag, here, names, _dropped(tag, found, here))
-        here.children.append(node)
+        node = Node(tag, path.here, names, _dropped(tag, found, path.count["article"] > 0))
+        path.here.children.append(node)
         if tag not in VOID and tag not in RAW:
-            here = node
+            path.enter(node)
     if at < len(source):
-        here.children.append(html_lib.unescape(source[at:]))
+        path.here.children.append(html_lib.unescape(source[at:]))
     return root
 
 
@@ -332,8 +371,45 @@ def _score(nodes: list[Node]) -> list[Node]:
     return list(scored)
 
 
+def _is_headline(node: Node | str) -> bool:
+    """A heading, or an article's header with one in it, that is more than links to elsewhere."""
+    if not isinstance(node, Node) or node.dropped or not node.length:
+        return False
+    if node.tag in ("h1", "h2"):
+        return True
+    if 2 * node.linked >= node.length:
+        return False
+    return node.tag in HEADINGS or (
+        node.tag in ("header", "hgroup") and any(n.tag in HEADINGS for n in _walk(node))
+    )
+
+
+def _headlines(best: Node) -> list[Node]:
+    """Headlines before the best container inside the same article, outermost first.
+
+    Where there is no article or main element, the element around the container counts if its
+    name promises text.
+    """
+    path, node = [], best
+    while node.parent is not None and node.tag not in ("article", "main"):
+        path.append(node)
+        node = node.parent
+    if node.tag not in ("article", "main"):
+        named = best.parent is not None and best.parent.tag != "body"
+        path = [best] if named and LIKELY.search(best.parent.names) else []
+    found = []
+    for inner in reversed(path):
+        for child in inner.parent.children:
+            if child is inner:
+                break
+            if _is_headline(child):
+                found.append(child)
+    return found
+
+
 def _article(root: Node) -> list[Node]:
-    """The best container and the siblings that belong to it, in page order."""
+    """The best container, the headlines above it and the siblings that belong to it, in page
+    order."""
     nodes = list(_walk(root))
     _measure(nodes)
     scored = _score(nodes)
@@ -349,9 +425,10 @@ def _article(root: Node) -> list[Node]:
     if parent is None or best.tag == "body":
         return [best]
     bar = max(10.0, best.score * 0.2)
-    chosen = []
+    headlines = _headlines(best)
+    chosen = [node for node in headlines if node.parent is not parent]
     for child in parent.children:
-        if child is best:
+        if child is best or child in headlines:
             chosen.append(child)
         elif isinstance(child, Node) and not child.dropped and child.length:
             density = child.linked / child.length
