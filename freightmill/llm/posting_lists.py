@@ -1,11 +1,11 @@
 """Links among units that share a posting, without making all pairs of a posting list.
 
-Of every list the first HUBS groups meet all others, which is every pair of a short list. What
-passes the filter is expanded to units and verified. The links found give components; what has
-not been compared in long lists is compared only across components, since one more link inside
-a component changes nothing. The same holds for groups of more than HUBS units, of which
-only the first ones have met another group, whatever the length of the list. A large group of near copies thus costs a few comparisons for each
-member, and no link between components is lost.
+First one group of every list, its hub, meets the others, one unit of a group speaking for it.
+The links found give components, and from then on only pairs across components are looked at,
+since one more link inside a component changes nothing. So HUBS hubs of every list meet those
+others that are still apart from them, by up to HUBS units each; what is left after that, in
+longer lists and of larger groups, is compared across components, too. A large group of near
+copies thus costs about one comparison for each member, and no link between components is lost.
 """
 
 from __future__ import annotations
@@ -103,40 +103,44 @@ def in_bitmap(bitmap: np.ndarray, ids: np.ndarray) -> np.ndarray:
     return ((bitmap[place >> 3] >> (7 - (place & 7)).astype(np.uint8)) & 1).astype(bool)
 
 
-def hub_pairs(postings: DataFrame, passes: Passes) -> DataFrame:
-    """From (token, grp, n, pos): pairs with the first HUBS groups of each list (kind 0), and
+def hub_pairs(postings: DataFrame, passes: Passes, hubs: int) -> DataFrame:
+    """From (token, grp, n, pos): pairs with the first ``hubs`` groups of each list (kind 0), and
     all rows of the lists that are longer than that covers (kind 1).
 
-    Only the first HUBS + 1 rows of an unfinished list are held from batch to batch.
+    With a column ``label`` as well, groups of the same label do not meet; groups labelled MIXED
+    meet all. Only the first hubs + 1 rows of an unfinished list are held from batch to batch.
     """
+    labelled = "label" in postings.columns
 
     def stream(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        held = np.zeros((0, 4), np.int64)
+        held = np.zeros((0, 4 + labelled), np.int64)
         for batch in batches:
-            rows = np.stack([batch.column(k).to_numpy() for k in range(4)], axis=1)
+            rows = np.stack([c.to_numpy() for c in batch.columns], axis=1)
             if len(held) and len(rows) and held[0, 0] == rows[0, 0]:
                 rows = np.concatenate([held, rows])
             if not len(rows):
                 continue
-            token, group, size, pos = rows.T
+            token, group, size, pos, *label = rows.T
             heads = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
             length = np.diff(np.append(heads, len(rows)))
             start = np.repeat(heads, length)
             here = np.arange(len(rows))
             left, right = [heads[:0]], [heads[:0]]
-            for k in range(HUBS):
+            for k in range(hubs):
                 at = np.flatnonzero(here > start + k)
                 if not len(at):
                     break
                 hub = start[at] + k
                 good = passes(size[hub], size[at], pos[hub], pos[at]) & (group[hub] != group[at])
+                if labelled:
+                    good &= (label[0][hub] != label[0][at]) | (label[0][hub] == MIXED)
                 left.append(hub[good])
                 right.append(at[good])
             a, b = group[np.concatenate(left)], group[np.concatenate(right)]
             pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0)
-            long = np.repeat(length, length) > HUBS + 1
+            long = np.repeat(length, length) > hubs + 1
             none = np.zeros(len(pairs), np.int64)
             out = [
                 np.concatenate([none, np.ones(long.sum(), np.int64)]),
@@ -149,10 +153,11 @@ def hub_pairs(postings: DataFrame, passes: Passes) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c) for c in out], names=["kind", "a", "b", "n", "pos"]
                 )
-            held = rows[heads[-1] :][: HUBS + 1]
+            held = rows[heads[-1] :][: hubs + 1]
 
     ordered = postings.repartition("token").sortWithinPartitions("token", "grp")
-    return ordered.select("token", "grp", "n", "pos").mapInArrow(
+    columns = ["token", "grp", "n", "pos", *["label"][: int(labelled)]]
+    return ordered.select(columns).mapInArrow(
         stream, "kind long, a long, b long, n long, pos long"
     )
 
@@ -252,51 +257,91 @@ def linked_components(
     are the same filter of pairs, on arrays and in SQL. ``verify`` takes pairs of units (a, b)
     and returns those that are linked.
     """
-    listed = cut(hub_pairs(postings, passes).distinct())
+    listed = cut(hub_pairs(postings, passes, 1).distinct())
 
-    # Up to HUBS units speak for a group; inside a group they meet all its units.
-    first_ones = Window.partitionBy("grp").orderBy("unit")
-    few = units.withColumn("k", F.row_number().over(first_ones)).where(F.col("k") <= HUBS)
-    few = few.select("grp", F.col("unit").alias("few"))
-    within = few.join(units, "grp").select(F.col("few").alias("x"), F.col("unit").alias("y"))
+    # One unit speaks for a group; inside a group it meets all its units.
+    one = units.groupBy("grp").agg(F.min("unit").alias("one"))
+    within = one.join(units, "grp").select(F.col("one").alias("x"), F.col("unit").alias("y"))
     across = (
         listed.where("kind = 0")
-        .join(few.withColumnsRenamed({"grp": "a", "few": "x"}), "a")
-        .join(few.withColumnsRenamed({"grp": "b", "few": "y"}), "b")
+        .join(one.withColumnsRenamed({"grp": "a", "one": "x"}), "a")
+        .join(one.withColumnsRenamed({"grp": "b", "one": "y"}), "b")
         .select("x", "y")
     )
     first = cut(within.union(across).where("x <> y").select(*ordered_pair("x", "y")).distinct())
     links = cut(verify(first))
     labels = components(links)
 
-    # What long lists and large groups have left, across components only.
-    known = units.join(labels, F.col("unit") == F.col("node"), "left").select(
-        "unit", "grp", F.coalesce("component", "unit").alias("component")
+    # More hubs, and more units of a group, across components only.
+    known, groups = _labelled(units, labels)
+    again = cut(hub_pairs(_list_rows(listed, groups), passes, HUBS).distinct())
+    met = cut(listed.where("kind = 0").union(again.where("kind = 0")).select("a", "b").distinct())
+    place = F.row_number().over(Window.partitionBy("grp").orderBy("unit"))
+    mixed = groups.where("low <> high").select("grp")
+    apart = _apart(met, groups).select("a", "b")
+    asked = apart.select(F.col("a").alias("grp")).union(apart.select("b")).union(mixed).distinct()
+    few = (
+        known.join(asked, "grp", "left_semi").withColumn("k", place).where(F.col("k") <= HUBS)
     )
-    by_group = cut(
-        known.groupBy("grp").agg(
-            F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size")
-        )
+    few = cut(few.select("grp", "unit", "component"))
+    sides = [
+        few.select(F.col("grp").alias(g), F.col("unit").alias(u), F.col("component").alias(f"c{u}"))
+        for g, u in (("a", "x"), ("b", "y"))
+    ]
+    across = apart.join(sides[0], "a").join(sides[1], "b").where("cx <> cy").select("x", "y")
+    speakers = few.join(mixed, "grp", "left_semi").select(
+        "grp", F.col("unit").alias("x"), F.col("component").alias("cx")
     )
-    label = F.when(F.col("low") == F.col("high"), F.xxhash64("low")).otherwise(F.lit(int(MIXED)))
-    long_rows = (
-        listed.where("kind = 1")
-        .select(F.col("a").alias("token"), F.col("b").alias("grp"), "n", "pos")
-        .join(by_group.select("grp", label.alias("label")), "grp")
+    within = speakers.join(known, "grp").where("cx <> component").select(
+        "x", F.col("unit").alias("y")
     )
-    # Of groups with more than HUBS units only the first ones have met the other group.
-    ends = by_group.select("grp", "low", "high", (F.col("size") > HUBS).alias("large"))
-    wide = (
-        listed.where("kind = 0")
-        .select("a", "b")
-        .join(ends.withColumnsRenamed({"grp": "a", "low": "low_a", "high": "high_a", "large": "large_a"}), "a")
-        .join(ends.withColumnsRenamed({"grp": "b", "low": "low_b", "high": "high_b", "large": "large_b"}), "b")
-        .where("(large_a OR large_b) AND NOT (low_a = high_b AND high_a = low_b)")
-        .select("a", "b")
+    second = within.union(across).select(*ordered_pair("x", "y")).distinct()
+    second = cut(second.join(first, ["a", "b"], "left_anti"))
+    if not second.isEmpty():
+        links = cut(links.union(verify(second)))
+        labels = components(links)
+        known, groups = _labelled(units, labels)
+
+    # What long lists and large groups have left.
+    long_rows = _list_rows(again, groups)
+    wide = _apart(met, groups).where("large_a OR large_b").select("a", "b")
+    split = groups.where("low <> high AND large").select(
+        F.col("grp").alias("a"), F.col("grp").alias("b")
     )
-    split = by_group.where(f"low <> high AND size > {HUBS}").select(F.col("grp").alias("a"), F.col("grp").alias("b"))
     rest = cut(cross_pairs(long_rows, condition).union(wide).union(split).distinct())
     if rest.isEmpty():
         return labels
-    left = _unit_pairs(rest, known).join(first, ["a", "b"], "left_anti")
+    left = _unit_pairs(rest, known).join(first.union(second), ["a", "b"], "left_anti")
     return components(links.union(verify(cut(left))))
+
+
+def _labelled(units: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The component of every unit, and for every group the first and last one and its label."""
+    known = units.join(labels, F.col("unit") == F.col("node"), "left").select(
+        "unit", "grp", F.coalesce("component", "unit").alias("component")
+    )
+    groups = known.groupBy("grp").agg(
+        F.min("component").alias("low"),
+        F.max("component").alias("high"),
+        (F.count("*") > HUBS).alias("large"),
+    )
+    label = F.when(F.col("low") == F.col("high"), F.xxhash64("low")).otherwise(F.lit(int(MIXED)))
+    return known, cut(groups.withColumn("label", label))
+
+
+def _list_rows(listed: DataFrame, groups: DataFrame) -> DataFrame:
+    """The rows of long lists (kind 1) with the label of their group."""
+    rows = listed.where("kind = 1").select(F.col("a").alias("token"), F.col("b").alias("grp"), "n", "pos")
+    return rows.join(groups.select("grp", "label"), "grp")
+
+
+def _apart(pairs: DataFrame, groups: DataFrame) -> DataFrame:
+    """Pairs of groups (a, b) that are not wholly in one component, and whether they are large."""
+    ends = groups.select("grp", "low", "high", "large")
+    sides = [
+        ends.withColumnsRenamed({"grp": g, **{c: f"{c}_{g}" for c in ("low", "high", "large")}})
+        for g in ("a", "b")
+    ]
+    return pairs.join(sides[0], "a").join(sides[1], "b").where(
+        "NOT (low_a = high_b AND high_a = low_b)"
+    )
