@@ -76,7 +76,9 @@ def mark_exact_duplicates(
     """
     results = ["keep_id", "group_size", "kept", "text_sha256"]
     kept = [c for c in (columns or docs.columns) if c not in results]
-    key, size, row_id = scratch_names(docs, "digest", "size", "id")
+    key, size, row_id, group_key, group_octets, members = scratch_names(
+        docs, "digest", "size", "id", "group_digest", "group_octets", "members"
+    )
     source = docs.select(
         *[f"`{c}`" for c in kept],
         digest(F.col(f"`{text}`")).alias(key),
@@ -85,13 +87,15 @@ def mark_exact_duplicates(
     )
     groups = exact_groups(docs, text, id_column, keep)
     joined = source.join(
-        groups.withColumnsRenamed({"digest": f"{key}_g", "size": f"{size}_g", "winner": "keep_id"}),
-        (F.col(key) == F.col(f"{key}_g")) & (F.col(size) == F.col(f"{size}_g")),
+        groups.withColumnsRenamed(
+            {"digest": group_key, "size": group_octets, "winner": "keep_id", "members": members}
+        ),
+        (F.col(key) == F.col(group_key)) & (F.col(size) == F.col(group_octets)),
     )
     return joined.select(
         *[f"`{c}`" for c in kept],
         "keep_id",
-        F.col("members").alias("group_size"),
+        F.col(members).alias("group_size"),
         F.col(row_id).eqNullSafe(F.col("keep_id")).alias("kept"),
         F.col(key).alias("text_sha256"),
     )

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from freightmill.llm.byte_bpe import arrow_texts
-from freightmill.llm.common import cut
+from freightmill.llm.common import cut, scratch_names
 from freightmill.llm.posting_lists import (
     bitmap_of,
     emit_counts,
@@ -237,15 +237,15 @@ def near_duplicate_components(
 def drop_near_duplicates(
     docs: DataFrame, text: str = "text", id_column: str = "doc_id", **settings
 ) -> DataFrame:
-    """One row of each component, the one with its smallest id; all rows without words stay.
+    """The rows of each component that have its smallest id; all rows without words stay.
 
-    A row is told by its id. Rows that repeat the winning id stay once for each distinct text.
+    A row is told by its id alone, so rows that repeat a winning id all stay, with NULL ids too.
     """
     found = near_duplicate_components(docs, text, id_column, **settings)
+    (winner,) = scratch_names(docs, "winner")
     winners = found.where(F.col(id_column).eqNullSafe(F.col("component_id"))).select(
-        F.col(id_column).alias("_winner")
+        F.col(id_column).alias(winner)
     )
-    kept = docs.join(
-        winners.distinct(), F.col(f"`{id_column}`").eqNullSafe(F.col("_winner")), "left_semi"
+    return docs.join(
+        winners.distinct(), F.col(f"`{id_column}`").eqNullSafe(F.col(winner)), "left_semi"
     )
-    return kept
