@@ -35,6 +35,7 @@ def _dsum(value: str) -> str:
     return f"CAST(sum({value}) AS DOUBLE)"
 
 
+# The names, texts and rates in the SQL of the feeds are fixed values of the mapping.
 FEEDS = """
 raw_shipments AS (
   SELECT l.l_partkey AS partkey,
