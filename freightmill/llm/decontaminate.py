@@ -21,9 +21,10 @@ from pyspark.sql import functions as F
 from freightmill.llm.common import cut, measured, scratch_names, words
 
 BITS = 64
-LANES = 4
+LANES = 2
 LANE_BITS = BITS // LANES
-LANE_MASK = 0x0001000100010001
+LANE_MASK = 0x0000000100000001
+LANE_FULL = (1 << LANE_BITS) - 1
 #: Rare occurrences that a window must hold at least, where an item is long enough.
 SUPPORT = 3
 
@@ -43,48 +44,61 @@ def shingle_list(tokens: Column, n: int) -> Column:
     )
 
 
-def weighted(shingles: Column) -> Column:
-    """Shingles numbered by occurrence, so that set operations count multiplicities."""
-    numbered = F.transform(
-        shingles,
-        lambda x, i: F.concat_ws(
-            " ", x, F.size(F.filter(F.slice(shingles, F.lit(1), i + 1), lambda y: y == x))
+def _with_marks(frame: DataFrame, tokens: str, name: str, n: int) -> DataFrame:
+    """Add the weighted shingles of ``tokens``: numbered by occurrence, "the 2", so that set
+    operations count multiplicities.
+
+    Sorted, equal shingles stand in runs, and each run is numbered from 1: no search for earlier
+    occurrences. Shingles and the starts of their runs are columns of their own, or they would be
+    made anew for every run.
+    """
+    listed, starts = scratch_names(frame, "shingles", "starts")
+    sorted_ = frame.withColumn(listed, F.array_sort(shingle_list(F.col(tokens), n)))
+    s = F.col(listed)
+    runs = sorted_.withColumn(
+        starts,
+        F.when(F.size(s) == 0, F.array().cast("array<int>")).otherwise(
+            F.filter(
+                F.sequence(F.lit(0), F.size(s) - 1),
+                lambda i: (i == 0) | (F.get(s, i) != F.get(s, i - 1)),
+            )
         ),
     )
-    plain = F.transform(shingles, lambda x: F.concat_ws(" ", x, F.lit("1")))
-    return F.when(F.size(F.array_distinct(shingles)) == F.size(shingles), plain).otherwise(numbered)
 
+    def numbered(start: Column, k: Column) -> Column:
+        after = F.coalesce(F.get(F.col(starts), k + 1), F.size(s))
+        return F.transform(
+            F.sequence(F.lit(1), after - start), lambda t: F.concat_ws(" ", F.get(s, start), t)
+        )
 
-def _with_marks(frame: DataFrame, tokens: str, name: str, n: int) -> DataFrame:
-    """Add the weighted shingles of ``tokens``; the plain ones are made once, in between."""
-    (plain,) = scratch_names(frame, "shingles")
-    listed = frame.withColumn(plain, shingle_list(F.col(tokens), n))
-    return listed.withColumn(name, weighted(F.col(plain))).drop(plain)
+    return runs.withColumn(name, F.flatten(F.transform(starts, numbered))).drop(listed, starts)
 
 
 def with_simhash(frame: DataFrame, tokens: str, name: str) -> DataFrame:
     """Add the 64-bit SimHash of a word multiset: bit by bit, what more than half of them have.
 
-    Four counters share one long, so 16 running sums serve 64 bits (up to 32767 words). The
-    sums are a column of their own, or every bit would compute them again.
+    Two counters share one long, so 32 running sums serve 64 bits, and a counter of 32 bits
+    holds any array's size. Hashes and sums are columns of their own, or every sum would hash
+    the words and every bit would sum them again.
     """
-    (sums,) = scratch_names(frame, "sums")
-    counted = frame.withColumn(
+    hashes, sums = scratch_names(frame, "hashes", "sums")
+    hashed = frame.withColumn(hashes, F.transform(tokens, lambda w: F.xxhash64(w)))
+    counted = hashed.withColumn(
         sums,
         F.expr(
-            f"transform(sequence(0, {LANE_BITS - 1}), s -> aggregate(`{tokens}`, 0L, "
-            f"(n, w) -> n + (shiftrightunsigned(xxhash64(w), s) & {LANE_MASK}L)))"
+            f"transform(sequence(0, {LANE_BITS - 1}), s -> aggregate(`{hashes}`, 0L, "
+            f"(n, h) -> n + (shiftrightunsigned(h, s) & {LANE_MASK}L)))"
         ),
     )
-    half = F.size(tokens).cast("long")
+    half = F.size(hashes).cast("long")
     bits = []
     for place in range(BITS):
         lane, shift = divmod(place, LANE_BITS)
         total = F.col(sums)[shift]
-        count = F.shiftrightunsigned(total, lane * LANE_BITS).bitwiseAND(F.lit(0xFFFF))
+        count = F.shiftrightunsigned(total, lane * LANE_BITS).bitwiseAND(F.lit(LANE_FULL))
         value = 1 << place if place < BITS - 1 else -(1 << place)
         bits.append(F.when(count * 2 > half, F.lit(value)).otherwise(F.lit(0)).cast("long"))
-    return counted.withColumn(name, reduce(lambda a, b: a.bitwiseOR(b), bits)).drop(sums)
+    return counted.withColumn(name, reduce(lambda a, b: a.bitwiseOR(b), bits)).drop(hashes, sums)
 
 
 def hamming_blocks(fingerprint: Column, radius: int) -> Column:
@@ -130,14 +144,15 @@ def _rare_occurrences(profiles: DataFrame, doc_words: DataFrame) -> DataFrame:
     placed = profiles.select("item", "w", "missing", "support", F.posexplode("item_words"))
     placed = placed.withColumnsRenamed({"pos": "q", "col": "word"})
     vocabulary = measured(placed.select(F.col("word").alias("known")).distinct())
+    # Counted before the join, so that a frequent word is one row in each map task.
     counts = (
-        doc_words.select(F.explode("words").alias("word"))
-        .join(vocabulary, F.col("word") == F.col("known"))
-        .groupBy("known")
+        doc_words.select(F.explode("words").alias("counted"))
+        .groupBy("counted")
         .count()
+        .join(vocabulary, F.col("counted") == F.col("known"), "left_semi")
     )
     ranked = (
-        placed.join(counts, F.col("word") == F.col("known"), "left")
+        placed.join(counts, F.col("word") == F.col("counted"), "left")
         .select(
             "item", "w", "missing", "support",
             F.struct(F.coalesce("count", F.lit(0)).alias("n"), "word", "q").alias("at"),
@@ -182,8 +197,10 @@ def contaminated_windows(
     counts. Words are lower-cased (A-Z) and split at blanks. NULL, empty and blank texts match
     nothing, on either side. Rows that repeat an id and text give one result; equal ids with
     other texts are told apart by ``key``. Items are told apart by id and words: an id with two
-    texts gives a result for each that is found, and a NULL id is an id like any other. Other columns are not read. The benchmark's words and
-    the candidates are broadcast after a check of their size, and joined by shuffles beyond it.
+    texts gives a result for each that is found, and a NULL id is an id like any other. Other
+    columns are not read. Items may be of any length, but where one is found, about 0.4 windows
+    of its own size are compared for each of its words. The benchmark's words and the candidates
+    are broadcast after a check of their size, and joined by shuffles beyond it.
     """
     profiles = _profiles(items, item_text, item_id_column, n, similarity)
     raw = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
@@ -207,7 +224,7 @@ def contaminated_windows(
         .where(_weight(F.col("hits")) >= F.col("support"))
         .join(profiles.drop("support", "item_id"), "item")
         .select(
-            F.col("key").alias("hit_key"), "item_words", "w", "missing", "support", "hits",
+            F.col("key").alias("hit_key"), "item", "item_words", "w", "missing", "support", "hits",
             (F.col("stretch") * F.col("w")).cast("int").alias("low"),
         )
     )
@@ -233,39 +250,37 @@ def contaminated_windows(
     full = F.filter(
         cut_out, lambda x: F.size(F.array_intersect(F.col("item_words"), x["tokens"])) >= enough
     )
+    # A window belongs to the item whose rare words it holds; a window that is similar to some
+    # other item holds enough of that one's rare words, too, and is cut out for it as well.
     windows = (
-        texts.select("key", id_column, F.col("w").alias("window_w"), F.explode(full).alias("window"))
-        .select("key", id_column, "window_w", "window.start", "window.tokens")
+        texts.select("key", id_column, "item", F.explode(full).alias("window"))
+        .select("key", id_column, "item", "window.start", "window.tokens")
         .distinct()
     )
-    windows = _with_marks(with_simhash(windows, "tokens", "print"), "tokens", "mine", n)
-    windows = cut(windows.withColumn("n_words", F.size("tokens")).drop("tokens"))
-    # Fingerprints meet block by block, among windows and items of the same size.
-    window_blocks = windows.withColumn("block", F.explode(hamming_blocks(F.col("print"), radius)))
-    item_prints = with_simhash(
-        profiles.select("item", "item_id", "item_words", "w"), "item_words", "item_print"
-    )
+    windows = cut(with_simhash(windows, "tokens", "print"))
+    item_prints = profiles.select(F.col("item").alias("of"), "item_id", "item_words")
+    item_prints = with_simhash(item_prints, "item_words", "item_print")
     item_prints = cut(_with_marks(item_prints, "item_words", "theirs", n).drop("item_words"))
-    item_blocks = item_prints.withColumn(
-        "item_block", F.explode(hamming_blocks(F.col("item_print"), radius))
-    )
+    # Fingerprints meet block by block; words and shingles stay behind until they are near.
+    window_blocks = windows.select(
+        "key", "item", "start", "print",
+        F.explode(hamming_blocks(F.col("print"), radius)).alias("block"),
+    )
+    item_blocks = item_prints.select(
+        "of", "item_print",
+        F.explode(hamming_blocks(F.col("item_print"), radius)).alias("item_block"),
+    )
     near = (
         window_blocks.join(
-            item_blocks,
-            (F.col("window_w") == F.col("w")) & (F.col("block") == F.col("item_block")),
+            item_blocks, (F.col("item") == F.col("of")) & (F.col("block") == F.col("item_block"))
         )
         .where(F.bit_count(F.col("print").bitwiseXOR(F.col("item_print"))) <= radius)
-        # Of the blocks that agree only the first one passes the pair on.
-        .where(
-            F.col("block")
-            == F.array_min(
-                F.array_intersect(
-                    hamming_blocks(F.col("print"), radius),
-                    hamming_blocks(F.col("item_print"), radius),
-                )
-            )
-        )
+        .select("key", "item", "start")
     )
+    # Some pairs agree on many blocks; the semi join passes each on once.
+    near = windows.drop("print").join(near, ["key", "item", "start"], "left_semi")
+    near = _with_marks(near.withColumn("n_words", F.size("tokens")), "tokens", "mine", n)
+    near = near.drop("tokens").join(item_prints, F.col("item") == F.col("of"))
     # The similarity is a column of its own, or the filter and the result would compute it twice.
     common = near.withColumn("common", F.size(F.array_intersect("mine", "theirs")))
     total = F.size("mine") + F.size("theirs") - F.col("common")

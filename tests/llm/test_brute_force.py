@@ -307,6 +307,26 @@ def test_decontamination_ignores_the_order_of_shingles(spark):
     assert all(abs(found[k] - expected[k]) < 1e-12 for k in found)
 
 
+def test_decontamination_by_a_long_item(spark):
+    """An item of 70,000 words, half its shingles repeated, in texts of about its own size."""
+    draw = random.Random(23)
+    half = [f"t{draw.randrange(9000)}" for _ in range(35_000)]
+    item = half + half
+    changed = [w if draw.random() < 0.97 else "new" for w in item]
+    docs = [item, changed, item[:40_000], draw.choices(half, k=70_000), item[3:] + ["a", "b", "c"]]
+    expected = {
+        d: multiset_similarity(words, item)
+        for d, words in enumerate(docs)
+        if multiset_similarity(words, item) >= 0.8
+    }
+    assert len(expected) == 2
+    bench = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    rows = contaminated_windows(table(spark, [" ".join(w) for w in docs]), bench).collect()
+    found = {r.doc_id: r.similarity for r in rows}
+    assert found.keys() == expected.keys()
+    assert all(abs(found[k] - expected[k]) < 1e-12 for k in found)
+
+
 def distance(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
