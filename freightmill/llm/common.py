@@ -44,16 +44,26 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(ascii_lower(text), WORD_GAP), "")
 
 
-def cut(frame: DataFrame) -> DataFrame:
-    """Write ``frame`` to the reliable checkpoint folder once and go on from there.
+def shared_folder(spark: SparkSession) -> str:
+    """The session's ``spark.checkpoint.dir``, which driver and executors share.
 
-    The folder is the session's ``spark.checkpoint.dir``; only where that is unset (tests,
-    a single machine) a temporary one is made.
+    Where it is unset, a temporary folder is made if all of Spark runs on this machine; on a
+    cluster nothing would be shared, so that is an error.
     """
-    context = frame.sparkSession.sparkContext
-    if context._jsc.sc().getCheckpointDir().isEmpty():
-        folder = context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp()
-        context.setCheckpointDir(folder)
+    context = spark.sparkContext
+    folder = context.getConf().get("spark.checkpoint.dir")
+    if folder:
+        return folder
+    if context.master != "local" and not context.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    return tempfile.mkdtemp()
+
+
+def cut(frame: DataFrame) -> DataFrame:
+    """Write ``frame`` to the reliable checkpoint folder once and go on from there."""
+    spark = frame.sparkSession
+    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
     return frame.checkpoint(eager=True)
 
 
