@@ -7,12 +7,11 @@ work of an earlier one and a lost executor costs one stage's tasks at most.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from freightmill.llm.common import read_table
+from freightmill.llm.common import read_table, shared_folder
 from freightmill.llm.decontaminate import drop_contaminated
 from freightmill.llm.exact_dedup import drop_exact_duplicates
 from freightmill.llm.jaccard_join import drop_near_duplicates
@@ -59,8 +58,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of ``sf_dir``; the rows of the last one."""
-    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp()
-    folder = f"{shared}/corpus-{uuid.uuid4().hex}"
+    folder = f"{shared_folder(spark)}/corpus-{uuid.uuid4().hex}"
     docs = read_table(spark, sf_dir, "documents")
     for number, (name, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{number}-{name}")
