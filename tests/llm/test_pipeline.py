@@ -161,7 +161,19 @@ def test_empty_tables(spark, tmp_path):
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
 
 
-def test_a_cluster_needs_a_shared_folder(monkeypatch, spark):
-    monkeypatch.setattr(spark.sparkContext, "master", "spark://host:7077")
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        shared_folder(spark)
+class Session:
+    """As much of a session as the folder depends on."""
+
+    def __init__(self, master, **settings):
+        self.sparkContext, self.master, self.settings = self, master, settings
+
+    def getConf(self):
+        return {k.replace("_", "."): v for k, v in self.settings.items()}
+
+
+def test_a_cluster_needs_a_shared_folder():
+    for master in ("spark://host:7077", "local-cluster[3,2,1024]", "yarn"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            shared_folder(Session(master))
+        assert shared_folder(Session(master, spark_checkpoint_dir="s3a://x/y")) == "s3a://x/y"
+    assert shared_folder(Session("local[4]")) != shared_folder(Session("local[4]"))
