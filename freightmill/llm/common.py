@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
+import time
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,12 +61,42 @@ def shared_folder(spark: SparkSession) -> str:
     return tempfile.mkdtemp()
 
 
+#: Seconds between two requests to let go of shuffle files.
+RELEASE_EVERY = 2.0
+_released = 0.0
+
+
 def cut(frame: DataFrame) -> DataFrame:
-    """Write ``frame`` to the reliable checkpoint folder once and go on from there."""
+    """Write ``frame`` to the reliable checkpoint folder once and go on from there.
+
+    The shuffle files and checkpoints that only its lineage needed stay on disk until the driver
+    collects its garbage, which it does every half hour where memory is not short; so it is
+    asked to, from time to time. What is still in use stays.
+    """
+    global _released
     spark = frame.sparkSession
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
         spark.sparkContext.setCheckpointDir(shared_folder(spark))
-    return frame.checkpoint(eager=True)
+    frame = frame.checkpoint(eager=True)
+    if time.monotonic() - _released > RELEASE_EVERY:
+        gc.collect()  # lets go of the frames that hold the lineage
+        spark.sparkContext._jvm.System.gc()
+        _released = time.monotonic()
+    return frame
+
+
+BATCH_BYTES = 8 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Long values go to Python by 8 MB at a time: a batch is held several times over, in the
+    executor outside its heap and in each of its Python workers.
+
+    Sets ``spark.sql.execution.arrow.maxBytesPerBatch`` of the session, unless it is lower.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark._jsparkSession.sessionState().conf().arrowMaxBytesPerBatch() > BATCH_BYTES:
+        spark.conf.set(name, str(BATCH_BYTES))
 
 
 BROADCAST_ROWS = 200_000

@@ -28,6 +28,8 @@ from freightmill.llm.shingles import mix
 
 GRAM = 40
 SHARD_BYTES = 1_500_000
+#: Texts are looked at together in runs of about so many bytes.
+CHUNK_BYTES = 1 << 18
 #: Segments of one k-gram above which its windows are dealt one by one.
 HOT_SEGMENTS = 4_000
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
@@ -69,19 +71,26 @@ def smallest_in_windows(values: np.ndarray, width: int) -> np.ndarray:
     return at
 
 
-def named_grams(data: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
-    """(hash, first window, last window) for each k-gram that windows of one text name.
+def named_grams(
+    data: np.ndarray, bounds: np.ndarray, length: int, gram: int
+) -> tuple[np.ndarray, ...]:
+    """(row, hash, first window, last window) for each k-gram that windows of the texts name.
 
+    Text k is data[bounds[k] : bounds[k + 1]], and windows are told by their start in ``data``.
     Windows that name one occurrence follow each other. Texts shorter than ``length`` have none.
     """
     if len(data) < length:
         empty = np.zeros(0, np.int64)
-        return empty, empty, empty
+        return empty, empty, empty, empty
     hashes = gram_hashes(data, gram)
     at = smallest_in_windows(hashes, length - gram + 1)
-    first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
-    last = np.append(first[1:], len(at)) - 1
-    return hashes[at[first]].view(np.int64), first, last
+    row = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))[: len(at)]
+    inside = np.arange(len(at)) + length <= bounds[row + 1]
+    other = np.ones(len(at) + 1, bool)  # whether a window does not go on where the last one was
+    other[1:-1] = (at[1:] != at[:-1]) | ~inside[:-1] | ~inside[1:]
+    first = np.flatnonzero(other[:-1] & inside)
+    last = np.flatnonzero(other[1:] & inside)
+    return row[first], hashes[at[first]].view(np.int64), first, last
 
 
 def _suffix_order(text: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
@@ -168,17 +177,18 @@ def _anchors(texts: DataFrame, length: int, gram: int) -> DataFrame:
             data, bounds = arrow_texts(batch.column(0))
             docs = batch.column(1).to_numpy()
             out: list[list] = [[], [], [], []]
-            size = 0
-            for k in range(len(docs)):
-                mine = data[bounds[k] : bounds[k + 1]]
-                hashes, first, last = named_grams(mine, length, gram)
-                if not len(hashes):
-                    continue
+            size = low = 0
+            while low < len(docs):
+                high = int(np.searchsorted(bounds, bounds[low] + CHUNK_BYTES, side="right")) - 1
+                high = max(high, low + 1)
+                mine, edges = data[bounds[low] : bounds[high]], bounds[low : high + 1] - bounds[low]
+                row, hashes, first, last = named_grams(mine, edges, length, gram)
                 out[0].append(hashes)
                 out[1].append(span_hashes(mine, first, last + length).view(np.int64))
-                out[2].append(np.full(len(hashes), docs[k]))
-                out[3].append(first * 64 + (last - first))
+                out[2].append(docs[low:high][row])
+                out[3].append((first - edges[row]) * 64 + (last - first))
                 size += len(hashes)
+                low = high
                 if size > 1 << 18:
                     yield flush(out)
                     out, size = [[], [], [], []], 0
@@ -401,34 +411,38 @@ def _apply(texts: DataFrame, spans: DataFrame, id_column: str, length: int, with
         fields.append(T.StructField("kept", T.BinaryType()))
     schema = T.StructType(fields)
 
-    def drop(data: np.ndarray, gone: list[tuple[int, int]]) -> tuple[int, int, bytes]:
-        step = np.zeros(len(data) + 1, np.int64)
-        for start, mask in gone:
-            bits = np.flatnonzero(
-                np.unpackbits(np.array([mask], "<i8").view(np.uint8), bitorder="little")
-            )
-            np.add.at(step, start + bits, 1)
-            np.add.at(step, start + bits + length, -1)
-        out = np.cumsum(step[:-1]) > 0
+    def drop(data: np.ndarray, starts: np.ndarray, masks: np.ndarray) -> tuple[int, int, bytes]:
+        bits = np.unpackbits(masks.astype("<i8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        span, bit = np.nonzero(bits)
+        begins = np.zeros(len(data), np.int32)
+        begins[starts[span] + bit] = 1
+        begun = np.cumsum(begins, dtype=np.int32)
+        out = begun > 0
+        out[length:] = begun[length:] > begun[:-length]
         spans = int(out[0]) + int((out[1:] & ~out[:-1]).sum()) if len(out) else 0
         return int(out.sum()), spans, data[~out].tobytes()
 
     def change(batches: Iterator) -> Iterator:
         import pyarrow as pa
+        import pyarrow.compute as pc
 
         for batch in batches:
             data, bounds = arrow_texts(batch.column(0))
             rows: list[list] = [[] for _ in range(5)]
-            gone = batch.column(2).to_pylist()
             whole = batch.column(3).to_pylist()
-            for k in range(len(gone)):
+            gone = batch.column(2)
+            sizes = pc.fill_null(pc.list_value_length(gone), 0).to_numpy(zero_copy_only=False)
+            at = np.concatenate([[0], np.cumsum(sizes)])
+            gone = gone.flatten()  # without the lists that are NULL
+            starts, masks = (gone.field(k).to_numpy(zero_copy_only=False) for k in (0, 1))
+            for k in range(len(whole)):
                 mine = data[bounds[k] : bounds[k + 1]]
                 if whole[k]:
                     whole_text = len(mine) >= length
                     found = (len(mine), 1, b"") if whole_text else (0, 0, mine.tobytes())
                 else:
-                    windows = [(x["start"], x["mask"]) for x in gone[k]]
-                    found = drop(mine, windows)
+                    own = slice(at[k], at[k + 1])
+                    found = drop(mine, starts[own], masks[own])
                 values = (len(mine), *found[:2], hashlib.sha256(found[2]).hexdigest(), found[2])
                 for column, value in zip(rows, values):
                     column.append(value)
