@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from freightmill.llm.byte_bpe import arrow_texts
-from freightmill.llm.common import cut, scratch_names
+from freightmill.llm.common import cut, scratch_names, small_batches
 from freightmill.llm.posting_lists import (
     bitmap_of,
     emit_counts,
@@ -143,7 +143,7 @@ def _verified(
                     if len(mine):
                         keys.append(_set_id(mine))
                         sets.append(mine.tobytes())
-                if sum(map(len, sets)) > 1 << 24:
+                if sum(map(len, sets)) > 1 << 22:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(keys, pa.binary()), pa.array(sets, pa.binary())],
                         names=["unit", "set"],
@@ -194,6 +194,7 @@ def near_duplicate_components(
     without words have an empty set and stand alone. Rows with equal texts are one component;
     NULL ids are passed over in naming it unless there is no other. Other columns are not read.
     """
+    small_batches(docs.sparkSession)
     id_type = docs.schema[id_column].dataType.simpleString()
     texts = docs.select(
         F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"),

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from freightmill.llm.common import measured, scratch_names
+from freightmill.llm.common import measured, scratch_names, small_batches
 
 ABSTAIN, TOXIC, CLEAN = 0, 1, 2
 PREFIXES = (3, 4, 5, 6, 7, 8)
@@ -72,7 +72,7 @@ def text_features(text: str) -> set[str]:
 class WordIndex:
     """Which of the ``wanted`` features each word brings; the words met first are remembered."""
 
-    def __init__(self, wanted: frozenset, memory: int = 300_000):
+    def __init__(self, wanted: frozenset, memory: int = 100_000):
         self.wanted, self.memory = wanted, memory
         self.known: dict[str, tuple] = {}
 
@@ -324,6 +324,7 @@ def train(
     trained on (those with the lowest id hash), ``vocabulary`` the features of the classifier.
     Held-out rows' labels are never read. Without any label the fixed lexicons decide alone.
     """
+    small_batches(docs.sparkSession)
     sample = _labelled_sample(docs, labels, text, id_column, label, sample_rows)
     totals = sample.groupBy("toxic").count().collect()
     bad_rows = sum(r["count"] for r in totals if r["toxic"] > 0)
@@ -459,16 +460,14 @@ def score_documents(
 def drop_toxic(
     docs: DataFrame, model: ToxicityModel, text: str = "text", threshold: float = 0.7
 ) -> DataFrame:
-    """The rows of ``docs`` that score below ``threshold``, all columns as they are."""
-    (hidden,) = scratch_names(docs, "text")
-    source = docs.withColumn(hidden, F.col(f"`{text}`").cast("string"))
+    """The rows of ``docs`` that score below ``threshold``, all columns as they are.
 
-    def choose(batches: Iterator) -> Iterator:
-        import pyarrow as pa
+    Only the texts go to Python, and one truth value for each comes back.
+    """
+    import pyarrow as pa
 
-        for batch in batches:
-            last = batch.num_columns - 1
-            clean = [model.score(t) < threshold for t in batch.column(last).to_pylist()]
-            yield batch.select(range(last)).filter(pa.array(clean, pa.bool_()))
+    def clean(texts):
+        return pa.array([model.score(t.as_py()) < threshold for t in texts], pa.bool_())
 
-    return source.mapInArrow(choose, docs.schema)
+    clean.__annotations__ = {"texts": pa.Array, "return": pa.Array}
+    return docs.where(F.arrow_udf(clean, T.BooleanType())(F.col(f"`{text}`").cast("string")))
