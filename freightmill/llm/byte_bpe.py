@@ -116,11 +116,21 @@ def _powers(size: int) -> list[np.ndarray]:
     return _POWERS
 
 
-def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of each span of bytes, from one running polynomial."""
-    power, inverse = _powers(max(1 << 16, len(data) + 1))
+def running_hash(data: np.ndarray) -> np.ndarray:
+    """The running polynomial from which ``span_hashes`` takes its spans."""
+    power, _ = _powers(max(1 << 16, len(data) + 1))
     running = np.zeros(len(data) + 1, np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[: len(data)], out=running[1:])
+    return running
+
+
+def span_hashes(
+    data: np.ndarray, starts: np.ndarray, ends: np.ndarray, running: np.ndarray | None = None
+) -> np.ndarray:
+    """64-bit hash of each span of bytes, from one running polynomial (made here if not given)."""
+    _, inverse = _powers(max(1 << 16, len(data) + 1))
+    if running is None:
+        running = running_hash(data)
     value = (running[ends] - running[starts]) * inverse[starts]
     value ^= (ends - starts).astype(np.uint64) * _MIX
     value = (value ^ (value >> np.uint64(31))) * _MIX

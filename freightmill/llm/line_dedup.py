@@ -18,13 +18,16 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from freightmill.llm.byte_bpe import span_hashes
+from freightmill.llm.byte_bpe import running_hash, span_hashes
 from freightmill.llm.common import cut, scratch_names
 from freightmill.llm.posting_lists import bitmap_of, in_bitmap, linked_components
 from freightmill.llm.shingles import mix
 
 CHUNK_CHARS = 1 << 20
 TRIM = " \t\r\x0b\x0c"
+#: Classes of characters, and of two neighbours, in a line's signature: 62 bits.
+CHAR_CLASSES, PAIR_CLASSES = 23, 39
+CHAR_BITS = (1 << CHAR_CLASSES) - 1
 
 
 def within_edits(a: str, b: str, edits: int) -> bool:
@@ -100,13 +103,14 @@ def line_keys(lengths: np.ndarray, starts: np.ndarray, codes: np.ndarray, edits:
     """
     parts = edits + 1
     owners, keys = [], []
+    running = running_hash(codes)
 
     def add(lines, begin, size, target, number):
         good = (size > 0) & (begin >= 0) & (begin + size <= lengths[lines])
         lines, begin, size, target = (x[good] for x in (lines, begin, size, target))
         at = starts[lines] + begin
         salt = (target * parts + number).astype(np.uint64)
-        value = span_hashes(codes, at, at + size) ^ mix(salt + np.uint64(1))
+        value = span_hashes(codes, at, at + size, running) ^ mix(salt + np.uint64(1))
         owners.append(lines)
         keys.append(mix(value).view(np.int64))
 
@@ -131,16 +135,20 @@ def line_keys(lengths: np.ndarray, starts: np.ndarray, codes: np.ndarray, edits:
 
 
 def signatures(lengths: np.ndarray, codes: np.ndarray) -> np.ndarray:
-    """One bit for each of 62 classes of characters: whether a line has an odd number of them.
+    """One bit for each class of characters, and of two neighbours: whether their number is odd.
 
-    An edit changes two of the counts at most, so lines within e edits differ in 2 * e bits at
-    most.
+    An edit changes two of the characters' counts at most, and four of the neighbours', so lines
+    within e edits differ in 2 * e of the low CHAR_CLASSES bits and 4 * e of the others at most.
+    No line may be empty.
     """
-    classes = 62
-    owner = np.repeat(np.arange(len(lengths)), lengths)
-    counts = np.bincount(owner * classes + codes % classes, minlength=len(lengths) * classes)
-    odd = (counts & 1).reshape(len(lengths), classes).astype(np.int64)
-    return (odd << np.arange(classes)).sum(axis=1)
+    starts = np.cumsum(lengths) - lengths
+    codes = codes.astype(np.int64)
+    bits = np.int64(1) << (codes % CHAR_CLASSES)
+    both = ((codes[:-1] * 65599 + codes[1:]) * 0x9E3779B1 & 0xFFFFFFFF) >> 7
+    neighbours = np.int64(1) << (CHAR_CLASSES + both % PAIR_CLASSES)
+    neighbours[starts[1:] - 1] = 0  # the last character of a line and the first of the next
+    bits[:-1] ^= neighbours
+    return np.bitwise_xor.reduceat(bits, starts) if len(starts) else bits
 
 
 def _split(texts: list[str | None]) -> Iterator[tuple[int, int, str]]:
@@ -213,18 +221,26 @@ def _postings(texts: DataFrame, edits: int, min_chars: int) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, units: DataFrame, edits: int) -> DataFrame:
-    """Links among ``pairs`` (a, b: units), on the lines themselves, found again in the texts."""
+    """Links among ``pairs`` (a, b: units), on the lines themselves, found again in the texts.
+
+    A bitmap of fixed size over the places of the units' first lines passes by nearly all other
+    lines; what passes by accident meets no pair.
+    """
     wanted = pairs.select(F.col("a").alias("unit")).union(pairs.select("b")).distinct()
-    bitmap = bitmap_of(wanted.join(units, "unit").select("grp"))
+    places = F.xxhash64("one.id").bitwiseXOR(F.col("one.line"))
+    bitmap = bitmap_of(wanted.join(units, "unit").select(places.alias("place")))
 
     def fetch(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         for batch in batches:
-            lines = [line for _, _, line in _split(batch.column(0).to_pylist())]
-            ids = [_line_id(line.encode()) for line in lines]
-            near = in_bitmap(bitmap, np.array([_short(i) for i in ids], np.int64))
-            found = {ids[k]: lines[k] for k in np.flatnonzero(near).tolist()}
+            texts = [(text or "").split("\n") for text in batch.column(0).to_pylist()]
+            sizes = np.array([len(lines) for lines in texts], np.int64)
+            row = np.repeat(np.arange(len(sizes)), sizes)
+            number = np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            near = in_bitmap(bitmap, batch.column(1).to_numpy()[row] ^ number)
+            lines = [texts[r][k].strip(TRIM) for r, k in zip(row[near].tolist(), number[near].tolist())]
+            found = {_line_id(line.encode()): line for line in lines}
             yield pa.RecordBatch.from_arrays(
                 [pa.array(list(found), pa.binary()), pa.array(list(found.values()), pa.string())],
                 names=["unit", "content"],
@@ -239,7 +255,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, units: DataFrame, edits: int)
             yield batch.select([0, 1]).filter(pa.array(good, pa.bool_()))
 
     lines = (
-        texts.select("text")
+        texts.select("text", F.xxhash64("id").alias("h"))
         .mapInArrow(fetch, "unit binary, content string")
         .join(wanted, "unit", "left_semi")
         .groupBy("unit")
@@ -272,16 +288,23 @@ def line_classes(
     lines = cut(_occurrences(texts))
     first = F.min(F.struct("id", "line")).alias("one")
     distinct = cut(lines.groupBy("unit", "grp", "n").agg(first))
-    units = distinct.where(F.col("n") >= min_chars).select("unit", "grp")
+    units = distinct.where(F.col("n") >= min_chars)
 
     def passes(n_a, n_b, mark_a, mark_b):
-        return (np.abs(n_a - n_b) <= edits) & (np.bitwise_count(mark_a ^ mark_b) <= 2 * edits)
+        unlike = mark_a ^ mark_b
+        chars = np.bitwise_count(unlike & CHAR_BITS) <= 2 * edits
+        return (
+            (np.abs(n_a - n_b) <= edits)
+            & chars
+            & (np.bitwise_count(unlike >> CHAR_CLASSES) <= 4 * edits)
+        )
 
     labels = linked_components(
         _postings(texts, edits, min_chars),
-        units,
+        units.select("unit", "grp"),
         passes,
-        f"abs(x.n - y.n) <= {edits} AND bit_count(x.pos ^ y.pos) <= {2 * edits}",
+        f"abs(x.n - y.n) <= {edits} AND bit_count((x.pos ^ y.pos) & {CHAR_BITS}) <= {2 * edits} "
+        f"AND bit_count(shiftright(x.pos ^ y.pos, {CHAR_CLASSES})) <= {4 * edits}",
         lambda pairs: _verified(pairs, texts, units, edits),
     )
     named = distinct.join(labels, F.col("unit") == F.col("node"), "left").select(
