@@ -105,7 +105,8 @@ def in_bitmap(bitmap: np.ndarray, ids: np.ndarray) -> np.ndarray:
 
 def hub_pairs(postings: DataFrame, passes: Passes, hubs: int) -> DataFrame:
     """From (token, grp, n, pos): pairs with the first ``hubs`` groups of each list (kind 0), and
-    all rows of the lists that are longer than that covers (kind 1).
+    all rows of the lists that are longer than that covers (kind 1). A list is in the order of
+    pos, so that its hub has the least that the others may lack.
 
     With a column ``label`` as well, groups of the same label do not meet; groups labelled MIXED
     meet all. Only the first hubs + 1 rows of an unfinished list are held from batch to batch.
@@ -122,6 +123,10 @@ def hub_pairs(postings: DataFrame, passes: Passes, hubs: int) -> DataFrame:
                 rows = np.concatenate([held, rows])
             if not len(rows):
                 continue
+            # A group may be posted more than once under a token.
+            new = np.ones(len(rows), bool)
+            new[1:] = (rows[1:, 0] != rows[:-1, 0]) | (rows[1:, 1] != rows[:-1, 1])
+            rows = rows[new]
             token, group, size, pos, *label = rows.T
             heads = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
             length = np.diff(np.append(heads, len(rows)))
@@ -155,7 +160,7 @@ def hub_pairs(postings: DataFrame, passes: Passes, hubs: int) -> DataFrame:
                 )
             held = rows[heads[-1] :][: hubs + 1]
 
-    ordered = postings.repartition("token").sortWithinPartitions("token", "grp")
+    ordered = postings.repartition("token").sortWithinPartitions("token", "pos", "grp")
     columns = ["token", "grp", "n", "pos", *["label"][: int(labelled)]]
     return ordered.select(columns).mapInArrow(
         stream, "kind long, a long, b long, n long, pos long"
