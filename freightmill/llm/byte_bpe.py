@@ -23,7 +23,8 @@ WHITE_SPACE = [
 ]
 # Suffixes that the pre-tokenizer splits off after an apostrophe (fixed values).
 CONTRACTIONS = [b"s", b"t", b"re", b"ve", b"m", b"ll", b"d"]
-CHUNK_BYTES = 1 << 22
+#: A chunk is held many times over while its words are found and merged.
+CHUNK_BYTES = 1 << 20
 CACHE_WORDS = 400_000
 
 _HASH_BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -110,7 +111,7 @@ def _powers(size: int) -> list[np.ndarray]:
     if len(_POWERS[0]) < size:
         inverse = np.uint64(pow(int(_HASH_BASE), -1, 1 << 64))
         for k, base in enumerate((_HASH_BASE, inverse)):
-            factors = np.full(1 << (size - 1).bit_length(), base, np.uint64)
+            factors = np.full(size + size // 8, base, np.uint64)
             factors[0] = 1
             _POWERS[k] = np.cumprod(factors)
     return _POWERS
@@ -243,29 +244,30 @@ class ByteBpe:
         return symbols[order], np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=words))])
 
     def _forget(self) -> None:
-        self.known: dict[int, int] = {}
+        self.known = np.zeros(0, np.uint64)  # hashes of the words, in order
+        self.numbers = np.zeros(0, np.int32)  # their places in ``offsets``
         self.ids = np.zeros(0, np.int32)
         self.offsets = np.zeros(1, np.int64)
-        self.extra: list[int] = []
 
     def _trim(self) -> None:
         """Drop what came after the cache was full; the words met first are the common ones."""
-        for key in self.extra:
-            del self.known[key]
-        self.extra = []
-        self.offsets = self.offsets[: len(self.known) + 1]
-        self.ids = self.ids[: self.offsets[-1]]
+        if len(self.known) > CACHE_WORDS:
+            keep = self.numbers < CACHE_WORDS
+            self.known, self.numbers = self.known[keep], self.numbers[keep]
+            self.offsets = self.offsets[: CACHE_WORDS + 1].copy()
+            self.ids = self.ids[: self.offsets[-1]].copy()
 
     def _learn(self, data: np.ndarray, hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray):
-        """Encode the words that are new and remember them."""
+        """Encode the words that are new (``hashes`` in order) and remember them."""
         sizes = ends - starts
         owner = np.repeat(np.arange(len(starts)), sizes)
         inside = np.arange(len(owner)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         symbols = self.byte_ids[data[np.repeat(starts, sizes) + inside]]
         ids, offsets = self.merge(symbols, owner, len(starts))
-        base, keys = len(self.known), hashes.tolist()
-        self.known.update(zip(keys, range(base, base + len(keys))))
-        self.extra += keys[max(0, CACHE_WORDS - base) :]
+        place = np.searchsorted(self.known, hashes)
+        fresh = len(self.known) + np.arange(len(hashes), dtype=np.int32)
+        self.known = np.insert(self.known, place, hashes)
+        self.numbers = np.insert(self.numbers, place, fresh)
         self.offsets = np.concatenate([self.offsets, self.offsets[-1] + offsets[1:]])
         self.ids = np.concatenate([self.ids, ids])
 
@@ -276,9 +278,11 @@ class ByteBpe:
         hashes = span_hashes(data, starts, ends)
         distinct, first, back = np.unique(hashes, return_index=True, return_inverse=True)
         self._trim()
-        number = np.fromiter(
-            (self.known.get(h, -1) for h in distinct.tolist()), np.int64, len(distinct)
-        )
+        number = np.full(len(distinct), -1)
+        if len(self.known):
+            place = np.minimum(np.searchsorted(self.known, distinct), len(self.known) - 1)
+            found = self.known[place] == distinct
+            number[found] = self.numbers[place[found]]
         new = np.flatnonzero(number < 0)
         if len(new):
             number[new] = len(self.known) + np.arange(len(new))

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from freightmill.llm.byte_bpe import arrow_texts, shared_tokenizer
-from freightmill.llm.common import cut, tokenizer_path
+from freightmill.llm.common import cut, small_batches, tokenizer_path
 
 SHARD_PIECES = 40_000
 
@@ -94,6 +94,7 @@ def token_pieces(
                 out.append(pa.array(columns[5], pa.list_(pa.int32())))
             yield pa.RecordBatch.from_arrays(out, names=schema.names)
 
+    small_batches(docs.sparkSession)
     source = docs.select(f"`{id_column}`", F.col(f"`{text}`").cast("string").alias("_text"))
     return source.mapInArrow(tokenise, schema)
 
