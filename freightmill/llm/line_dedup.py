@@ -307,11 +307,15 @@ def line_classes(
         f"AND bit_count(shiftright(x.pos ^ y.pos, {CHAR_CLASSES})) <= {4 * edits}",
         lambda pairs: _verified(pairs, texts, units, edits),
     )
-    named = distinct.join(labels, F.col("unit") == F.col("node"), "left").select(
-        "unit", F.coalesce("component", "unit").alias("component"), "one"
+    # A line without links is the head of its own class.
+    named = cut(
+        distinct.join(labels, F.col("unit") == F.col("node")).select("unit", "component", "one")
     )
     heads = named.groupBy("component").agg(F.min("one").alias("head"))
-    heads = named.join(heads, "component").select(F.col("unit").alias("u"), "head")
+    heads = named.join(heads, "component").select(F.col("unit").alias("node"), "head")
+    heads = distinct.join(heads, F.col("unit") == F.col("node"), "left").select(
+        F.col("unit").alias("u"), F.coalesce("head", "one").alias("head")
+    )
     kept = F.col("id").eqNullSafe(F.col("head.id")) & (F.col("line") == F.col("head.line"))
     return lines.join(heads, F.col("unit") == F.col("u")).select(
         F.col("id").alias(id_column),

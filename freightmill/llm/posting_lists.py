@@ -263,6 +263,7 @@ def linked_components(
     and returns those that are linked.
     """
     listed = cut(hub_pairs(postings, passes, 1).distinct())
+    units = cut(_partners(units, listed))
 
     # One unit speaks for a group; inside a group it meets all its units.
     one = units.groupBy("grp").agg(F.min("unit").alias("one"))
@@ -274,8 +275,7 @@ def linked_components(
         .select("x", "y")
     )
     first = cut(within.union(across).where("x <> y").select(*ordered_pair("x", "y")).distinct())
-    links = cut(verify(first))
-    labels = components(links)
+    labels = cut(components(verify(first)))
 
     # More hubs, and more units of a group, across components only.
     known, groups = _labelled(units, labels)
@@ -303,8 +303,7 @@ def linked_components(
     second = within.union(across).select(*ordered_pair("x", "y")).distinct()
     second = cut(second.join(first, ["a", "b"], "left_anti"))
     if not second.isEmpty():
-        links = cut(links.union(verify(second)))
-        labels = components(links)
+        labels = cut(_joined(labels, verify(second)))
         known, groups = _labelled(units, labels)
 
     # What long lists and large groups have left.
@@ -317,7 +316,21 @@ def linked_components(
     if rest.isEmpty():
         return labels
     left = _unit_pairs(rest, known).join(first.union(second), ["a", "b"], "left_anti")
-    return components(links.union(verify(cut(left))))
+    return _joined(labels, verify(cut(left)))
+
+
+def _joined(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels`` (node, component) after more ``links``: a component stands in as a star."""
+    stars = labels.select(F.col("node").alias("a"), F.col("component").alias("b"))
+    return components(stars.union(links))
+
+
+def _partners(units: DataFrame, listed: DataFrame) -> DataFrame:
+    """The units that share their group or a posting with another one; no others can be linked."""
+    met = listed.where("kind = 0").select(F.col("a").alias("grp"))
+    met = met.union(listed.select("b")).distinct()
+    crowded = units.groupBy("grp").count().where("count > 1").select("grp")
+    return units.join(met.union(crowded), "grp", "left_semi").select("unit", "grp")
 
 
 def _labelled(units: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
