@@ -93,53 +93,77 @@ def named_grams(
     return row[first], hashes[at[first]].view(np.int64), first, last
 
 
-def _suffix_order(text: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """Suffix array of ``text`` (values above 0) by its first ``depth`` values at least, and
-    its inverse; prefix doubling from seven values on."""
-    size = len(text)
-    padded = np.concatenate([text, np.zeros(8, text.dtype)]).astype(np.uint64)
+def _suffix_order(text: np.ndarray, depth: int, room: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Suffixes of ``text`` (values above 0) in the order of their first ``depth`` values at
+    least, and which of them part from the one before within the first ``min(7, depth)``.
+
+    Prefix doubling from those values on. Only suffixes that are not told apart yet are sorted
+    again, in their own places; where ``room`` values were compared, the order is left open.
+    """
+    size, have = len(text), min(7, depth)
+    padded = np.concatenate([text, np.zeros(have, text.dtype)]).astype(np.uint64)
     key = np.zeros(size, np.uint64)
-    for k in range(7):  # seven nine-bit values fill one key
+    for k in range(have):  # up to seven nine-bit values fill one key
         key = (key << np.uint64(9)) | padded[k : k + size]
-    have = 7
+    order = np.argsort(key)
+    ranked = key[order]
+    parts = np.ones(size, bool)
+    parts[1:] = ranked[1:] != ranked[:-1]
+    rank = np.zeros(size + 1, np.uint64)  # 1 + the first place of equal ones; 0 past the end
+    new, at = parts, np.arange(size)
     while True:
-        order = np.argsort(key, kind="stable")
-        ranked = key[order]
-        rank = np.empty(size, np.uint64)
-        rank[order] = np.cumsum(np.concatenate([[1], ranked[1:] != ranked[:-1]])).astype(np.uint64)
-        if have >= depth or int(rank.max(initial=0)) == size:
+        rank[order[at]] = at[np.maximum.accumulate(np.where(new, np.arange(len(at)), 0))] + 1
+        if have >= depth:
             break
-        behind = np.concatenate([rank[have:], np.zeros(min(have, size), np.uint64)])[:size]
-        key = (rank << np.uint64(32)) | behind
+        at = at[~(new & np.append(new[1:], True))]
+        at = at[room[order[at]] >= have]
+        if not len(at):
+            break
+        mine = order[at]
+        key = (rank[mine] << np.uint64(32)) | rank[mine + have]
+        by = np.argsort(key)
+        order[at], ranked = mine[by], key[by]
+        new = np.ones(len(at), bool)
+        new[1:] = ranked[1:] != ranked[:-1]
         have *= 2
-    inverse = np.empty(size, np.int64)
-    inverse[order] = np.arange(size)
-    return order, inverse
+    return order, parts
 
 
-def equal_windows(text: np.ndarray, length: int) -> np.ndarray:
+def equal_windows(text: np.ndarray, length: int, room: np.ndarray | None = None) -> np.ndarray:
     """For every position a number that is equal where the next ``length`` values are equal.
 
     Intervals of suffixes with a common prefix are extended backwards, all at once: the
     suffixes that begin with c followed by W stand together, and two neighbours part where
     their first values differ or where what follows lies in different intervals of W. Only
     intervals with more than one suffix are carried on; at ``length`` the extension stops.
+    Positions with fewer than ``length`` values of ``room`` (by default to the end of the
+    text) are equal to none. After ``room`` values stands the end or a separator.
     """
     size = len(text)
-    order, inverse = _suffix_order(text, length)
-    follow = np.append(inverse, -1)[order + 1]  # where the suffix without its first value is
-    begin = text[order]
-    parts = np.ones(size, bool)
-    parts[1:] = begin[1:] != begin[:-1]
-    alive = np.flatnonzero(~parts)
-    for _ in range(1, length):
+    room = np.arange(size, 0, -1, np.int32) if room is None else room
+    order, parts = _suffix_order(text, length, room)
+    inverse = np.zeros(size + 1, np.int64)
+    inverse[order] = np.arange(size)
+    parts |= room[order] < min(7, length)
+    interval = np.cumsum(parts, dtype=np.int32)
+    alive = np.flatnonzero(~(parts & np.append(parts[1:], True)))
+    follow = inverse[order[alive] + 1]  # where the suffix without its first value is
+    left, parted = room[order[alive]], parts[alive]
+    for depth in range(min(7, length) + 1, length + 1):
         if not len(alive):
             break
-        interval = np.append(np.cumsum(parts, dtype=np.int32), 0)
-        new = interval[follow[alive]] != interval[follow[alive - 1]]
-        parts[alive[new]] = True
-        alive = alive[~new]
-    return np.cumsum(parts)[inverse]
+        behind, ends = interval[follow], left < depth
+        parted |= ends
+        parted[1:] |= (behind[1:] != behind[:-1]) | ends[:-1]
+        interval[alive] = np.cumsum(parted, dtype=np.int32)  # told apart from each other only
+        alone = parted.copy()
+        alone[:-1] &= parted[1:]
+        if np.count_nonzero(alone) * 8 > len(alone):  # until then they do no harm
+            parts[alive[alone]] = True
+            stay = np.flatnonzero(~alone)
+            alive, follow, left, parted = alive[stay], follow[stay], left[stay], parted[stay]
+    parts[alive] = parted
+    return np.cumsum(parts, dtype=np.int32)[inverse[:size]]
 
 
 def _repeated_masks(segments: list[np.ndarray], rank: np.ndarray, start: np.ndarray, length: int):
@@ -151,13 +175,16 @@ def _repeated_masks(segments: list[np.ndarray], rank: np.ndarray, start: np.ndar
         text[place : place + len(segment)] = segment
     text[: len(text)] += 1
     text[at + sizes] = 257  # a separator; windows that reach it are not looked at
+    room = (np.repeat(at + sizes, sizes + 1) - np.arange(len(text))).astype(np.int32)
     windows = sizes - length + 1
     owner = np.repeat(np.arange(len(sizes)), windows)
     offset = np.arange(len(owner)) - np.repeat(np.cumsum(windows) - windows, windows)
-    kind = equal_windows(text, length)[at[owner] + offset]
-    order = np.lexsort((start[owner] + offset, rank[owner], kind))
+    kind = equal_windows(text, length, room)[at[owner] + offset]
+    again = np.flatnonzero((np.bincount(kind) > 1)[kind])  # windows that stand more than once
+    kind, mine, bit = kind[again], owner[again], offset[again]
+    order = np.lexsort((start[mine] + bit, rank[mine], kind))
     repeated = np.zeros(len(owner), bool)
-    repeated[order[1:]] = kind[order[1:]] == kind[order[:-1]]
+    repeated[again[order[1:]]] = kind[order[1:]] == kind[order[:-1]]
     bits = np.where(repeated, np.int64(1) << offset, 0)
     return np.bitwise_or.reduceat(bits, np.cumsum(windows) - windows)
 
