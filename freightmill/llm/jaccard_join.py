@@ -6,7 +6,8 @@
 2. Documents with the same set are one unit; units with the same size and prefix are one group.
    Only groups are posted under their prefix shingles.
 3. Group pairs of a posting list that pass the size and position filters are expanded to units
-   and verified on the whole sets (``posting_lists`` says which pairs of a long list need it).
+   (``posting_lists`` says which pairs of a long list need it). Those whose parity bits differ
+   in more places than similar sets can are left out, the others verified on the whole sets.
 4. Components of the links are the classes of near duplicates.
 """
 
@@ -64,17 +65,40 @@ def _set_id(values: np.ndarray) -> bytes:
     return hashlib.blake2b(values.tobytes(), digest_size=16).digest()
 
 
+def parity_bits(values: np.ndarray, row: np.ndarray, size: np.ndarray) -> list[bytes]:
+    """For each row w bits, the power of two from its number of hashes on (64 at least): bit b
+    says whether an odd number of its hashes, all of them different, are b modulo w."""
+    width = np.where(size > 0, 1 << np.ceil(np.log2(np.maximum(size, 64))).astype(np.int64), 0)
+    bounds = np.concatenate([[0], np.cumsum(width)])
+    low = values & (width[row] - 1).astype(np.uint64)
+    odd = np.bincount(bounds[row] + low.astype(np.int64), minlength=bounds[-1]) & 1
+    raw = np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+    return [raw[a:b] for a, b in zip((bounds[:-1] // 8).tolist(), (bounds[1:] // 8).tolist())]
+
+
+def least_apart(one: np.ndarray, other: np.ndarray) -> int:
+    """Two sets differ in so many hashes at least, by the bytes of their parity bits."""
+    while len(one) != len(other):
+        if len(one) < len(other):
+            one, other = other, one
+        half = len(one) // 2
+        one = one[:half] ^ one[half:]  # the bits for half the width
+    return int(np.bitwise_count(one ^ other).sum())
+
+
 def _profiles(texts: DataFrame, id_type: str, n: int, percent: int, levels: np.ndarray):
-    """doc id, set size, unit (id of the set), grp (id of size and prefix), prefix."""
+    """doc id, set size, unit (id of the set), grp (id of size and prefix), prefix, parity bits."""
 
     def describe(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         for batch in batches:
             sizes, units, groups, prefixes = [], [], [], []
+            parities = []
             for _, values, bounds in in_chunks(*arrow_texts(batch.column(0)), n):
                 size = np.diff(bounds)
                 row = np.repeat(np.arange(len(size)), size)
+                parities += parity_bits(values, row, size)
                 level = levels[(values >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
                 order = np.argsort(row * 64 + level, kind="stable")
                 keep = size - -(-percent * size // 100) + 1
@@ -97,11 +121,12 @@ def _profiles(texts: DataFrame, id_type: str, n: int, percent: int, levels: np.n
                 sizes += size.tolist()
             yield pa.RecordBatch.from_arrays(
                 [batch.column(1), pa.array(sizes, pa.int64()), pa.array(units, pa.binary())]
-                + [pa.array(groups, pa.int64()), pa.array(prefixes, pa.list_(pa.int64()))],
-                names=["id", "n", "unit", "grp", "prefix"],
+                + [pa.array(groups, pa.int64()), pa.array(prefixes, pa.list_(pa.int64()))]
+                + [pa.array(parities, pa.binary())],
+                names=["id", "n", "unit", "grp", "prefix", "parity"],
             )
 
-    schema = f"id {id_type}, n long, unit binary, grp long, prefix array<long>"
+    schema = f"id {id_type}, n long, unit binary, grp long, prefix array<long>, parity binary"
     return texts.mapInArrow(describe, schema)
 
 
@@ -117,6 +142,36 @@ def _passes(n_a, n_b, pos_a, pos_b, percent: int) -> np.ndarray:
     return sizes & (reach >= _needed(n_a, n_b, percent))
 
 
+def may_be_similar(pairs: DataFrame, units: DataFrame, percent: int) -> DataFrame:
+    """``pairs`` (a, b: units) without those that cannot be linked by their parity bits, and
+    ``one_a``, ``one_b``. ``units``: unit, one, n and parity of its set.
+
+    Sets are linked when at most (100 - percent) / (100 + percent) of the sum of their sizes is
+    in one of them only, and each of those hashes turns one bit.
+    """
+
+    def choose(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for batch in batches:
+            sizes = batch.column(4).to_numpy()
+            good = []
+            for k, (x, y) in enumerate(zip(batch.column(5), batch.column(6))):
+                x, y = (np.frombuffer(v.as_buffer(), np.uint8) for v in (x, y))
+                good.append(least_apart(x, y) * (100 + percent) <= (100 - percent) * sizes[k])
+            yield batch.select([0, 1, 2, 3]).filter(pa.array(good, pa.bool_()))
+
+    sides = [
+        units.withColumnsRenamed({"unit": e, **{c: f"{c}_{e}" for c in ("one", "n", "parity")}})
+        for e in ("a", "b")
+    ]
+    met = pairs.join(sides[0], "a").join(sides[1], "b").select(
+        "a", "b", "one_a", "one_b", (F.col("n_a") + F.col("n_b")).alias("n"), "parity_a", "parity_b"
+    )
+    id_type = units.schema["one"].dataType.simpleString()
+    return met.mapInArrow(choose, f"a binary, b binary, one_a {id_type}, one_b {id_type}")
+
+
 def _verified(
     pairs: DataFrame, texts: DataFrame, units: DataFrame, n: int, percent: int
 ) -> DataFrame:
@@ -126,9 +181,10 @@ def _verified(
     bitmap of fixed size over id hashes passes by most other documents before they are read
     into words; what passes by accident meets no pair.
     """
-    wanted = pairs.select(F.col("a").alias("unit")).union(pairs.select("b")).distinct()
-    ids = wanted.join(units, "unit").select(F.xxhash64("one").alias("h"))
-    bitmap = bitmap_of(ids)
+    pairs = cut(may_be_similar(pairs, units, percent))
+    ends = pairs.select("a", "one_a").union(pairs.select("b", "one_b")).toDF("unit", "one")
+    wanted = ends.select("unit").distinct()
+    bitmap = bitmap_of(ends.select(F.xxhash64("one").alias("h")))
 
     def collect_sets(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -202,18 +258,20 @@ def near_duplicate_components(
     )
     levels = _levels(texts.select("text"), n)
     profiles = cut(_profiles(texts, id_type, n, percent, levels))
-    units = profiles.where("n > 0").groupBy("unit", "grp").agg(F.min("id").alias("one"))
+    units = profiles.where("n > 0").select("unit", "grp").distinct()
     groups = profiles.where("n > 0").select("grp", "n", "prefix").distinct()
     postings = groups.select("grp", "n", F.posexplode("prefix").alias("pos", "token"))
     postings = postings.select("token", "grp", "n", F.col("pos").cast("long").alias("pos"))
-    named = units.select("unit", "one")
+    sets = profiles.where("n > 0").groupBy("unit").agg(
+        F.min("id").alias("one"), F.first("n").alias("n"), F.first("parity").alias("parity")
+    )
     labels = linked_components(
         postings,
-        units.select("unit", "grp"),
+        units,
         lambda n_a, n_b, pos_a, pos_b: _passes(n_a, n_b, pos_a, pos_b, percent),
         f"100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n) AND "
         f"(1 + least(x.n - x.pos - 1, y.n - y.pos - 1)) * {100 + percent} >= {percent} * (x.n + y.n)",
-        lambda pairs: _verified(pairs, texts, named, n, percent),
+        lambda pairs: _verified(pairs, texts, sets, n, percent),
     )
 
     by_unit = profiles.groupBy("unit").agg(F.min("id").alias("one"))
