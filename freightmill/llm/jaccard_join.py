@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from freightmill.llm.byte_bpe import arrow_texts
 from freightmill.llm.common import cut, scratch_names, small_batches
+from freightmill.llm.components import two_rows
 from freightmill.llm.posting_lists import (
     bitmap_of,
     emit_counts,
@@ -182,7 +183,7 @@ def _verified(
     into words; what passes by accident meets no pair.
     """
     pairs = cut(may_be_similar(pairs, units, percent))
-    ends = pairs.select("a", "one_a").union(pairs.select("b", "one_b")).toDF("unit", "one")
+    ends = two_rows(pairs, ["unit", "one"], ("a", "one_a"), ("b", "one_b"))
     wanted = ends.select("unit").distinct()
     bitmap = bitmap_of(ends.select(F.xxhash64("one").alias("h")))
 

@@ -199,18 +199,20 @@ def _unit_pairs(pairs: DataFrame, known: DataFrame) -> DataFrame:
     apart from the others. Blocks meet blocks, so no key holds more than a block, and where two
     groups have their most common component in common, those blocks do not meet.
     """
-    wanted = pairs.select(F.col("a").alias("grp")).union(pairs.select("b")).distinct()
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("grp")).distinct()
     share = known.join(wanted, "grp", "left_semi").groupBy("grp", "component").count()
     sizes = share.groupBy("grp").agg(
         F.max_by("component", F.struct("count", "component")).alias("common"),
         F.max("count").alias("same"),
         F.sum("count").alias("all"),
     )
-    sizes = sizes.select(
-        "grp",
-        "common",
-        F.ceil(F.col("same") / HUBS).alias("same_blocks"),
-        F.ceil((F.col("all") - F.col("same")) / HUBS).alias("odd_blocks"),
+    sizes = cut(
+        sizes.select(
+            "grp",
+            "common",
+            F.ceil(F.col("same") / HUBS).alias("same_blocks"),
+            F.ceil((F.col("all") - F.col("same")) / HUBS).alias("odd_blocks"),
+        )
     )
     # Blocks 0, 1, … hold the most common component, -1, -2, … the others.
     dealt = known.join(sizes, "grp").select(
@@ -283,8 +285,8 @@ def linked_components(
     met = cut(listed.where("kind = 0").union(again.where("kind = 0")).select("a", "b").distinct())
     place = F.row_number().over(Window.partitionBy("grp").orderBy("unit"))
     mixed = groups.where("low <> high").select("grp")
-    apart = _apart(met, groups).select("a", "b")
-    asked = apart.select(F.col("a").alias("grp")).union(apart.select("b")).union(mixed).distinct()
+    apart = cut(_apart(met, groups).select("a", "b"))
+    asked = apart.select(F.explode(F.array("a", "b")).alias("grp")).union(mixed).distinct()
     few = (
         known.join(asked, "grp", "left_semi").withColumn("k", place).where(F.col("k") <= HUBS)
     )
@@ -327,8 +329,8 @@ def _joined(labels: DataFrame, links: DataFrame) -> DataFrame:
 
 def _partners(units: DataFrame, listed: DataFrame) -> DataFrame:
     """The units that share their group or a posting with another one; no others can be linked."""
-    met = listed.where("kind = 0").select(F.col("a").alias("grp"))
-    met = met.union(listed.select("b")).distinct()
+    both = F.when(F.col("kind") == 0, F.array("a", "b")).otherwise(F.array("b"))
+    met = listed.select(F.explode(both).alias("grp")).distinct()
     crowded = units.groupBy("grp").count().where("count > 1").select("grp")
     return units.join(met.union(crowded), "grp", "left_semi").select("unit", "grp")
 
@@ -338,6 +340,7 @@ def _labelled(units: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame
     known = units.join(labels, F.col("unit") == F.col("node"), "left").select(
         "unit", "grp", F.coalesce("component", "unit").alias("component")
     )
+    known = cut(known)
     groups = known.groupBy("grp").agg(
         F.min("component").alias("low"),
         F.max("component").alias("high"),
